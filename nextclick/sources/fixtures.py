@@ -25,6 +25,9 @@ RETURNFLAG_ACTIONS = {"R": 1, "N": 2}  # every other flag is 3
 
 F1_TRAIN = ("2024-01-01", "2024-01-16")
 F1_VALIDATION = ("2024-01-16", "2024-01-31")
+# The source's quick "micro" split: two days of train, the next two of validation.
+F1_MICRO_TRAIN = ("2024-01-01", "2024-01-03")
+F1_MICRO_VALIDATION = ("2024-01-03", "2024-01-05")
 F2_TRAIN = ("1995-01-01", "1998-01-01")
 F2_VALIDATION = ("1998-01-01", "2002-01-01")
 
