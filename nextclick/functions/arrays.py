@@ -20,19 +20,23 @@ def checked(value: Column, *cols: str) -> Column:
         F.raise_error(F.lit("parallel arrays differ in length: " + ", ".join(cols))))
 
 
-def sort_parallel(order_col: str, other_cols: list[str]) -> dict[str, Column]:
-    """Sort ``order_col`` and ``other_cols`` of one row by ``order_col``;
-    the original position breaks ties (a stable sort)."""
+def sorted_zip(order_col: str, other_cols: list[str]) -> Column:
+    """One array of structs ``(k, p, c0, c1, ...)`` sorted by ``order_col``
+    (``k``); the original position ``p`` breaks ties (a stable sort)."""
     cols = [order_col] + list(other_cols)
     zipped = F.transform(
         F.col(order_col),
         lambda x, i: F.struct(
             x.alias("k"), i.alias("p"),
             *[F.col(c)[i].alias(f"c{n}") for n, c in enumerate(other_cols)]))
-    zipped = checked(F.array_sort(zipped), *cols)
-    out = {order_col: F.transform(zipped, _field("k"))}
+    return checked(F.array_sort(zipped), *cols)
+
+
+def unzip(zipped: str, order_col: str, other_cols: list[str]) -> dict[str, Column]:
+    """Field arrays back out of a ``sorted_zip`` column."""
+    out = {order_col: F.transform(F.col(zipped), _field("k"))}
     for n, c in enumerate(other_cols):
-        out[c] = F.transform(zipped, _field(f"c{n}"))
+        out[c] = F.transform(F.col(zipped), _field(f"c{n}"))
     return out
 
 

@@ -29,26 +29,39 @@ def _weighted(inter: DataFrame, weights: dict[int, float], strict: bool) -> Data
 
 
 def continue_search(train: DataFrame, test: DataFrame,
-                    weights: dict[int, float] | None = None, strict: bool = True) -> DataFrame:
+                    weights: dict[int, float] | None = None, strict: bool = True,
+                    drop_seen_responses: bool = False) -> DataFrame:
     """Items the test users already touched, newest first.
 
     ``train`` and ``test`` are flat interactions. Per (user, item) the row
     with the heaviest action weight wins (then the latest ``action_dt``);
     only the test users' train rows take part (a left-semi join, never a
-    collected id list). Score = ln(dense rank of ``action_dt``, newest = 1),
-    lower is better. The two-step (fit, predict) reduction of the source is
-    one ``groupBy`` here: an arg-max is associative and Spark already
-    splits it into partial and final aggregation.
+    collected id list; AQE broadcasts the user side when it is small). Score
+    = ln(dense rank of ``action_dt``, newest = 1), lower is better. The
+    two-step (fit, predict) reduction of the source is one ``groupBy`` here:
+    an arg-max is associative and Spark splits it into partial and final
+    aggregation.
+
+    ``drop_seen_responses=True`` fuses the seen filter (R21 with the same
+    train history): the same aggregation flags pairs with a train response
+    and drops them, saving the anti join's two shuffles. Ranks are computed
+    before the drop, as with a separate filter.
     """
     weights = weights or CONTINUE_SEARCH_WEIGHTS
     users = test.select("user_id").distinct()
-    rows = (_weighted(train.join(users, "user_id", "left_semi"), weights, strict)
-            .unionByName(_weighted(test, weights, strict)))
+    tr = _weighted(train.join(users, "user_id", "left_semi"), weights, strict)
+    te = _weighted(test, weights, strict)
+    rows = (tr.withColumn("_seen", F.col("action_type") == F.lit(1))
+              .unionByName(te.withColumn("_seen", F.lit(False))))
     best = (rows.groupBy("user_id", "vacancy_id")
                 .agg(F.max_by(F.struct("action_type", "action_dt"),
-                              F.struct("action_weight", "action_dt")).alias("b")))
+                              F.struct("action_weight", "action_dt")).alias("b"),
+                     F.max("_seen").alias("_seen")))
     rank = F.dense_rank().over(W.partitionBy("user_id").orderBy(F.col("b.action_dt").desc()))
-    return best.select("user_id", "vacancy_id", F.log(rank.cast("double")).alias("score"))
+    out = best.select("user_id", "vacancy_id", F.log(rank.cast("double")).alias("score"), "_seen")
+    if drop_seen_responses:
+        out = out.where(~F.col("_seen"))
+    return out.drop("_seen")
 
 
 # ---------------------------------------------------------------- R13

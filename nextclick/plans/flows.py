@@ -17,6 +17,7 @@ from nextclick.operators import ranking as R
 from nextclick.operators.metrics import mrr_recall
 from nextclick.operators.sessions import interactions, normalise_sessions
 from nextclick.operators.truth import next_response_truth, time_split
+from nextclick.sources.tables import materialise
 
 
 @dataclass
@@ -29,10 +30,18 @@ class Prepared:
 
 
 def prepare(raw_sessions: DataFrame, train_range: tuple[str, str],
-            validation_range: tuple[str, str]) -> Prepared:
+            validation_range: tuple[str, str], materialise_tables: bool = True) -> Prepared:
+    """Normalise -> split -> truth. The normalised log and the truth feed
+    several branches (train history, candidates, seen filter, skeleton,
+    metrics), so by default each is written once to the shared checkpoint
+    folder and scanned back instead of being re-derived per branch."""
     sessions = raw_sessions.transform(normalise_sessions)
+    if materialise_tables:
+        sessions = materialise(sessions, "sessions", sort_within=["session_dt"])
     train_s, val_s = time_split(sessions, train_range, validation_range)
     truth = next_response_truth(val_s)
+    if materialise_tables:
+        truth = materialise(truth, "truth")
     train = interactions(train_s, keep=["user_id", "session_id"])
     test = interactions(truth, keep=["user_id", "session_id"])
     return Prepared(train_s, val_s, truth, train, test)
@@ -46,8 +55,10 @@ def continue_search_recs(p: Prepared, k: int | None = 100) -> DataFrame:
     """Continue-search flow: R25 -> R21 (train responses) -> R19 -> R22.
     The constant ranker leaves the generator's own score (lower is
     better) and then the item id as the order."""
-    cands = C.reduce_max(C.continue_search(p.train, p.test), "continue_search")
-    kept = R.seen_filter(cands, p.train)
+    # continue_search is already one row per (user, item); the seen filter
+    # over the same train history is fused into its aggregation.
+    kept = (C.continue_search(p.train, p.test, drop_seen_responses=True)
+             .withColumnRenamed("score", "continue_search_score"))
     ranked = R.constant_ranker(kept)
     return R.rank(ranked, [F.col("constant_ranker").desc()] + cs_order(), k)
 

@@ -66,6 +66,7 @@ def orders_interactions(spark: SparkSession, sf_dir: str, tie_times: bool = Fals
     return (li.withColumn("pos", pos)
               .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
               .select(F.col("o_custkey").alias("user_id"),
+                      F.col("l_orderkey").alias("_session_key"),
                       F.col("o_orderkey").cast("string").alias("session_id"),
                       F.col("l_partkey").alias("vacancy_id"),
                       code.cast("int").alias("action_type"),
@@ -74,7 +75,18 @@ def orders_interactions(spark: SparkSession, sf_dir: str, tie_times: bool = Fals
 
 def to_session_log(interactions: DataFrame) -> DataFrame:
     """Flat interactions -> one row per session with three parallel arrays,
-    in item order (raw, not yet normalised)."""
+    in item order (raw, not yet normalised). A ``_session_key`` column, if
+    present, is grouped on instead of the string id (F2: the order key the
+    line-item window already partitions by, so no extra shuffle)."""
+    if "_session_key" in interactions.columns:
+        packed = interactions.groupBy("_session_key", "user_id").agg(
+            F.first("session_id").alias("session_id"),
+            F.sort_array(F.collect_list(F.struct("vacancy_id", "action_dt", "action_type"))).alias("a"))
+        return packed.select(
+            "user_id", "session_id",
+            F.col("a.vacancy_id").alias("vacancy_id"),
+            F.col("a.action_type").alias("action_type"),
+            F.col("a.action_dt").alias("action_dt"))
     packed = interactions.groupBy("user_id", "session_id").agg(
         F.sort_array(F.collect_list(F.struct("vacancy_id", "action_dt", "action_type"))).alias("a"))
     return packed.select(
