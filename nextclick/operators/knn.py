@@ -130,9 +130,12 @@ def _final_topk(parts: DataFrame, keep: int) -> DataFrame:
 
 # ----------------------------------------------------------------- R4
 def dense_i2i(vectors: DataFrame, asked: int = 100, normalise: bool = True,
-              max_block_rows: int = 4096, max_block_values: int = 16_000_000) -> DataFrame:
+              max_block_rows: int = 4096, max_block_values: int = 16_000_000,
+              group_col: str | None = None) -> DataFrame:
     """Exact cosine neighbour list for ``key, vec array<double>``.
-    Zero vectors are dropped before the search (they have no direction)."""
+    Zero vectors are dropped before the search (they have no direction).
+    With ``group_col`` only items of the same group are compared (the
+    per-cell search of IVF, R9); block pairs are then formed per group."""
     vec = F.col("vec").cast("array<double>")
     if normalise:
         norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x))
@@ -153,8 +156,10 @@ def dense_i2i(vectors: DataFrame, asked: int = 100, normalise: bool = True,
             return _topk_rows(S, ak, bk, keep)
         return pd.concat([_topk_rows(S, ak, bk, keep), _topk_rows(S.T.copy(), bk, ak, keep)])
 
-    parts = (_replicate(vectors.select("key", "vec"), nb)
-             .groupBy("lo", "hi").applyInPandas(block_pair, OUT_SCHEMA))
+    cols = ["key", "vec"] + ([group_col] if group_col else [])
+    keys = ([group_col] if group_col else []) + ["lo", "hi"]
+    parts = (_replicate(vectors.select(*cols), nb)
+             .groupBy(*keys).applyInPandas(block_pair, OUT_SCHEMA))
     return _final_topk(parts, keep)
 
 
@@ -222,3 +227,48 @@ def query_topk(qkeys: np.ndarray, qmat: np.ndarray, candidates: DataFrame, k: in
 
     parts = c.groupBy("blk").applyInPandas(block, OUT_SCHEMA)
     return _final_topk(parts, k)
+
+
+# ----------------------------------------------------------------- two-sided
+def cross_block_topk(queries: DataFrame, candidates: DataFrame, k: int, extra_col: str | None = None,
+                     max_block_rows: int = 4096) -> DataFrame:
+    """Best ``k`` (+ ``extra_col`` per query, e.g. its count of excluded
+    items) candidates per query by inner product, both sides unbounded.
+
+    Queries and candidates are hashed into blocks; each query row goes to
+    every candidate block and each candidate row to every query block, so
+    group ``(qb, cb)`` holds one block of each (a 2-D block product, an
+    equi-join on the block pair, no cartesian join). Each group emits only
+    its per-query top; a final ``row_number()`` keeps ``k + extra`` per
+    query. Inputs: ``key, vec`` (+ ``extra_col`` on queries)."""
+    counts = (queries.agg(F.count(F.lit(1))).first()[0], candidates.agg(F.count(F.lit(1))).first()[0])
+    nq = max(1, math.ceil(counts[0] / max_block_rows))
+    nc = max(1, math.ceil(counts[1] / max_block_rows))
+    extra = F.col(extra_col).cast("long") if extra_col else F.lit(0).cast("long")
+    q = (queries.select("key", "vec", extra.alias("extra"))
+                .withColumn("qb", F.pmod(F.xxhash64("key"), F.lit(nq)).cast("int"))
+                .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
+                .withColumn("side", F.lit(0)))
+    c = (candidates.select("key", "vec", F.lit(0).cast("long").alias("extra"))
+                   .withColumn("cb", F.pmod(F.xxhash64("key"), F.lit(nc)).cast("int"))
+                   .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+                   .withColumn("side", F.lit(1)))
+    both = q.unionByName(c)
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        qs = pdf[pdf["side"] == 0].sort_values("key")
+        cs = pdf[pdf["side"] == 1]
+        ck, cm = _dense_block(cs[["key", "vec"]])
+        if len(qs) == 0 or len(ck) == 0:
+            return _topk_rows(np.zeros((0, 0)), np.array([]), ck, 0)
+        qk, qm = _dense_block(qs[["key", "vec"]])
+        S = np.round(qm @ cm.T, SCORE_DIGITS)
+        per_query = k + qs["extra"].to_numpy()
+        kk = int(min(per_query.max(), S.shape[1]))
+        out = _topk_rows(S, qk, ck, kk)
+        lim = dict(zip(qk.tolist(), per_query.tolist()))
+        rank = out.groupby("anchor_vacancy_id").cumcount() + 1
+        return out[rank.to_numpy() <= out["anchor_vacancy_id"].map(lim).to_numpy()]
+
+    parts = both.groupBy("qb", "cb").applyInPandas(block, OUT_SCHEMA)
+    return parts

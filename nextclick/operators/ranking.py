@@ -69,19 +69,21 @@ def feature_ranker(cands: DataFrame, model, features: list[str], name: str = "mo
 
 
 # ---------------------------------------------------------------- R22
-def rank(cands: DataFrame, order: list[Column], k: int | None = None) -> DataFrame:
-    """Per-user 1-based position by ``order``; with ``k``, positions > k
-    are dropped (partial top-k before the shuffle)."""
-    pos = F.row_number().over(W.partitionBy("user_id").orderBy(*order))
+def rank(cands: DataFrame, order: list[Column], k: int | None = None,
+         keys: list[str] | None = None) -> DataFrame:
+    """Per-user (or per ``keys``) 1-based position by ``order``; with ``k``,
+    positions > k are dropped (partial top-k before the shuffle)."""
+    pos = F.row_number().over(W.partitionBy(*(keys or ["user_id"])).orderBy(*order))
     out = cands.withColumn("pos", pos)
     return out.where(F.col("pos") <= k) if k is not None else out
 
 
-def pack(ranked: DataFrame, item: str = "vacancy_id", out: str = "predictions") -> DataFrame:
-    """One ordered list per user from ``user_id, pos, item``. The
-    list length is bounded by the ``k`` given to ``rank``."""
+def pack(ranked: DataFrame, item: str = "vacancy_id", out: str = "predictions",
+         keys: list[str] | None = None) -> DataFrame:
+    """One ordered list per user (or per ``keys``) from ``pos, item``.
+    The list length is bounded by the ``k`` given to ``rank``."""
     lst = F.transform(F.array_sort(F.collect_list(F.struct("pos", item))), lambda s: s[item])
-    return ranked.groupBy("user_id").agg(lst.alias(out))
+    return ranked.groupBy(*(keys or ["user_id"])).agg(lst.alias(out))
 
 
 def rank_and_pack(cands: DataFrame, order: list[Column], k: int | None = 100) -> DataFrame:

@@ -1,6 +1,96 @@
 """Registered queries whose result is not unique (model fits, hashing,
-approximate search): checked by invariants in tests, no SQL oracle."""
+approximate search). They run over the whole tables like the others; their
+checks are invariants and brute-force comparisons in ``tests/``."""
 
 from __future__ import annotations
 
-INVARIANT_CHECKED: dict = {}
+from pyspark.sql import functions as F
+
+from nextclick.operators import ann, knn
+from nextclick.operators import candidates as C
+from nextclick.operators import ranking as R
+from nextclick.operators import vectors as V
+from nextclick.operators.als import AlsRecommender, fallback_predictions
+from nextclick.operators.metrics import mrr_unbounded
+from nextclick.operators.sessions import interactions
+from nextclick.operators.truth import leave_last_out, time_split
+from nextclick.plans import catalog
+from nextclick.plans.render import list_str, num
+from nextclick.sources import fixtures as fx
+
+
+def als_recommend_events(spark, d):
+    """Implicit ALS (150 factors, 25 iterations, reg 0.001, seed 42;
+    weights 1:4, 2:1, 3:2) on F1 train; top 100 unseen items per truth user."""
+    p = catalog.f1(spark, d)
+    recs = AlsRecommender().fit(p.train).recommend(p.test, 100)
+    return recs.select("user_id", "vacancy_id", num("score").alias("score"),
+                       F.col("pos").cast("bigint").alias("pos"))
+
+
+def als_fallback_mrr_events(spark, d):
+    """R17 + R29: leave-last-out truth over the validation sessions; cold
+    users get their own session items, known users the ALS top 100; MRR
+    with no cut-off."""
+    train_s, val_s = time_split(catalog.f1_sessions(spark, d), fx.F1_TRAIN, fx.F1_VALIDATION)
+    train = interactions(train_s, keep=["user_id", "session_id"])
+    llo = leave_last_out(val_s)
+    recs = AlsRecommender().fit(train).recommend(llo, 100)
+    preds = fallback_predictions(llo, train, recs)
+    packed = R.pack(preds, keys=["user_id", "session_id"])
+    truth = llo.select("user_id", "session_id", "next_item")
+    m = mrr_unbounded(truth, packed, "next_item", keys=["user_id", "session_id"])
+    return m.select(num("mrr").alias("mrr"), "n_queries")
+
+
+def _f1_counts(spark, d):
+    return V.item_token_counts(catalog.f1(spark, d).train, fx.vacancies(spark, d))
+
+
+def svd_item_vectors_events(spark, d):
+    """Truncated SVD (32 components) of F1's item x user counts."""
+    vecs = V.svd_item_vectors(_f1_counts(spark, d), k=32)
+    return vecs.select("key", F.size("vec").cast("bigint").alias("dims"),
+                       num(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"))
+
+
+def als_item_vectors_events(spark, d):
+    """Implicit ALS item vectors (16 factors, 10 iterations, reg 0.1)."""
+    vecs = V.als_item_vectors(_f1_counts(spark, d), rank=16, max_iter=10, reg=0.1)
+    return vecs.select("key", F.size("vec").cast("bigint").alias("dims"))
+
+
+def svd_i2i_events(spark, d):
+    """R7 -> R4: neighbour list over SVD item vectors (cosine)."""
+    vecs = V.svd_item_vectors(_f1_counts(spark, d), k=32)
+    return catalog._i2i_view(knn.dense_i2i(vecs, asked=100))
+
+
+def ivf_i2i_embeddings(spark, d):
+    """IVF search (8 cells, one probe) over the embeddings."""
+    return catalog._i2i_view(ann.ivf_i2i(fx.item_vectors(spark, d), nlist=8, asked=100))
+
+
+def cluster_knn_embeddings(spark, d):
+    """Cluster kNN (20 clusters, 50 items per centroid)."""
+    return catalog._i2i_view(ann.cluster_knn(fx.item_vectors(spark, d), n_clusters=20, top_size=50))
+
+
+def random_rank_events(spark, d):
+    """Continue-search candidates ordered by a seeded hash score."""
+    p = catalog.f1(spark, d)
+    cands = R.random_ranker(C.continue_search(p.train, p.test, drop_seen_responses=True))
+    packed = R.pack(R.rank(cands, [F.col("random_ranker").desc(), F.col("vacancy_id")], 100))
+    return packed.select("user_id", list_str("predictions").alias("predictions"))
+
+
+INVARIANT_CHECKED = {
+    "als_recommend_events": als_recommend_events,
+    "als_fallback_mrr_events": als_fallback_mrr_events,
+    "svd_item_vectors_events": svd_item_vectors_events,
+    "als_item_vectors_events": als_item_vectors_events,
+    "svd_i2i_events": svd_i2i_events,
+    "ivf_i2i_embeddings": ivf_i2i_embeddings,
+    "cluster_knn_embeddings": cluster_knn_embeddings,
+    "random_rank_events": random_rank_events,
+}
