@@ -37,8 +37,11 @@ def ivf_i2i(vectors: DataFrame, nlist: int = 100, asked: int = 100, seed: int =
     product runs per cell, so a crowded cell is still split into blocks.
     Recall against the exact list (R4) is the quality measure."""
     unit = unit_vectors(vectors)
-    model = fit_kmeans(unit, nlist, seed)
-    return dense_i2i(assign_cells(unit, model), asked=asked, normalise=False, group_col="cell")
+    if nlist <= 1:  # one cell: the exact search
+        cells = unit.withColumn("cell", F.lit(0))
+    else:
+        cells = assign_cells(unit, fit_kmeans(unit, nlist, seed))
+    return dense_i2i(cells, asked=asked, normalise=False, group_col="cell")
 
 
 def cluster_knn(vectors: DataFrame, n_clusters: int = 100, top_size: int = 300,

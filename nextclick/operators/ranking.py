@@ -57,8 +57,11 @@ def feature_ranker(cands: DataFrame, model, features: list[str], name: str = "mo
     from pyspark.ml.functions import vector_to_array
 
     tmp = "__features"
-    filled = cands.fillna(fill, subset=features)
-    assembled = VectorAssembler(inputCols=features, outputCol=tmp).transform(filled)
+    # fill only the model inputs; the candidate columns keep their NULLs
+    inputs = [f"__in_{i}" for i in range(len(features))]
+    filled = cands.withColumns({c: F.coalesce(F.col(f).cast("double"), F.lit(float(fill)))
+                                for c, f in zip(inputs, features)})
+    assembled = VectorAssembler(inputCols=inputs, outputCol=tmp).transform(filled)
     scored = model.transform(assembled)
     if "probability" in scored.columns:
         score = vector_to_array(F.col("probability"))[1]
