@@ -30,7 +30,7 @@ def _weighted(inter: DataFrame, weights: dict[int, float], strict: bool) -> Data
 
 def continue_search(train: DataFrame, test: DataFrame,
                     weights: dict[int, float] | None = None, strict: bool = True,
-                    drop_seen_responses: bool = False) -> DataFrame:
+                    drop_seen_responses: bool = False, method: str = "window") -> DataFrame:
     """Items the test users already touched, newest first.
 
     ``train`` and ``test`` are flat interactions. Per (user, item) the row
@@ -46,6 +46,10 @@ def continue_search(train: DataFrame, test: DataFrame,
     train history): the same aggregation flags pairs with a train response
     and drops them, saving the anti join's two shuffles. Ranks are computed
     before the drop, as with a separate filter.
+
+    ``method="window"`` ranks with a window partitioned by user;
+    ``method="aggregate"`` uses ``dense_rank_within`` (no task holds all of
+    one user's items).
     """
     weights = weights or CONTINUE_SEARCH_WEIGHTS
     users = test.select("user_id").distinct()
@@ -57,8 +61,15 @@ def continue_search(train: DataFrame, test: DataFrame,
                 .agg(F.max_by(F.struct("action_type", "action_dt"),
                               F.struct("action_weight", "action_dt")).alias("b"),
                      F.max("_seen").alias("_seen")))
-    rank = F.dense_rank().over(W.partitionBy("user_id").orderBy(F.col("b.action_dt").desc()))
-    out = best.select("user_id", "vacancy_id", F.log(rank.cast("double")).alias("score"), "_seen")
+    if method == "aggregate":
+        from nextclick.operators.dictionary import dense_rank_within
+        ranked = dense_rank_within(best.withColumn("_dt", F.col("b.action_dt")), "user_id", "_dt",
+                                   descending=True, out="_r")
+        rank = F.col("_r")
+    else:
+        ranked = best
+        rank = F.dense_rank().over(W.partitionBy("user_id").orderBy(F.col("b.action_dt").desc()))
+    out = ranked.select("user_id", "vacancy_id", F.log(rank.cast("double")).alias("score"), "_seen")
     if drop_seen_responses:
         out = out.where(~F.col("_seen"))
     return out.drop("_seen")

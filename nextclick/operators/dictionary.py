@@ -45,3 +45,27 @@ def encode(df: DataFrame, dictionary: DataFrame, col: str, idx: str = "idx") ->
 def decode(df: DataFrame, dictionary: DataFrame, col: str, idx: str = "idx") -> DataFrame:
     """Index -> value; indices outside the dictionary are dropped (inner join)."""
     return df.join(dictionary.select(col, idx), idx, "inner")
+
+
+def dense_rank_within(df: DataFrame, key: str, order: str, descending: bool = True,
+                      out: str = "rank") -> DataFrame:
+    """``dense_rank()`` of ``order`` inside ``key`` without a window
+    partitioned by ``key``: one key holding most rows is still spread over
+    many tasks.
+
+    The distinct ``(key, order)`` pairs get a global dense index from a
+    range-partitioned dictionary (range partitioning splits a large key
+    over several partitions); a key's rank is its index minus the key's
+    first index, plus one. The per-key minimum is a partial aggregation,
+    and the joins back are on ``key`` (one row per key on the small side,
+    AQE splits a hot partition) and on ``(key, order)``."""
+    pairs = (df.select(key, order).distinct()
+               .select(F.struct(F.col(key).alias("a"), F.col(order).alias("b")).alias("_k")))
+    idx = fit_dictionary(pairs, "_k", "_i").select(
+        F.col("_k.a").alias("_key"), F.col("_k.b").alias("_ord"), "_i")
+    # ascending index; a descending rank counts from the key's last index
+    edge = idx.groupBy("_key").agg((F.max if descending else F.min)("_i").alias("_e"))
+    rank = (F.col("_e") - F.col("_i") + 1) if descending else (F.col("_i") - F.col("_e") + 1)
+    ranks = idx.join(edge, "_key").select("_key", "_ord", rank.alias(out))
+    cond = (F.col(key) == F.col("_key")) & F.col(order).eqNullSafe(F.col("_ord"))
+    return df.join(ranks, cond).drop("_key", "_ord")

@@ -108,12 +108,13 @@ def leave_last_out_events(spark, d):
 # ----------------------------------------------------------------- R25, R21, R22, R23, R27-R29
 def continue_search_events(spark, d):
     p = f1(spark, d)
-    return C.continue_search(p.train, p.test).select("user_id", "vacancy_id", num("score").alias("score"))
+    return C.continue_search(p.train, p.test, method=p.method).select(
+        "user_id", "vacancy_id", num("score").alias("score"))
 
 
 def seen_filter_events(spark, d):
     p = f1(spark, d)
-    kept = R.seen_filter(C.continue_search(p.train, p.test), p.train)
+    kept = R.seen_filter(C.continue_search(p.train, p.test, method=p.method), p.train)
     return kept.select("user_id", "vacancy_id", num("score").alias("score"))
 
 
@@ -251,7 +252,7 @@ def unique_neighbours_events(spark, d):
 
 def _three_generators(spark, d, p):
     return {
-        "continue_search": C.continue_search(p.train, p.test),
+        "continue_search": C.continue_search(p.train, p.test, method=p.method),
         "i2i": C.i2i_topk_candidates(p.test, f1_i2i(spark, d, p), 20),
         "popular": C.constant_candidates(p.test, C.popular_items(p.train, 100)),
     }

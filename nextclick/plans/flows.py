@@ -27,10 +27,25 @@ class Prepared:
     truth: DataFrame          # history session + target, target_dt, val_session_rank
     train: DataFrame          # flat train interactions
     test: DataFrame           # flat interactions of the truth history sessions
+    method: str = "window"    # per-user step plan: "window" or "aggregate"
+
+
+# Largest number of one user's rows that a per-user window may put in one
+# task; beyond it the window-free plans are used.
+HOT_KEY_ROWS = 2_000_000
+
+
+def per_user_method(sessions: DataFrame, hot_key_rows: int = HOT_KEY_ROWS) -> str:
+    """Measure the largest user (interactions, a partial aggregation) and
+    pick the plan: windows when every user fits a task, else aggregation."""
+    biggest = (sessions.groupBy("user_id").agg(F.sum(F.size("vacancy_id")).alias("n"))
+                       .agg(F.max("n")).first()[0])
+    return "aggregate" if (biggest or 0) > hot_key_rows else "window"
 
 
 def prepare(raw_sessions: DataFrame, train_range: tuple[str, str],
-            validation_range: tuple[str, str], materialise_tables: bool = True) -> Prepared:
+            validation_range: tuple[str, str], materialise_tables: bool = True,
+            method: str = "auto", hot_key_rows: int = HOT_KEY_ROWS) -> Prepared:
     """Normalise -> split -> truth. The normalised log and the truth feed
     several branches (train history, candidates, seen filter, skeleton,
     metrics), so by default each is written once to the shared checkpoint
@@ -38,13 +53,15 @@ def prepare(raw_sessions: DataFrame, train_range: tuple[str, str],
     sessions = raw_sessions.transform(normalise_sessions)
     if materialise_tables:
         sessions = materialise(sessions, "sessions", sort_within=["session_dt"])
+    if method == "auto":
+        method = per_user_method(sessions, hot_key_rows)
     train_s, val_s = time_split(sessions, train_range, validation_range)
-    truth = next_response_truth(val_s)
+    truth = next_response_truth(val_s, method=method)
     if materialise_tables:
         truth = materialise(truth, "truth")
     train = interactions(train_s, keep=["user_id", "session_id"])
     test = interactions(truth, keep=["user_id", "session_id"])
-    return Prepared(train_s, val_s, truth, train, test)
+    return Prepared(train_s, val_s, truth, train, test, method)
 
 
 def cs_order():
@@ -57,7 +74,7 @@ def continue_search_recs(p: Prepared, k: int | None = 100) -> DataFrame:
     better) and then the item id as the order."""
     # continue_search is already one row per (user, item); the seen filter
     # over the same train history is fused into its aggregation.
-    kept = (C.continue_search(p.train, p.test, drop_seen_responses=True)
+    kept = (C.continue_search(p.train, p.test, drop_seen_responses=True, method=p.method)
              .withColumnRenamed("score", "continue_search_score"))
     ranked = R.constant_ranker(kept)
     return R.rank(ranked, [F.col("constant_ranker").desc()] + cs_order(), k)

@@ -59,3 +59,28 @@ def test_f2_tie_counts(spark):
     flat = fx.orders_interactions(spark, SF001, tie_times=True)
     ties = flat.groupBy("session_id", "action_dt").count().where(F.col("count") > 1).count()
     assert ties == 6
+
+
+def test_window_free_plans_match(spark):
+    """The aggregation plans (used when one user exceeds the per-task bound)
+    give the same truth and metrics as the window plans."""
+    raw = fx.orders_session_log(spark, SF001, tie_times=True)
+    a = flows.prepare(raw, fx.F2_TRAIN, fx.F2_VALIDATION, method="window")
+    b = flows.prepare(raw, fx.F2_TRAIN, fx.F2_VALIDATION, method="aggregate")
+    assert b.method == "aggregate"
+    cols = ["user_id", "session_id", "val_session_rank", "target", "target_dt"]
+    assert sorted(a.truth.select(cols).collect()) == sorted(b.truth.select(cols).collect())
+    ma = flows.evaluate(a, flows.continue_search_submission(a)).first()
+    mb = flows.evaluate(b, flows.continue_search_submission(b)).first()
+    assert ma == mb
+
+
+def test_dense_rank_within_hot_key(spark):
+    from pyspark.sql import Window as W
+    from nextclick.operators.dictionary import dense_rank_within
+    # key 0 holds most rows; ties in the order column repeat
+    df = spark.range(5000).select((F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id") % 7)).alias("k"),
+                                  (F.col("id") % 613).alias("o"))
+    want = df.withColumn("r", F.dense_rank().over(W.partitionBy("k").orderBy(F.col("o").desc())))
+    got = dense_rank_within(df, "k", "o", descending=True, out="r")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
