@@ -1,0 +1,8 @@
+"""Streaming.
+
+The source system has no streaming: sessions arrive already formed, one row
+per session. The only streaming use here is the stateless part of the
+batch path (normalise a session row, explode it to interactions) applied to
+a file stream of session-log Parquet files, so new log files can be landed
+as flat interactions continuously. No stateful operator is defined.
+"""

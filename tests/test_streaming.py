@@ -1,0 +1,21 @@
+"""The stream path gives the batch result for the same session files."""
+
+import tempfile
+
+from conftest import SF001
+from nextclick.operators.sessions import interactions, normalise_sessions
+from nextclick.sources import fixtures as fx
+from nextclick.streaming.sessions import land_interactions, session_stream
+
+
+def test_stream_equals_batch(spark):
+    src, out = tempfile.mkdtemp(prefix="nc-src-"), tempfile.mkdtemp(prefix="nc-out-")
+    raw = fx.events_session_log(spark, SF001)
+    raw.repartition(3).write.mode("overwrite").parquet(src)
+    q = land_interactions(session_stream(spark, src, max_files_per_trigger=1), out, name="t" + src[-6:])
+    q.awaitTermination(300)
+    streamed = spark.read.parquet(out)
+    batch = interactions(normalise_sessions(raw), keep=["user_id", "session_id", "session_dt"])
+    cols = sorted(batch.columns)
+    assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
+    assert batch.select(cols).exceptAll(streamed.select(cols)).count() == 0
