@@ -35,19 +35,32 @@ OUT_SCHEMA = "anchor_vacancy_id long, recom_vacancy_id long, score double"
 
 # ----------------------------------------------------------------- helpers
 def _topk_rows(scores: np.ndarray, qkeys: np.ndarray, ckeys: np.ndarray, k: int) -> pd.DataFrame:
-    """Best ``k`` columns per row; ``ckeys`` must be ascending so that a
-    stable sort on ``-score`` breaks ties by candidate id."""
+    """Best ``k`` columns per row, ties broken by column order; ``ckeys``
+    must be ascending so that this is the smallest candidate id. A
+    partition finds each row's k-th value in linear time; only the chosen
+    ``k`` entries per row are sorted. Non-finite scores are never emitted."""
     if scores.size == 0 or k <= 0:
-        return pd.DataFrame({"anchor_vacancy_id": [], "recom_vacancy_id": [], "score": []})
-    kk = min(k, scores.shape[1])
-    order = np.argsort(-scores, axis=1, kind="stable")[:, :kk]
-    rows = np.repeat(np.arange(scores.shape[0]), kk)
-    cols = order.ravel()
+        return pd.DataFrame({"anchor_vacancy_id": np.array([], dtype="int64"),
+                             "recom_vacancy_id": np.array([], dtype="int64"),
+                             "score": np.array([], dtype="float64")})
+    n = scores.shape[1]
+    kk = min(k, n)
+    if kk < n:
+        thr = np.partition(scores, n - kk, axis=1)[:, n - kk][:, None]
+        above = scores > thr
+        need = kk - above.sum(axis=1, keepdims=True)
+        tie = scores == thr
+        sel = above | (tie & (np.cumsum(tie, axis=1) <= need))
+    else:
+        sel = np.ones_like(scores, dtype=bool)
+    sel &= np.isfinite(scores)
+    rows, cols = np.nonzero(sel)
     vals = scores[rows, cols]
-    keep = np.isfinite(vals)
-    return pd.DataFrame({"anchor_vacancy_id": qkeys[rows[keep]].astype("int64"),
-                         "recom_vacancy_id": ckeys[cols[keep]].astype("int64"),
-                         "score": vals[keep].astype("float64")})
+    order = np.lexsort((cols, -vals, rows))
+    rows, cols, vals = rows[order], cols[order], vals[order]
+    return pd.DataFrame({"anchor_vacancy_id": qkeys[rows].astype("int64"),
+                         "recom_vacancy_id": ckeys[cols].astype("int64"),
+                         "score": vals.astype("float64")})
 
 
 def _mask_self(scores: np.ndarray, qkeys: np.ndarray, ckeys: np.ndarray) -> None:
@@ -100,13 +113,6 @@ def _sparse_dot(a: pd.DataFrame, b: pd.DataFrame, chunk: int = 4_000_000) -> tup
     return akeys, bkeys, S.reshape(len(akeys), nb)
 
 
-def _normalise_sparse(pdf: pd.DataFrame) -> pd.DataFrame:
-    sq = pdf["val"].astype("float64") ** 2
-    norms = np.sqrt(sq.groupby(pdf["key"]).transform("sum"))
-    out = pdf.assign(val=pdf["val"].to_numpy() / norms.to_numpy())
-    return out[np.isfinite(out["val"]) & (norms.to_numpy() > 0)]
-
-
 def _blocks(n_items: int, nnz: int, max_rows: int, max_nnz: int) -> int:
     return max(1, math.ceil(n_items / max_rows), math.ceil(nnz / max_nnz))
 
@@ -163,35 +169,237 @@ def dense_i2i(vectors: DataFrame, asked: int = 100, normalise: bool = True,
     return _final_topk(parts, keep)
 
 
+# ----------------------------------------------------------------- streamed top-k
+_NO_ID = np.iinfo(np.int64).max
+
+
+def _block_best(S: np.ndarray, cids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row, the best ``k`` (score desc, id asc) of one block as dense
+    ``(rows x k)`` arrays, padded with ``-inf`` / no id. ``cids`` ascending."""
+    na, nc = S.shape
+    if nc <= k:
+        pad = k - nc
+        return (np.pad(S, ((0, 0), (0, pad)), constant_values=-np.inf),
+                np.pad(np.broadcast_to(cids, (na, nc)), ((0, 0), (0, pad)), constant_values=_NO_ID))
+    thr = np.partition(S, nc - k, axis=1)[:, nc - k][:, None]
+    above = S > thr
+    need = k - above.sum(axis=1, keepdims=True)
+    tie = S == thr
+    sel = above | (tie & (np.cumsum(tie, axis=1) <= need))
+    rows, cols = np.nonzero(sel)
+    return S[rows, cols].reshape(na, k), cids[cols].reshape(na, k)
+
+
+def _block_best_sparse(S: np.ndarray, cids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_block_best`` for a mostly non-finite ``S`` (only positive scores
+    kept): works on the finite entries alone."""
+    na = S.shape[0]
+    rows, cols = np.nonzero(np.isfinite(S))
+    vals = S[rows, cols]
+    order = np.lexsort((cols, -vals, rows))
+    rows, cols, vals = rows[order], cols[order], vals[order]
+    pos = np.arange(len(rows)) - np.searchsorted(rows, np.arange(na))[rows]
+    keep = pos < k
+    out_s = np.full((na, k), -np.inf)
+    out_i = np.full((na, k), _NO_ID, dtype=np.int64)
+    out_s[rows[keep], pos[keep]] = vals[keep]
+    out_i[rows[keep], pos[keep]] = cids[cols[keep]]
+    return out_s, out_i
+
+
+def _merge_best(bs, bi, ns, ni, k):
+    s = np.concatenate([bs, ns], axis=1)
+    i = np.concatenate([bi, ni], axis=1)
+    order = np.lexsort((i, -s), axis=1)[:, :k]
+    return np.take_along_axis(s, order, axis=1), np.take_along_axis(i, order, axis=1)
+
+
+def _streamed_sparse_topk(unit: DataFrame, n_blocks: int, k: int, include_self: bool) -> DataFrame:
+    """Exact best ``k`` per item over sparse unit vectors ``key, token,
+    val`` whose size is bounded (hot items are handled elsewhere), streamed.
+
+    Each vector travels packed as one row (``tokens``, ``vals`` arrays).
+    Rows are range-partitioned by anchor block and sorted by (anchor block,
+    role, candidate block); ``mapInPandas`` holds one anchor block, one
+    candidate block and a running top-k per anchor, and emits exactly ``k``
+    rows per anchor (positive scores only). Nothing is merged afterwards."""
+    packed = (unit.groupBy("key")
+                  .agg(F.sort_array(F.collect_list(F.struct("token", "val"))).alias("tv"))
+                  .select("key", F.col("tv.token").alias("tokens"), F.col("tv.val").alias("vals"),
+                          F.pmod(F.xxhash64("key"), F.lit(n_blocks)).cast("int").alias("own")))
+    anchors = packed.select(F.col("own").alias("ab"), F.lit(0).alias("role"), F.lit(-1).alias("cb"),
+                            "key", "tokens", "vals")
+    cands = packed.select(F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("ab"),
+                          F.lit(1).alias("role"), F.col("own").alias("cb"), "key", "tokens", "vals")
+    rows = (anchors.unionByName(cands).repartitionByRange(n_blocks, "ab")
+                   .sortWithinPartitions("ab", "role", "cb", "key"))
+
+    def unpack(df: pd.DataFrame) -> pd.DataFrame:
+        lens = df["tokens"].map(len).to_numpy()
+        if lens.sum() == 0:
+            return pd.DataFrame({"key": np.array([], dtype="int64"), "token": np.array([], dtype="int64"),
+                                 "val": np.array([], dtype="float64")})
+        return pd.DataFrame({"key": np.repeat(df["key"].to_numpy(), lens),
+                             "token": np.concatenate(df["tokens"].to_numpy()).astype("int64"),
+                             "val": np.concatenate(df["vals"].to_numpy()).astype("float64")})
+
+    def run(batches):
+        state = {"ab": None, "akeys": None, "adf": None, "best": None, "cb": None, "parts": []}
+        anchor_parts = []
+
+        def flush_candidates():
+            if state["cb"] is None or not state["parts"] or state["akeys"] is None:
+                state["parts"] = []
+                return
+            cdf = unpack(pd.concat(state["parts"], ignore_index=True))
+            state["parts"] = []
+            ak, ck, S = _sparse_dot(state["adf"], cdf)
+            S = np.round(S, SCORE_DIGITS)
+            S[S <= 0] = -np.inf
+            if state["cb"] == state["ab"] and not include_self:
+                _mask_self(S, ak, ck)
+            dense_block = np.isfinite(S).mean() > 0.1 if S.size else False
+            ns, ni = (_block_best(S, ck, k) if dense_block else _block_best_sparse(S, ck, k))
+            bs, bi = state["best"]
+            state["best"] = _merge_best(bs, bi, ns, ni, k)
+
+        def flush_anchor():
+            flush_candidates()
+            if state["akeys"] is not None:
+                bs, bi = state["best"]
+                r, c = np.nonzero(np.isfinite(bs))
+                yield pd.DataFrame({"anchor_vacancy_id": state["akeys"][r].astype("int64"),
+                                    "recom_vacancy_id": bi[r, c].astype("int64"),
+                                    "score": bs[r, c].astype("float64")})
+            state.update(ab=None, akeys=None, adf=None, best=None, cb=None)
+
+        def start_candidates():
+            adf = unpack(pd.concat(anchor_parts, ignore_index=True)) if anchor_parts else None
+            anchor_parts.clear()
+            if adf is not None and len(adf):
+                state["adf"] = adf
+                state["akeys"] = np.unique(adf["key"].to_numpy())
+                na = len(state["akeys"])
+                state["best"] = (np.full((na, k), -np.inf), np.full((na, k), _NO_ID, dtype=np.int64))
+
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            # runs of equal (ab, role, cb) inside the batch
+            code = (pdf["ab"].to_numpy().astype("int64") * 4 * (n_blocks + 2)
+                    + pdf["role"].to_numpy() * (n_blocks + 2) + (pdf["cb"].to_numpy() + 1))
+            cuts = np.flatnonzero(np.diff(code)) + 1
+            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(pdf)]):
+                run_df = pdf.iloc[lo:hi]
+                ab, role, cb = int(run_df["ab"].iat[0]), int(run_df["role"].iat[0]), int(run_df["cb"].iat[0])
+                if ab != state["ab"]:
+                    yield from flush_anchor()
+                    anchor_parts.clear()
+                    state["ab"] = ab
+                if role == 0:
+                    anchor_parts.append(run_df[["key", "tokens", "vals"]])
+                    continue
+                if state["akeys"] is None and anchor_parts:
+                    start_candidates()
+                if cb != state["cb"]:
+                    flush_candidates()
+                    state["cb"] = cb
+                state["parts"].append(run_df[["key", "tokens", "vals"]])
+        yield from flush_anchor()
+
+    return rows.mapInPandas(run, OUT_SCHEMA)
+
+
 # ----------------------------------------------------------------- R5
 def sparse_i2i(entries: DataFrame, asked: int = 100, max_block_rows: int = 2048,
-               max_block_nnz: int = 2_000_000, include_self: bool = False) -> DataFrame:
+               max_block_nnz: int = 2_000_000, include_self: bool = False,
+               hot_nnz: int | None = None) -> DataFrame:
     """R5 (and R14): exact cosine neighbour list for sparse count vectors
-    given flat as ``key, token, val``. Each vector is L2-normalised inside
-    its block (a block holds whole vectors), zero vectors are dropped.
+    given flat as ``key, token, val``; zero vectors are dropped.
     ``include_self=True`` keeps the item among its own ``asked``
-    neighbours (a plain kNN query) instead of removing it."""
-    flat = entries.select(F.col("key").cast("bigint"), F.col("token").cast("bigint"),
-                          F.col("val").cast("double"))
-    stats = flat.agg(F.countDistinct("key").alias("n"), F.count(F.lit(1)).alias("nnz")).first()
-    n, nnz = int(stats["n"] or 0), int(stats["nnz"] or 0)
-    nb = _blocks(n, nnz, max_block_rows, max_block_nnz)
+    neighbours (a plain kNN query) instead of removing it.
+
+    Plan:
+    1. Entries are L2-normalised (per-item sums are a partial aggregation)
+       and written once to the checkpoint folder with the per-item stats.
+    2. Items with more than ``hot_nnz`` non-zeros (default a quarter of a
+       block) are "hot": their scores come from a join on the token with
+       all entries, summed per (hot item, item): rows linear in the
+       entries, and AQE splits a hot token's partition. A hot vector
+       never sits whole in one group.
+    3. All other items go through the block-pair product, which emits
+       only positive scores, best ``k`` per item and block pair.
+    4. A full kNN query also lists items that share nothing (score 0, the
+       smallest ids first). Anchors with fewer than ``k`` positive
+       neighbours get them from the ``2k + 1`` smallest ids (a bounded
+       list, inlined by a scalar subquery), minus their positives.
+    """
+    from nextclick.sources.tables import materialise
+
     keep = asked if include_self else asked - 1
+    hot_nnz = hot_nnz or max(1, max_block_nnz // 4)
+    flat = materialise(entries.select(F.col("key").cast("bigint"), F.col("token").cast("bigint"),
+                                      F.col("val").cast("double")).where(F.col("val") != 0), "i2i_entries")
+    stats = materialise(flat.groupBy("key").agg(F.count(F.lit(1)).alias("nnz"),
+                                                 F.sqrt(F.sum(F.col("val") * F.col("val"))).alias("nrm")),
+                        "i2i_stats")
+    unit = (flat.join(stats.select("key", "nrm", "nnz"), "key")
+                .select("key", "token", (F.col("val") / F.col("nrm")).alias("val"),
+                        (F.col("nnz") > hot_nnz).alias("hot")))
+    tot = stats.agg(F.count(F.lit(1)).alias("n"), F.sum("nnz").alias("nnz"),
+                    F.sum((F.col("nnz") > hot_nnz).cast("int")).alias("h")).first()
+    n, nnz, n_hot = int(tot["n"] or 0), int(tot["nnz"] or 0), int(tot["h"] or 0)
+    # at least two anchor blocks per core for balance, never more than items
+    cores = entries.sparkSession.sparkContext.defaultParallelism
+    nb = max(1, min(max(_blocks(n, nnz, max_block_rows, max_block_nnz), 2 * cores), n))
 
     def block_pair(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
-        a = _normalise_sparse(pdf[pdf["blk"] == lo])
-        b = a if lo == hi else _normalise_sparse(pdf[pdf["blk"] == hi])
+        a = pdf[pdf["blk"] == lo]
+        b = a if lo == hi else pdf[pdf["blk"] == hi]
         ak, bk, S = _sparse_dot(a, b)
         S = np.round(S, SCORE_DIGITS)
+        S[S <= 0] = -np.inf
         if lo == hi:
             if not include_self:
                 _mask_self(S, ak, bk)
             return _topk_rows(S, ak, bk, keep)
         return pd.concat([_topk_rows(S, ak, bk, keep), _topk_rows(S.T.copy(), bk, ak, keep)])
 
-    parts = (_replicate(flat, nb).groupBy("lo", "hi").applyInPandas(block_pair, OUT_SCHEMA))
-    return _final_topk(parts, keep)
+    cold = unit.where(~F.col("hot")).select("key", "token", "val")
+    parts = _streamed_sparse_topk(cold, nb, keep, include_self)
+    if n_hot:
+        h = unit.where(F.col("hot")).select(F.col("key").alias("h"), "token", F.col("val").alias("hv"))
+        allv = unit.select(F.col("key").alias("b"), "token", F.col("val").alias("bv"), F.col("hot").alias("b_hot"))
+        dots = (h.join(allv, "token").groupBy("h", "b")
+                 .agg(F.round(F.sum(F.col("hv") * F.col("bv")), SCORE_DIGITS).alias("score"),
+                      F.first("b_hot").alias("b_hot"))
+                 .where(F.col("score") > 0))
+        if not include_self:
+            dots = dots.where(F.col("h") != F.col("b"))
+        fwd = dots.select(F.col("h").alias("anchor_vacancy_id"), F.col("b").alias("recom_vacancy_id"), "score")
+        back = dots.where(~F.col("b_hot") & (F.col("h") != F.col("b"))).select(
+            F.col("b").alias("anchor_vacancy_id"), F.col("h").alias("recom_vacancy_id"), "score")
+        parts = parts.unionByName(fwd).unionByName(back)
+    # written once: the fill below reads it three times
+    top = materialise(_final_topk(parts, keep), "i2i_top")
+    # zero-score fill for anchors short of `keep` positive neighbours
+    short = (stats.select(F.col("key").alias("anchor_vacancy_id"))
+                  .join(top.groupBy("anchor_vacancy_id").agg(F.count(F.lit(1)).alias("_c")),
+                        "anchor_vacancy_id", "left")
+                  .where(F.coalesce(F.col("_c"), F.lit(0)) < min(keep, max(n - (0 if include_self else 1), 0)))
+                  .select("anchor_vacancy_id"))
+    if short.isEmpty():
+        return top
+    smallest = (stats.select("key").orderBy("key").limit(2 * keep + 1)
+                     .agg(F.sort_array(F.collect_list("key")).alias("ids")))
+    fill = (short.select("anchor_vacancy_id", F.explode(smallest.scalar()).alias("recom_vacancy_id"))
+                 .where(F.col("anchor_vacancy_id") != F.col("recom_vacancy_id"))
+                 .join(top.select("anchor_vacancy_id", "recom_vacancy_id"),
+                       ["anchor_vacancy_id", "recom_vacancy_id"], "left_anti")
+                 .withColumn("score", F.lit(0.0)))
+    filled = _final_topk(top.drop("pos").unionByName(fill), keep)
+    return filled
 
 
 # ----------------------------------------------------------------- R10 / R9

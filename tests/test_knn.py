@@ -41,7 +41,8 @@ def test_dense_matches_brute_force_across_blocks(spark):
     assert got == brute(mat, keys, 10)
 
 
-def test_sparse_matches_brute_force_with_hot_item_and_token(spark):
+@pytest.mark.parametrize("hot_nnz", [None, 10, 3])
+def test_sparse_matches_brute_force_with_hot_item_and_token(spark, hot_nnz):
     rng = np.random.default_rng(1)
     n_items, n_tok = 200, 50
     dense = (rng.random((n_items, n_tok)) < 0.05) * rng.integers(1, 4, (n_items, n_tok))
@@ -52,11 +53,30 @@ def test_sparse_matches_brute_force_with_hot_item_and_token(spark):
                          "val": dense[it, tok].astype(float)})
     df = spark.createDataFrame(flat)
     got = {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos)
-           for r in knn.sparse_i2i(df, asked=15, max_block_rows=40, max_block_nnz=400).collect()}
+           for r in knn.sparse_i2i(df, asked=15, max_block_rows=40, max_block_nnz=400,
+                                   hot_nnz=hot_nnz).collect()}
     keys = (np.arange(n_items) * 3 + 11).astype(np.int64)
     assert got == brute(dense.astype(float), keys, 15)
 
 
+@pytest.mark.parametrize("hot_nnz", [None, 2])
+def test_sparse_zero_fill_matches_brute_force(spark, hot_nnz):
+    """Few shared tokens: most anchors need zero-score neighbours (smallest
+    ids first), as a full kNN query returns them."""
+    rng = np.random.default_rng(4)
+    n_items, n_tok = 120, 400
+    dense = (rng.random((n_items, n_tok)) < 0.01) * rng.integers(1, 3, (n_items, n_tok))
+    dense[11, :40] = 1                             # one hot item
+    it, tok = np.nonzero(dense)
+    keys = rng.permutation(10_000)[:n_items].astype(np.int64)
+    flat = pd.DataFrame({"key": keys[it], "token": tok.astype(np.int64), "val": dense[it, tok].astype(float)})
+    got = {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos)
+           for r in knn.sparse_i2i(spark.createDataFrame(flat), asked=30, max_block_rows=25,
+                                   max_block_nnz=100, hot_nnz=hot_nnz).collect()}
+    present = np.unique(it)
+    assert got == brute(dense[present].astype(float), keys[present], 30)
+
+
 def test_sparse_include_self(spark):
     flat = pd.DataFrame({"key": [1, 1, 2, 3], "token": [1, 2, 1, 2], "val": [1.0, 1.0, 1.0, 1.0]})
     rows = knn.sparse_i2i(spark.createDataFrame(flat), asked=2, include_self=True).collect()
