@@ -95,19 +95,32 @@ def i2i_topk_candidates(history: DataFrame, i2i: DataFrame, kneib: int = 20) ->
 
 
 # ---------------------------------------------------------------- R11, R12
-def round_robin(history: DataFrame, i2i: DataFrame) -> DataFrame:
+def round_robin(history: DataFrame, i2i: DataFrame, method: str = "window") -> DataFrame:
     """Merge the neighbour lists of a user's items: all first
     neighbours (lists in order of the item's latest ``action_dt``, newest
     first, then item id), then all second neighbours, ...; an item keeps its
     first appearance. Returns ``user_id, vacancy_id, pos`` (1-based).
-    ``i2i`` is flat with a 1-based ``pos``."""
+    ``i2i`` is flat with a 1-based ``pos``.
+
+    Both orders are unique inside a user, so a dense rank is the row
+    number: ``method="aggregate"`` computes them with ``dense_rank_within``
+    instead of windows over a user's whole pool."""
     latest = history.groupBy("user_id", "vacancy_id").agg(F.max("action_dt").alias("last_dt"))
-    list_idx = F.row_number().over(
-        W.partitionBy("user_id").orderBy(F.col("last_dt").desc(), F.col("vacancy_id")))
-    lists = latest.withColumn("list_idx", list_idx).withColumnRenamed("vacancy_id", "anchor_vacancy_id")
+    if method == "aggregate":
+        from nextclick.operators.dictionary import dense_rank_within
+        keyed = latest.withColumn("_o", F.struct("last_dt", (-F.col("vacancy_id")).alias("nid")))
+        lists = dense_rank_within(keyed, "user_id", "_o", descending=True, out="list_idx").drop("_o")
+    else:
+        list_idx = F.row_number().over(
+            W.partitionBy("user_id").orderBy(F.col("last_dt").desc(), F.col("vacancy_id")))
+        lists = latest.withColumn("list_idx", list_idx)
+    lists = lists.withColumnRenamed("vacancy_id", "anchor_vacancy_id")
     first = (lists.join(i2i, "anchor_vacancy_id")
                   .groupBy("user_id", F.col("recom_vacancy_id").alias("vacancy_id"))
                   .agg(F.min(F.struct(F.col("pos").alias("npos"), "list_idx")).alias("f")))
+    if method == "aggregate":
+        from nextclick.operators.dictionary import dense_rank_within
+        return dense_rank_within(first, "user_id", "f", descending=False, out="pos").drop("f")
     order = F.row_number().over(W.partitionBy("user_id").orderBy("f.npos", "f.list_idx"))
     return first.select("user_id", "vacancy_id", order.alias("pos"))
 

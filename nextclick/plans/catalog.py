@@ -241,7 +241,7 @@ def i2i_topk_events(spark, d):
 
 def round_robin_events(spark, d):
     p = f1(spark, d)
-    rr = C.round_robin(p.test, f1_i2i(spark, d, p))
+    rr = C.round_robin(p.test, f1_i2i(spark, d, p), method=p.method)
     return rr.select("user_id", "vacancy_id", F.col("pos").cast("bigint").alias("pos"))
 
 

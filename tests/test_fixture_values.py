@@ -84,3 +84,13 @@ def test_dense_rank_within_hot_key(spark):
     want = df.withColumn("r", F.dense_rank().over(W.partitionBy("k").orderBy(F.col("o").desc())))
     got = dense_rank_within(df, "k", "o", descending=True, out="r")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_round_robin_plans_match(spark):
+    from nextclick.plans import catalog
+    p = catalog.f1(spark, SF001)
+    i2i = catalog.f1_i2i(spark, SF001, p)
+    a = C.round_robin(p.test, i2i, method="window")
+    b = C.round_robin(p.test, i2i, method="aggregate").select(*a.columns)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
