@@ -1,15 +1,18 @@
 """Exact item-to-item neighbour lists (R4 dense, R5 sparse) and the
-query-vs-candidate top-k used by cluster kNN (R10) and IVF (R9).
-
-Plan. Items are hashed into ``B`` blocks (``B`` from the item count and the
-number of non-zeros, so a group's memory is bounded). Every item row is
-replicated to the ``B`` unordered block pairs it belongs to, an equi-key
-``(lo, hi)``; ``groupBy(lo, hi).applyInPandas`` multiplies the two blocks
-with NumPy and emits only each query's best ``k`` per block pair. A final
-``row_number() <= k`` per anchor keeps the best ``k`` of the ``<= B * k``
-survivors. Cosine is symmetric, so pair ``(lo, hi)`` serves both
-directions and only ``B (B + 1) / 2`` products are formed. Nothing emits
-all pairs of a group, and there is no cartesian join.
+query-vs-candidate top-k used by cluster kNN (R10), IVF (R9) and ALS (R16).
+
+Plan (``_streamed_topk``). Items are hashed into anchor blocks sized from
+the item count (and, for sparse vectors, the non-zeros). Every item row
+goes once to its own anchor block and once to every anchor block as a
+candidate; rows are range-partitioned by anchor block and sorted by
+(anchor block, role, candidate block), so one task streams the candidate
+blocks past one anchor block. ``mapInPandas`` multiplies each pair of
+blocks with NumPy and keeps a running best ``k`` per anchor: the task holds
+one anchor block, one candidate block and ``k`` per anchor, and emits
+exactly ``k`` rows per anchor. There is no cartesian join, no row per item
+pair, and no merge afterwards. Sparse vectors with more non-zeros than a
+bound ("hot" items) are scored by a join on the token instead, so no
+vector larger than the bound is ever held whole (``sparse_i2i``).
 
 Ties: scores are rounded to ``SCORE_DIGITS`` places before ranking and
 broken by the candidate id (ascending), everywhere.
@@ -117,16 +120,6 @@ def _blocks(n_items: int, nnz: int, max_rows: int, max_nnz: int) -> int:
     return max(1, math.ceil(n_items / max_rows), math.ceil(nnz / max_nnz))
 
 
-def _replicate(df: DataFrame, n_blocks: int) -> DataFrame:
-    """Send each row to the ``n_blocks`` unordered block pairs of its key."""
-    blk = F.pmod(F.xxhash64("key"), F.lit(n_blocks)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
-    return (df.withColumn("blk", blk).withColumn("other", other)
-              .withColumn("lo", F.least("blk", "other"))
-              .withColumn("hi", F.greatest("blk", "other"))
-              .drop("other"))
-
-
 def _final_topk(parts: DataFrame, keep: int) -> DataFrame:
     rank = F.row_number().over(W.partitionBy("anchor_vacancy_id").orderBy(
         F.col("score").desc(), F.col("recom_vacancy_id").asc()))
@@ -141,32 +134,22 @@ def dense_i2i(vectors: DataFrame, asked: int = 100, normalise: bool = True,
     """Exact cosine neighbour list for ``key, vec array<double>``.
     Zero vectors are dropped before the search (they have no direction).
     With ``group_col`` only items of the same group are compared (the
-    per-cell search of IVF, R9); block pairs are then formed per group."""
+    per-cell search of IVF, R9). Streamed per anchor block
+    (``_streamed_topk``): exactly ``asked - 1`` rows per item."""
     vec = F.col("vec").cast("array<double>")
     if normalise:
         norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x))
         vectors = (vectors.withColumn("_n", norm).where(F.col("_n") > 0)
                           .withColumn("vec", F.transform(vec, lambda x: x / F.col("_n"))).drop("_n"))
-    stats = vectors.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("vec")).alias("nnz")).first()
-    n, nnz = int(stats["n"] or 0), int(stats["nnz"] or 0)
-    nb = _blocks(n, nnz, max_block_rows, max_block_values)
-    keep = asked - 1
-
-    def block_pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
-        ak, am = _dense_block(pdf[pdf["blk"] == lo])
-        bk, bm = (ak, am) if lo == hi else _dense_block(pdf[pdf["blk"] == hi])
-        S = np.round(am @ bm.T, SCORE_DIGITS)
-        if lo == hi:
-            _mask_self(S, ak, bk)
-            return _topk_rows(S, ak, bk, keep)
-        return pd.concat([_topk_rows(S, ak, bk, keep), _topk_rows(S.T.copy(), bk, ak, keep)])
-
     cols = ["key", "vec"] + ([group_col] if group_col else [])
-    keys = ([group_col] if group_col else []) + ["lo", "hi"]
-    parts = (_replicate(vectors.select(*cols), nb)
-             .groupBy(*keys).applyInPandas(block_pair, OUT_SCHEMA))
-    return _final_topk(parts, keep)
+    vectors = vectors.select(*cols)
+    stats = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
+    n, d = int(stats["n"] or 0), int(stats["d"] or 1)
+    block_rows = max(1, min(max_block_rows, max_block_values // max(d, 1)))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    min_blocks = 1 if group_col else max(1, min(2 * cores, n))
+    return _streamed_topk(vectors, asked - 1, False, dense=True, block_rows=block_rows,
+                          min_blocks=min_blocks, group_col=group_col)
 
 
 # ----------------------------------------------------------------- streamed top-k
@@ -214,25 +197,43 @@ def _merge_best(bs, bi, ns, ni, k):
     return np.take_along_axis(s, order, axis=1), np.take_along_axis(i, order, axis=1)
 
 
-def _streamed_sparse_topk(unit: DataFrame, n_blocks: int, k: int, include_self: bool) -> DataFrame:
-    """Exact best ``k`` per item over sparse unit vectors ``key, token,
-    val`` whose size is bounded (hot items are handled elsewhere), streamed.
-
-    Each vector travels packed as one row (``tokens``, ``vals`` arrays).
-    Rows are range-partitioned by anchor block and sorted by (anchor block,
-    role, candidate block); ``mapInPandas`` holds one anchor block, one
-    candidate block and a running top-k per anchor, and emits exactly ``k``
-    rows per anchor (positive scores only). Nothing is merged afterwards."""
-    packed = (unit.groupBy("key")
-                  .agg(F.sort_array(F.collect_list(F.struct("token", "val"))).alias("tv"))
-                  .select("key", F.col("tv.token").alias("tokens"), F.col("tv.val").alias("vals"),
-                          F.pmod(F.xxhash64("key"), F.lit(n_blocks)).cast("int").alias("own")))
-    anchors = packed.select(F.col("own").alias("ab"), F.lit(0).alias("role"), F.lit(-1).alias("cb"),
-                            "key", "tokens", "vals")
-    cands = packed.select(F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("ab"),
-                          F.lit(1).alias("role"), F.col("own").alias("cb"), "key", "tokens", "vals")
-    rows = (anchors.unionByName(cands).repartitionByRange(n_blocks, "ab")
-                   .sortWithinPartitions("ab", "role", "cb", "key"))
+STREAM_SCHEMA = "anchor_vacancy_id long, recom_vacancy_id long, score double, pos int"
+
+
+def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, block_rows: int,
+                   min_blocks: int = 1, group_col: str | None = None, max_groups: int = 100_000,
+                   positive_only: bool = False) -> DataFrame:
+    """Exact best ``k`` per item, streamed, for bounded item rows: dense
+    ``key, vec`` or sparse packed ``key, tokens, vals`` (+ ``group_col``:
+    only items of the same group are compared, e.g. IVF cells).
+
+    Items are hashed into anchor blocks of about ``block_rows`` items per
+    group (the per-group counts are a small table, at most ``max_groups``
+    rows, checked, then broadcast). Every item row goes once to its own
+    anchor block and once to every anchor block of its group as a
+    candidate; rows are range-partitioned by (group, anchor block) and
+    sorted by (group, anchor block, role, candidate block). ``mapInPandas``
+    holds one anchor block, one candidate block and a running top-k per
+    anchor, and emits exactly ``k`` rows per anchor with their positions:
+    no all-pairs rows and no merge afterwards."""
+    g = F.col(group_col) if group_col else F.lit(0)
+    base = items.withColumn("_g", g.cast("long"))
+    sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    n_groups = sizes.count()
+    if n_groups > max_groups:
+        raise ValueError(f"{n_groups} groups exceed the broadcast bound {max_groups}")
+    sizes = sizes.withColumn("_nb", F.greatest(F.lit(1), F.least(
+        F.col("_n"), F.greatest(F.lit(min_blocks), F.ceil(F.col("_n") / F.lit(block_rows)))).cast("int")))
+    total_blocks = int(sizes.agg(F.sum("_nb")).first()[0] or 1)
+    payload = ["vec"] if dense else ["tokens", "vals"]
+    base = (base.join(F.broadcast(sizes.select("_g", "_nb")), "_g")
+                .withColumn("own", F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int")))
+    anchors = base.select("_g", F.col("own").alias("ab"), F.lit(0).alias("role"), F.lit(-1).alias("cb"),
+                          "key", *payload)
+    cands = base.select("_g", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("ab"),
+                        F.lit(1).alias("role"), F.col("own").alias("cb"), "key", *payload)
+    rows = (anchors.unionByName(cands).repartitionByRange(max(1, total_blocks), "_g", "ab")
+                   .sortWithinPartitions("_g", "ab", "role", "cb", "key"))
 
     def unpack(df: pd.DataFrame) -> pd.DataFrame:
         lens = df["tokens"].map(len).to_numpy()
@@ -243,71 +244,87 @@ def _streamed_sparse_topk(unit: DataFrame, n_blocks: int, k: int, include_self:
                              "token": np.concatenate(df["tokens"].to_numpy()).astype("int64"),
                              "val": np.concatenate(df["vals"].to_numpy()).astype("float64")})
 
+    def prepare(df: pd.DataFrame):
+        if dense:
+            return _dense_block(df[["key", "vec"]])
+        flat = unpack(df)
+        return np.unique(flat["key"].to_numpy()), flat
+
+    def scores(a, c):
+        if dense:
+            (ak, am), (ck, cm) = a, c
+            return ak, ck, np.round(am @ cm.T, SCORE_DIGITS)
+        ak, ck, S = _sparse_dot(a[1], c[1])
+        return ak, ck, np.round(S, SCORE_DIGITS)
+
     def run(batches):
-        state = {"ab": None, "akeys": None, "adf": None, "best": None, "cb": None, "parts": []}
+        st = {"block": None, "anchor": None, "akeys": None, "best": None, "cb": None, "parts": []}
         anchor_parts = []
 
         def flush_candidates():
-            if state["cb"] is None or not state["parts"] or state["akeys"] is None:
-                state["parts"] = []
+            parts, st["parts"] = st["parts"], []
+            if st["cb"] is None or not parts or st["anchor"] is None:
                 return
-            cdf = unpack(pd.concat(state["parts"], ignore_index=True))
-            state["parts"] = []
-            ak, ck, S = _sparse_dot(state["adf"], cdf)
-            S = np.round(S, SCORE_DIGITS)
-            S[S <= 0] = -np.inf
-            if state["cb"] == state["ab"] and not include_self:
+            ak, ck, S = scores(st["anchor"], prepare(pd.concat(parts, ignore_index=True)))
+            if positive_only:
+                S[S <= 0] = -np.inf
+            if st["cb"] == st["block"][1] and not include_self:
                 _mask_self(S, ak, ck)
-            dense_block = np.isfinite(S).mean() > 0.1 if S.size else False
-            ns, ni = (_block_best(S, ck, k) if dense_block else _block_best_sparse(S, ck, k))
-            bs, bi = state["best"]
-            state["best"] = _merge_best(bs, bi, ns, ni, k)
+            dense_block = dense or (np.isfinite(S).mean() > 0.1 if S.size else False)
+            ns, ni = _block_best(S, ck, k) if dense_block else _block_best_sparse(S, ck, k)
+            st["best"] = _merge_best(*st["best"], ns, ni, k)
 
         def flush_anchor():
             flush_candidates()
-            if state["akeys"] is not None:
-                bs, bi = state["best"]
+            if st["akeys"] is not None:
+                bs, bi = st["best"]
                 r, c = np.nonzero(np.isfinite(bs))
-                yield pd.DataFrame({"anchor_vacancy_id": state["akeys"][r].astype("int64"),
+                yield pd.DataFrame({"anchor_vacancy_id": st["akeys"][r].astype("int64"),
                                     "recom_vacancy_id": bi[r, c].astype("int64"),
-                                    "score": bs[r, c].astype("float64")})
-            state.update(ab=None, akeys=None, adf=None, best=None, cb=None)
+                                    "score": bs[r, c].astype("float64"), "pos": (c + 1).astype("int32")})
+            st.update(block=None, anchor=None, akeys=None, best=None, cb=None)
 
         def start_candidates():
-            adf = unpack(pd.concat(anchor_parts, ignore_index=True)) if anchor_parts else None
-            anchor_parts.clear()
-            if adf is not None and len(adf):
-                state["adf"] = adf
-                state["akeys"] = np.unique(adf["key"].to_numpy())
-                na = len(state["akeys"])
-                state["best"] = (np.full((na, k), -np.inf), np.full((na, k), _NO_ID, dtype=np.int64))
+            if anchor_parts:
+                a = prepare(pd.concat(anchor_parts, ignore_index=True))
+                anchor_parts.clear()
+                if len(a[0]):
+                    st["anchor"], st["akeys"] = a, np.asarray(a[0])
+                    na = len(st["akeys"])
+                    st["best"] = (np.full((na, k), -np.inf), np.full((na, k), _NO_ID, dtype=np.int64))
 
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            # runs of equal (ab, role, cb) inside the batch
-            code = (pdf["ab"].to_numpy().astype("int64") * 4 * (n_blocks + 2)
-                    + pdf["role"].to_numpy() * (n_blocks + 2) + (pdf["cb"].to_numpy() + 1))
-            cuts = np.flatnonzero(np.diff(code)) + 1
+            gv, ab, role, cb = (pdf[c].to_numpy().astype("int64") for c in ("_g", "ab", "role", "cb"))
+            change = (np.diff(gv) != 0) | (np.diff(ab) != 0) | (np.diff(role) != 0) | (np.diff(cb) != 0)
+            cuts = np.flatnonzero(change) + 1
             for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(pdf)]):
                 run_df = pdf.iloc[lo:hi]
-                ab, role, cb = int(run_df["ab"].iat[0]), int(run_df["role"].iat[0]), int(run_df["cb"].iat[0])
-                if ab != state["ab"]:
+                block = (int(gv[lo]), int(ab[lo]))
+                if block != st["block"]:
                     yield from flush_anchor()
                     anchor_parts.clear()
-                    state["ab"] = ab
-                if role == 0:
-                    anchor_parts.append(run_df[["key", "tokens", "vals"]])
+                    st["block"] = block
+                if role[lo] == 0:
+                    anchor_parts.append(run_df)
                     continue
-                if state["akeys"] is None and anchor_parts:
+                if st["anchor"] is None and anchor_parts:
                     start_candidates()
-                if cb != state["cb"]:
+                if int(cb[lo]) != st["cb"]:
                     flush_candidates()
-                    state["cb"] = cb
-                state["parts"].append(run_df[["key", "tokens", "vals"]])
+                    st["cb"] = int(cb[lo])
+                st["parts"].append(run_df)
         yield from flush_anchor()
 
-    return rows.mapInPandas(run, OUT_SCHEMA)
+    return rows.mapInPandas(run, STREAM_SCHEMA)
+
+
+def _pack_sparse(unit: DataFrame) -> DataFrame:
+    """One row per (bounded) sparse vector: ``key, tokens, vals``."""
+    return (unit.groupBy("key")
+                .agg(F.sort_array(F.collect_list(F.struct("token", "val"))).alias("tv"))
+                .select("key", F.col("tv.token").alias("tokens"), F.col("tv.val").alias("vals")))
 
 
 # ----------------------------------------------------------------- R5
@@ -353,21 +370,9 @@ def sparse_i2i(entries: DataFrame, asked: int = 100, max_block_rows: int = 2048,
     cores = entries.sparkSession.sparkContext.defaultParallelism
     nb = max(1, min(max(_blocks(n, nnz, max_block_rows, max_block_nnz), 2 * cores), n))
 
-    def block_pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
-        a = pdf[pdf["blk"] == lo]
-        b = a if lo == hi else pdf[pdf["blk"] == hi]
-        ak, bk, S = _sparse_dot(a, b)
-        S = np.round(S, SCORE_DIGITS)
-        S[S <= 0] = -np.inf
-        if lo == hi:
-            if not include_self:
-                _mask_self(S, ak, bk)
-            return _topk_rows(S, ak, bk, keep)
-        return pd.concat([_topk_rows(S, ak, bk, keep), _topk_rows(S.T.copy(), bk, ak, keep)])
-
-    cold = unit.where(~F.col("hot")).select("key", "token", "val")
-    parts = _streamed_sparse_topk(cold, nb, keep, include_self)
+    cold = _pack_sparse(unit.where(~F.col("hot")).select("key", "token", "val"))
+    parts = _streamed_topk(cold, keep, include_self, dense=False, block_rows=max(1, -(-n // nb)),
+                           min_blocks=nb, positive_only=True).drop("pos")
     if n_hot:
         h = unit.where(F.col("hot")).select(F.col("key").alias("h"), "token", F.col("val").alias("hv"))
         allv = unit.select(F.col("key").alias("b"), "token", F.col("val").alias("bv"), F.col("hot").alias("b_hot"))
