@@ -219,12 +219,14 @@ def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, bl
     g = F.col(group_col) if group_col else F.lit(0)
     base = items.withColumn("_g", g.cast("long"))
     sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    n_groups = sizes.count()
-    if n_groups > max_groups:
-        raise ValueError(f"{n_groups} groups exceed the broadcast bound {max_groups}")
     sizes = sizes.withColumn("_nb", F.greatest(F.lit(1), F.least(
         F.col("_n"), F.greatest(F.lit(min_blocks), F.ceil(F.col("_n") / F.lit(block_rows)))).cast("int")))
-    total_blocks = int(sizes.agg(F.sum("_nb")).first()[0] or 1)
+    # one small job: the per-group table is bounded (checked) before it is broadcast
+    got = sizes.select("_g", "_nb").limit(max_groups + 1).collect()
+    if len(got) > max_groups:
+        raise ValueError(f"more than {max_groups} groups: above the broadcast bound")
+    total_blocks = max(1, sum(int(r["_nb"]) for r in got))
+    sizes = base.sparkSession.createDataFrame(got, "_g long, _nb int")
     payload = ["vec"] if dense else ["tokens", "vals"]
     base = (base.join(F.broadcast(sizes.select("_g", "_nb")), "_g")
                 .withColumn("own", F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int")))

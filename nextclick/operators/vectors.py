@@ -29,21 +29,26 @@ def hot_item_filter(positives: DataFrame, by: str = "user_id", min_count: int =
 
 
 def item_token_counts(train: DataFrame, vacancies: DataFrame, min_count: int = 1,
-                      token: str = "user") -> DataFrame:
+                      token: str = "user", dense_tokens: bool = True) -> DataFrame:
     """R15 + R6: flat token-count vectors ``key, token, val``.
 
     Train interactions are joined to the vacancy attributes, filtered to
     hot items, and each (item, token) pair is counted (a repeated token
     adds up, as a count vectoriser does). ``token="user"`` uses dense user
     ids (the source's default); ``token="geo"`` uses dense ids of
-    user + area + region."""
+    user + area + region. ``dense_tokens=False`` keeps the raw key as the
+    token (hashed for geo keys): cosine scores do not depend on token ids,
+    so kNN callers skip the dictionary; int32 consumers (ALS) need it."""
     attrs = vacancies.select("vacancy_id", "area_id", "region_id")
     pos = train.select("user_id", "vacancy_id").join(attrs, "vacancy_id")
     pos = hot_item_filter(pos, "user_id", min_count)
     raw = geo_user() if token == "geo" else F.col("user_id")
     pos = pos.withColumn("_tok", raw).where(F.col("_tok").isNotNull())
-    vocab = fit_dictionary(pos, "_tok", "token")
     counts = pos.groupBy("vacancy_id", "_tok").agg(F.count(F.lit(1)).cast("double").alias("val"))
+    if not dense_tokens:
+        tok = F.xxhash64("_tok") if token == "geo" else F.col("_tok").cast("bigint")
+        return counts.select(F.col("vacancy_id").alias("key"), tok.alias("token"), "val")
+    vocab = fit_dictionary(pos, "_tok", "token")
     return (encode(counts, vocab, "_tok", "token")
             .select(F.col("vacancy_id").alias("key"), "token", "val"))
 

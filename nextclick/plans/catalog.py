@@ -215,7 +215,8 @@ def _i2i_view(i2i: DataFrame) -> DataFrame:
 
 def f1_i2i(spark, d, p=None):
     p = p or f1(spark, d)
-    return knn.sparse_i2i(V.item_token_counts(p.train, fx.vacancies(spark, d)), asked=100)
+    return knn.sparse_i2i(V.item_token_counts(p.train, fx.vacancies(spark, d), dense_tokens=False),
+                          asked=100)
 
 
 def i2i_cooccurrence_events(spark, d):
@@ -224,7 +225,8 @@ def i2i_cooccurrence_events(spark, d):
 
 def i2i_cooccurrence_orders(spark, d):
     p = f2(spark, d)
-    return _i2i_view(knn.sparse_i2i(V.item_token_counts(p.train, fx.vacancies(spark, d)), asked=100))
+    return _i2i_view(knn.sparse_i2i(V.item_token_counts(p.train, fx.vacancies(spark, d), dense_tokens=False),
+                                    asked=100))
 
 
 def i2i_candidates_events(spark, d):
