@@ -4,12 +4,11 @@ fallback (R17)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from nextclick.functions.weights import ALS_WEIGHTS, map_weight
 from nextclick.operators.dictionary import encode, fit_dictionary
-from nextclick.operators.knn import cross_block_topk
+from nextclick.operators.knn import _streamed_topk
 
 
 def user_item_matrix(train: DataFrame, weights: dict[int, float] | None = None,
@@ -44,26 +43,28 @@ class AlsRecommender:
         self.model = als.fit(self.matrix.select(F.col("u").cast("int"), F.col("i").cast("int"), "weight"))
         return self
 
-    def recommend(self, users: DataFrame, n: int = 100) -> DataFrame:
+    def recommend(self, users: DataFrame, n: int = 100, block_rows: int = 4096) -> DataFrame:
         """Top ``n`` items per known user by predicted preference, items the
-        user already has left out (exactly: each user's block top is
-        widened by the user's own count of known items, no global cap).
-        Returns ``user_id, vacancy_id, score, pos``."""
-        known = self.matrix.groupBy("u").agg(F.count(F.lit(1)).alias("n_known"))
-        uf = (self.model.userFactors.select(F.col("id").cast("bigint").alias("u"),
+        user already has left out exactly: the user's known items travel to
+        the user's block and are masked before selection, so no over-fetch
+        cap is needed and exactly ``n`` rows (or all unknown items) come out
+        per user. Returns ``user_id, vacancy_id, score, pos``."""
+        wanted = (encode(users.select("user_id").distinct(), self.users, "user_id", "u")
+                  .where(F.col("u").isNotNull()).select("u"))
+        uf = (self.model.userFactors.select(F.col("id").cast("bigint").alias("key"),
                                             F.col("features").cast("array<double>").alias("vec"))
-              .join(encode(users.select("user_id").distinct(), self.users, "user_id", "u")
-                    .where(F.col("u").isNotNull()).select("u"), "u", "left_semi")
-              .join(known, "u"))
+              .join(wanted.select(F.col("u").alias("key")), "key", "left_semi"))
         itf = self.model.itemFactors.select(F.col("id").cast("bigint").alias("key"),
                                             F.col("features").cast("array<double>").alias("vec"))
-        top = cross_block_topk(uf.withColumnRenamed("u", "key"), itf, n, extra_col="n_known")
-        top = top.select(F.col("anchor_vacancy_id").alias("u"), F.col("recom_vacancy_id").alias("i"), "score")
-        fresh = top.join(self.matrix.select("u", "i"), ["u", "i"], "left_anti")
-        pos = F.row_number().over(W.partitionBy("u").orderBy(F.col("score").desc(), F.col("i")))
-        ranked = fresh.withColumn("pos", pos).where(F.col("pos") <= n)
-        return (ranked.join(self.users, "u").join(self.items, "i")
-                      .select("user_id", "vacancy_id", "score", "pos"))
+        known = (self.matrix.select(F.col("u").cast("bigint").alias("key"), F.col("i").alias("other"))
+                 .join(wanted.select(F.col("u").alias("key")), "key", "left_semi"))
+        cores = uf.sparkSession.sparkContext.defaultParallelism
+        top = _streamed_topk(uf, n, False, dense=True, block_rows=block_rows, min_blocks=2 * cores,
+                             candidates=itf, exclude=known)
+        top = top.select(F.col("anchor_vacancy_id").alias("u"), F.col("recom_vacancy_id").alias("i"),
+                         "score", "pos")
+        return (top.join(self.users, "u").join(self.items, "i")
+                   .select("user_id", "vacancy_id", "score", "pos"))
 
 
 def fallback_predictions(test_sessions: DataFrame, train: DataFrame, recs: DataFrame) -> DataFrame:

@@ -202,7 +202,8 @@ STREAM_SCHEMA = "anchor_vacancy_id long, recom_vacancy_id long, score double, po
 
 def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, block_rows: int,
                    min_blocks: int = 1, group_col: str | None = None, max_groups: int = 100_000,
-                   positive_only: bool = False) -> DataFrame:
+                   positive_only: bool = False, candidates: DataFrame | None = None,
+                   exclude: DataFrame | None = None) -> DataFrame:
     """Exact best ``k`` per item, streamed, for bounded item rows: dense
     ``key, vec`` or sparse packed ``key, tokens, vals`` (+ ``group_col``:
     only items of the same group are compared, e.g. IVF cells).
@@ -215,7 +216,13 @@ def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, bl
     sorted by (group, anchor block, role, candidate block). ``mapInPandas``
     holds one anchor block, one candidate block and a running top-k per
     anchor, and emits exactly ``k`` rows per anchor with their positions:
-    no all-pairs rows and no merge afterwards."""
+    no all-pairs rows and no merge afterwards.
+
+    ``candidates`` (same columns, no groups) makes the search two-sided:
+    anchors come from ``items``, candidates from ``candidates``.
+    ``exclude`` (``key, other``) lists pairs never to return; they travel
+    to the anchor's block as rows of their own and are masked in place,
+    so no over-fetch is needed."""
     g = F.col(group_col) if group_col else F.lit(0)
     base = items.withColumn("_g", g.cast("long"))
     sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
@@ -232,10 +239,32 @@ def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, bl
                 .withColumn("own", F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int")))
     anchors = base.select("_g", F.col("own").alias("ab"), F.lit(0).alias("role"), F.lit(-1).alias("cb"),
                           "key", *payload)
-    cands = base.select("_g", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("ab"),
-                        F.lit(1).alias("role"), F.col("own").alias("cb"), "key", *payload)
-    rows = (anchors.unionByName(cands).repartitionByRange(max(1, total_blocks), "_g", "ab")
-                   .sortWithinPartitions("_g", "ab", "role", "cb", "key"))
+    if candidates is None:
+        cands = base.select("_g", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("ab"),
+                            F.lit(2).alias("role"), F.col("own").alias("cb"), "key", *payload)
+    else:  # two-sided: candidate blocks of their own size, sent to every anchor block
+        nc = max(1, -(-candidates.count() // block_rows))
+        cands = (candidates.withColumn("_g", F.lit(0).cast("long"))
+                           .join(F.broadcast(sizes.select("_g", "_nb")), "_g")
+                           .select("_g", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("ab"),
+                                   F.lit(2).alias("role"),
+                                   F.pmod(F.xxhash64("key"), F.lit(nc)).cast("int").alias("cb"),
+                                   "key", *payload))
+    parts = [anchors, cands]
+    if exclude is not None:  # a pair's row goes to the anchor's own block
+        ex = (exclude.withColumn("_g", F.lit(0).cast("long"))
+                     .join(F.broadcast(sizes.select("_g", "_nb")), "_g")
+                     .select("_g", F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int").alias("ab"),
+                             F.lit(1).alias("role"), F.lit(-1).alias("cb"), "key",
+                             F.col("other").cast("long").alias("other")))
+        parts.append(ex)
+    rows = parts[0]
+    for p_ in parts[1:]:
+        rows = rows.unionByName(p_, allowMissingColumns=True)
+    rows = (rows.repartitionByRange(max(1, total_blocks), "_g", "ab")
+                .sortWithinPartitions("_g", "ab", "role", "cb", "key"))
+
+    two_sided = candidates is not None  # a plain flag: the closure must not hold a DataFrame
 
     def unpack(df: pd.DataFrame) -> pd.DataFrame:
         lens = df["tokens"].map(len).to_numpy()
@@ -260,8 +289,9 @@ def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, bl
         return ak, ck, np.round(S, SCORE_DIGITS)
 
     def run(batches):
-        st = {"block": None, "anchor": None, "akeys": None, "best": None, "cb": None, "parts": []}
-        anchor_parts = []
+        st = {"block": None, "anchor": None, "akeys": None, "best": None, "cb": None, "parts": [],
+              "ex": None}
+        anchor_parts, ex_parts = [], []
 
         def flush_candidates():
             parts, st["parts"] = st["parts"], []
@@ -270,8 +300,13 @@ def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, bl
             ak, ck, S = scores(st["anchor"], prepare(pd.concat(parts, ignore_index=True)))
             if positive_only:
                 S[S <= 0] = -np.inf
-            if st["cb"] == st["block"][1] and not include_self:
+            if not two_sided and st["cb"] == st["block"][1] and not include_self:
                 _mask_self(S, ak, ck)
+            if st["ex"] is not None:
+                ea, eo = st["ex"]
+                pos = np.searchsorted(ck, eo)
+                hit = (pos < len(ck)) & (ck[np.minimum(pos, len(ck) - 1)] == eo)
+                S[ea[hit], pos[hit]] = -np.inf
             dense_block = dense or (np.isfinite(S).mean() > 0.1 if S.size else False)
             ns, ni = _block_best(S, ck, k) if dense_block else _block_best_sparse(S, ck, k)
             st["best"] = _merge_best(*st["best"], ns, ni, k)
@@ -284,7 +319,7 @@ def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, bl
                 yield pd.DataFrame({"anchor_vacancy_id": st["akeys"][r].astype("int64"),
                                     "recom_vacancy_id": bi[r, c].astype("int64"),
                                     "score": bs[r, c].astype("float64"), "pos": (c + 1).astype("int32")})
-            st.update(block=None, anchor=None, akeys=None, best=None, cb=None)
+            st.update(block=None, anchor=None, akeys=None, best=None, cb=None, ex=None)
 
         def start_candidates():
             if anchor_parts:
@@ -294,6 +329,13 @@ def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, bl
                     st["anchor"], st["akeys"] = a, np.asarray(a[0])
                     na = len(st["akeys"])
                     st["best"] = (np.full((na, k), -np.inf), np.full((na, k), _NO_ID, dtype=np.int64))
+                    if ex_parts:
+                        ex = pd.concat(ex_parts, ignore_index=True)
+                        ek = ex["key"].to_numpy().astype("int64")
+                        ia = np.searchsorted(st["akeys"], ek)
+                        ok = (ia < na) & (st["akeys"][np.minimum(ia, na - 1)] == ek)
+                        st["ex"] = (ia[ok], ex["other"].to_numpy().astype("int64")[ok])
+            ex_parts.clear()
 
         for pdf in batches:
             if len(pdf) == 0:
@@ -307,10 +349,14 @@ def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, bl
                 if block != st["block"]:
                     yield from flush_anchor()
                     anchor_parts.clear()
+                    ex_parts.clear()
                     st["block"] = block
                 if role[lo] == 0:
                     anchor_parts.append(run_df)
                     continue
+                if role[lo] == 1:
+                    ex_parts.append(run_df[["key", "other"]])
+                    continue
                 if st["anchor"] is None and anchor_parts:
                     start_candidates()
                 if int(cb[lo]) != st["cb"]:
@@ -442,48 +488,3 @@ def query_topk(qkeys: np.ndarray, qmat: np.ndarray, candidates: DataFrame, k: in
 
     parts = c.groupBy("blk").applyInPandas(block, OUT_SCHEMA)
     return _final_topk(parts, k)
-
-
-# ----------------------------------------------------------------- two-sided
-def cross_block_topk(queries: DataFrame, candidates: DataFrame, k: int, extra_col: str | None = None,
-                     max_block_rows: int = 4096) -> DataFrame:
-    """Best ``k`` (+ ``extra_col`` per query, e.g. its count of excluded
-    items) candidates per query by inner product, both sides unbounded.
-
-    Queries and candidates are hashed into blocks; each query row goes to
-    every candidate block and each candidate row to every query block, so
-    group ``(qb, cb)`` holds one block of each (a 2-D block product, an
-    equi-join on the block pair, no cartesian join). Each group emits only
-    its per-query top; a final ``row_number()`` keeps ``k + extra`` per
-    query. Inputs: ``key, vec`` (+ ``extra_col`` on queries)."""
-    counts = (queries.agg(F.count(F.lit(1))).first()[0], candidates.agg(F.count(F.lit(1))).first()[0])
-    nq = max(1, math.ceil(counts[0] / max_block_rows))
-    nc = max(1, math.ceil(counts[1] / max_block_rows))
-    extra = F.col(extra_col).cast("long") if extra_col else F.lit(0).cast("long")
-    q = (queries.select("key", "vec", extra.alias("extra"))
-                .withColumn("qb", F.pmod(F.xxhash64("key"), F.lit(nq)).cast("int"))
-                .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
-                .withColumn("side", F.lit(0)))
-    c = (candidates.select("key", "vec", F.lit(0).cast("long").alias("extra"))
-                   .withColumn("cb", F.pmod(F.xxhash64("key"), F.lit(nc)).cast("int"))
-                   .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-                   .withColumn("side", F.lit(1)))
-    both = q.unionByName(c)
-
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        qs = pdf[pdf["side"] == 0].sort_values("key")
-        cs = pdf[pdf["side"] == 1]
-        ck, cm = _dense_block(cs[["key", "vec"]])
-        if len(qs) == 0 or len(ck) == 0:
-            return _topk_rows(np.zeros((0, 0)), np.array([]), ck, 0)
-        qk, qm = _dense_block(qs[["key", "vec"]])
-        S = np.round(qm @ cm.T, SCORE_DIGITS)
-        per_query = k + qs["extra"].to_numpy()
-        kk = int(min(per_query.max(), S.shape[1]))
-        out = _topk_rows(S, qk, ck, kk)
-        lim = dict(zip(qk.tolist(), per_query.tolist()))
-        rank = out.groupby("anchor_vacancy_id").cumcount() + 1
-        return out[rank.to_numpy() <= out["anchor_vacancy_id"].map(lim).to_numpy()]
-
-    parts = both.groupBy("qb", "cb").applyInPandas(block, OUT_SCHEMA)
-    return parts

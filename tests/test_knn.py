@@ -95,21 +95,26 @@ def test_query_topk_matches_brute_force(spark):
     assert {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos) for r in rows} == want
 
 
-def test_cross_block_topk_per_query_extra(spark):
+def test_two_sided_streamed_topk_with_exclusions(spark):
     rng = np.random.default_rng(3)
     cand = rng.normal(size=(90, 4))
     qv = rng.normal(size=(30, 4))
-    extra = rng.integers(0, 3, 30)
-    qdf = spark.createDataFrame(pd.DataFrame({"key": np.arange(30, dtype=np.int64), "vec": list(qv),
-                                              "n": extra.astype(np.int64)}))
+    excl = {(i, int(j)) for i in range(30) for j in rng.choice(90, rng.integers(0, 40), replace=False)}
+    qdf = spark.createDataFrame(pd.DataFrame({"key": np.arange(30, dtype=np.int64), "vec": list(qv)}))
     cdf = spark.createDataFrame(pd.DataFrame({"key": np.arange(90, dtype=np.int64), "vec": list(cand)}))
-    parts = knn.cross_block_topk(qdf, cdf, 5, extra_col="n", max_block_rows=16)
-    top = knn._final_topk(parts, 10).toPandas()
+    edf = spark.createDataFrame(sorted(excl), "key long, other long")
+    top = knn._streamed_topk(qdf, 5, False, dense=True, block_rows=16, min_blocks=3,
+                             candidates=cdf, exclude=edf).toPandas()
     S = np.round(qv @ cand.T, knn.SCORE_DIGITS)
     for i in range(30):
-        want = list(np.argsort(-S[i], kind="stable")[:5 + extra[i]])
-        got = top[top.anchor_vacancy_id == i].sort_values("pos").recom_vacancy_id.tolist()
-        assert got[:5 + extra[i]] == want
+        row = S[i].copy()
+        for (a, j) in excl:
+            if a == i:
+                row[j] = -np.inf
+        want = [j for j in np.argsort(-row, kind="stable")[:5] if np.isfinite(row[j])]
+        got = top[top.anchor_vacancy_id == i].sort_values("pos")
+        assert got.recom_vacancy_id.tolist() == want
+        assert got.pos.tolist() == list(range(1, len(want) + 1))
 
 
 def test_dictionary_dense_ids(spark):
