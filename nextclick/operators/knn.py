@@ -233,10 +233,16 @@ def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, bl
     if len(got) > max_groups:
         raise ValueError(f"more than {max_groups} groups: above the broadcast bound")
     total_blocks = max(1, sum(int(r["_nb"]) for r in got))
-    sizes = base.sparkSession.createDataFrame(got, "_g long, _nb int")
+    sizes = base.sparkSession.createDataFrame(got, "_g long, _nb int")  # bounded: checked above
     payload = ["vec"] if dense else ["tokens", "vals"]
-    base = (base.join(F.broadcast(sizes.select("_g", "_nb")), "_g")
-                .withColumn("own", F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int")))
+    if group_col is None:  # one group: the block count is a constant
+        nb0 = int(got[0]["_nb"]) if got else 1
+        base = base.withColumn("_nb", F.lit(nb0))
+    else:
+        if candidates is not None or exclude is not None:
+            raise ValueError("two-sided search and exclusions are for ungrouped items")
+        base = base.join(F.broadcast(sizes.select("_g", "_nb")), "_g")
+    base = base.withColumn("own", F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int"))
     anchors = base.select("_g", F.col("own").alias("ab"), F.lit(0).alias("role"), F.lit(-1).alias("cb"),
                           "key", *payload)
     if candidates is None:
@@ -244,16 +250,14 @@ def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, bl
                             F.lit(2).alias("role"), F.col("own").alias("cb"), "key", *payload)
     else:  # two-sided: candidate blocks of their own size, sent to every anchor block
         nc = max(1, -(-candidates.count() // block_rows))
-        cands = (candidates.withColumn("_g", F.lit(0).cast("long"))
-                           .join(F.broadcast(sizes.select("_g", "_nb")), "_g")
+        cands = (candidates.withColumn("_g", F.lit(0).cast("long")).withColumn("_nb", F.lit(nb0))
                            .select("_g", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("ab"),
                                    F.lit(2).alias("role"),
                                    F.pmod(F.xxhash64("key"), F.lit(nc)).cast("int").alias("cb"),
                                    "key", *payload))
     parts = [anchors, cands]
     if exclude is not None:  # a pair's row goes to the anchor's own block
-        ex = (exclude.withColumn("_g", F.lit(0).cast("long"))
-                     .join(F.broadcast(sizes.select("_g", "_nb")), "_g")
+        ex = (exclude.withColumn("_g", F.lit(0).cast("long")).withColumn("_nb", F.lit(nb0))
                      .select("_g", F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int").alias("ab"),
                              F.lit(1).alias("role"), F.lit(-1).alias("cb"), "key",
                              F.col("other").cast("long").alias("other")))
