@@ -22,11 +22,21 @@ def responses(history: DataFrame, code: int = RESPONSE) -> DataFrame:
                    .select("user_id", "vacancy_id").distinct())
 
 
-def seen_filter(cands: DataFrame, history: DataFrame, only_responses: bool = True) -> DataFrame:
+def seen_filter(cands: DataFrame, history: DataFrame, only_responses: bool = True,
+                observations: tuple | None = None) -> DataFrame:
     """Drop (user, item) pairs found in ``history`` (its responses by
-    default; ``only_responses=False`` drops every seen pair)."""
+    default; ``only_responses=False`` drops every seen pair).
+
+    D13: pass ``(Observation("before"), Observation("after"))`` to get the
+    row counts before and after the filter from the same job that computes
+    the result (``DataFrame.observe``), not from extra ``count()`` jobs."""
     seen = responses(history) if only_responses else history.select("user_id", "vacancy_id").distinct()
-    return cands.join(seen, ["user_id", "vacancy_id"], "left_anti")
+    if observations:
+        cands = cands.observe(observations[0], F.count(F.lit(1)).alias("rows"))
+    out = cands.join(seen, ["user_id", "vacancy_id"], "left_anti")
+    if observations:
+        out = out.observe(observations[1], F.count(F.lit(1)).alias("rows"))
+    return out
 
 
 # ---------------------------------------------------------------- R18-R20

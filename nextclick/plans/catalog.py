@@ -143,6 +143,25 @@ def mrr_recall_orders(spark, d):
     return _metrics_view(flows.evaluate(p, flows.continue_search_submission(p, 100), 100))
 
 
+def submission_scoring_events(spark, d):
+    """R36 end to end: write the continue-search submission with the
+    submission sink (A4/A8) under the checkpoint folder, scan it back (A1)
+    with the submission schema, and score it (MRR@100, Recall@100)."""
+    import os
+    import uuid
+
+    from nextclick.operators.metrics import score_submission
+    from nextclick.schemas import SUBMISSION_SCHEMA, Split
+    from nextclick.session import checkpoint_dir
+    from nextclick.sources.parquet import read_table, write_submission
+
+    p = f1(spark, d)
+    base = os.path.join(checkpoint_dir(spark), "runs", uuid.uuid4().hex)
+    path = write_submission(flows.continue_search_submission(p, 100), base, "continue_search", Split.MICRO)
+    sub = read_table(spark, path, SUBMISSION_SCHEMA)
+    return _metrics_view(score_submission(p.truth, sub, k=100, row_limit=-1))
+
+
 def mrr_unbounded_events(spark, d):
     """Leave-last-out truth over the validation sessions; predictions
     = continue-search over train + the cut sessions, seen filter, no cut."""
@@ -323,6 +342,7 @@ SQL_CHECKED: dict[str, Query] = {
     "mrr_recall_events": mrr_recall_events,
     "mrr_recall_orders": mrr_recall_orders,
     "mrr_unbounded_events": mrr_unbounded_events,
+    "submission_scoring_events": submission_scoring_events,
     "eda_sessions_per_day": eda_sessions_per_day,
     "eda_sessions_per_user": eda_sessions_per_user,
     "eda_sessions_per_user_summary": eda_sessions_per_user_summary,

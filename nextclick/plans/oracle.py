@@ -225,6 +225,7 @@ SELECT coalesce(t.user_id, p.user_id) AS user_id, t.session_id, coalesce(p.predi
 FROM (SELECT user_id, session_id FROM truth) t FULL OUTER JOIN packed p ON t.user_id = p.user_id""",
         "mrr_recall_events": f1 + metrics_sql("truth", "ranked_c"),
         "mrr_recall_orders": f2 + metrics_sql("truth", "ranked_c"),
+        "submission_scoring_events": f1 + metrics_sql("truth", "ranked_c"),
         "mrr_unbounded_events": _llo_unbounded(),
         "eda_sessions_per_day": f1s + """
 SELECT strftime(CAST(session_dt AS DATE), '%Y-%m-%d') AS day, count(*) AS n_sessions FROM fxs GROUP BY 1""",
