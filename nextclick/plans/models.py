@@ -76,6 +76,15 @@ def cluster_knn_embeddings(spark, d):
     return catalog._i2i_view(ann.cluster_knn(fx.item_vectors(spark, d), n_clusters=20, top_size=50))
 
 
+def text_knn_documents(spark, d):
+    """R14 neighbour step on the long multilingual texts: whole documents
+    -> Unicode word counts -> exact cosine, 20 asked per document. No SQL
+    oracle: DuckDB's regular expressions treat word characters as ASCII."""
+    docs = fx.table(spark, d, "documents").select("doc_id", "text")
+    counts = V.text_token_counts(docs, "doc_id", "text").select("key", "token", "val")
+    return catalog._i2i_view(knn.sparse_i2i(counts, asked=20))
+
+
 def random_rank_events(spark, d):
     """Continue-search candidates ordered by a seeded hash score."""
     p = catalog.f1(spark, d)
@@ -93,4 +102,5 @@ INVARIANT_CHECKED = {
     "ivf_i2i_embeddings": ivf_i2i_embeddings,
     "cluster_knn_embeddings": cluster_knn_embeddings,
     "random_rank_events": random_rank_events,
+    "text_knn_documents": text_knn_documents,
 }

@@ -126,3 +126,25 @@ def test_dictionary_dense_ids(spark):
     assert enc == {12: 1, 13: None}
     idx = spark.createDataFrame([(0,), (4,), (5,), (-1,)], "idx long")
     assert sorted(r.v for r in decode(idx, fit_dictionary(vals, "v", "idx"), "v", "idx").collect()) == [7, 999]
+
+
+def test_unicode_words(spark):
+    from nextclick.operators.vectors import text_token_counts
+    df = spark.createDataFrame([(1, "Привет мир, ÉTÉ été x y2 a_b 42")], "k long, t string")
+    words = sorted(r.word for r in text_token_counts(df, "k", "t").collect())
+    assert words == sorted(["привет", "мир", "été", "y2", "a_b", "42"])
+
+
+def test_document_knn_matches_brute_force(spark):
+    from conftest import SF001
+    from nextclick.operators.vectors import text_token_counts
+    from nextclick.sources import fixtures as fx
+    docs = fx.table(spark, SF001, "documents").select("doc_id", "text")
+    counts = text_token_counts(docs, "doc_id", "text").select("key", "token", "val").toPandas()
+    keys = np.sort(counts.key.unique())
+    toks = {t: i for i, t in enumerate(counts.token.unique())}
+    mat = np.zeros((len(keys), len(toks)))
+    mat[np.searchsorted(keys, counts.key), counts.token.map(toks)] = counts.val
+    got = {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos)
+           for r in knn.sparse_i2i(spark.createDataFrame(counts), asked=20, max_block_rows=64).collect()}
+    assert got == brute(mat, keys.astype(np.int64), 20)
