@@ -94,3 +94,21 @@ def test_round_robin_plans_match(spark):
     b = C.round_robin(p.test, i2i, method="aggregate").select(*a.columns)
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_auto_plan_with_a_hot_user(spark):
+    """A third of F1's users folded into one user (a hot key): with a low
+    per-user bound, ``auto`` picks the window-free plans, and they agree with
+    the window plans."""
+    flat = fx.events_interactions(spark, SF01)
+    hot = flat.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    hot = hot.withColumn("session_id", F.concat(F.col("session_id"), F.lit("_"), F.col("user_id").cast("string")))
+    raw = fx.to_session_log(hot)
+    auto = flows.prepare(raw, fx.F1_TRAIN, fx.F1_VALIDATION, method="auto", hot_key_rows=500)
+    win = flows.prepare(raw, fx.F1_TRAIN, fx.F1_VALIDATION, method="window")
+    assert auto.method == "aggregate" and win.method == "window"
+    cols = ["user_id", "session_id", "val_session_rank", "target", "target_dt"]
+    assert sorted(auto.truth.select(cols).collect()) == sorted(win.truth.select(cols).collect())
+    ma = flows.evaluate(auto, flows.continue_search_submission(auto)).first()
+    mw = flows.evaluate(win, flows.continue_search_submission(win)).first()
+    assert ma == mw
