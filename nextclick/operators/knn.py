@@ -460,18 +460,6 @@ def sparse_i2i(entries: DataFrame, asked: int = 100, max_block_rows: int = 2048,
 
 
 # ----------------------------------------------------------------- R10 / R9
-def bounded_queries(queries: DataFrame, max_queries: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fetch a query set known to be small (e.g. k-means centroids), with
-    the bound checked: at most ``max_queries`` rows ever reach the driver."""
-    rows = queries.select("key", "vec").limit(max_queries + 1).collect()
-    if len(rows) > max_queries:
-        raise ValueError(f"query set exceeds the bound {max_queries}")
-    keys = np.array([r["key"] for r in rows], dtype=np.int64)
-    order = np.argsort(keys)
-    mat = np.array([np.asarray(r["vec"], dtype=np.float64) for r in rows])
-    return keys[order], (mat[order] if len(rows) else mat)
-
-
 def query_topk(qkeys: np.ndarray, qmat: np.ndarray, candidates: DataFrame, k: int,
                max_block_rows: int = 4096) -> DataFrame:
     """Best ``k`` candidates (``key, vec``) per query by inner product, for

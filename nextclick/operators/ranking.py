@@ -99,10 +99,6 @@ def pack(ranked: DataFrame, item: str = "vacancy_id", out: str = "predictions",
     return ranked.groupBy(*(keys or ["user_id"])).agg(lst.alias(out))
 
 
-def rank_and_pack(cands: DataFrame, order: list[Column], k: int | None = 100) -> DataFrame:
-    return pack(rank(cands, order, k))
-
-
 # ---------------------------------------------------------------- R23
 def submission(skeleton: DataFrame, recs: DataFrame, how: str = "full") -> DataFrame:
     """Skeleton ``(user_id, session_id)`` joined to packed lists on

@@ -89,8 +89,3 @@ def evaluate(p: Prepared, submission: DataFrame, k: int = 100) -> DataFrame:
     return mrr_recall(p.truth, submission, k)
 
 
-def continue_search_scores(raw_sessions: DataFrame, train_range, validation_range,
-                           k: int = 100) -> DataFrame:
-    """Flagship: prepare -> continue-search submission -> MRR@k, Recall@k."""
-    p = prepare(raw_sessions, train_range, validation_range)
-    return evaluate(p, continue_search_submission(p, k), k)

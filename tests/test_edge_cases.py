@@ -182,3 +182,13 @@ def test_constant_list_is_size_checked(spark):
     items = spark.range(5).select(F.col("id").alias("vacancy_id"), F.lit(1.0).alias("score"))
     with pytest.raises(Exception, match="constant list longer than 3"):
         C.constant_candidates(users, items, max_items=3).collect()
+
+
+def test_reversible_rename(spark):
+    from nextclick.operators.sessions import rename_back, rename_reversible
+    df = spark.createDataFrame([(1, 2, 3)], "user_id_int long, user_id long, x long")
+    m = {"user_id_int": "user_id"}
+    fwd = rename_reversible(df, m)
+    assert fwd.columns == ["user_id", "x"] and fwd.first().user_id == 1
+    back = rename_back(fwd, m)
+    assert back.columns == ["user_id_int", "x"]
