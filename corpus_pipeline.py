@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nextclick.llm import bpe, quality
+from nextclick.llm import bpe, mixing, ngram_join, pii, quality
 from nextclick.llm.common import materialise, read
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality.quality_stage),
+    ("ngram_jaccard_join", ngram_join.near_duplicates_stage),
+    ("pii", pii.pii_stage),
+    ("cube_mix", mixing.mixing_stage),
     ("byte_level_bpe", bpe.bpe_stage),
 ]
 

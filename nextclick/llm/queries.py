@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nextclick.llm import bpe, quality
+from nextclick.llm import bpe, mixing, ngram_join, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_level_bpe": bpe.op4_byte_level_bpe,
+    "op6_ngram_jaccard_join": ngram_join.op6_ngram_jaccard_join,
+    "op8_cube_mix": mixing.op8_cube_mix,
+    "op9_pii": pii.op9_pii,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 
