@@ -8,6 +8,7 @@ own; a null text counts as the empty text.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from nextclick.sources.tables import materialise
 #: A word is a maximal run of characters other than ASCII white space (Java and Python agree on it).
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "materialise", "narrow_batches", "null_to_empty", "read", "row_keyed"]
+__all__ = ["WORD", "let", "materialise", "narrow_batches", "null_to_empty", "read", "row_keyed", "running_totals"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,3 +41,25 @@ def row_keyed(docs: DataFrame, name: str = "row_key") -> DataFrame:
     """Number the rows by (input partition, position): the same on every retry of
     a task because the scan deals files to partitions the same way; equal rows stay apart."""
     return docs.withColumn(name, F.monotonically_increasing_id())
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once for all its uses in ``body``: inside a lambda an expression is evaluated per element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running_totals(lengths: Column, block: int = 256) -> Column:
+    """Sums of the elements before each element. Summed in blocks: appending to one array would copy it for each element."""
+    def totals(values: Column) -> Column:
+        return F.aggregate(values, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+
+    def of(values: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int")),
+                             lambda b: totals(F.slice(values, b * block + 1, F.lit(block))))
+        return let(blocks, lambda parts: let(
+            totals(F.transform(parts, lambda p: F.element_at(p, -1))),
+            lambda before: F.flatten(F.transform(parts, lambda p, i: F.transform(
+                F.slice(p, F.lit(1), F.size(p) - 1), lambda v: v + F.element_at(before, i + 1))))))
+
+    empty = F.array().cast("array<int>")
+    return let(lengths, lambda values: F.when(F.size(values) == 0, empty).otherwise(of(values)))

@@ -21,15 +21,13 @@ base spans alone are selected; other columns are ignored, or kept as they are by
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nextclick.llm.common import materialise, null_to_empty, read
+from nextclick.llm.common import let, materialise, null_to_empty, read, running_totals
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -62,39 +60,17 @@ _COUNTING = r"(?i)(?:\b(?:order|id|no|nr|number|version|isbn|ref)\b|#|\bv)[\x20.
 FEATURES = ["kind", "before", "after", "digits", "separator", "lead", "context"]
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once for all its uses in ``body``: inside a lambda an expression is evaluated per element."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def running_totals(lengths: Column, block: int = 256) -> Column:
-    """Sums of the elements before each element. Summed in blocks: appending to one array would copy it for each element."""
-    def totals(values: Column) -> Column:
-        return F.aggregate(values, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-
-    def of(values: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int")),
-                             lambda b: totals(F.slice(values, b * block + 1, F.lit(block))))
-        return _let(blocks, lambda parts: _let(
-            totals(F.transform(parts, lambda p: F.element_at(p, -1))),
-            lambda before: F.flatten(F.transform(parts, lambda p, i: F.transform(
-                F.slice(p, F.lit(1), F.size(p) - 1), lambda v: v + F.element_at(before, i + 1))))))
-
-    empty = F.array().cast("array<int>")
-    return _let(lengths, lambda values: F.when(F.size(values) == 0, empty).otherwise(of(values)))
-
-
 def matches(text: Column, pattern: str) -> Column:
     """array<struct<start, end, hit>> of the leftmost non-overlapping matches, in code points, end exclusive."""
     def placed(found: Column) -> Column:
         hits, between = found["hits"], found["between"]
         steps = F.transform(hits, lambda h, i: F.length(F.element_at(between, i + 1)) + F.length(h))
-        return _let(running_totals(steps), lambda before: F.transform(hits, lambda h, i: _let(
+        return let(running_totals(steps), lambda before: F.transform(hits, lambda h, i: let(
             F.element_at(before, i + 1) + F.length(F.element_at(between, i + 1)),
             lambda start: F.struct(start.alias("start"), (start + F.length(h)).alias("end"), h.alias("hit")))))
 
     found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.split(text, pattern, -1).alias("between"))
-    return _let(found, placed)
+    return let(found, placed)
 
 
 def passes(kind: str, hit: Column) -> Column:
@@ -137,7 +113,7 @@ def candidates(text: Column) -> Column:
     none = F.array().cast(_CANDIDATES)
 
     def of(kind: str, pattern: str, base: bool) -> Column:
-        each = _let(text, lambda t: F.transform(matches(t, pattern), lambda at: _candidate(kind, t, at, base)))
+        each = let(text, lambda t: F.transform(matches(t, pattern), lambda at: _candidate(kind, t, at, base)))
         return F.when(text.rlike(_NEEDS[kind]), each).otherwise(none).cast(_CANDIDATES)
 
     proposed = [of(k, BASE[k], True) for k in KINDS] + [of(k, p, False) for k, p in MORE]
@@ -190,13 +166,13 @@ def select_spans(found: Column, accepted: list[str]) -> Column:
                 return F.filter(rest, lambda c: F.array_contains(fresh, key(c)) & ~F.exists(
                     kept, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
 
-            fresh = _let(_let(more, apart), lambda new: F.filter(new, lambda c, i: ~F.exists(
+            fresh = let(let(more, apart), lambda new: F.filter(new, lambda c, i: ~F.exists(
                 F.slice(new, F.lit(1), i), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))))
             return F.array_sort(F.transform(F.concat(kept, fresh), plain))
 
-        return _let(base(all_), with_more)
+        return let(base(all_), with_more)
 
-    return _let(found, joined)
+    return let(found, joined)
 
 
 def spans_string(spans: Column) -> Column:
@@ -226,7 +202,7 @@ def redact(text: Column, spans: Column) -> Column:
         return F.concat(F.array_join(pieces, ""), F.substr(t, F.element_at(runs, -1)["end"] + 1))
 
     runs = F.aggregate(by_start, F.array().cast(runs_type), grown)
-    return F.when(F.size(spans) == 0, text).otherwise(_let(F.struct(text.alias("t"), runs.alias("runs")), rebuilt))
+    return F.when(F.size(spans) == 0, text).otherwise(let(F.struct(text.alias("t"), runs.alias("runs")), rebuilt))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,5 +222,5 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their personal data replaced; n_chars follows the text. A text without any stays as it is."""
     accepted = accepted_cells(docs.select(candidates(null_to_empty()).alias("found")))
     spans = select_spans(candidates(null_to_empty()), accepted)
-    clean = docs.withColumn("text", _let(spans, lambda s: redact(null_to_empty(), s)))
+    clean = docs.withColumn("text", let(spans, lambda s: redact(null_to_empty(), s)))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)

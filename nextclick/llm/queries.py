@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nextclick.llm import bpe, mixing, ngram_join, pii, quality
+from nextclick.llm import bpe, chat, fingerprints, mixing, ngram_join, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op3_edit_fingerprints": fingerprints.op3_edit_fingerprints,
     "op4_byte_level_bpe": bpe.op4_byte_level_bpe,
+    "op5_chat_format": chat.op5_chat_format,
     "op6_ngram_jaccard_join": ngram_join.op6_ngram_jaccard_join,
     "op8_cube_mix": mixing.op8_cube_mix,
     "op9_pii": pii.op9_pii,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_chat_format": chat.OP5_SQL,
+}
