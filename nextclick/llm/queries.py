@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nextclick.llm import bpe, chat, fingerprints, mixing, ngram_join, pii, quality, toxicity
+from nextclick.llm import bpe, chat, fingerprints, mixing, ngram_join, pii, quality, toxicity, web_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_main_text": web_text.op1_html_main_text,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_edit_fingerprints": fingerprints.op3_edit_fingerprints,
     "op4_byte_level_bpe": bpe.op4_byte_level_bpe,
