@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nextclick.llm import bpe, chat, fingerprints, mixing, ngram_join, pii, quality, toxicity, web_text
+from nextclick.llm import bpe, chat, fingerprints, long_repeats, mixing, ngram_join, pii, quality, toxicity, web_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_main_text": web_text.op1_html_main_text,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_level_bpe": bpe.op4_byte_level_bpe,
     "op5_chat_format": chat.op5_chat_format,
     "op6_ngram_jaccard_join": ngram_join.op6_ngram_jaccard_join,
+    "op7_suffix_dedup": long_repeats.op7_suffix_dedup,
     "op8_cube_mix": mixing.op8_cube_mix,
     "op9_pii": pii.op9_pii,
     "op10_quality_rules": quality.op10_quality_rules,
