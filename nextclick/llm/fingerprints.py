@@ -94,18 +94,12 @@ def _symbols(points: np.ndarray, times: np.ndarray, length_class: int) -> bytes:
 def embed(texts: list[str]) -> list[str]:
     """Fingerprints: the length class, then the hex symbols of this class and of the next."""
     points = [_points(t) for t in texts]
-    out = [""] * len(texts)
-    order = sorted(range(len(texts)), key=lambda i: -len(points[i]))
+    out = ["0:"] * len(texts)
+    order = sorted((i for i in range(len(texts)) if len(points[i])), key=lambda i: -len(points[i]))
     while order:
-        group, width = [], len(points[order[0]]) + 1
-        while order and (not group or (len(group) + 1) * width <= _CELLS):
-            group.append(order.pop(0))
-            if len(group) >= 4_096:
-                break
-        if width == 1:
-            for i in group:
-                out[i] = "0:"
-            continue
+        width = len(points[order[0]]) + 1
+        fit = max(1, _CELLS // width)
+        group, order = order[:fit], order[fit:]
         for i, times in zip(group, _walk([points[i] for i in group]), strict=True):
             own = max(LEAST_CLASS, len(points[i]).bit_length() - 1)
             out[i] = f"{own}:{_symbols(points[i], times, own).hex()}{_symbols(points[i], times, own + 1).hex()}"
