@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from nextclick.functions.weights import CONTINUE_SEARCH_WEIGHTS, map_weight
+from nextclick.operators.dictionary import dense_rank_within
+from nextclick.sources.tables import materialise
 
 
 def reduce_max(cands: DataFrame, name: str, score: str = "score") -> DataFrame:
@@ -30,7 +32,7 @@ def _weighted(inter: DataFrame, weights: dict[int, float], strict: bool) -> Data
 
 def continue_search(train: DataFrame, test: DataFrame,
                     weights: dict[int, float] | None = None, strict: bool = True,
-                    drop_seen_responses: bool = False, method: str = "window") -> DataFrame:
+                    drop_seen_responses: bool = False) -> DataFrame:
     """Items the test users already touched, newest first.
 
     ``train`` and ``test`` are flat interactions. Per (user, item) the row
@@ -40,36 +42,27 @@ def continue_search(train: DataFrame, test: DataFrame,
     = ln(dense rank of ``action_dt``, newest = 1), lower is better. The
     two-step (fit, predict) reduction of the source is one ``groupBy`` here:
     an arg-max is associative and Spark splits it into partial and final
-    aggregation.
+    aggregation. The rank is found without a window over a user
+    (``dense_rank_within``). Rows without a user have no rank and give no candidate.
 
     ``drop_seen_responses=True`` fuses the seen filter (R21 with the same
     train history): the same aggregation flags pairs with a train response
     and drops them, saving the anti join's two shuffles. Ranks are computed
     before the drop, as with a separate filter.
-
-    ``method="window"`` ranks with a window partitioned by user;
-    ``method="aggregate"`` uses ``dense_rank_within`` (no task holds all of
-    one user's items).
     """
     weights = weights or CONTINUE_SEARCH_WEIGHTS
     users = test.select("user_id").distinct()
     tr = _weighted(train.join(users, "user_id", "left_semi"), weights, strict)
-    te = _weighted(test, weights, strict)
+    te = _weighted(test.where(F.col("user_id").isNotNull()), weights, strict)
     rows = (tr.withColumn("_seen", F.col("action_type") == F.lit(1))
               .unionByName(te.withColumn("_seen", F.lit(False))))
     best = (rows.groupBy("user_id", "vacancy_id")
                 .agg(F.max_by(F.struct("action_type", "action_dt"),
                               F.struct("action_weight", "action_dt")).alias("b"),
                      F.max("_seen").alias("_seen")))
-    if method == "aggregate":
-        from nextclick.operators.dictionary import dense_rank_within
-        ranked = dense_rank_within(best.withColumn("_dt", F.col("b.action_dt")), "user_id", "_dt",
-                                   descending=True, out="_r")
-        rank = F.col("_r")
-    else:
-        ranked = best
-        rank = F.dense_rank().over(W.partitionBy("user_id").orderBy(F.col("b.action_dt").desc()))
-    out = ranked.select("user_id", "vacancy_id", F.log(rank.cast("double")).alias("score"), "_seen")
+    best = materialise(best.select("user_id", "vacancy_id", F.col("b.action_dt").alias("_dt"), "_seen"), "continue_search")
+    ranked = dense_rank_within(best, "user_id", "_dt", descending=True, out="_r")
+    out = ranked.select("user_id", "vacancy_id", F.log(F.col("_r").cast("double")).alias("score"), "_seen")
     if drop_seen_responses:
         out = out.where(~F.col("_seen"))
     return out.drop("_seen")
@@ -95,7 +88,7 @@ def i2i_topk_candidates(history: DataFrame, i2i: DataFrame, kneib: int = 20) ->
 
 
 # ---------------------------------------------------------------- R11, R12
-def round_robin(history: DataFrame, i2i: DataFrame, method: str = "window") -> DataFrame:
+def round_robin(history: DataFrame, i2i: DataFrame) -> DataFrame:
     """Merge the neighbour lists of a user's items: all first
     neighbours (lists in order of the item's latest ``action_dt``, newest
     first, then item id), then all second neighbours, ...; an item keeps its
@@ -103,26 +96,18 @@ def round_robin(history: DataFrame, i2i: DataFrame, method: str = "window") -> D
     ``i2i`` is flat with a 1-based ``pos``.
 
     Both orders are unique inside a user, so a dense rank is the row
-    number: ``method="aggregate"`` computes them with ``dense_rank_within``
-    instead of windows over a user's whole pool."""
-    latest = history.groupBy("user_id", "vacancy_id").agg(F.max("action_dt").alias("last_dt"))
-    if method == "aggregate":
-        from nextclick.operators.dictionary import dense_rank_within
-        keyed = latest.withColumn("_o", F.struct("last_dt", (-F.col("vacancy_id")).alias("nid")))
-        lists = dense_rank_within(keyed, "user_id", "_o", descending=True, out="list_idx").drop("_o")
-    else:
-        list_idx = F.row_number().over(
-            W.partitionBy("user_id").orderBy(F.col("last_dt").desc(), F.col("vacancy_id")))
-        lists = latest.withColumn("list_idx", list_idx)
+    number; ``dense_rank_within`` finds it without a window over a user's
+    pool. Rows without a user have no rank and give nothing."""
+    latest = (history.where(F.col("user_id").isNotNull()).groupBy("user_id", "vacancy_id")
+                     .agg(F.max("action_dt").alias("last_dt")))
+    keyed = materialise(latest.withColumn("_o", F.struct("last_dt", (-F.col("vacancy_id")).alias("nid"))), "round_robin_lists")
+    lists = dense_rank_within(keyed, "user_id", "_o", descending=True, out="list_idx").drop("_o")
     lists = lists.withColumnRenamed("vacancy_id", "anchor_vacancy_id")
     first = (lists.join(i2i, "anchor_vacancy_id")
                   .groupBy("user_id", F.col("recom_vacancy_id").alias("vacancy_id"))
                   .agg(F.min(F.struct(F.col("pos").alias("npos"), "list_idx")).alias("f")))
-    if method == "aggregate":
-        from nextclick.operators.dictionary import dense_rank_within
-        return dense_rank_within(first, "user_id", "f", descending=False, out="pos").drop("f")
-    order = F.row_number().over(W.partitionBy("user_id").orderBy("f.npos", "f.list_idx"))
-    return first.select("user_id", "vacancy_id", order.alias("pos"))
+    first = materialise(first, "round_robin_first")
+    return dense_rank_within(first, "user_id", "f", descending=False, out="pos").drop("f")
 
 
 def unique_neighbours(history: DataFrame, i2i: DataFrame) -> DataFrame:
@@ -143,18 +128,17 @@ def popular_items(interactions: DataFrame, k: int = 100, action: int | None = 1)
     return counts.orderBy(F.col("score").desc(), F.col("vacancy_id")).limit(k)
 
 
-def constant_candidates(users: DataFrame, items: DataFrame, max_items: int = 1000) -> DataFrame:
-    """Every user x a fixed, size-bounded scored list.
+def constant_candidates(users: DataFrame, items: DataFrame) -> DataFrame:
+    """Every user x a fixed scored list (``vacancy_id, score``).
 
-    The list (``vacancy_id, score``) is turned into one array by a scalar
-    subquery (at most ``max_items`` entries, checked at run time) and
-    inlined per user: no join, no shuffle of ``users``."""
-    packed = items.agg(
-        F.when(F.count(F.lit(1)) <= max_items,
-               F.collect_list(F.struct(F.col("vacancy_id").cast("bigint").alias("vacancy_id"),
-                                       F.col("score").cast("double").alias("score"))))
-         .otherwise(F.raise_error(F.lit(f"constant list longer than {max_items}"))))
-    return users.select("user_id").distinct().select("user_id", F.inline(packed.scalar()))
+    The result is the product, so the list goes once to each share of the
+    users (as many shares as shuffle partitions) and meets them in an equi-join on
+    the share; the list may have any length and is not inlined."""
+    shares = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = users.select("user_id").distinct().withColumn("_share", F.pmod(F.xxhash64("user_id"), F.lit(shares)).cast("int"))
+    listed = items.select(F.col("vacancy_id").cast("bigint").alias("vacancy_id"), F.col("score").cast("double").alias("score"),
+                          F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("_share"))
+    return own.join(listed, "_share").drop("_share")
 
 
 # ---------------------------------------------------------------- R24
@@ -187,8 +171,3 @@ def cold_user_items(test: DataFrame, train_users: DataFrame) -> DataFrame:
     session's items in session order, score 0."""
     cold = test.join(train_users.select("user_id").distinct(), "user_id", "left_anti")
     return cold.select("user_id", "session_id", "vacancy_id", "pos", F.lit(0.0).alias("score"))
-
-
-def direction(score: Column, lower_is_better: bool) -> Column:
-    """Q2: rankers receive "higher is better"."""
-    return -score if lower_is_better else score

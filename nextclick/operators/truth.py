@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from nextclick.functions.arrays import all_but_last, first_match_struct, last_element
-from nextclick.functions.ranks import average_rank
 from nextclick.schemas import RESPONSE
 
 
@@ -29,69 +27,39 @@ def time_split(sessions: DataFrame, train: tuple[str, str], validation: tuple[st
     return in_range(sessions, *train, col=col), in_range(sessions, *validation, col=col)
 
 
-def next_response_truth(validation: DataFrame, min_len: int = 2, max_len: int = 29,
-                        method: str = "window") -> DataFrame:
+def next_response_truth(validation: DataFrame, min_len: int = 2, max_len: int = 29) -> DataFrame:
     """One (history session, next response) pair per user at most.
 
     Sessions get the average rank of ``session_dt`` inside the user. The
     target is the user's earliest response (then smallest item, then
     session id) in any session of rank > 1; ``target_dt`` is that session's
     start. The history is the user's session at rank ``target rank - 1``
-    with ``min_len`` to ``max_len`` items.
-
-    ``method="window"``: windows partitioned by ``user_id`` (one shuffle;
-    each user's sessions meet in one task). ``method="aggregate"``: only
-    partial aggregations and joins, so a user holding a large share of the
-    sessions is spread over many tasks (see ``_truth_by_aggregation``).
-    """
-    if method == "aggregate":
-        return _truth_by_aggregation(validation, min_len, max_len)
-    ranked = validation.withColumn("val_session_rank", average_rank("user_id", "session_dt"))
-    first_resp = first_match_struct("action_dt", "vacancy_id", "action_type", RESPONSE)
-    cand = F.when(F.col("val_session_rank") > 1, F.struct(
-        first_resp["dt"].alias("dt"), first_resp["item"].alias("item"),
-        F.col("session_id").alias("sid"), F.col("val_session_rank").alias("rank"),
-        F.col("session_dt").alias("sdt")))
-    # Rows without a response give a struct of NULLs from the field access;
-    # keep only real candidates for the minimum.
-    cand = F.when(first_resp.isNotNull(), cand)
-    target = F.min(cand).over(W.partitionBy("user_id"))
-    paired = ranked.withColumn("t", target)
-    size = F.size("vacancy_id")
-    return (paired
-            .where(F.col("t").isNotNull()
-                   & (F.col("val_session_rank") == F.col("t.rank") - 1)
-                   & (size >= min_len) & (size <= max_len))
-            .withColumn("target", F.col("t.item"))
-            .withColumn("target_dt", F.col("t.sdt"))
-            .drop("t"))
-
-
-def _truth_by_aggregation(validation: DataFrame, min_len: int, max_len: int) -> DataFrame:
-    """R3 without per-user windows.
+    with ``min_len`` to ``max_len`` items. A session without a user or
+    without a time has no rank: it is in no pair and shifts no other.
 
     Sessions of a user that share ``session_dt`` form a tie group; group j
     (by time) of size c_j has average rank C_{j-1} + (c_j + 1) / 2, C the
     running count. Rank > 1 fails only for a lone first group. Two average
     ranks differ by exactly 1 only for neighbouring groups of size 1, so
     the history is the single session of the group just before the
-    target's, both groups of size 1, and its rank is C_{j-1}.
+    target's, both groups of size 1, and its rank is C_{j-1}. (A lone
+    session is found again by its user and time; ``session_id`` may repeat.)
 
     Plan: groupBy (user, session_dt) -> per-user first group (groupBy user)
     -> per-user target (groupBy user) -> previous group and running count
     (groupBy user over groups before the target) -> join the history
-    session back on (user, session). Every step is a partial aggregation
+    session back on (user, session_dt). Every step is a partial aggregation
     or a join whose other side has one row per user (AQE splits a hot
-    partition), so no task holds one user's sessions.
+    partition), so no task holds one user's sessions, whatever their number.
     """
     first_resp = first_match_struct("action_dt", "vacancy_id", "action_type", RESPONSE)
-    s = validation.select("user_id", "session_id", "session_dt", first_resp.alias("fr"))
+    known = validation.where(F.col("user_id").isNotNull() & F.col("session_dt").isNotNull())
+    s = known.select("user_id", "session_id", "session_dt", first_resp.alias("fr"))
     groups = s.groupBy("user_id", "session_dt").agg(
         F.count(F.lit(1)).alias("c"),
         F.min(F.when(F.col("fr").isNotNull(), F.struct(
             F.col("fr.dt").alias("dt"), F.col("fr.item").alias("item"),
-            F.col("session_id").alias("sid")))).alias("r"),
-        F.min("session_id").alias("sid"))
+            F.col("session_id").alias("sid")))).alias("r"))
     first = groups.groupBy("user_id").agg(
         F.min(F.struct("session_dt", "c")).alias("g1"))
     eligible = (groups.join(first, "user_id")
@@ -103,16 +71,16 @@ def _truth_by_aggregation(validation: DataFrame, min_len: int, max_len: int) ->
     target = target.where(F.col("t.c") == 1)
     before = (groups.join(target, "user_id").where(F.col("session_dt") < F.col("t.sdt"))
                     .groupBy("user_id").agg(
-                        F.max(F.struct("session_dt", "c", "sid")).alias("prev"),
+                        F.max(F.struct("session_dt", "c")).alias("prev"),
                         F.sum("c").alias("cum"),
                         F.first("t").alias("t")))
     pairs = (before.where(F.col("prev.c") == 1)
-                   .select("user_id", F.col("prev.sid").alias("session_id"),
+                   .select("user_id", F.col("prev.session_dt").alias("session_dt"),
                            F.col("cum").cast("double").alias("val_session_rank"),
                            F.col("t.item").alias("target"), F.col("t.sdt").alias("target_dt")))
     size = F.size("vacancy_id")
-    hist = validation.where((size >= min_len) & (size <= max_len))
-    return hist.join(pairs, ["user_id", "session_id"])
+    hist = known.where((size >= min_len) & (size <= max_len))
+    return hist.join(pairs, ["user_id", "session_dt"])
 
 
 def leave_last_out(sessions: DataFrame) -> DataFrame:

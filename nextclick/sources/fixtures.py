@@ -25,9 +25,6 @@ RETURNFLAG_ACTIONS = {"R": 1, "N": 2}  # every other flag is 3
 
 F1_TRAIN = ("2024-01-01", "2024-01-16")
 F1_VALIDATION = ("2024-01-16", "2024-01-31")
-# The source's quick "micro" split: two days of train, the next two of validation.
-F1_MICRO_TRAIN = ("2024-01-01", "2024-01-03")
-F1_MICRO_VALIDATION = ("2024-01-03", "2024-01-05")
 F2_TRAIN = ("1995-01-01", "1998-01-01")
 F2_VALIDATION = ("1998-01-01", "2002-01-01")
 
@@ -36,12 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1 as flat interactions ``user_id, session_id, vacancy_id, action_type, action_dt``."""
+def events_interactions(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    """F1 as flat interactions ``user_id, session_id, vacancy_id, action_type, action_dt``.
+    ``hot`` gives a third of all users' sessions to one user, 0."""
     ev = table(spark, sf_dir, "events").where(F.col("event_type").isin(*EVENT_ACTIONS))
     code = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_ACTIONS.items()])
+    user = F.when(F.lit(hot) & (F.col("user_id") % 3 == 0), F.lit(0)).otherwise(F.col("user_id"))
     return ev.select(
-        F.col("user_id").cast("bigint").alias("user_id"),
+        user.cast("bigint").alias("user_id"),
         F.concat(F.col("user_id").cast("string"), F.lit("_"),
                  F.date_format("ts", "yyyyMMdd")).alias("session_id"),
         F.get_json_object("props", "$.k").cast("bigint").alias("vacancy_id"),
@@ -96,8 +95,8 @@ def to_session_log(interactions: DataFrame) -> DataFrame:
         F.col("a.action_dt").alias("action_dt"))
 
 
-def events_session_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_session_log(events_interactions(spark, sf_dir))
+def events_session_log(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    return to_session_log(events_interactions(spark, sf_dir, hot))
 
 
 def orders_session_log(spark: SparkSession, sf_dir: str, tie_times: bool = False) -> DataFrame:
