@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from nextclick.functions.weights import ALS_WEIGHTS, map_weight
 from nextclick.operators.dictionary import encode, fit_dictionary
-from nextclick.operators.knn import _streamed_topk
+from nextclick.operators.knn import streamed_topk
 
 
 def user_item_matrix(train: DataFrame, weights: dict[int, float] | None = None,
@@ -43,12 +43,13 @@ class AlsRecommender:
         self.model = als.fit(self.matrix.select(F.col("u").cast("int"), F.col("i").cast("int"), "weight"))
         return self
 
-    def recommend(self, users: DataFrame, n: int = 100, block_rows: int = 4096) -> DataFrame:
+    def recommend(self, users: DataFrame, n: int = 100, block_rows: int = 8192) -> DataFrame:
         """Top ``n`` items per known user by predicted preference, items the
-        user already has left out exactly: the user's known items travel to
-        the user's block and are masked before selection, so no over-fetch
-        cap is needed and exactly ``n`` rows (or all unknown items) come out
-        per user. Returns ``user_id, vacancy_id, score, pos``."""
+        user already has left out exactly: a known pair travels to the user's
+        block and is masked with the block of items it is in, so no
+        over-fetch is needed, a user with very many known items never has
+        them in memory together, and exactly ``n`` rows (or all unknown
+        items) come out per user. Returns ``user_id, vacancy_id, score, pos``."""
         wanted = (encode(users.select("user_id").distinct(), self.users, "user_id", "u")
                   .where(F.col("u").isNotNull()).select("u"))
         uf = (self.model.userFactors.select(F.col("id").cast("bigint").alias("key"),
@@ -58,9 +59,7 @@ class AlsRecommender:
                                             F.col("features").cast("array<double>").alias("vec"))
         known = (self.matrix.select(F.col("u").cast("bigint").alias("key"), F.col("i").alias("other"))
                  .join(wanted.select(F.col("u").alias("key")), "key", "left_semi"))
-        cores = uf.sparkSession.sparkContext.defaultParallelism
-        top = _streamed_topk(uf, n, False, dense=True, block_rows=block_rows, min_blocks=2 * cores,
-                             candidates=itf, exclude=known)
+        top = streamed_topk(uf, n, candidates=itf, exclude=known, block_rows=block_rows)
         top = top.select(F.col("anchor_vacancy_id").alias("u"), F.col("recom_vacancy_id").alias("i"),
                          "score", "pos")
         return (top.join(self.users, "u").join(self.items, "i")

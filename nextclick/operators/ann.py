@@ -1,64 +1,80 @@
-"""Approximate and cluster-based neighbour lists: IVF search (R9) and
+"""Approximate and cluster-based neighbour lists: cell search (R9) and
 cluster kNN (R10), both on k-means over item vectors (Spark ML)."""
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nextclick.operators.knn import dense_i2i, query_topk
+from nextclick.operators.knn import SCORE_DIGITS, cell_topk, query_topk, unit_vectors
+from nextclick.sources.tables import materialise
 
 
-def unit_vectors(vectors: DataFrame) -> DataFrame:
-    """L2-normalise ``vec``; zero vectors are dropped (0/0)."""
-    vec = F.col("vec").cast("array<double>")
-    norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x))
-    return (vectors.withColumn("_n", norm).where(F.col("_n") > 0)
-                   .withColumn("vec", F.transform(vec, lambda x: x / F.col("_n"))).drop("_n"))
+def fit_centers(vectors: DataFrame, k: int, seed: int = 42, max_iter: int = 20) -> np.ndarray:
+    """Unit centres of a k-means over unit vectors (at most ``k`` rows)."""
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(vectors.withColumn("features", array_to_vector("vec")))
+    return unit_rows(np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()]))
 
 
-def fit_kmeans(vectors: DataFrame, k: int, seed: int = 42, max_iter: int = 20):
-    data = vectors.withColumn("features", array_to_vector("vec"))
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(data)
+def unit_rows(m: np.ndarray) -> np.ndarray:
+    n = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.where(n > 0, m / np.where(n > 0, n, 1), 0.0)
 
 
-def assign_cells(vectors: DataFrame, model) -> DataFrame:
-    data = vectors.withColumn("features", array_to_vector("vec"))
-    return model.transform(data).select("key", "vec", F.col("prediction").alias("cell"))
+def nearest_cells(vectors: DataFrame, centers: np.ndarray) -> DataFrame:
+    """``key, vec, cells``: all cells of an item, nearest (largest cosine, then smallest number) first."""
+    @F.pandas_udf("array<int>")
+    def order(v: pd.Series) -> pd.Series:
+        if not len(v):
+            return pd.Series([], dtype=object)
+        s = np.round(np.vstack(v.to_numpy()) @ centers.T, SCORE_DIGITS)
+        return pd.Series(list(np.argsort(-s, axis=1, kind="stable").astype("int32")))
 
+    return vectors.select("key", "vec", order("vec").alias("cells"))
 
-def ivf_i2i(vectors: DataFrame, nlist: int = 100, asked: int = 100, seed: int = 42) -> DataFrame:
-    """R9 (re-aimed from a graph index to an inverted file): k-means with
-    ``nlist`` cells on unit vectors; every item is searched exactly, by
-    cosine, among the items of its own cell (one probe). The block-pair
-    product runs per cell, so a crowded cell is still split into blocks.
-    Recall against the exact list (R4) is the quality measure."""
-    unit = unit_vectors(vectors)
-    if nlist <= 1:  # one cell: the exact search
-        cells = unit.withColumn("cell", F.lit(0))
-    else:
-        cells = assign_cells(unit, fit_kmeans(unit, nlist, seed))
-    return dense_i2i(cells, asked=asked, normalise=False, group_col="cell")
 
+def ivf_i2i(vectors: DataFrame, nlist: int = 100, nprobe: int = 1, asked: int = 100, seed: int = 42) -> DataFrame:
+    """R9 (re-aimed from a graph index to an inverted file): unit vectors in
+    ``nlist`` k-means cells; every item is searched exactly, by cosine, in
+    its ``nprobe`` nearest cells, and in further ones, in order of
+    nearness, until those hold ``asked`` items: every item gets its full
+    list of ``asked - 1`` (or all others). ``nprobe = nlist`` is the exact
+    search. Recall against the exact list (R4) is the quality measure."""
+    unit = materialise(unit_vectors(vectors), "ivf_vectors")
+    placed = materialise(nearest_cells(unit, fit_centers(unit, nlist, seed)), "ivf_cells")
+    counts = {r["cell"]: r["n"] for r in placed.groupBy(F.col("cells")[0].alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = np.array([counts.get(i, 0) for i in range(nlist)])  # one number per cell
 
-def cluster_knn(vectors: DataFrame, n_clusters: int = 100, top_size: int = 300,
-                seed: int = 42) -> DataFrame:
+    @F.pandas_udf("array<int>")
+    def probes(cells: pd.Series) -> pd.Series:
+        out = []
+        for c in cells:
+            held = np.cumsum(sizes[c])
+            need = min(asked, held[-1])
+            out.append(c[: max(nprobe, int(np.searchsorted(held, need)) + 1)])
+        return pd.Series(out, dtype=object)
+
+    queries = placed.select("key", "vec", F.explode(probes("cells")).alias("cell"))
+    return cell_topk(queries, placed.select("key", "vec", F.col("cells")[0].alias("cell")), asked - 1)
+
+
+def cluster_knn(vectors: DataFrame, n_clusters: int = 100, top_size: int = 300, seed: int = 42,
+                centers: np.ndarray | None = None) -> DataFrame:
     """K-means on unit vectors; for every centroid the ``top_size``
     nearest items (by cosine to the centroid) are listed once; a query item
-    gets its own centroid's list (the asked k is ignored, as in the source).
-    Centroids are bounded by ``n_clusters`` and ship with the task closure.
-    Returns i2i rows ``anchor_vacancy_id, recom_vacancy_id, score, pos``."""
-    unit = unit_vectors(vectors)
-    model = fit_kmeans(unit, n_clusters, seed)
-    centers = np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
-    norms = np.linalg.norm(centers, axis=1, keepdims=True)
-    centers = np.where(norms > 0, centers / np.where(norms > 0, norms, 1), 0.0)
+    gets the list of its nearest centroid (the asked k is ignored, as in the
+    source). Centroids, fitted or given, are bounded by their number and
+    ship with the task closure. Returns i2i rows ``anchor_vacancy_id,
+    recom_vacancy_id, score, pos``."""
+    unit = materialise(unit_vectors(vectors), "cluster_vectors")
+    centers = fit_centers(unit, n_clusters, seed) if centers is None else unit_rows(centers)
     lists = query_topk(np.arange(len(centers), dtype=np.int64), centers, unit, top_size)
     lists = lists.select(F.col("anchor_vacancy_id").alias("cell"), "recom_vacancy_id", "score", "pos")
-    cells = assign_cells(unit, model).select(F.col("key").alias("anchor_vacancy_id"), "cell")
+    cells = nearest_cells(unit, centers).select(F.col("key").alias("anchor_vacancy_id"), F.col("cells")[0].cast("bigint").alias("cell"))
     return cells.join(lists, "cell").drop("cell")
 
 

@@ -1,18 +1,22 @@
-"""Exact item-to-item neighbour lists (R4 dense, R5 sparse) and the
-query-vs-candidate top-k used by cluster kNN (R10), IVF (R9) and ALS (R16).
-
-Plan (``_streamed_topk``). Items are hashed into anchor blocks sized from
-the item count (and, for sparse vectors, the non-zeros). Every item row
-goes once to its own anchor block and once to every anchor block as a
-candidate; rows are range-partitioned by anchor block and sorted by
-(anchor block, role, candidate block), so one task streams the candidate
-blocks past one anchor block. ``mapInPandas`` multiplies each pair of
-blocks with NumPy and keeps a running best ``k`` per anchor: the task holds
-one anchor block, one candidate block and ``k`` per anchor, and emits
-exactly ``k`` rows per anchor. There is no cartesian join, no row per item
-pair, and no merge afterwards. Sparse vectors with more non-zeros than a
-bound ("hot" items) are scored by a join on the token instead, so no
-vector larger than the bound is ever held whole (``sparse_i2i``).
+"""Exact item-to-item neighbour lists (R4 dense, R5 sparse) and top-k
+searches used by cluster kNN (R10), the cell index (R9) and ALS (R16).
+
+Dense vectors (``streamed_topk``). Items are hashed into anchor blocks of
+``block_rows``; every item row goes once to its own anchor block and once
+to every anchor block as a candidate. Rows are range-partitioned by anchor
+block and sorted by (anchor block, candidate block), so one task streams
+small candidate blocks past one anchor block, multiplies them in NumPy and
+keeps a running best ``k`` per anchor: it holds one anchor block, one
+candidate block and ``k`` per anchor, and emits exactly ``k`` rows per
+anchor. The number of copies of a vector is the number of anchor blocks,
+``n / block_rows``; it does not depend on the cluster. An exact dense
+search stays quadratic; at scale use the cell index (R9).
+
+Sparse vectors (``sparse_i2i``). Equal vectors are scored once. Pairs of
+different vectors come from a join on the token, each pair once
+(``a < b``), summed on the map side; a token of many items is dealt out as
+pairs of blocks of its items, so no key of the join holds more than
+``token_rows`` x ``token_rows`` pairs. The work follows the shared tokens.
 
 Ties: scores are rounded to ``SCORE_DIGITS`` places before ranking and
 broken by the candidate id (ascending), everywhere.
@@ -28,137 +32,35 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from nextclick.sources.tables import materialise
+
 SCORE_DIGITS = 9
 OUT_SCHEMA = "anchor_vacancy_id long, recom_vacancy_id long, score double"
+STREAM_SCHEMA = OUT_SCHEMA + ", pos int"
+_NO_ID = np.iinfo(np.int64).max
 
 
 # ----------------------------------------------------------------- helpers
-def _topk_rows(scores: np.ndarray, qkeys: np.ndarray, ckeys: np.ndarray, k: int) -> pd.DataFrame:
-    """Best ``k`` columns per row, ties broken by column order; ``ckeys``
-    must be ascending so that this is the smallest candidate id. A
-    partition finds each row's k-th value in linear time; only the chosen
-    ``k`` entries per row are sorted. Non-finite scores are never emitted."""
-    if scores.size == 0 or k <= 0:
-        return pd.DataFrame({"anchor_vacancy_id": np.array([], dtype="int64"),
-                             "recom_vacancy_id": np.array([], dtype="int64"),
-                             "score": np.array([], dtype="float64")})
-    n = scores.shape[1]
-    kk = min(k, n)
-    if kk < n:
-        thr = np.partition(scores, n - kk, axis=1)[:, n - kk][:, None]
-        above = scores > thr
-        need = kk - above.sum(axis=1, keepdims=True)
-        tie = scores == thr
-        sel = above | (tie & (np.cumsum(tie, axis=1) <= need))
-    else:
-        sel = np.ones_like(scores, dtype=bool)
-    sel &= np.isfinite(scores)
-    rows, cols = np.nonzero(sel)
-    vals = scores[rows, cols]
-    order = np.lexsort((cols, -vals, rows))
-    rows, cols, vals = rows[order], cols[order], vals[order]
-    return pd.DataFrame({"anchor_vacancy_id": qkeys[rows].astype("int64"),
-                         "recom_vacancy_id": ckeys[cols].astype("int64"),
-                         "score": vals.astype("float64")})
-
-
-def _mask_self(scores: np.ndarray, qkeys: np.ndarray, ckeys: np.ndarray) -> None:
-    pos = np.searchsorted(ckeys, qkeys)
-    ok = (pos < len(ckeys)) & (ckeys[np.minimum(pos, len(ckeys) - 1)] == qkeys)
-    scores[np.nonzero(ok)[0], pos[ok]] = -np.inf
-
-
-def _dense_block(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    pdf = pdf.sort_values("key")
-    keys = pdf["key"].to_numpy()
-    mat = np.vstack(pdf["vec"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
-    return keys, mat
-
+def norm(vec: str = "vec") -> Column:
+    return F.sqrt(F.aggregate(F.col(vec).cast("array<double>"), F.lit(0.0).cast("double"), lambda acc, x: acc + x * x))
 
-def _sparse_dot(a: pd.DataFrame, b: pd.DataFrame, chunk: int = 4_000_000) -> tuple:
-    """Dot products of sparse rows ``(key, token, val)``: returns
-    ``(akeys, bkeys, S)`` with ``S`` dense ``|akeys| x |bkeys|``.
-    Pairs are formed token by token in bounded chunks and summed into ``S``
-    with ``bincount``, so memory is ``S`` plus one chunk."""
-    akeys, ai = np.unique(a["key"].to_numpy(), return_inverse=True)
-    bkeys, bi = np.unique(b["key"].to_numpy(), return_inverse=True)
-    S = np.zeros(len(akeys) * len(bkeys), dtype=np.float64)
-    if len(akeys) == 0 or len(bkeys) == 0:
-        return akeys, bkeys, S.reshape(len(akeys), len(bkeys))
-    bt = b["token"].to_numpy()
-    border = np.argsort(bt, kind="stable")
-    bt, bi, bv = bt[border], bi[border], b["val"].to_numpy()[border]
-    at, av = a["token"].to_numpy(), a["val"].to_numpy()
-    lo = np.searchsorted(bt, at, side="left")
-    hi = np.searchsorted(bt, at, side="right")
-    cnt = hi - lo
-    has = np.nonzero(cnt)[0]
-    nb = len(bkeys)
-    start = 0
-    csum = np.cumsum(cnt[has])
-    while start < len(has):
-        # take a run of A entries whose pair count fits the chunk
-        base = csum[start - 1] if start else 0
-        end = int(np.searchsorted(csum, base + chunk, side="right"))
-        end = max(end, start + 1)
-        sel = has[start:end]
-        reps = cnt[sel]
-        arow = np.repeat(ai[sel], reps)
-        aval = np.repeat(av[sel], reps)
-        offs = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
-        bpos = np.repeat(lo[sel], reps) + offs
-        S += np.bincount(arow * nb + bi[bpos], weights=aval * bv[bpos], minlength=S.size)
-        start = end
-    return akeys, bkeys, S.reshape(len(akeys), nb)
-
-
-def _blocks(n_items: int, nnz: int, max_rows: int, max_nnz: int) -> int:
-    return max(1, math.ceil(n_items / max_rows), math.ceil(nnz / max_nnz))
 
-
-def _final_topk(parts: DataFrame, keep: int) -> DataFrame:
-    rank = F.row_number().over(W.partitionBy("anchor_vacancy_id").orderBy(
-        F.col("score").desc(), F.col("recom_vacancy_id").asc()))
-    return (parts.withColumn("pos", rank).where(F.col("pos") <= keep)
-                 .withColumn("pos", F.col("pos").cast("int")))
-
-
-# ----------------------------------------------------------------- R4
-def dense_i2i(vectors: DataFrame, asked: int = 100, normalise: bool = True,
-              max_block_rows: int = 4096, max_block_values: int = 16_000_000,
-              group_col: str | None = None) -> DataFrame:
-    """Exact cosine neighbour list for ``key, vec array<double>``.
-    Zero vectors are dropped before the search (they have no direction).
-    With ``group_col`` only items of the same group are compared (the
-    per-cell search of IVF, R9). Streamed per anchor block
-    (``_streamed_topk``): exactly ``asked - 1`` rows per item."""
-    vec = F.col("vec").cast("array<double>")
-    if normalise:
-        norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x))
-        vectors = (vectors.withColumn("_n", norm).where(F.col("_n") > 0)
-                          .withColumn("vec", F.transform(vec, lambda x: x / F.col("_n"))).drop("_n"))
-    cols = ["key", "vec"] + ([group_col] if group_col else [])
-    vectors = vectors.select(*cols)
-    stats = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
-    n, d = int(stats["n"] or 0), int(stats["d"] or 1)
-    block_rows = max(1, min(max_block_rows, max_block_values // max(d, 1)))
-    cores = vectors.sparkSession.sparkContext.defaultParallelism
-    min_blocks = 1 if group_col else max(1, min(2 * cores, n))
-    return _streamed_topk(vectors, asked - 1, False, dense=True, block_rows=block_rows,
-                          min_blocks=min_blocks, group_col=group_col)
-
-
-# ----------------------------------------------------------------- streamed top-k
-_NO_ID = np.iinfo(np.int64).max
+def unit_vectors(vectors: DataFrame) -> DataFrame:
+    """L2-normalise ``vec``. A vector without a direction (all zero, or
+    with a NaN, infinite or missing coordinate) is dropped."""
+    n = F.col("_n")
+    return (vectors.withColumn("_n", norm()).where((n > 0) & ~F.isnan(n) & (n < float("inf")))
+                   .withColumn("vec", F.transform(F.col("vec").cast("array<double>"), lambda x: x / F.col("_n"))).drop("_n"))
 
 
 def _block_best(S: np.ndarray, cids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Per row, the best ``k`` (score desc, id asc) of one block as dense
-    ``(rows x k)`` arrays, padded with ``-inf`` / no id. ``cids`` ascending."""
+    ``(rows x k)`` arrays, padded with ``-inf`` / no id. ``cids`` ascending.
+    A partition finds each row's k-th value in linear time."""
     na, nc = S.shape
     if nc <= k:
         pad = k - nc
@@ -173,23 +75,6 @@ def _block_best(S: np.ndarray, cids: np.ndarray, k: int) -> tuple[np.ndarray, np
     return S[rows, cols].reshape(na, k), cids[cols].reshape(na, k)
 
 
-def _block_best_sparse(S: np.ndarray, cids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """``_block_best`` for a mostly non-finite ``S`` (only positive scores
-    kept): works on the finite entries alone."""
-    na = S.shape[0]
-    rows, cols = np.nonzero(np.isfinite(S))
-    vals = S[rows, cols]
-    order = np.lexsort((cols, -vals, rows))
-    rows, cols, vals = rows[order], cols[order], vals[order]
-    pos = np.arange(len(rows)) - np.searchsorted(rows, np.arange(na))[rows]
-    keep = pos < k
-    out_s = np.full((na, k), -np.inf)
-    out_i = np.full((na, k), _NO_ID, dtype=np.int64)
-    out_s[rows[keep], pos[keep]] = vals[keep]
-    out_i[rows[keep], pos[keep]] = cids[cols[keep]]
-    return out_s, out_i
-
-
 def _merge_best(bs, bi, ns, ni, k):
     s = np.concatenate([bs, ns], axis=1)
     i = np.concatenate([bi, ni], axis=1)
@@ -197,286 +82,233 @@ def _merge_best(bs, bi, ns, ni, k):
     return np.take_along_axis(s, order, axis=1), np.take_along_axis(i, order, axis=1)
 
 
-STREAM_SCHEMA = "anchor_vacancy_id long, recom_vacancy_id long, score double, pos int"
-
-
-def _streamed_topk(items: DataFrame, k: int, include_self: bool, dense: bool, block_rows: int,
-                   min_blocks: int = 1, group_col: str | None = None, max_groups: int = 100_000,
-                   positive_only: bool = False, candidates: DataFrame | None = None,
-                   exclude: DataFrame | None = None) -> DataFrame:
-    """Exact best ``k`` per item, streamed, for bounded item rows: dense
-    ``key, vec`` or sparse packed ``key, tokens, vals`` (+ ``group_col``:
-    only items of the same group are compared, e.g. IVF cells).
-
-    Items are hashed into anchor blocks of about ``block_rows`` items per
-    group (the per-group counts are a small table, at most ``max_groups``
-    rows, checked, then broadcast). Every item row goes once to its own
-    anchor block and once to every anchor block of its group as a
-    candidate; rows are range-partitioned by (group, anchor block) and
-    sorted by (group, anchor block, role, candidate block). ``mapInPandas``
-    holds one anchor block, one candidate block and a running top-k per
-    anchor, and emits exactly ``k`` rows per anchor with their positions:
-    no all-pairs rows and no merge afterwards.
-
-    ``candidates`` (same columns, no groups) makes the search two-sided:
-    anchors come from ``items``, candidates from ``candidates``.
-    ``exclude`` (``key, other``) lists pairs never to return; they travel
-    to the anchor's block as rows of their own and are masked in place,
-    so no over-fetch is needed."""
-    g = F.col(group_col) if group_col else F.lit(0)
-    base = items.withColumn("_g", g.cast("long"))
-    sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.withColumn("_nb", F.greatest(F.lit(1), F.least(
-        F.col("_n"), F.greatest(F.lit(min_blocks), F.ceil(F.col("_n") / F.lit(block_rows)))).cast("int")))
-    # one small job: the per-group table is bounded (checked) before it is broadcast
-    got = sizes.select("_g", "_nb").limit(max_groups + 1).collect()
-    if len(got) > max_groups:
-        raise ValueError(f"more than {max_groups} groups: above the broadcast bound")
-    total_blocks = max(1, sum(int(r["_nb"]) for r in got))
-    sizes = base.sparkSession.createDataFrame(got, "_g long, _nb int")  # bounded: checked above
-    payload = ["vec"] if dense else ["tokens", "vals"]
-    if group_col is None:  # one group: the block count is a constant
-        nb0 = int(got[0]["_nb"]) if got else 1
-        base = base.withColumn("_nb", F.lit(nb0))
-    else:
-        if candidates is not None or exclude is not None:
-            raise ValueError("two-sided search and exclusions are for ungrouped items")
-        base = base.join(F.broadcast(sizes.select("_g", "_nb")), "_g")
-    base = base.withColumn("own", F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int"))
-    anchors = base.select("_g", F.col("own").alias("ab"), F.lit(0).alias("role"), F.lit(-1).alias("cb"),
-                          "key", *payload)
-    if candidates is None:
-        cands = base.select("_g", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("ab"),
-                            F.lit(2).alias("role"), F.col("own").alias("cb"), "key", *payload)
-    else:  # two-sided: candidate blocks of their own size, sent to every anchor block
-        nc = max(1, -(-candidates.count() // block_rows))
-        cands = (candidates.withColumn("_g", F.lit(0).cast("long")).withColumn("_nb", F.lit(nb0))
-                           .select("_g", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("ab"),
-                                   F.lit(2).alias("role"),
-                                   F.pmod(F.xxhash64("key"), F.lit(nc)).cast("int").alias("cb"),
-                                   "key", *payload))
-    parts = [anchors, cands]
-    if exclude is not None:  # a pair's row goes to the anchor's own block
-        ex = (exclude.withColumn("_g", F.lit(0).cast("long")).withColumn("_nb", F.lit(nb0))
-                     .select("_g", F.pmod(F.xxhash64("key"), F.col("_nb")).cast("int").alias("ab"),
-                             F.lit(1).alias("role"), F.lit(-1).alias("cb"), "key",
-                             F.col("other").cast("long").alias("other")))
-        parts.append(ex)
-    rows = parts[0]
-    for p_ in parts[1:]:
-        rows = rows.unionByName(p_, allowMissingColumns=True)
-    rows = (rows.repartitionByRange(max(1, total_blocks), "_g", "ab")
-                .sortWithinPartitions("_g", "ab", "role", "cb", "key"))
-
-    two_sided = candidates is not None  # a plain flag: the closure must not hold a DataFrame
-
-    def unpack(df: pd.DataFrame) -> pd.DataFrame:
-        lens = df["tokens"].map(len).to_numpy()
-        if lens.sum() == 0:
-            return pd.DataFrame({"key": np.array([], dtype="int64"), "token": np.array([], dtype="int64"),
-                                 "val": np.array([], dtype="float64")})
-        return pd.DataFrame({"key": np.repeat(df["key"].to_numpy(), lens),
-                             "token": np.concatenate(df["tokens"].to_numpy()).astype("int64"),
-                             "val": np.concatenate(df["vals"].to_numpy()).astype("float64")})
-
-    def prepare(df: pd.DataFrame):
-        if dense:
-            return _dense_block(df[["key", "vec"]])
-        flat = unpack(df)
-        return np.unique(flat["key"].to_numpy()), flat
-
-    def scores(a, c):
-        if dense:
-            (ak, am), (ck, cm) = a, c
-            return ak, ck, np.round(am @ cm.T, SCORE_DIGITS)
-        ak, ck, S = _sparse_dot(a[1], c[1])
-        return ak, ck, np.round(S, SCORE_DIGITS)
+def _mask(scores: np.ndarray, rows: np.ndarray, ids: np.ndarray, ckeys: np.ndarray) -> None:
+    """Rule out the pairs (row, id) that are in this block."""
+    pos = np.searchsorted(ckeys, ids)
+    ok = (pos < len(ckeys)) & (ckeys[np.minimum(pos, len(ckeys) - 1)] == ids)
+    scores[rows[ok], pos[ok]] = -np.inf
+
+
+def _dense_block(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    pdf = pdf.sort_values("key")
+    keys = pdf["key"].to_numpy().astype("int64")
+    mat = np.vstack(pdf["vec"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
+    return keys, mat
+
+
+def _final_topk(parts: DataFrame, keep: int) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy("anchor_vacancy_id").orderBy(
+        F.col("score").desc(), F.col("recom_vacancy_id").asc()))
+    return (parts.withColumn("pos", rank).where(F.col("pos") <= keep)
+                 .withColumn("pos", F.col("pos").cast("int")))
+
+
+# ----------------------------------------------------------------- R4
+def dense_i2i(vectors: DataFrame, asked: int = 100, normalise: bool = True, block_rows: int = 8192,
+              digits: int = SCORE_DIGITS) -> DataFrame:
+    """Exact cosine neighbour list for ``key, vec array<double>``:
+    ``asked - 1`` rows per item. Vectors without a direction are dropped."""
+    items = unit_vectors(vectors) if normalise else vectors
+    return streamed_topk(items.select("key", "vec"), asked - 1, block_rows=block_rows, digits=digits)
+
+
+def streamed_topk(items: DataFrame, k: int, candidates: DataFrame | None = None, exclude: DataFrame | None = None,
+                  block_rows: int = 8192, candidate_rows: int = 1024, digits: int = SCORE_DIGITS) -> DataFrame:
+    """Best ``k`` candidates by inner product per item of ``key, vec`` (see
+    the module's text). Without ``candidates`` the items are compared with
+    each other, themselves left out. ``exclude`` (``key, other``) lists
+    pairs never to return; a pair travels to its anchor block and is read
+    with the candidate block that holds its other side, so a key with very
+    many of them never has them in memory together."""
+    source = items if candidates is None else candidates
+    n, nc = items.count(), source.count()
+    blocks, parts = max(1, math.ceil(n / block_rows)), max(1, math.ceil(nc / candidate_rows))
+    anchor_block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    part = lambda c: F.pmod(F.xxhash64(c, F.lit(1)), F.lit(parts)).cast("int")
+    key, none = F.col("key").cast("bigint"), F.lit(None)
+    anchors = items.select(anchor_block(key).alias("ab"), F.lit(-1).alias("cb"), F.lit(0).alias("role"), key.alias("key"), "vec",
+                           none.cast("bigint").alias("other"))
+    rows = anchors.unionByName(source.select(
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("ab"), part(key).alias("cb"), F.lit(2).alias("role"), key.alias("key"), "vec",
+        none.cast("bigint").alias("other")))
+    if exclude is not None:
+        other = F.col("other").cast("bigint")
+        rows = rows.unionByName(exclude.select(anchor_block(key).alias("ab"), part(other).alias("cb"), F.lit(1).alias("role"), key.alias("key"),
+                                               none.cast("array<double>").alias("vec"), other.alias("other")))
+    rows = rows.repartitionByRange(blocks, "ab").sortWithinPartitions("ab", "cb", "role", "key")
+    apart = candidates is None  # a plain flag: the closure must not hold a DataFrame
 
     def run(batches):
-        st = {"block": None, "anchor": None, "akeys": None, "best": None, "cb": None, "parts": [],
-              "ex": None}
-        anchor_parts, ex_parts = [], []
+        at = anchor = best = None
+        held: list[pd.DataFrame] = []
 
-        def flush_candidates():
-            parts, st["parts"] = st["parts"], []
-            if st["cb"] is None or not parts or st["anchor"] is None:
+        def flush():
+            """Take in what was read of one (anchor block, candidate block)."""
+            nonlocal anchor, best
+            if not held:
                 return
-            ak, ck, S = scores(st["anchor"], prepare(pd.concat(parts, ignore_index=True)))
-            if positive_only:
-                S[S <= 0] = -np.inf
-            if not two_sided and st["cb"] == st["block"][1] and not include_self:
-                _mask_self(S, ak, ck)
-            if st["ex"] is not None:
-                ea, eo = st["ex"]
-                pos = np.searchsorted(ck, eo)
-                hit = (pos < len(ck)) & (ck[np.minimum(pos, len(ck) - 1)] == eo)
-                S[ea[hit], pos[hit]] = -np.inf
-            dense_block = dense or (np.isfinite(S).mean() > 0.1 if S.size else False)
-            ns, ni = _block_best(S, ck, k) if dense_block else _block_best_sparse(S, ck, k)
-            st["best"] = _merge_best(*st["best"], ns, ni, k)
-
-        def flush_anchor():
-            flush_candidates()
-            if st["akeys"] is not None:
-                bs, bi = st["best"]
-                r, c = np.nonzero(np.isfinite(bs))
-                yield pd.DataFrame({"anchor_vacancy_id": st["akeys"][r].astype("int64"),
-                                    "recom_vacancy_id": bi[r, c].astype("int64"),
-                                    "score": bs[r, c].astype("float64"), "pos": (c + 1).astype("int32")})
-            st.update(block=None, anchor=None, akeys=None, best=None, cb=None, ex=None)
-
-        def start_candidates():
-            if anchor_parts:
-                a = prepare(pd.concat(anchor_parts, ignore_index=True))
-                anchor_parts.clear()
-                if len(a[0]):
-                    st["anchor"], st["akeys"] = a, np.asarray(a[0])
-                    na = len(st["akeys"])
-                    st["best"] = (np.full((na, k), -np.inf), np.full((na, k), _NO_ID, dtype=np.int64))
-                    if ex_parts:
-                        ex = pd.concat(ex_parts, ignore_index=True)
-                        ek = ex["key"].to_numpy().astype("int64")
-                        ia = np.searchsorted(st["akeys"], ek)
-                        ok = (ia < na) & (st["akeys"][np.minimum(ia, na - 1)] == ek)
-                        st["ex"] = (ia[ok], ex["other"].to_numpy().astype("int64")[ok])
-            ex_parts.clear()
+            got = pd.concat(held, ignore_index=True)
+            held.clear()
+            role = got["role"].to_numpy()
+            if at[1] < 0:
+                anchor = _dense_block(got)
+                best = (np.full((len(anchor[0]), k), -np.inf), np.full((len(anchor[0]), k), _NO_ID, dtype=np.int64))
+                return
+            if anchor is None or not (role == 2).any():
+                return
+            keys, mat = anchor
+            ckeys, cmat = _dense_block(got[role == 2])
+            S = np.round(mat @ cmat.T, digits)
+            if apart:
+                _mask(S, np.arange(len(keys)), keys, ckeys)
+            out = got[role == 1]
+            if len(out):
+                ids = out["key"].to_numpy().astype("int64")
+                row = np.searchsorted(keys, ids)
+                ok = (row < len(keys)) & (keys[np.minimum(row, len(keys) - 1)] == ids)
+                _mask(S, row[ok], out["other"].to_numpy().astype("int64")[ok], ckeys)
+            best = _merge_best(*best, *_block_best(S, ckeys, k), k)
+
+        def done():
+            nonlocal anchor, best
+            if anchor is not None:
+                r, c = np.nonzero(np.isfinite(best[0]))
+                yield pd.DataFrame({"anchor_vacancy_id": anchor[0][r], "recom_vacancy_id": best[1][r, c],
+                                    "score": best[0][r, c], "pos": (c + 1).astype("int32")})
+            anchor = best = None
 
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            gv, ab, role, cb = (pdf[c].to_numpy().astype("int64") for c in ("_g", "ab", "role", "cb"))
-            change = (np.diff(gv) != 0) | (np.diff(ab) != 0) | (np.diff(role) != 0) | (np.diff(cb) != 0)
-            cuts = np.flatnonzero(change) + 1
+            ab, cb = (pdf[c].to_numpy().astype("int64") for c in ("ab", "cb"))
+            cuts = np.flatnonzero((np.diff(ab) != 0) | (np.diff(cb) != 0)) + 1
             for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(pdf)]):
-                run_df = pdf.iloc[lo:hi]
-                block = (int(gv[lo]), int(ab[lo]))
-                if block != st["block"]:
-                    yield from flush_anchor()
-                    anchor_parts.clear()
-                    ex_parts.clear()
-                    st["block"] = block
-                if role[lo] == 0:
-                    anchor_parts.append(run_df)
-                    continue
-                if role[lo] == 1:
-                    ex_parts.append(run_df[["key", "other"]])
+                if hi == lo:
                     continue
-                if st["anchor"] is None and anchor_parts:
-                    start_candidates()
-                if int(cb[lo]) != st["cb"]:
-                    flush_candidates()
-                    st["cb"] = int(cb[lo])
-                st["parts"].append(run_df)
-        yield from flush_anchor()
+                here = (int(ab[lo]), int(cb[lo]))
+                if here != at:
+                    flush()
+                    if at is not None and here[0] != at[0]:
+                        yield from done()
+                    at = here
+                held.append(pdf.iloc[lo:hi])
+        flush()
+        yield from done()
 
     return rows.mapInPandas(run, STREAM_SCHEMA)
 
 
-def _pack_sparse(unit: DataFrame) -> DataFrame:
-    """One row per (bounded) sparse vector: ``key, tokens, vals``."""
-    return (unit.groupBy("key")
-                .agg(F.sort_array(F.collect_list(F.struct("token", "val"))).alias("tv"))
-                .select("key", F.col("tv.token").alias("tokens"), F.col("tv.val").alias("vals")))
-
-
 # ----------------------------------------------------------------- R5
-def sparse_i2i(entries: DataFrame, asked: int = 100, max_block_rows: int = 2048,
-               max_block_nnz: int = 2_000_000, include_self: bool = False,
-               hot_nnz: int | None = None) -> DataFrame:
+def sparse_i2i(entries: DataFrame, asked: int = 100, include_self: bool = False, token_rows: int = 1024) -> DataFrame:
     """R5 (and R14): exact cosine neighbour list for sparse count vectors
     given flat as ``key, token, val``; zero vectors are dropped.
     ``include_self=True`` keeps the item among its own ``asked``
     neighbours (a plain kNN query) instead of removing it.
 
-    Plan:
-    1. Entries are L2-normalised (per-item sums are a partial aggregation)
-       and written once to the checkpoint folder with the per-item stats.
-    2. Items with more than ``hot_nnz`` non-zeros (default a quarter of a
-       block) are "hot": their scores come from a join on the token with
-       all entries, summed per (hot item, item): rows linear in the
-       entries, and AQE splits a hot token's partition. A hot vector
-       never sits whole in one group.
-    3. All other items go through the block-pair product, which emits
-       only positive scores, best ``k`` per item and block pair.
-    4. A full kNN query also lists items that share nothing (score 0, the
-       smallest ids first). Anchors with fewer than ``k`` positive
-       neighbours get them from the ``2k + 1`` smallest ids (a bounded
-       list, inlined by a scalar subquery), minus their positives.
+    1. Keys with the same vector (a digest of its entries) form a group; the smallest key speaks for it.
+    2. Dot products of groups from the token join; the best ``asked + 1`` groups of each group.
+    3. Groups become keys again (of a group only its smallest ``asked + 1`` keys can be needed).
+    4. A full kNN query also lists items that share nothing (score 0, the smallest ids first): groups whose list is
+       short get them from the smallest ids, a list of bounded length.
     """
-    from nextclick.sources.tables import materialise
-
     keep = asked if include_self else asked - 1
-    hot_nnz = hot_nnz or max(1, max_block_nnz // 4)
-    flat = materialise(entries.select(F.col("key").cast("bigint"), F.col("token").cast("bigint"),
-                                      F.col("val").cast("double")).where(F.col("val") != 0), "i2i_entries")
-    stats = materialise(flat.groupBy("key").agg(F.count(F.lit(1)).alias("nnz"),
-                                                 F.sqrt(F.sum(F.col("val") * F.col("val"))).alias("nrm")),
-                        "i2i_stats")
-    unit = (flat.join(stats.select("key", "nrm", "nnz"), "key")
-                .select("key", "token", (F.col("val") / F.col("nrm")).alias("val"),
-                        (F.col("nnz") > hot_nnz).alias("hot")))
-    tot = stats.agg(F.count(F.lit(1)).alias("n"), F.sum("nnz").alias("nnz"),
-                    F.sum((F.col("nnz") > hot_nnz).cast("int")).alias("h")).first()
-    n, nnz, n_hot = int(tot["n"] or 0), int(tot["nnz"] or 0), int(tot["h"] or 0)
-    # at least two anchor blocks per core for balance, never more than items
-    cores = entries.sparkSession.sparkContext.defaultParallelism
-    nb = max(1, min(max(_blocks(n, nnz, max_block_rows, max_block_nnz), 2 * cores), n))
-
-    cold = _pack_sparse(unit.where(~F.col("hot")).select("key", "token", "val"))
-    parts = _streamed_topk(cold, keep, include_self, dense=False, block_rows=max(1, -(-n // nb)),
-                           min_blocks=nb, positive_only=True).drop("pos")
-    if n_hot:
-        h = unit.where(F.col("hot")).select(F.col("key").alias("h"), "token", F.col("val").alias("hv"))
-        allv = unit.select(F.col("key").alias("b"), "token", F.col("val").alias("bv"), F.col("hot").alias("b_hot"))
-        dots = (h.join(allv, "token").groupBy("h", "b")
-                 .agg(F.round(F.sum(F.col("hv") * F.col("bv")), SCORE_DIGITS).alias("score"),
-                      F.first("b_hot").alias("b_hot"))
-                 .where(F.col("score") > 0))
-        if not include_self:
-            dots = dots.where(F.col("h") != F.col("b"))
-        fwd = dots.select(F.col("h").alias("anchor_vacancy_id"), F.col("b").alias("recom_vacancy_id"), "score")
-        back = dots.where(~F.col("b_hot") & (F.col("h") != F.col("b"))).select(
-            F.col("b").alias("anchor_vacancy_id"), F.col("h").alias("recom_vacancy_id"), "score")
-        parts = parts.unionByName(fwd).unionByName(back)
-    # written once: the fill below reads it three times
-    top = materialise(_final_topk(parts, keep), "i2i_top")
-    # zero-score fill for anchors short of `keep` positive neighbours
-    short = (stats.select(F.col("key").alias("anchor_vacancy_id"))
-                  .join(top.groupBy("anchor_vacancy_id").agg(F.count(F.lit(1)).alias("_c")),
-                        "anchor_vacancy_id", "left")
-                  .where(F.coalesce(F.col("_c"), F.lit(0)) < min(keep, max(n - (0 if include_self else 1), 0)))
-                  .select("anchor_vacancy_id"))
-    if short.isEmpty():
-        return top
-    smallest = (stats.select("key").orderBy("key").limit(2 * keep + 1)
-                     .agg(F.sort_array(F.collect_list("key")).alias("ids")))
+    wide = asked + 1
+    flat = materialise(entries.select(F.col("key").cast("bigint"), F.col("token").cast("bigint"), F.col("val").cast("double"))
+                              .where(F.col("val") != 0), "i2i_entries")
+    mark = lambda seed: F.sum(F.xxhash64("token", "val", F.lit(seed)).cast("decimal(38,0)"))
+    stats = flat.groupBy("key").agg(F.sqrt(F.sum(F.col("val") * F.col("val"))).alias("nrm"), F.count(F.lit(1)).alias("nnz"),
+                                    mark(1).alias("d1"), mark(2).alias("d2"))
+    stats = materialise(stats, "i2i_stats")
+    same = ["nnz", "d1", "d2"]
+    heads = stats.groupBy(*same).agg(F.min("key").alias("vid"), F.count(F.lit(1)).alias("members"))
+    members = materialise(stats.join(heads, same).select("key", "vid", "nrm"), "i2i_members")
+    n = members.count()
+
+    # 2. each pair of groups once
+    unit = (flat.join(members.where(F.col("key") == F.col("vid")), "key")
+                .select(F.col("vid"), "token", (F.col("val") / F.col("nrm")).alias("val")))
+    blocks = (unit.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+                  .select("token", F.ceil(F.col("_n") / F.lit(token_rows)).cast("int").alias("_nb")))
+    dealt = unit.join(blocks, "token").withColumn("_own", F.pmod(F.xxhash64("vid", "token"), F.col("_nb")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
+    left = dealt.select("token", F.col("_own").alias("_l"), every.alias("_r"), F.col("vid").alias("a"), F.col("val").alias("va"))
+    right = dealt.select("token", every.alias("_l"), F.col("_own").alias("_r"), F.col("vid").alias("b"), F.col("val").alias("vb"))
+    dots = (left.join(right, ["token", "_l", "_r"]).where(F.col("a") < F.col("b"))
+                .groupBy("a", "b").agg(F.round(F.sum(F.col("va") * F.col("vb")), SCORE_DIGITS).alias("score")).where(F.col("score") > 0))
+    both = dots.withColumn("p", F.explode(F.array(F.struct(F.col("a").alias("vid"), F.col("b").alias("other")),
+                                                  F.struct(F.col("b").alias("vid"), F.col("a").alias("other"))))).select("p.*", "score")
+    near = F.row_number().over(W.partitionBy("vid").orderBy(F.col("score").desc(), F.col("other").asc()))
+    groups = both.withColumn("_p", near).where(F.col("_p") <= wide).drop("_p")
+    itself = members.select("vid").distinct().select("vid", F.col("vid").alias("other"), F.lit(1.0).alias("score"))
+
+    # 3. keys of the groups
+    low = F.row_number().over(W.partitionBy("vid").orderBy("key"))
+    first = members.withColumn("_m", low).where(F.col("_m") <= wide).select(F.col("vid").alias("other"), F.col("key").alias("recom_vacancy_id"))
+    listed = groups.unionByName(itself).join(first, "other").select(F.col("vid").alias("anchor_vacancy_id"), "recom_vacancy_id", "score")
+    top = materialise(_final_topk(listed, wide), "i2i_top")
+
+    # 4. zero scores
+    short = (top.groupBy("anchor_vacancy_id").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") < min(wide, n)).select("anchor_vacancy_id"))
+    smallest = (members.select("key").orderBy("key").limit(2 * wide).agg(F.sort_array(F.collect_list("key")).alias("ids")))
     fill = (short.select("anchor_vacancy_id", F.explode(smallest.scalar()).alias("recom_vacancy_id"))
-                 .where(F.col("anchor_vacancy_id") != F.col("recom_vacancy_id"))
-                 .join(top.select("anchor_vacancy_id", "recom_vacancy_id"),
-                       ["anchor_vacancy_id", "recom_vacancy_id"], "left_anti")
+                 .join(top.select("anchor_vacancy_id", "recom_vacancy_id"), ["anchor_vacancy_id", "recom_vacancy_id"], "left_anti")
                  .withColumn("score", F.lit(0.0)))
-    filled = _final_topk(top.drop("pos").unionByName(fill), keep)
-    return filled
+    lists = _final_topk(top.drop("pos").unionByName(fill), wide).withColumnRenamed("anchor_vacancy_id", "vid")
+    each = members.select("vid", F.col("key").alias("anchor_vacancy_id"))
+    if include_self:
+        out = each.join(lists.where(F.col("pos") <= keep), "vid")
+    else:
+        lists = materialise(lists, "i2i_lists")
+        own = lists.select("vid", F.col("recom_vacancy_id").alias("anchor_vacancy_id"), F.col("pos").alias("_own"))
+        out = (each.join(own, ["vid", "anchor_vacancy_id"], "left").join(lists, "vid")
+                   .where(F.col("anchor_vacancy_id") != F.col("recom_vacancy_id"))
+                   .withColumn("pos", F.col("pos") - F.when(F.col("pos") > F.col("_own"), 1).otherwise(0)).where(F.col("pos") <= keep))
+    return out.select("anchor_vacancy_id", "recom_vacancy_id", "score", F.col("pos").cast("int").alias("pos"))
+
+
+# ----------------------------------------------------------------- R9 / R10
+def cell_topk(queries: DataFrame, candidates: DataFrame, k: int, rows: int = 2048) -> DataFrame:
+    """Best ``k`` candidates of the same ``cell`` per query (``key, vec,
+    cell``; a query may ask several cells), itself left out. A crowded cell
+    is dealt out as pairs of blocks; the lists of a query's blocks and cells
+    are merged at the end."""
+    blocks = F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int")
+    nq = queries.groupBy(F.col("cell").alias("_q")).agg(blocks.alias("nq"))
+    nc = candidates.groupBy(F.col("cell").alias("cell")).agg(blocks.alias("nc"))
+    sizes = materialise(nq.join(nc, F.col("_q") == F.col("cell")).select("cell", "nq", "nc"), "cell_blocks")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    q = queries.join(sizes, "cell").select("cell", own("nq").alias("qb"), every("nc").alias("cb"), "key", "vec")
+    c = candidates.join(sizes, "cell").select("cell", every("nq").alias("qb"), own("nc").alias("cb"), "key", "vec")
+
+    def block(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
+        qk, qm = _dense_block(qs)
+        ck, cm = _dense_block(cs)
+        if not len(qk) or not len(ck):
+            return pd.DataFrame({"anchor_vacancy_id": [], "recom_vacancy_id": [], "score": []}).astype(
+                {"anchor_vacancy_id": "int64", "recom_vacancy_id": "int64"})
+        S = np.round(qm @ cm.T, SCORE_DIGITS)
+        _mask(S, np.arange(len(qk)), qk, ck)
+        bs, bi = _block_best(S, ck, k)
+        r, j = np.nonzero(np.isfinite(bs))
+        return pd.DataFrame({"anchor_vacancy_id": qk[r], "recom_vacancy_id": bi[r, j], "score": bs[r, j]})
+
+    by = ["cell", "qb", "cb"]
+    q, c = q.toDF("qcell", "qqb", "qcb", "key", "vec"), c.toDF(*by, "key", "vec")
+    parts = q.groupBy("qcell", "qqb", "qcb").cogroup(c.groupBy(*by)).applyInPandas(block, OUT_SCHEMA)
+    return _final_topk(parts, k)
 
 
-# ----------------------------------------------------------------- R10 / R9
-def query_topk(qkeys: np.ndarray, qmat: np.ndarray, candidates: DataFrame, k: int,
-               max_block_rows: int = 4096) -> DataFrame:
+def query_topk(qkeys: np.ndarray, qmat: np.ndarray, candidates: DataFrame, k: int, rows: int = 4096) -> DataFrame:
     """Best ``k`` candidates (``key, vec``) per query by inner product, for
     a bounded query matrix (shipped with the task closure). Candidates are
     grouped in blocks by key hash and not replicated; a final
     ``row_number() <= k`` per query merges the blocks."""
-    nc = candidates.count()
-    nb = max(1, math.ceil(nc / max_block_rows))
-    c = (candidates.select("key", "vec")
-                   .withColumn("blk", F.pmod(F.xxhash64("key"), F.lit(nb)).cast("int")))
+    nb = max(1, math.ceil(candidates.count() / rows))
+    c = candidates.select("key", "vec").withColumn("blk", F.pmod(F.xxhash64("key"), F.lit(nb)).cast("int"))
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
         ck, cm = _dense_block(pdf[["key", "vec"]])
-        if len(ck) == 0 or len(qkeys) == 0:
-            return _topk_rows(np.zeros((0, 0)), qkeys, ck, k)
-        S = np.round(qmat @ cm.T, SCORE_DIGITS)
-        return _topk_rows(S, qkeys, ck, k)
+        bs, bi = _block_best(np.round(qmat @ cm.T, SCORE_DIGITS), ck, k)
+        r, j = np.nonzero(np.isfinite(bs))
+        return pd.DataFrame({"anchor_vacancy_id": qkeys[r], "recom_vacancy_id": bi[r, j], "score": bs[r, j]})
 
-    parts = c.groupBy("blk").applyInPandas(block, OUT_SCHEMA)
-    return _final_topk(parts, k)
+    return _final_topk(c.groupBy("blk").applyInPandas(block, OUT_SCHEMA), k)
