@@ -44,11 +44,6 @@ def _field(name: str):
     return lambda s: s[name]
 
 
-def first_element(col: str) -> Column:
-    """First element, NULL on an empty or NULL array (no ANSI error)."""
-    return F.get(F.col(col), F.lit(0))
-
-
 def last_element(col: str) -> Column:
     return F.try_element_at(F.col(col), F.lit(-1))
 

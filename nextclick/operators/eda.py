@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from nextclick.operators.sessions import interactions
 
 
+def sample_sessions(sessions: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """About ``fraction`` of the sessions, the same ones however the
+    rows are partitioned (by the MD5 of seed, user and session)."""
+    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("user_id").cast("string"), F.col("session_id")))
+    return sessions.where(F.substring(mark, 1, 8) < F.lit(f"{int(fraction * 0xFFFFFFFF):08x}"))
+
+
 def sessions_per_day(sessions: DataFrame, fraction: float | None = None, seed: int = 42) -> DataFrame:
-    """Sessions per calendar day of their first action, by day.
-    ``fraction`` samples sessions first (approximate size)."""
-    src = sessions.sample(fraction=fraction, seed=seed) if fraction else sessions
+    """Sessions per calendar day of their first action, ordered by day
+    (S8). ``fraction`` samples sessions first."""
+    src = sample_sessions(sessions, fraction, seed) if fraction else sessions
     return (src.groupBy(F.to_date("session_dt").alias("day"))
-               .agg(F.count(F.lit(1)).alias("n_sessions")))
+               .agg(F.count(F.lit(1)).alias("n_sessions")).orderBy("day"))
 
 
 def sessions_per_user(sessions: DataFrame) -> DataFrame:
@@ -22,8 +30,9 @@ def sessions_per_user(sessions: DataFrame) -> DataFrame:
 
 
 def item_frequency(sessions: DataFrame) -> DataFrame:
-    """Interactions per item over the exploded item arrays."""
-    return (sessions.select(F.explode_outer("vacancy_id").alias("vacancy_id"))
+    """Interactions per item over the exploded item arrays (an empty
+    session, or a missing item, counts for none)."""
+    return (sessions.select(F.explode("vacancy_id").alias("vacancy_id")).where(F.col("vacancy_id").isNotNull())
                     .groupBy("vacancy_id").agg(F.count(F.lit(1)).alias("n_interactions")))
 
 
@@ -35,13 +44,22 @@ def items_per_user(sessions: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, sample std, min, quartiles (exact, linear
-    interpolation) and max, in one aggregation. The exact percentile keeps
-    a value -> frequency map per partition, bounded by the number of
-    distinct values (small for count columns)."""
-    q = F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"),
-                   F.stddev_samp(col).alias("std"), F.min(col).cast("double").alias("min"),
-                   q.alias("q"), F.max(col).cast("double").alias("max"))
-              .select("count", "mean", "std", "min",
-                      F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
-                      F.col("q")[2].alias("q75"), "max"))
+    interpolation) and max, all from the frequency table of the values and
+    its running counts (one row per distinct value passes the window)."""
+    freq = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("f"))
+    whole, upto = W.partitionBy(), F.sum("f").over(W.orderBy("v").rowsBetween(W.unboundedPreceding, 0))
+    ranked = freq.select("v", "f", upto.alias("hi"), (upto - F.col("f")).alias("lo"), F.sum("f").over(whole).alias("n"),
+                         (F.sum(F.col("v") * F.col("f")).over(whole) / F.sum("f").over(whole)).alias("m"))
+
+    def value_at(place):
+        return F.max(F.when((F.col("lo") <= place) & (place < F.col("hi")), F.col("v")))
+
+    quartiles = []
+    for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+        place = (F.col("n") - 1) * F.lit(p)
+        low, high = value_at(F.floor(place)), value_at(F.ceil(place))
+        quartiles.append((low + (high - low) * F.max(place - F.floor(place))).alias(name))
+    n = F.coalesce(F.sum("f"), F.lit(0))
+    spread = F.sum(F.col("f") * (F.col("v") - F.col("m")) * (F.col("v") - F.col("m")))
+    return ranked.agg(n.alias("count"), F.max("m").alias("mean"), F.when(n > 1, F.sqrt(spread / (n - 1))).alias("std"),
+                      F.min("v").alias("min"), *quartiles, F.max("v").alias("max"))

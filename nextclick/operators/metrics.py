@@ -36,10 +36,30 @@ def mrr_recall(truth: DataFrame, preds: DataFrame, k: int | None = 100,
                     F.count(F.lit(1)).alias("n_queries"))
 
 
-def mrr_unbounded(truth: DataFrame, preds: DataFrame, target: str = "next_item",
+def mrr_unbounded(truth: DataFrame, ranked: DataFrame, target: str = "next_item",
                   keys: list[str] | None = None) -> DataFrame:
-    """MRR with no cut-off (leave-last-out truth by default)."""
-    return mrr_recall(truth, preds, None, target, keys).select("mrr", "n_queries")
+    """MRR with no cut-off (leave-last-out truth by default), from flat
+    positions ``keys, vacancy_id, pos``: no list of a user's items is built."""
+    keys = keys or ["user_id"]
+    first = ranked.groupBy(*keys, F.col("vacancy_id").alias(target)).agg(F.min("pos").alias("pos"))
+    hits = truth.select(*keys, target).join(first, [*keys, target], "left")
+    return hits.agg(F.avg(F.coalesce(F.lit(1.0) / F.col("pos"), F.lit(0.0))).alias("mrr"), F.count(F.lit(1)).alias("n_queries"))
+
+
+def target_position(truth: DataFrame, cands: DataFrame, score: str, target: str = "next_item",
+                    ascending: bool = True) -> DataFrame:
+    """``user_id, vacancy_id, pos`` of the target items that are among their
+    users' candidates (one row per user and item): the number of candidates
+    that come before it by score, then item id, plus one. Counted per
+    target instead of ranking a user's whole list."""
+    wanted = truth.select("user_id", F.col(target).alias("_t")).distinct()
+    own = cands.join(wanted, (cands["user_id"] == wanted["user_id"]) & (cands["vacancy_id"] == F.col("_t"))).select(
+        cands["user_id"].alias("_u"), "_t", F.col(score).alias("_s"))
+    better = F.col(score) < F.col("_s") if ascending else F.col(score) > F.col("_s")
+    before = better | ((F.col(score) == F.col("_s")) & (F.col("vacancy_id") < F.col("_t")))
+    return (cands.join(own, cands["user_id"] == F.col("_u"))
+                 .groupBy(F.col("_u").alias("user_id"), F.col("_t").alias("vacancy_id"))
+                 .agg((F.count_if(before) + 1).alias("pos")))
 
 
 def score_submission(truth: DataFrame, submission: DataFrame, k: int = 100,

@@ -41,11 +41,11 @@ def seen_filter(cands: DataFrame, history: DataFrame, only_responses: bool = Tru
 
 # ---------------------------------------------------------------- R18-R20
 def random_score(seed: int = 42) -> Column:
-    """A repeatable pseudo-random score in [0, 1) from
-    ``xxhash64(seed, user_id, vacancy_id)`` (unlike ``rand()``, it does not
-    change with the partitioning)."""
-    h = F.xxhash64(F.lit(seed), F.col("user_id"), F.col("vacancy_id"))
-    return F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
+    """A repeatable pseudo-random score in [0, 1) from the MD5 of seed,
+    user and item (unlike ``rand()``, it does not change with the
+    partitioning): its first 52 bits."""
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("user_id").cast("string"), F.col("vacancy_id").cast("string")))
+    return F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(1 << 52))
 
 
 def random_ranker(cands: DataFrame, name: str = "random_ranker", seed: int = 42) -> DataFrame:
@@ -58,10 +58,23 @@ def constant_ranker(cands: DataFrame, name: str = "constant_ranker") -> DataFram
     return cands.withColumn(name, F.lit(1.0))
 
 
+class LinearScorer:
+    """A model given by its weights: bias + sum of weight * feature."""
+
+    def __init__(self, weights: list[float], bias: float = 0.0):
+        self.weights, self.bias = list(weights), bias
+
+    def transform(self, df: DataFrame, features: str, out: str) -> DataFrame:
+        from pyspark.ml.functions import vector_to_array
+
+        x = vector_to_array(F.col(features))
+        return df.withColumn(out, sum((F.lit(w) * x[i] for i, w in enumerate(self.weights)), F.lit(self.bias)))
+
+
 def feature_ranker(cands: DataFrame, model, features: list[str], name: str = "model_score",
                    fill: float = 0.0) -> DataFrame:
     """Assemble named features (NULL -> ``fill``), score with any fitted
-    Spark ML model, append the positive-class probability (or the
+    Spark ML model or a ``LinearScorer``, append the positive-class probability (or the
     prediction for regressors) as ``name``."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
@@ -72,13 +85,15 @@ def feature_ranker(cands: DataFrame, model, features: list[str], name: str = "mo
     filled = cands.withColumns({c: F.coalesce(F.col(f).cast("double"), F.lit(float(fill)))
                                 for c, f in zip(inputs, features)})
     assembled = VectorAssembler(inputCols=inputs, outputCol=tmp).transform(filled)
-    scored = model.transform(assembled)
-    if "probability" in scored.columns:
+    scored = model.transform(assembled, tmp, name) if isinstance(model, LinearScorer) else model.transform(assembled)
+    if isinstance(model, LinearScorer):
+        score = F.col(name)
+    elif "probability" in scored.columns:
         score = vector_to_array(F.col("probability"))[1]
     else:
         score = F.col(model.getOrDefault("predictionCol"))
-    drop = [c for c in scored.columns if c not in cands.columns]
-    return scored.withColumn(name, score).drop(*drop)
+    scored = scored.withColumn(name, score)
+    return scored.drop(*[c for c in scored.columns if c not in cands.columns and c != name])
 
 
 # ---------------------------------------------------------------- R22

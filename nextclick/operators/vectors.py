@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nextclick.operators.dictionary import encode, fit_dictionary
-from nextclick.session import checkpoint_dir
+from nextclick.sources.tables import materialise
 
 
 def geo_user(user: str = "user_id", area: str = "area_id", region: str = "region_id"):
@@ -22,7 +22,9 @@ def geo_user(user: str = "user_id", area: str = "area_id", region: str = "region
 
 
 def hot_item_filter(positives: DataFrame, by: str = "user_id", min_count: int = 1) -> DataFrame:
-    """Keep items with ``count(by) >= min_count``."""
+    """Keep items with ``count(by) >= min_count`` (every item has one row)."""
+    if min_count <= 1:
+        return positives.where(F.col(by).isNotNull())
     hot = (positives.groupBy("vacancy_id").agg(F.count(by).alias("_n"))
                     .where(F.col("_n") >= min_count).select("vacancy_id"))
     return positives.join(hot, "vacancy_id", "left_semi")
@@ -81,27 +83,49 @@ def als_item_vectors(counts: DataFrame, rank: int = 16, max_iter: int = 10, reg:
     return factors.join(items, "item_idx").select("key", "vec")
 
 
-def svd_item_vectors(counts: DataFrame, k: int = 64, oversample: int = 8, power_iters: int = 2,
+def _orthonormal(d: DataFrame, width: int) -> tuple[DataFrame, int]:
+    """Orthonormal basis of the columns of a tall matrix of rows ``key, vec``
+    from the eigen-decomposition of its small Gram matrix; directions that
+    are numerically absent are left out. A second pass removes what the
+    first one's rounding leaves."""
+    import numpy as np
+
+    from nextclick.operators.linalg import gram, multiply_by_small
+
+    for _ in range(2):
+        evals, evecs = np.linalg.eigh(gram(d, width))
+        there = evals > max(evals.max(), 0.0) * 1e-13
+        if not there.any():
+            raise ValueError("the matrix has no non-zero entry")
+        d = materialise(multiply_by_small(d, evecs[:, there] / np.sqrt(evals[there])[None, :]), "svd_basis")
+        worst, width = evals[there].min() / evals.max(), int(there.sum())
+        if worst > 1e-6:
+            break
+    return d, width
+
+
+def svd_item_vectors(counts: DataFrame, k: int = 64, oversample: int = 10, power_iters: int = 5,
                      seed: int = 42) -> DataFrame:
     """Truncated SVD item vectors (not centred) of the item x token
     count matrix, by randomised range finding with DataFrame operations.
 
     Y = A G (G: Gaussian token x (k+p), generated from a hash of
     (token, column), never stored); ``power_iters`` rounds of
-    Y = A (Aᵀ Y) sharpen the spectrum; Q from Y via the small Gram matrix
-    (Cholesky); B = Qᵀ A; the eigen-decomposition of the small B Bᵀ gives
+    Z = orth(Aᵀ Q), Q = orth(A Z) sharpen the spectrum, with a fresh
+    orthonormal basis after every product, so that small singular values
+    are not drowned by large ones; B = Qᵀ A; the eigen-decomposition of the small B Bᵀ gives
     U_B and s; item vectors = Q U_B diag(s) (= U Σ, what a truncated SVD's
-    ``transform`` returns). Only (k+p) x (k+p) matrices reach the driver;
+    ``transform`` returns), with as many components as the matrix has, ``k`` at most.
+    Only (k+p) x (k+p) matrices reach the driver;
     every pass is a join on item or token plus a ``groupBy`` sum.
     Signs of components are arbitrary: compare cosines, not coordinates.
     """
     import numpy as np
 
-    from nextclick.operators.linalg import gram, multiply_by_small, sparse_times_dense, \
-        sparse_t_times_dense
+    from nextclick.operators.linalg import gram, multiply_by_small, sparse_t_times_dense, sparse_times_dense
 
     width = k + oversample
-    a = counts.select("key", "token", "val")
+    a = materialise(counts.select("key", "token", "val"), "svd_entries")
     tokens = a.select("token").distinct()
     # Box-Muller from two hashes per (token, column): repeatable anywhere.
     def gaussian(jc):
@@ -111,19 +135,14 @@ def svd_item_vectors(counts: DataFrame, k: int = 64, oversample: int = 8, power_
         return F.sqrt(-2 * F.log(u1)) * F.cos(2 * np.pi * u2)
     gauss = tokens.select(F.col("token").alias("key"),
                           F.transform(F.sequence(F.lit(0), F.lit(width - 1)), gaussian).alias("vec"))
-    checkpoint_dir(counts.sparkSession)
-    # Each pass is checkpointed to the shared folder: it cuts the lineage of
-    # the power iterations and survives a lost executor.
-    y = sparse_times_dense(a, gauss).checkpoint()             # items x width
+    # Each product is written to the shared folder: it cuts the lineage of
+    # the rounds and survives a lost executor.
+    q, width = _orthonormal(materialise(sparse_times_dense(a, gauss), "svd_product"), width)          # items x width
     for _ in range(power_iters):
-        z = sparse_t_times_dense(a, y).checkpoint()          # tokens x width
-        y = sparse_times_dense(a, z).checkpoint()
-    ytY = gram(y, width)
-    L = np.linalg.cholesky(ytY + 1e-10 * np.trace(ytY) / width * np.eye(width))
-    q = multiply_by_small(y, np.linalg.inv(L).T).checkpoint()  # Q = Y L^-T
-    bt = sparse_t_times_dense(a, q).checkpoint()              # tokens x width (= Bᵀ)
-    bbt = gram(bt, width)                           # B Bᵀ
-    evals, evecs = np.linalg.eigh(bbt)
+        z, width = _orthonormal(materialise(sparse_t_times_dense(a, q), "svd_product"), width)        # tokens x width
+        q, width = _orthonormal(materialise(sparse_times_dense(a, z), "svd_product"), width)
+    bt = materialise(sparse_t_times_dense(a, q), "svd_product")   # tokens x width (= Bᵀ)
+    evals, evecs = np.linalg.eigh(gram(bt, width))                # B Bᵀ
     order = np.argsort(evals)[::-1][:k]
     s = np.sqrt(np.clip(evals[order], 0, None))
     return multiply_by_small(q, evecs[:, order] * s[None, :])

@@ -14,16 +14,6 @@ SESSION_SCHEMA = T.StructType([
     T.StructField("action_dt", T.ArrayType(T.TimestampNTZType())),
 ])
 
-INTERACTION_SCHEMA = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("session_id", T.StringType()),
-    T.StructField("vacancy_id", T.LongType()),
-    T.StructField("action_type", T.IntegerType()),
-    T.StructField("action_dt", T.TimestampNTZType()),
-])
-
-I2I_SCHEMA = "anchor_vacancy_id long, recom_vacancy_id long, score double, pos int"
-TRUTH_COLUMNS = ["user_id", "session_id", "target", "target_dt", "val_session_rank"]
 SUBMISSION_SCHEMA = "user_id long, session_id string, predictions array<long>"
 
 # Action codes: 1 is a response (the target event); 2 and 3 only carry weights.
