@@ -8,23 +8,30 @@ oracle (``oracle``) renders the same way.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nextclick.operators import ann, eda, knn
 from nextclick.operators import candidates as C
-from nextclick.operators import eda
-from nextclick.operators import knn
 from nextclick.operators import ranking as R
 from nextclick.operators import vectors as V
+from nextclick.operators.als import user_item_matrix
 from nextclick.operators.dictionary import fit_dictionary
-from nextclick.operators.metrics import mrr_recall, mrr_unbounded
-from nextclick.operators.sessions import DEFAULT_CODEC, interactions, normalise_sessions
+from nextclick.operators.metrics import mrr_recall, mrr_unbounded, score_submission, target_position
+from nextclick.operators.sessions import DEFAULT_CODEC, interactions, normalise_sessions, rename_back, rename_reversible
 from nextclick.operators.truth import leave_last_out, time_split
 from nextclick.plans import flows
 from nextclick.plans.render import list_str, num, time_list_str, time_str
+from nextclick.schemas import SUBMISSION_SCHEMA, Split
 from nextclick.sources import fixtures as fx
+from nextclick.sources.parquet import (dataset_path, load_frame, read_table, read_test, read_train, read_vacancies, store_frame,
+                                       write_dataset, write_submission)
+from nextclick.sources.tables import materialise, tables_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,8 +41,8 @@ def f1_sessions(spark, d):
     return normalise_sessions(fx.events_session_log(spark, d))
 
 
-def f1(spark, d) -> flows.Prepared:
-    return flows.prepare(fx.events_session_log(spark, d), fx.F1_TRAIN, fx.F1_VALIDATION)
+def f1(spark, d, hot: bool = False) -> flows.Prepared:
+    return flows.prepare(fx.events_session_log(spark, d, hot), fx.F1_TRAIN, fx.F1_VALIDATION)
 
 
 def f2(spark, d, tie_times: bool = False) -> flows.Prepared:
@@ -91,6 +98,11 @@ def truth_events(spark, d):
     return truth_view(f1(spark, d).truth)
 
 
+def truth_hot_user_events(spark, d):
+    """R3 where one user has a third of all sessions."""
+    return truth_view(f1(spark, d, hot=True).truth)
+
+
 def truth_orders(spark, d):
     return truth_view(f2(spark, d).truth)
 
@@ -108,13 +120,28 @@ def leave_last_out_events(spark, d):
 # ----------------------------------------------------------------- R25, R21, R22, R23, R27-R29
 def continue_search_events(spark, d):
     p = f1(spark, d)
-    return C.continue_search(p.train, p.test, method=p.method).select(
+    return C.continue_search(p.train, p.test).select(
         "user_id", "vacancy_id", num("score").alias("score"))
 
 
+def continue_search_hot_user_events(spark, d):
+    """R25 where one user has a third of all sessions."""
+    p = f1(spark, d, hot=True)
+    return C.continue_search(p.train, p.test).select("user_id", "vacancy_id", num("score").alias("score"))
+
+
+def seen_filter_counts_events(spark, d):
+    """Candidate rows before and after the seen filter."""
+    p = f1(spark, d)
+    cands = C.continue_search(p.train, p.test)
+    rows = F.count(F.lit(1)).alias("n_rows")
+    return (cands.agg(rows).select(F.lit("before").alias("at"), "n_rows")
+                 .unionByName(R.seen_filter(cands, p.train).agg(rows).select(F.lit("after").alias("at"), "n_rows")))
+
+
 def seen_filter_events(spark, d):
     p = f1(spark, d)
-    kept = R.seen_filter(C.continue_search(p.train, p.test, method=p.method), p.train)
+    kept = R.seen_filter(C.continue_search(p.train, p.test), p.train)
     return kept.select("user_id", "vacancy_id", num("score").alias("score"))
 
 
@@ -143,35 +170,55 @@ def mrr_recall_orders(spark, d):
     return _metrics_view(flows.evaluate(p, flows.continue_search_submission(p, 100), 100))
 
 
-def submission_scoring_events(spark, d):
+def _run_folder(spark) -> str:
+    return os.path.join(tables_dir(spark), f"run-{uuid.uuid4().hex}")
+
+
+def _score_written(spark, d, row_limit: int) -> DataFrame:
     """R36 end to end: write the continue-search submission with the
     submission sink (A4/A8) under the checkpoint folder, scan it back (A1)
     with the submission schema, and score it (MRR@100, Recall@100)."""
-    import os
-    import uuid
+    p = f1(spark, d)
+    path = write_submission(flows.continue_search_submission(p, 100), _run_folder(spark), "continue_search", Split.MICRO)
+    return _metrics_view(score_submission(p.truth, read_table(spark, path, SUBMISSION_SCHEMA), k=100, row_limit=row_limit))
 
-    from nextclick.operators.metrics import score_submission
-    from nextclick.schemas import SUBMISSION_SCHEMA, Split
-    from nextclick.session import checkpoint_dir
-    from nextclick.sources.parquet import read_table, write_submission
 
-    p = f1(spark, d)
-    base = os.path.join(checkpoint_dir(spark), "runs", uuid.uuid4().hex)
-    path = write_submission(flows.continue_search_submission(p, 100), base, "continue_search", Split.MICRO)
-    sub = read_table(spark, path, SUBMISSION_SCHEMA)
-    return _metrics_view(score_submission(p.truth, sub, k=100, row_limit=-1))
+def submission_scoring_events(spark, d):
+    return _score_written(spark, d, -1)
+
+
+def submission_scoring_limit_events(spark, d):
+    """The first 30 truth rows only (the limit is the feature)."""
+    return _score_written(spark, d, 30)
+
+
+def dataset_round_trip_events(spark, d):
+    """The prepared datasets, the vacancy table with the
+    source's dotted names and the i2i list are written, read back by split,
+    and give R13b's candidates; columns are renamed there and back on the way."""
+    p, base = f1(spark, d), _run_folder(spark)
+    write_dataset(p.train, dataset_path(base, Split.VALIDATION, "train"))
+    write_dataset(p.test, dataset_path(base, Split.VALIDATION, "test"))
+    write_dataset(fx.vacancies(spark, d).withColumnsRenamed({"area_id": "area.id", "region_id": "area.regionId"}), os.path.join(base, "vacancies.parquet"))
+    train, test = read_train(spark, base, Split.VALIDATION), read_test(spark, base, Split.VALIDATION)
+    counts = V.item_token_counts(train, read_vacancies(spark, os.path.join(base, "vacancies.parquet")), dense_tokens=False)
+    store_frame(knn.sparse_i2i(counts, asked=100), base, "i2i", Split.VALIDATION)
+    names = {"user_id": "user_key", "vacancy_id": "item_key"}
+    history = rename_back(rename_reversible(test, names), names)
+    out = C.i2i_topk_candidates(history, load_frame(spark, base, "i2i", Split.VALIDATION), 20)
+    return out.select("user_id", "vacancy_id", num("score", 9).alias("score"))
 
 
 def mrr_unbounded_events(spark, d):
     """Leave-last-out truth over the validation sessions; predictions
     = continue-search over train + the cut sessions, seen filter, no cut."""
-    train_s, val_s = time_split(f1_sessions(spark, d), fx.F1_TRAIN, fx.F1_VALIDATION)
+    sessions = materialise(f1_sessions(spark, d), "sessions", sort_within=["session_dt"])
+    train_s, val_s = time_split(sessions, fx.F1_TRAIN, fx.F1_VALIDATION)
     llo = leave_last_out(val_s).withColumn("action_dt", F.slice("action_dt", 1, F.size("vacancy_id")))
     train = interactions(train_s, keep=["user_id", "session_id"])
     test = interactions(llo, keep=["user_id", "session_id"])
-    cands = R.seen_filter(C.reduce_max(C.continue_search(train, test), "continue_search"), train)
-    preds = R.pack(R.rank(cands, flows.cs_order(), None))
-    return mrr_unbounded(llo, preds).select(num("mrr").alias("mrr"), "n_queries")
+    cands = materialise(C.continue_search(train, test, drop_seen_responses=True), "unbounded")
+    return mrr_unbounded(llo, target_position(llo, cands, "score")).select(num("mrr").alias("mrr"), "n_queries")
 
 
 # ----------------------------------------------------------------- R32-R35
@@ -180,6 +227,12 @@ def eda_sessions_per_day(spark, d):
     return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n_sessions")
 
 
+def eda_sessions_per_day_sample(spark, d):
+    """The same over a tenth of the sessions."""
+    out = eda.sessions_per_day(f1_sessions(spark, d), fraction=0.1)
+    return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n_sessions")
+
+
 def _summary(df: DataFrame, col: str) -> DataFrame:
     s = eda.describe(df, col)
     return s.select("count", *[num(c).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]])
@@ -221,6 +274,16 @@ def item_tokens_events(spark, d):
     return V.item_token_counts(p.train, fx.vacancies(spark, d))
 
 
+def item_tokens_geo_events(spark, d):
+    """Tokens of user, area and region."""
+    return V.item_token_counts(f1(spark, d).train, fx.vacancies(spark, d), token="geo")
+
+
+def user_item_matrix_events(spark, d):
+    """Summed action weights per user and item."""
+    return user_item_matrix(f1(spark, d).train).select("user_id", "vacancy_id", num("weight").alias("weight"))
+
+
 def dictionary_items_orders(spark, d):
     items = fx.table(spark, d, "lineitem").select(F.col("l_partkey").alias("vacancy_id"))
     return fit_dictionary(items, "vacancy_id", "idx")
@@ -261,8 +324,10 @@ def i2i_topk_events(spark, d):
 
 
 def round_robin_events(spark, d):
+    """R11 as the source asks: 20 neighbours per item, the item itself among them."""
     p = f1(spark, d)
-    rr = C.round_robin(p.test, f1_i2i(spark, d, p), method=p.method)
+    counts = V.item_token_counts(p.train, fx.vacancies(spark, d), dense_tokens=False)
+    rr = C.round_robin(p.test, knn.sparse_i2i(counts, asked=20, include_self=True))
     return rr.select("user_id", "vacancy_id", F.col("pos").cast("bigint").alias("pos"))
 
 
@@ -273,7 +338,7 @@ def unique_neighbours_events(spark, d):
 
 def _three_generators(spark, d, p):
     return {
-        "continue_search": C.continue_search(p.train, p.test, method=p.method),
+        "continue_search": C.continue_search(p.train, p.test),
         "i2i": C.i2i_topk_candidates(p.test, f1_i2i(spark, d, p), 20),
         "popular": C.constant_candidates(p.test, C.popular_items(p.train, 100)),
     }
@@ -298,11 +363,54 @@ def three_generator_mrr_events(spark, d):
     return _metrics_view(mrr_recall(p.truth, sub, 100))
 
 
-# ----------------------------------------------------------------- R4, R14, R17
+def random_rank_events(spark, d):
+    """Continue-search candidates ordered by a repeatable random score."""
+    p = f1(spark, d)
+    cands = R.random_ranker(C.continue_search(p.train, p.test, drop_seen_responses=True))
+    packed = R.pack(R.rank(cands, [F.col("random_ranker").desc(), F.col("vacancy_id")], 100))
+    return packed.select("user_id", list_str("predictions").alias("predictions"))
+
+
+def feature_rank_events(spark, d):
+    """The merged candidates ordered by a model over their three scores
+    (fixed weights: the source's model is a placeholder)."""
+    p = f1(spark, d)
+    kept = R.seen_filter(C.join_candidates(_three_generators(spark, d, p)), p.train)
+    features = ["continue_search_score", "i2i_score", "popular_score"]
+    scored = R.feature_ranker(kept, R.LinearScorer([-0.5, 2.0, 0.01], 0.25), features)
+    ranked = R.rank(scored.withColumn("model_score", F.round("model_score", 9)), [F.col("model_score").desc(), F.col("vacancy_id")], 100)
+    return ranked.select("user_id", "vacancy_id", num("model_score", 9).alias("model_score"), F.col("pos").cast("bigint").alias("pos"))
+
+
+# ----------------------------------------------------------------- R4, R7, R9, R10, R14, R17
 def knn_embeddings(spark, d):
     return _i2i_view(knn.dense_i2i(fx.item_vectors(spark, d), asked=100))
 
 
+def ivf_full_probe_embeddings(spark, d):
+    """R9 with as many probes as cells: the exact list."""
+    return _i2i_view(ann.ivf_i2i(fx.item_vectors(spark, d), nlist=8, nprobe=8, asked=100))
+
+
+def svd_full_rank_i2i_events(spark, d):
+    """R7 with as many components as items: the neighbours of the counts themselves, to six places."""
+    vecs = V.svd_item_vectors(V.item_token_counts(f1(spark, d).train, fx.vacancies(spark, d)), k=100)
+    return _i2i_view(knn.dense_i2i(vecs, asked=100, digits=6))
+
+
+def label_centers(spark, d) -> np.ndarray:
+    """Mean unit vector of each label of ``embeddings`` (labels are few), by label."""
+    vecs = knn.unit_vectors(fx.table(spark, d, "embeddings").select("label", F.col("embedding").alias("vec")))
+    means = (vecs.select("label", F.posexplode("vec").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("x"))
+                 .groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v")).orderBy("label").collect())
+    return np.array([[e["x"] for e in r["v"]] for r in means])
+
+
+def cluster_knn_labels(spark, d):
+    """R10 with a centroid per label of ``embeddings`` (50 items per centroid)."""
+    return _i2i_view(ann.cluster_knn(fx.item_vectors(spark, d), top_size=50, centers=label_centers(spark, d)))
+
+
 def text_knn_part_names(spark, d):
     """Names of the users' history items -> word counts -> exact
     cosine over all part names (20 asked, the item itself may be among
@@ -313,13 +421,20 @@ def text_knn_part_names(spark, d):
     return C.unique_neighbours(p.test, i2i)
 
 
-def cold_user_items_micro(spark, d):
-    """R17 cold branch on the micro split (two days of train, the next two
-    of validation): validation users without train sessions get their own
-    items in session order, score 0."""
-    train_s, val_s = time_split(f1_sessions(spark, d), fx.F1_MICRO_TRAIN, fx.F1_MICRO_VALIDATION)
-    test = interactions(val_s, keep=["user_id", "session_id"])
-    out = C.cold_user_items(test, train_s)
+def text_knn_documents(spark, d):
+    """R14 neighbour step on the long multilingual texts: whole documents
+    -> Unicode word counts -> exact cosine, 20 asked per document."""
+    docs = fx.table(spark, d, "documents").select("doc_id", "text")
+    counts = V.text_token_counts(docs, "doc_id", "text").select("key", "token", "val")
+    return _i2i_view(knn.sparse_i2i(counts, asked=20))
+
+
+def cold_user_items_orders(spark, d):
+    """R17 cold branch over the whole of F2: validation users without train
+    sessions get their own items in session order, score 0."""
+    p = f2(spark, d)
+    test = interactions(p.validation_sessions, keep=["user_id", "session_id"])
+    out = C.cold_user_items(test, p.train_sessions)
     return out.select("user_id", "session_id", "vacancy_id", F.col("pos").cast("bigint").alias("pos"),
                       num("score").alias("score"))
 
@@ -363,5 +478,19 @@ SQL_CHECKED: dict[str, Query] = {
     "three_generator_mrr_events": three_generator_mrr_events,
     "knn_embeddings": knn_embeddings,
     "text_knn_part_names": text_knn_part_names,
-    "cold_user_items_micro": cold_user_items_micro,
+    "text_knn_documents": text_knn_documents,
+    "cold_user_items_orders": cold_user_items_orders,
+    "truth_hot_user_events": truth_hot_user_events,
+    "continue_search_hot_user_events": continue_search_hot_user_events,
+    "seen_filter_counts_events": seen_filter_counts_events,
+    "submission_scoring_limit_events": submission_scoring_limit_events,
+    "dataset_round_trip_events": dataset_round_trip_events,
+    "eda_sessions_per_day_sample": eda_sessions_per_day_sample,
+    "item_tokens_geo_events": item_tokens_geo_events,
+    "user_item_matrix_events": user_item_matrix_events,
+    "random_rank_events": random_rank_events,
+    "feature_rank_events": feature_rank_events,
+    "ivf_full_probe_embeddings": ivf_full_probe_embeddings,
+    "svd_full_rank_i2i_events": svd_full_rank_i2i_events,
+    "cluster_knn_labels": cluster_knn_labels,
 }

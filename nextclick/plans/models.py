@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 
 from nextclick.operators import ann, knn
 from nextclick.operators import candidates as C
-from nextclick.operators import ranking as R
 from nextclick.operators import vectors as V
 from nextclick.operators.als import AlsRecommender, fallback_predictions
 from nextclick.operators.metrics import mrr_unbounded
 from nextclick.operators.sessions import interactions
 from nextclick.operators.truth import leave_last_out, time_split
 from nextclick.plans import catalog
-from nextclick.plans.render import list_str, num
+from nextclick.plans.render import num
 from nextclick.sources import fixtures as fx
+from nextclick.sources.tables import materialise
 
 
 def als_recommend_events(spark, d):
@@ -32,14 +32,13 @@ def als_fallback_mrr_events(spark, d):
     """R17 + R29: leave-last-out truth over the validation sessions; cold
     users get their own session items, known users the ALS top 100; MRR
     with no cut-off."""
-    train_s, val_s = time_split(catalog.f1_sessions(spark, d), fx.F1_TRAIN, fx.F1_VALIDATION)
+    sessions = materialise(catalog.f1_sessions(spark, d), "sessions", sort_within=["session_dt"])
+    train_s, val_s = time_split(sessions, fx.F1_TRAIN, fx.F1_VALIDATION)
     train = interactions(train_s, keep=["user_id", "session_id"])
     llo = leave_last_out(val_s)
     recs = AlsRecommender().fit(train).recommend(llo, 100)
     preds = fallback_predictions(llo, train, recs)
-    packed = R.pack(preds, keys=["user_id", "session_id"])
-    truth = llo.select("user_id", "session_id", "next_item")
-    m = mrr_unbounded(truth, packed, "next_item", keys=["user_id", "session_id"])
+    m = mrr_unbounded(llo, preds, "next_item", keys=["user_id", "session_id"])
     return m.select(num("mrr").alias("mrr"), "n_queries")
 
 
@@ -57,7 +56,16 @@ def svd_item_vectors_events(spark, d):
 def als_item_vectors_events(spark, d):
     """Implicit ALS item vectors (16 factors, 10 iterations, reg 0.1)."""
     vecs = V.als_item_vectors(_f1_counts(spark, d), rank=16, max_iter=10, reg=0.1)
-    return vecs.select("key", F.size("vec").cast("bigint").alias("dims"))
+    return vecs.select("key", F.size("vec").cast("bigint").alias("dims"),
+                       F.array_join(F.transform("vec", lambda x: F.format_number(x, 4)), ",").alias("vec"))
+
+
+def als_i2i_topk_events(spark, d):
+    """R8 -> R4 -> R13b: neighbour lists over ALS item vectors (32 factors), top 20 ranks per user."""
+    p = catalog.f1(spark, d)
+    vecs = V.als_item_vectors(V.item_token_counts(p.train, fx.vacancies(spark, d)), rank=32, max_iter=10, reg=0.1)
+    out = C.i2i_topk_candidates(p.test, knn.dense_i2i(vecs, asked=100), 20)
+    return out.select("user_id", "vacancy_id", num("score", 9).alias("score"))
 
 
 def svd_i2i_events(spark, d):
@@ -67,8 +75,8 @@ def svd_i2i_events(spark, d):
 
 
 def ivf_i2i_embeddings(spark, d):
-    """IVF search (8 cells, one probe) over the embeddings."""
-    return catalog._i2i_view(ann.ivf_i2i(fx.item_vectors(spark, d), nlist=8, asked=100))
+    """Cell search (8 cells, 6 probes, more where the list would be short) over the embeddings."""
+    return catalog._i2i_view(ann.ivf_i2i(fx.item_vectors(spark, d), nlist=8, nprobe=6, asked=100))
 
 
 def cluster_knn_embeddings(spark, d):
@@ -76,21 +84,13 @@ def cluster_knn_embeddings(spark, d):
     return catalog._i2i_view(ann.cluster_knn(fx.item_vectors(spark, d), n_clusters=20, top_size=50))
 
 
-def text_knn_documents(spark, d):
-    """R14 neighbour step on the long multilingual texts: whole documents
-    -> Unicode word counts -> exact cosine, 20 asked per document. No SQL
-    oracle: DuckDB's regular expressions treat word characters as ASCII."""
-    docs = fx.table(spark, d, "documents").select("doc_id", "text")
-    counts = V.text_token_counts(docs, "doc_id", "text").select("key", "token", "val")
-    return catalog._i2i_view(knn.sparse_i2i(counts, asked=20))
-
-
-def random_rank_events(spark, d):
-    """Continue-search candidates ordered by a seeded hash score."""
-    p = catalog.f1(spark, d)
-    cands = R.random_ranker(C.continue_search(p.train, p.test, drop_seen_responses=True))
-    packed = R.pack(R.rank(cands, [F.col("random_ranker").desc(), F.col("vacancy_id")], 100))
-    return packed.select("user_id", list_str("predictions").alias("predictions"))
+def text_knn_clusters(spark, d):
+    """R14 over clusters (the source's preset: 50 items per centroid): part names as word counts, reduced by R7
+    so that k-means sees dense rows, then R10; distinct neighbours of a user's items. Where there are fewer different
+    names than components the reduction keeps all of them."""
+    names = V.text_token_counts(fx.vacancies(spark, d), "vacancy_id", "name").select("key", "token", "val")
+    lists = ann.cluster_knn(V.svd_item_vectors(names, k=64), n_clusters=40, top_size=50)
+    return C.unique_neighbours(catalog.f2(spark, d).test, lists)
 
 
 INVARIANT_CHECKED = {
@@ -101,6 +101,6 @@ INVARIANT_CHECKED = {
     "svd_i2i_events": svd_i2i_events,
     "ivf_i2i_embeddings": ivf_i2i_embeddings,
     "cluster_knn_embeddings": cluster_knn_embeddings,
-    "random_rank_events": random_rank_events,
-    "text_knn_documents": text_knn_documents,
+    "als_i2i_topk_events": als_i2i_topk_events,
+    "text_knn_clusters": text_knn_clusters,
 }

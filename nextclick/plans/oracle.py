@@ -34,6 +34,8 @@ def f2_flat(tie_times: bool = False) -> str:
 
 F1 = (F1_FLAT, ("2024-01-01", "2024-01-16"), ("2024-01-16", "2024-01-31"))
 F2 = (f2_flat(), ("1995-01-01", "1998-01-01"), ("1998-01-01", "2002-01-01"))
+F1_HOT = (F1_FLAT.replace("SELECT CAST(user_id AS BIGINT) AS user_id", "SELECT CAST(CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS BIGINT) AS user_id", 1),
+          F1[1], F1[2])
 F2T = (f2_flat(True), ("1995-01-01", "1998-01-01"), ("1998-01-01", "2002-01-01"))
 
 
@@ -192,6 +194,14 @@ def queries() -> dict[str, str]:
     f1s = "WITH " + sessions_ctes(F1_FLAT)
     f2s = "WITH " + sessions_ctes(f2_flat())
     f1_i2i = f1 + item_tokens_ctes()
+    f1_hot = flow_ctes(F1_HOT)
+    embedded = """
+WITH e AS (SELECT vec_id AS key, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT key, label, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS v FROM e
+      WHERE list_sum(list_transform(v, lambda y: y * y)) > 0)"""
+    merged_kept = I2I_TOPK + """,
+m_kept AS (SELECT * FROM merged m WHERE NOT EXISTS (
+             SELECT 1 FROM seen WHERE seen.user_id = m.user_id AND seen.vacancy_id = m.vacancy_id))"""
     return {
         "session_normalise_events": f1s + "\n" + SESSION_VIEW,
         "session_normalise_orders_ties": "WITH " + sessions_ctes(f2_flat(True)) + "\n" + SESSION_VIEW,
@@ -251,13 +261,13 @@ FROM (SELECT DISTINCT l_partkey AS vacancy_id FROM lineitem)""",
         "i2i_cooccurrence_orders": f2 + item_tokens_ctes() + "\n" + I2I_VIEW,
         "i2i_candidates_events": f1_i2i + I2I_TOPK + "\nSELECT user_id, vacancy_id, round(score, 9) AS score FROM i2i_c",
         "i2i_topk_events": f1_i2i + I2I_TOPK + "\nSELECT user_id, vacancy_id, round(score, 9) AS score FROM i2i_k",
-        "round_robin_events": f1_i2i + """,
+        "round_robin_events": f1_i2i + pairwise_ctes("vec", 20, True, "near") + """,
 latest AS (SELECT user_id, vacancy_id, max(action_dt) AS last_dt FROM test_i GROUP BY 1, 2),
 lists AS (SELECT user_id, vacancy_id AS anchor,
                  row_number() OVER (PARTITION BY user_id ORDER BY last_dt DESC, vacancy_id) AS list_idx
           FROM latest),
 cand AS (SELECT l.user_id, t.recom AS vacancy_id, t.pos AS npos, l.list_idx
-         FROM lists l JOIN i2i t ON t.anchor = l.anchor),
+         FROM lists l JOIN near t ON t.anchor = l.anchor),
 firsts AS (SELECT * FROM cand
            QUALIFY row_number() OVER (PARTITION BY user_id, vacancy_id ORDER BY npos, list_idx) = 1)
 SELECT user_id, vacancy_id, row_number() OVER (PARTITION BY user_id ORDER BY npos, list_idx) AS pos
@@ -290,10 +300,58 @@ wvec AS (SELECT key, hash(word) AS token, count(*)::DOUBLE AS val FROM words GRO
         + pairwise_ctes("wvec", 20, True, "tnn") + """
 SELECT DISTINCT l.user_id, t.recom AS vacancy_id
 FROM (SELECT DISTINCT user_id, vacancy_id FROM test_i) l JOIN tnn t ON t.anchor = l.vacancy_id""",
-        "cold_user_items_micro": "WITH " + sessions_ctes(F1_FLAT) + """,
-train_s AS (SELECT * FROM fxs WHERE session_dt >= TIMESTAMP '2024-01-01' AND session_dt < TIMESTAMP '2024-01-03'),
-val_s AS (SELECT * FROM fxs WHERE session_dt >= TIMESTAMP '2024-01-03' AND session_dt < TIMESTAMP '2024-01-05')
+        "text_knn_documents": """
+WITH words AS (SELECT doc_id AS key, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}\\p{Pc}]{2,}')) AS word FROM documents),
+wvec AS (SELECT key, hash(word) AS token, count(*)::DOUBLE AS val FROM words GROUP BY key, word)"""
+        + pairwise_ctes("wvec", 19, False) + "\n" + I2I_VIEW,
+        "cold_user_items_orders": "WITH " + sessions_ctes(f2_flat()) + f""",
+train_s AS (SELECT * FROM fxs WHERE session_dt >= TIMESTAMP '{F2[1][0]}' AND session_dt < TIMESTAMP '{F2[1][1]}'),
+val_s AS (SELECT * FROM fxs WHERE session_dt >= TIMESTAMP '{F2[2][0]}' AND session_dt < TIMESTAMP '{F2[2][1]}')
 SELECT x.user_id, x.session_id, x.vacancy_id, x.pos, 0.0 AS score
 FROM fxn x JOIN val_s USING (user_id, session_id)
 WHERE x.user_id NOT IN (SELECT user_id FROM train_s)""",
+        "truth_hot_user_events": f1_hot + "\n" + TRUTH_VIEW,
+        "continue_search_hot_user_events": f1_hot + "\nSELECT user_id, vacancy_id, round(score, 6) AS score FROM cs",
+        "seen_filter_counts_events": f1 + """
+SELECT 'before' AS at, count(*) AS n_rows FROM cs UNION ALL SELECT 'after' AS at, count(*) AS n_rows FROM kept""",
+        "submission_scoring_limit_events": f1 + """,
+some_truth AS (SELECT * FROM truth ORDER BY user_id, session_id LIMIT 30)""" + metrics_sql("some_truth", "ranked_c"),
+        "dataset_round_trip_events": f1_i2i + I2I_TOPK + "\nSELECT user_id, vacancy_id, round(score, 9) AS score FROM i2i_k",
+        "eda_sessions_per_day_sample": f1s + f"""
+SELECT strftime(CAST(session_dt AS DATE), '%Y-%m-%d') AS day, count(*) AS n_sessions FROM fxs
+WHERE substr(md5('42:' || CAST(user_id AS VARCHAR) || ':' || session_id), 1, 8) < '{int(0.1 * 0xFFFFFFFF):08x}' GROUP BY 1""",
+        "item_tokens_geo_events": f1 + """,
+geo AS (SELECT t.vacancy_id, CAST(t.user_id AS VARCHAR) || '|' || p_brand || '|' || p_type AS tok
+        FROM train_i t JOIN part ON t.vacancy_id = p_partkey),
+ids AS (SELECT tok, dense_rank() OVER (ORDER BY tok) - 1 AS token FROM (SELECT DISTINCT tok FROM geo))
+SELECT g.vacancy_id AS key, i.token, count(*)::DOUBLE AS val FROM geo g JOIN ids i USING (tok) GROUP BY 1, 2""",
+        "user_item_matrix_events": f1 + """
+SELECT user_id, vacancy_id, round(sum(CASE action_type WHEN 1 THEN 4.0 WHEN 2 THEN 1.0 WHEN 3 THEN 2.0 END)::DOUBLE, 6) AS weight
+FROM train_i GROUP BY 1, 2""",
+        "random_rank_events": f1 + """,
+rnd AS (SELECT user_id, vacancy_id, row_number() OVER (PARTITION BY user_id ORDER BY
+          substr(md5('42:' || CAST(user_id AS VARCHAR) || ':' || CAST(vacancy_id AS VARCHAR)), 1, 13) DESC, vacancy_id) AS pos FROM kept)
+SELECT user_id, string_agg(CAST(vacancy_id AS VARCHAR), ',' ORDER BY pos) AS predictions FROM rnd WHERE pos <= 100 GROUP BY user_id""",
+        "feature_rank_events": f1_i2i + merged_kept + """,
+scored AS (SELECT user_id, vacancy_id, round(0.25 + -0.5 * coalesce(continue_search_score, 0.0) + 2.0 * coalesce(i2i_score, 0.0)
+                                             + 0.01 * coalesce(popular_score, 0.0), 9)::DOUBLE AS model_score FROM m_kept)
+SELECT * FROM (SELECT user_id, vacancy_id, model_score,
+                      row_number() OVER (PARTITION BY user_id ORDER BY model_score DESC, vacancy_id) AS pos FROM scored) WHERE pos <= 100""",
+        "ivf_full_probe_embeddings": embedded + """,
+sc AS (SELECT a.key AS anchor, b.key AS recom, round(list_inner_product(a.v, b.v), 9) AS s FROM u a JOIN u b ON a.key <> b.key),
+top AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY s DESC, recom) AS pos FROM sc)
+SELECT anchor AS anchor_vacancy_id, recom AS recom_vacancy_id, round(s, 9) AS score, pos FROM top WHERE pos <= 99""",
+        "svd_full_rank_i2i_events": f1_i2i + """,
+six AS (SELECT anchor, recom, round(s, 6) AS s FROM i2i_all)
+SELECT anchor AS anchor_vacancy_id, recom AS recom_vacancy_id, s AS score, pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY s DESC, recom) AS pos FROM six) WHERE pos <= 99""",
+        "cluster_knn_labels": embedded + """,
+dims AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM u),
+m AS (SELECT label, list(x ORDER BY i) AS c FROM (SELECT label, i, avg(x) AS x FROM dims GROUP BY 1, 2) GROUP BY 1),
+c AS (SELECT label, list_transform(c, lambda x: x / sqrt(list_sum(list_transform(c, lambda y: y * y)))) AS c FROM m),
+near AS (SELECT u.key, c.label, round(list_inner_product(u.v, c.c), 9) AS s FROM u CROSS JOIN c),
+home AS (SELECT key, label FROM near QUALIFY row_number() OVER (PARTITION BY key ORDER BY s DESC, label) = 1),
+lists AS (SELECT label, key, s, row_number() OVER (PARTITION BY label ORDER BY s DESC, key) AS pos FROM near)
+SELECT h.key AS anchor_vacancy_id, l.key AS recom_vacancy_id, l.s AS score, l.pos AS pos
+FROM home h JOIN lists l USING (label) WHERE l.pos <= 50""",
     }

@@ -1,38 +1,35 @@
 """Spark session helpers.
 
-The checkpoint folder is read from the session (``spark.checkpoint.dir``, or
-one set on the SparkContext). A machine-local folder is created only when
-nothing is set *and* the master is local (tests, benches); on a cluster an
-unset folder is an error, because executors must share it.
+Where the session runs is the submitter's choice: ``get_spark`` sets a master only if one is given, and leaves partition
+counts to the configuration unless told. Intermediate tables go to the folder in ``spark.checkpoint.dir``, which all
+executors must share. Only a session on one machine (a local master: tests, benches) may leave it unset; it then gets a
+folder of its own, removed when the process ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "nextclick", driver_memory: str = "16g") -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus)
-    spark = (
-        SparkSession.builder.master(master).appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.default.parallelism", str(parts))
-        .config("spark.driver.memory", driver_memory)
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
-    )
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "nextclick",
+              driver_memory: str | None = None) -> SparkSession:
+    """A session with this library's settings. Call it under spark-submit without arguments."""
+    conf = {
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+    if shuffle_partitions:
+        conf |= {"spark.sql.shuffle.partitions": str(shuffle_partitions), "spark.default.parallelism": str(shuffle_partitions)}
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
+    builder = SparkSession.builder.appName(app).config(map=conf)
+    spark = (builder.master(master) if master else builder).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
@@ -52,6 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir is not set: a cluster needs a shared folder "
             "for checkpoints and intermediate tables")
-    local = tempfile.mkdtemp(prefix="nextclick-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    own = tempfile.mkdtemp(prefix="nextclick-ckpt-", dir=os.environ.get("NEXTCLICK_LOCAL_DIR"))
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    sc.setCheckpointDir(own)
+    return sc.getCheckpointDir() or own

@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from nextclick.schemas import Split
 
@@ -78,10 +77,3 @@ def store_frame(df: DataFrame, base: str, name: str, split: Split) -> str:
 
 def load_frame(spark: SparkSession, base: str, name: str, split: Split) -> DataFrame:
     return read_table(spark, frame_path(base, name, split))
-
-
-def store_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Bucketed table (e.g. i2i by anchor) so that later joins on ``key``
-    read co-located buckets instead of shuffling."""
-    (df.repartition(buckets, F.col(key)).write.mode("overwrite")
-       .bucketBy(buckets, key).sortBy(key).saveAsTable(table))

@@ -12,17 +12,28 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from nextclick.session import checkpoint_dir
 
 
+def tables_dir(spark: SparkSession) -> str:
+    return os.path.join(checkpoint_dir(spark), "tables")
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the tables this session has written, once no result that reads them is needed any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str, sort_within: list[str] | None = None) -> DataFrame:
     """Write ``df`` to ``{checkpoint dir}/tables/{name}-{uuid}`` and read it
     back. ``sort_within`` sorts rows inside each file (tight min/max
     statistics for later range filters, e.g. on ``session_dt``)."""
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(tables_dir(spark), f"{name}-{uuid.uuid4().hex}")
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     df.write.mode("overwrite").parquet(path)

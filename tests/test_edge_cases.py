@@ -177,11 +177,53 @@ def test_join_candidates_needs_a_generator():
         C.join_candidates({})
 
 
-def test_constant_list_is_size_checked(spark):
-    users = spark.createDataFrame([(1,)], "user_id long")
-    items = spark.range(5).select(F.col("id").alias("vacancy_id"), F.lit(1.0).alias("score"))
-    with pytest.raises(Exception, match="constant list longer than 3"):
-        C.constant_candidates(users, items, max_items=3).collect()
+def test_constant_list_of_any_length(spark):
+    users = spark.createDataFrame([(1,), (2,), (2,)], "user_id long")
+    items = spark.range(2500).select(F.col("id").alias("vacancy_id"), F.lit(1.0).alias("score"))
+    out = C.constant_candidates(users, items)
+    assert out.count() == 5000 and out.distinct().count() == 5000
+
+
+def test_truth_repeated_session_ids_null_users_and_empty_sessions(spark):
+    rows = [(1, "a", [1, 2], [2, 2], [t(0), t(1)]), (1, "a", [3, 4], [1, 2], [t(10), t(11)]),
+            (None, "b", [1, 2], [2, 2], [t(0), t(1)]), (None, "c", [3, 4], [1, 2], [t(10), t(11)]),
+            (5, "d", [], [], []), (5, "e", [1, 2], [2, 2], [t(0), t(1)]), (5, "f", [7, 4], [1, 2], [t(10), t(11)])]
+    got = sorted((r.user_id, r.session_id, r.target, r.val_session_rank) for r in next_response_truth(_val(spark, rows)).collect())
+    assert got == [(1, "a", 3, 1.0), (5, "e", 7, 1.0)]
+
+
+def test_recency_ranks_leave_null_users_out(spark):
+    flat = spark.createDataFrame([(1, 5, 2, t(0)), (1, 6, 2, t(1)), (None, 7, 2, t(2))], "user_id long, vacancy_id long, action_type int, action_dt timestamp_ntz")
+    got = {(r.user_id, r.vacancy_id): r.score for r in C.continue_search(flat, flat).collect()}
+    assert set(got) == {(1, 5), (1, 6)} and got[(1, 6)] == 0.0
+
+
+def test_item_frequency_of_empty_sessions(spark):
+    from nextclick.operators import eda
+    df = sessions(spark, [(1, "s", [], [], []), (1, "r", [4, 4, None], [1, 1, 1], [t(0), t(1), t(2)])])
+    assert [tuple(r) for r in eda.item_frequency(df).collect()] == [(4, 2)]
+
+
+def test_describe_against_pandas(spark):
+    import pandas as pd
+    from nextclick.operators import eda
+    for values in ([3, 1, 1, 8, 9, 2, 2, 2], [5], [1, 2]):
+        got = eda.describe(spark.createDataFrame([(v,) for v in values] + [(None,)], "x long"), "x").first()
+        want = pd.Series(values).describe()
+        assert got["count"] == len(values) and got["mean"] == pytest.approx(want["mean"]) and got["max"] == want["max"]
+        assert [got.q25, got.q50, got.q75] == pytest.approx([want["25%"], want["50%"], want["75%"]])
+        assert got["std"] == (pytest.approx(want["std"]) if len(values) > 1 else None)
+    assert eda.describe(spark.createDataFrame([], "x long"), "x").first()["count"] == 0
+
+
+def test_target_position_counts_what_comes_before(spark):
+    from nextclick.operators.metrics import mrr_unbounded, target_position
+    cands = spark.createDataFrame([(1, 10, 0.0), (1, 11, 0.5), (1, 12, 0.5), (2, 10, 1.0)], "user_id long, vacancy_id long, score double")
+    truth = spark.createDataFrame([(1, 12), (1, 99), (2, 10), (3, 1)], "user_id long, next_item long")
+    pos = target_position(truth, cands, "score")
+    assert sorted(map(tuple, pos.collect())) == [(1, 12, 3), (2, 10, 1)]
+    r = mrr_unbounded(truth, pos).first()
+    assert r.n_queries == 4 and r.mrr == pytest.approx((1 / 3 + 1) / 4)
 
 
 def test_reversible_rename(spark):

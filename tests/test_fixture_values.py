@@ -61,18 +61,21 @@ def test_f2_tie_counts(spark):
     assert ties == 6
 
 
-def test_window_free_plans_match(spark):
-    """The aggregation plans (used when one user exceeds the per-task bound)
-    give the same truth and metrics as the window plans."""
-    raw = fx.orders_session_log(spark, SF001, tie_times=True)
-    a = flows.prepare(raw, fx.F2_TRAIN, fx.F2_VALIDATION, method="window")
-    b = flows.prepare(raw, fx.F2_TRAIN, fx.F2_VALIDATION, method="aggregate")
-    assert b.method == "aggregate"
-    cols = ["user_id", "session_id", "val_session_rank", "target", "target_dt"]
-    assert sorted(a.truth.select(cols).collect()) == sorted(b.truth.select(cols).collect())
-    ma = flows.evaluate(a, flows.continue_search_submission(a)).first()
-    mb = flows.evaluate(b, flows.continue_search_submission(b)).first()
-    assert ma == mb
+def test_truth_against_windows_with_ties(spark):
+    """The aggregation plan gives what average ranks by a window over each user give."""
+    from pyspark.sql import Window as W
+
+    from nextclick.functions.arrays import first_match_struct
+    from nextclick.functions.ranks import average_rank
+    p = flows.prepare(fx.orders_session_log(spark, SF001, tie_times=True), fx.F2_TRAIN, fx.F2_VALIDATION)
+    ranked = p.validation_sessions.withColumn("r", average_rank("user_id", "session_dt"))
+    resp = first_match_struct("action_dt", "vacancy_id", "action_type", 1)
+    cand = F.when(resp.isNotNull() & (F.col("r") > 1), F.struct(resp["dt"].alias("dt"), resp["item"].alias("item"), F.col("session_id").alias("sid"),
+                                                                F.col("r").alias("r"), F.col("session_dt").alias("sdt")))
+    paired = ranked.withColumn("t", F.min(cand).over(W.partitionBy("user_id")))
+    want = paired.where((F.col("r") == F.col("t.r") - 1) & F.size("vacancy_id").between(2, 29)).select(
+        "user_id", "session_id", F.col("r").alias("val_session_rank"), F.col("t.item").alias("target"), F.col("t.sdt").alias("target_dt"))
+    assert want.count() > 0 and sorted(want.collect()) == sorted(p.truth.select(want.columns).collect())
 
 
 def test_dense_rank_within_hot_key(spark):
@@ -86,29 +89,17 @@ def test_dense_rank_within_hot_key(spark):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_round_robin_plans_match(spark):
+def test_round_robin_against_windows(spark):
+    from pyspark.sql import Window as W
+
     from nextclick.plans import catalog
-    p = catalog.f1(spark, SF001)
+    p = catalog.f1(spark, SF001, hot=True)
     i2i = catalog.f1_i2i(spark, SF001, p)
-    a = C.round_robin(p.test, i2i, method="window")
-    b = C.round_robin(p.test, i2i, method="aggregate").select(*a.columns)
-    assert a.count() > 0
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-def test_auto_plan_with_a_hot_user(spark):
-    """A third of F1's users folded into one user (a hot key): with a low
-    per-user bound, ``auto`` picks the window-free plans, and they agree with
-    the window plans."""
-    flat = fx.events_interactions(spark, SF01)
-    hot = flat.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
-    hot = hot.withColumn("session_id", F.concat(F.col("session_id"), F.lit("_"), F.col("user_id").cast("string")))
-    raw = fx.to_session_log(hot)
-    auto = flows.prepare(raw, fx.F1_TRAIN, fx.F1_VALIDATION, method="auto", hot_key_rows=500)
-    win = flows.prepare(raw, fx.F1_TRAIN, fx.F1_VALIDATION, method="window")
-    assert auto.method == "aggregate" and win.method == "window"
-    cols = ["user_id", "session_id", "val_session_rank", "target", "target_dt"]
-    assert sorted(auto.truth.select(cols).collect()) == sorted(win.truth.select(cols).collect())
-    ma = flows.evaluate(auto, flows.continue_search_submission(auto)).first()
-    mw = flows.evaluate(win, flows.continue_search_submission(win)).first()
-    assert ma == mw
+    got = C.round_robin(p.test, i2i)
+    latest = p.test.groupBy("user_id", "vacancy_id").agg(F.max("action_dt").alias("dt"))
+    lists = latest.withColumn("l", F.row_number().over(W.partitionBy("user_id").orderBy(F.col("dt").desc(), "vacancy_id")))
+    first = (lists.withColumnRenamed("vacancy_id", "anchor_vacancy_id").join(i2i, "anchor_vacancy_id")
+                  .groupBy("user_id", F.col("recom_vacancy_id").alias("vacancy_id")).agg(F.min(F.struct("pos", "l")).alias("f")))
+    want = first.select("user_id", "vacancy_id", F.row_number().over(W.partitionBy("user_id").orderBy("f")).alias("pos"))
+    assert want.count() > 0
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))

@@ -34,33 +34,34 @@ def test_dense_matches_brute_force_across_blocks(spark):
     rng = np.random.default_rng(0)
     mat = rng.normal(size=(300, 8)).round(2)
     mat[5] = 0.0                                  # a zero vector is dropped
+    odd = [np.array([np.nan] * 8), np.array([np.inf] + [1.0] * 7)]  # and so is one without a direction
     keys = rng.permutation(1000)[:300].astype(np.int64)
-    df = spark.createDataFrame(pd.DataFrame({"key": keys, "vec": list(mat)}))
+    df = spark.createDataFrame(pd.DataFrame({"key": np.append(keys, [5000, 5001]), "vec": list(mat) + odd}))
     got = {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos)
-           for r in knn.dense_i2i(df, asked=10, max_block_rows=64).collect()}
+           for r in knn.dense_i2i(df, asked=10, block_rows=64).collect()}
     assert got == brute(mat, keys, 10)
 
 
-@pytest.mark.parametrize("hot_nnz", [None, 10, 3])
-def test_sparse_matches_brute_force_with_hot_item_and_token(spark, hot_nnz):
+@pytest.mark.parametrize("token_rows", [1024, 16])
+def test_sparse_matches_brute_force_with_hot_item_and_token(spark, token_rows):
     rng = np.random.default_rng(1)
     n_items, n_tok = 200, 50
     dense = (rng.random((n_items, n_tok)) < 0.05) * rng.integers(1, 4, (n_items, n_tok))
     dense[7, :] = rng.integers(1, 5, n_tok)       # a hot item: every token
     dense[:, 3] = rng.integers(1, 3, n_items)     # a hot token: every item
+    dense[50:90] = dense[50]                      # a group of equal vectors, longer than a list
+    dense[120] = 2 * dense[121]                   # parallel, not equal
     it, tok = np.nonzero(dense)
     flat = pd.DataFrame({"key": (it * 3 + 11).astype(np.int64), "token": tok.astype(np.int64),
                          "val": dense[it, tok].astype(float)})
     df = spark.createDataFrame(flat)
     got = {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos)
-           for r in knn.sparse_i2i(df, asked=15, max_block_rows=40, max_block_nnz=400,
-                                   hot_nnz=hot_nnz).collect()}
+           for r in knn.sparse_i2i(df, asked=15, token_rows=token_rows).collect()}
     keys = (np.arange(n_items) * 3 + 11).astype(np.int64)
     assert got == brute(dense.astype(float), keys, 15)
 
 
-@pytest.mark.parametrize("hot_nnz", [None, 2])
-def test_sparse_zero_fill_matches_brute_force(spark, hot_nnz):
+def test_sparse_zero_fill_matches_brute_force(spark):
     """Few shared tokens: most anchors need zero-score neighbours (smallest
     ids first), as a full kNN query returns them."""
     rng = np.random.default_rng(4)
@@ -71,8 +72,7 @@ def test_sparse_zero_fill_matches_brute_force(spark, hot_nnz):
     keys = rng.permutation(10_000)[:n_items].astype(np.int64)
     flat = pd.DataFrame({"key": keys[it], "token": tok.astype(np.int64), "val": dense[it, tok].astype(float)})
     got = {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos)
-           for r in knn.sparse_i2i(spark.createDataFrame(flat), asked=30, max_block_rows=25,
-                                   max_block_nnz=100, hot_nnz=hot_nnz).collect()}
+           for r in knn.sparse_i2i(spark.createDataFrame(flat), asked=30).collect()}
     present = np.unique(it)
     assert got == brute(dense[present].astype(float), keys[present], 30)
 
@@ -89,7 +89,7 @@ def test_query_topk_matches_brute_force(spark):
     cand = rng.normal(size=(120, 5))
     q = rng.normal(size=(4, 5))
     df = spark.createDataFrame(pd.DataFrame({"key": np.arange(120, dtype=np.int64), "vec": list(cand)}))
-    rows = knn.query_topk(np.arange(4, dtype=np.int64), q, df, 7, max_block_rows=25).collect()
+    rows = knn.query_topk(np.arange(4, dtype=np.int64), q, df, 7, rows=25).collect()
     S = np.round(q @ cand.T, knn.SCORE_DIGITS)
     want = {(i, int(j), r) for i in range(4) for r, j in enumerate(np.argsort(-S[i], kind="stable")[:7], 1)}
     assert {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos) for r in rows} == want
@@ -103,8 +103,7 @@ def test_two_sided_streamed_topk_with_exclusions(spark):
     qdf = spark.createDataFrame(pd.DataFrame({"key": np.arange(30, dtype=np.int64), "vec": list(qv)}))
     cdf = spark.createDataFrame(pd.DataFrame({"key": np.arange(90, dtype=np.int64), "vec": list(cand)}))
     edf = spark.createDataFrame(sorted(excl), "key long, other long")
-    top = knn._streamed_topk(qdf, 5, False, dense=True, block_rows=16, min_blocks=3,
-                             candidates=cdf, exclude=edf).toPandas()
+    top = knn.streamed_topk(qdf, 5, candidates=cdf, exclude=edf, block_rows=16, candidate_rows=20).toPandas()
     S = np.round(qv @ cand.T, knn.SCORE_DIGITS)
     for i in range(30):
         row = S[i].copy()
@@ -146,5 +145,5 @@ def test_document_knn_matches_brute_force(spark):
     mat = np.zeros((len(keys), len(toks)))
     mat[np.searchsorted(keys, counts.key), counts.token.map(toks)] = counts.val
     got = {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos)
-           for r in knn.sparse_i2i(spark.createDataFrame(counts), asked=20, max_block_rows=64).collect()}
+           for r in knn.sparse_i2i(spark.createDataFrame(counts), asked=20).collect()}
     assert got == brute(mat, keys.astype(np.int64), 20)
