@@ -87,7 +87,8 @@ def id_codec_events(spark, d):
 
 
 def time_split_events(spark, d):
-    train, val = time_split(f1_sessions(spark, d), fx.F1_TRAIN, fx.F1_VALIDATION)
+    sessions = materialise(f1_sessions(spark, d), "sessions", sort_within=["session_dt"])
+    train, val = time_split(sessions, fx.F1_TRAIN, fx.F1_VALIDATION)
     pick = ["user_id", "session_id", time_str("session_dt").alias("session_dt")]
     return (train.select(*pick, F.lit("train").alias("split"))
                  .unionByName(val.select(*pick, F.lit("validation").alias("split"))))

@@ -26,8 +26,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     }
     if shuffle_partitions:
         conf |= {"spark.sql.shuffle.partitions": str(shuffle_partitions), "spark.default.parallelism": str(shuffle_partitions)}
-    if driver_memory:
-        conf["spark.driver.memory"] = driver_memory
+    if driver_memory or (master or "").startswith("local"):
+        conf["spark.driver.memory"] = driver_memory or "16g"  # with a local master the driver does the executors' work
     builder = SparkSession.builder.appName(app).config(map=conf)
     spark = (builder.master(master) if master else builder).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -45,3 +45,16 @@ def test_seen_filter_observes_counts(spark):
     out = R.seen_filter(cands, hist, observations=(before, after)).collect()
     assert len(out) == 2
     assert before.get["rows"] == 3 and after.get["rows"] == 2
+
+
+def test_tables_are_dropped_on_request(tmp_path, spark):
+    from nextclick.sources import tables
+    df = tables.materialise(spark.range(3), "t")
+    assert df.count() == 3
+    folder = tables.tables_dir(spark).removeprefix("file:")
+    assert any(n.startswith("t-") for n in os.listdir(folder))
+    before = set(os.listdir(folder))
+    assert before
+    tables.drop_tables(spark)
+    assert not os.path.exists(folder)
+    assert tables.materialise(spark.range(2), "t").count() == 2
