@@ -255,3 +255,22 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     keyed = row_keyed(docs, "row_key")
     kept = similar_classes(keyed).where("row_key = keeper").select("row_key")
     return keyed.join(kept, "row_key", "left_semi").select(*docs.columns)
+
+
+#: All pairs that share a gram, and classes by walking the links.
+OP6_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 5 * c >= 4 * (x.n + y.n - c)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM sizes
+  UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other),
+classes AS (SELECT doc_id, min(other) AS class_id FROM reached GROUP BY doc_id)
+SELECT doc_id, class_id, coalesce(n, 0) AS n_links
+FROM classes LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = doc_id
+"""

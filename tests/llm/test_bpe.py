@@ -46,3 +46,10 @@ def test_repeated_and_null_ids_stay_rows(spark):
     docs = frame(spark, [(None, "a b"), (None, "c" * 300), (7, "a b"), (7, "a b")], "doc_id long, text string")
     rows = bpe.encode(docs, ["doc_id"], chunk=50, overlap=8).collect()
     assert len(rows) == 4 and sum(r.doc_id is None for r in rows) == 2
+
+
+def test_pre_tokens_of_odd_characters(reference):
+    coding = bpe.coder(path(bpe.RANKS), PATTERN)
+    for point in [*range(0x300), *range(0x1680, 0x1690), *range(0x180A, 0x1810), *range(0x2000, 0x2070), 0x3000, 0xFEFF, *range(0x1F600, 0x1F610), 0x10FFFF]:
+        text = f"a{chr(point)} {chr(point)}1 {chr(point)}{chr(point)}b\n{chr(point)}"
+        assert [i for piece in coding.pieces(text)[1] for i in piece] == reference.encode_ordinary(text)
