@@ -370,3 +370,24 @@ def remove_repeats(keyed: DataFrame, batches: int = 4, length: int = LENGTH, pre
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(row_keyed(read(spark, sf_dir, "documents"))).drop("row_key")
+
+
+#: Every window of every text, as hex, counted by its hash (texts are taken in parts: cutting from the end of a long one is slow).
+OP7_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (SELECT doc_id, base, substr(h, 2 * base + 1, 2 * 899) AS x FROM (
+        SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 399, 0), 500)) AS base FROM d)),
+w AS (SELECT doc_id, base + i AS p, hash(substr(x, 2 * i + 1, 800)) AS k FROM (
+        SELECT doc_id, base, x, unnest(range(0, length(x) // 2 - 399)) AS i FROM parts)),
+hits AS (SELECT doc_id, p FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+marked AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 400 THEN 0 ELSE 1 END AS starts FROM hits),
+runs AS (SELECT doc_id, p, sum(starts) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+spans AS (SELECT doc_id, run, min(p) AS s, max(p) + 400 AS e FROM runs GROUP BY doc_id, run),
+cut AS (SELECT doc_id, s, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS after FROM spans),
+gone AS (SELECT c.doc_id, sum(e - s) AS n_removed, count(*) AS n_spans, max(e) AS last,
+           string_agg(substr(h, 2 * after + 1, 2 * (s - after)), '' ORDER BY s) AS kept
+         FROM cut c JOIN d USING (doc_id) GROUP BY c.doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""

@@ -23,4 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": chat.OP5_SQL,
+    "op6_ngram_jaccard_join": ngram_join.OP6_SQL,
+    "op7_suffix_dedup": long_repeats.OP7_SQL,
 }

@@ -7,6 +7,7 @@ from conftest import SF001
 from helpers import frame, removed_repeats
 from nextclick.llm import long_repeats
 from nextclick.llm.common import materialise, row_keyed
+from oracle_harness import compare, duck
 
 
 def texts():
@@ -29,7 +30,8 @@ def test_against_all_windows(spark, length, prefix, hot, batches):
     assert long_repeats.remove_repeats(docs.limit(0), 2).count() == 0
 
 
-def test_whole_table(spark):
+def test_query_against_sql_and_all_windows(spark):
+    assert compare(spark, duck(SF001), "op7", long_repeats.op7_suffix_dedup, long_repeats.OP7_SQL, SF001)
     docs = spark.read.parquet(f"{SF001}/documents.parquet").toPandas()
     got = long_repeats.op7_suffix_dedup(spark, SF001).toPandas().set_index("doc_id").loc[docs.doc_id]
     expected = removed_repeats(list(docs.text), long_repeats.LENGTH)

@@ -7,6 +7,7 @@ from helpers import frame, near_classes
 from nextclick.llm import ngram_join
 from nextclick.llm.common import materialise, row_keyed
 from nextclick.llm.components import connected
+from oracle_harness import compare, duck
 
 
 def family(seed=4):
@@ -51,6 +52,10 @@ def test_repeated_ids_and_empty_table(spark):
     assert ngram_join.similar_classes(docs.limit(0)).count() == 0
 
 
+def test_query_against_sql(spark):
+    assert compare(spark, duck(SF001), "op6", ngram_join.op6_ngram_jaccard_join, ngram_join.OP6_SQL, SF001)
+
+
 def test_bands_reach_the_recall():
     b = ngram_join.bands_for(0.8, 0.9999)
     assert 1 - (1 - 0.8 ** 4) ** b >= 0.9999 > 1 - (1 - 0.8 ** 4) ** (b - 1)
