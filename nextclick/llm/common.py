@@ -18,7 +18,7 @@ from nextclick.sources.tables import materialise
 #: A word is a maximal run of characters other than ASCII white space (Java and Python agree on it).
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "let", "materialise", "narrow_batches", "null_to_empty", "read", "row_keyed", "running_totals"]
+__all__ = ["WORD", "bounded_sample", "let", "materialise", "narrow_batches", "null_to_empty", "read", "row_keyed", "running_totals"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -43,6 +43,17 @@ def row_keyed(docs: DataFrame, name: str = "row_key") -> DataFrame:
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
+def bounded_sample(df: DataFrame, most: int, key: str = "doc_id", seed: int = 0) -> DataFrame:
+    """At most ``most`` rows: those whose key hashes lowest, hence the same ones on every run. A share slightly above ``most`` is
+    cut by the hash first, so that what is sorted, and sent on by each task, stays about ``most`` rows in all."""
+    steps = 1 << 30
+    mark = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(steps))
+    n = df.count()
+    if n > most:
+        df = df.where(mark < F.lit(min(steps, int(steps * (1.05 * most + 1_000) / n) + 1)))
+    return df.orderBy(mark, key).limit(most)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once for all its uses in ``body``: inside a lambda an expression is evaluated per element."""
     return F.element_at(F.transform(F.array(value), body), 1)

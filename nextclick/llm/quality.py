@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nextclick.llm.common import WORD, materialise, narrow_batches, null_to_empty, read
+from nextclick.llm.common import WORD, bounded_sample, materialise, narrow_batches, null_to_empty, read
 
 WINDOW = 5
 _WORD = re.compile(WORD)
@@ -194,11 +194,10 @@ def fit(stats: DataFrame, labels: DataFrame, trees: int = 64, subsample: int = 2
     best = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("good"))
     rows = stats.where(~base_failed("quality")).join(best, "doc_id")
     rates = [F.col(f"quality.{c}").alias(c) for c in RATES]
-    good = (rows.where("good = 1").orderBy(F.xxhash64("doc_id"), *[F.col(f"quality.{c}") for c in RATES])
-            .limit(max_fit_rows).select(*rates).collect())
+    good = bounded_sample(rows.where("good = 1"), max_fit_rows).select(*rates).collect()
     if not good:
         return QualityModel(None, 1.0)
-    x = np.array(good, dtype=float)
+    x = np.array(sorted(map(tuple, good)), dtype=float)
     low, high = np.quantile(x, 0.001, axis=0), np.quantile(x, 0.999, axis=0)
     model = QualityModel(grow_forest(x, trees, subsample, seed), 2.0, low, high)
     bins = (rows.select("good", F.round(scored(F.col("quality"), model), 3).alias("at"))
@@ -232,14 +231,14 @@ def with_verdict(stats: DataFrame, model: QualityModel, out: str = "quality") ->
             .withColumn(out, F.col(out).withField("kept", ~F.col(f"{out}.base_failed") & (F.col(f"{out}.score") <= model.threshold))))
 
 
-def labelled_statistics(docs: DataFrame) -> DataFrame:
+def document_statistics(docs: DataFrame) -> DataFrame:
     """doc_id and statistics of every document, written once: fitting and judging read it without the texts."""
     narrow_batches(docs.sparkSession)
     return materialise(docs.select("doc_id", rule_statistics(null_to_empty()).alias("quality")), "quality_stats")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = labelled_statistics(read(spark, sf_dir, "documents"))
+    stats = document_statistics(read(spark, sf_dir, "documents"))
     model = fit(stats, read(spark, sf_dir, "labels"))
     return with_verdict(stats, model).select(
         "doc_id", *[F.col(f"quality.{c}").alias(c) for c in COUNTS], F.col("quality.base_failed").alias("base_failed"),
@@ -249,6 +248,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, with their columns as they came."""
     columns = docs.columns
-    stats = labelled_statistics(docs)
+    stats = document_statistics(docs)
     model = fit(stats, read(spark, sf_dir, "labels"))
     return judge(docs, model, out="__quality").where("__quality.kept").select(*columns)

@@ -44,7 +44,7 @@ def test_empty_null_and_clashing_columns(spark):
 def test_verdicts_follow_labels_and_no_labels_means_base_rule(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     labels = spark.read.parquet(f"{SF01}/labels.parquet")
-    stats = quality.labelled_statistics(docs)
+    stats = quality.document_statistics(docs)
     fitted = quality.fit(stats, labels.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0))
     good = labels.select("doc_id", F.col("quality").alias("good"))
     rows = quality.with_verdict(stats, fitted).join(good, "doc_id").where("not quality.base_failed and crc32(cast(doc_id as string)) % 2 = 1")
@@ -71,3 +71,11 @@ def test_query_agrees_with_plain_statistics(spark):
         assert g.base_failed == (len(words) < 10 or 100 * repeats > 20 * len(words))
         assert not (g.base_failed and g.kept)
     assert len(got) == pytest.approx(1000)
+
+
+def test_bounded_sample(spark):
+    from nextclick.llm.common import bounded_sample
+    rows = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    once = {r.doc_id for r in bounded_sample(rows, 500).collect()}
+    assert len(once) == 500 and once == {r.doc_id for r in bounded_sample(rows.repartition(5), 500).collect()}
+    assert bounded_sample(rows.limit(30), 500).count() == 30 and bounded_sample(rows.limit(0), 5).count() == 0
