@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nextclick.llm.common import materialise, narrow_batches, null_to_empty, read
+from nextclick.llm.common import bounded_sample, materialise, narrow_batches, null_to_empty, read
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _TOKEN = re.compile(r"\w+")
@@ -107,10 +107,7 @@ def fit_noisy_or(bags: list[list[list[int]]], labels: np.ndarray, n_features: in
 def fit(docs: DataFrame, labels: DataFrame, max_per_label: int = 6_000, max_features: int = 4_000, min_texts: int = 2) -> ToxicityModel:
     """``docs``: doc_id, text. ``labels``: doc_id, toxic 0/1. Features are chosen by their likelihood ratio between the labels."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    drawn = None
-    for label in (0, 1):
-        part = known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_label)
-        drawn = part if drawn is None else drawn.unionByName(part)
+    drawn = bounded_sample(known.where("toxic = 0"), max_per_label).unionByName(bounded_sample(known.where("toxic = 1"), max_per_label))
     # At most 2 * max_per_label pairs of numbers are broadcast.
     sample = materialise(docs.join(F.broadcast(drawn), "doc_id").select(null_to_empty().alias("text"), "toxic").distinct(), "toxic_sample")
 
