@@ -7,6 +7,11 @@ What text differs from page to page lies in the template's slots. The main slot
 template that holds most of the host's text outside menus, adverts and the like; containers in it whose text is the same on all pages are template
 too. Pages without the host's main slot (another template, a host of one page) are read by the same rule on their own.
 
+A text block is a token as well: the hash of its path, block tags included, and of its text. It nests by its path in the class of its container, and is
+template text if it stands on nearly all pages on which its container stands; such blocks are left out wherever they stand in the slot. Nearly
+all, since pages are cut off and since a copied article is on a share of its container's pages only. The order of tokens is not checked. A
+page on which nothing else stands keeps them.
+
 Vectors are compared by their hash, summed over pages, so neither the pages of a large host nor its vectors ever meet in one task.
 
 Defined cases: a null or empty page, or one without text, has the empty text; a null url is a host of its own; equal rows are
@@ -74,6 +79,11 @@ class Block:
     place: Container
     text: str
     linked: int
+    tags: str
+
+    @property
+    def token(self) -> int:
+        return xxhash.xxh3_64_intdigest(f"{self.place.key}/{self.tags}/{self.text}") >> 1 or 1
 
 
 def _names(attributes: str) -> tuple[str, set[str], str]:
@@ -99,7 +109,10 @@ def parse(page: str) -> tuple[list[Container], list[Block]]:
         text = " ".join("".join(pieces).split()) if pieces else ""
         if text:
             place = stack[-1][1]
-            blocks.append(Block(place, text, linked))
+            k = len(stack) - 1
+            while k and stack[k - 1][1] is place:
+                k -= 1
+            blocks.append(Block(place, text, linked, "/".join(t for t, _ in stack[k:])))
             place.own += max(len(text) - linked, 0)
             place.text.append(text)
         pieces.clear()
@@ -186,7 +199,7 @@ def main_of_page(containers: list[Container]) -> int:
     return max(by_key.items(), key=lambda kv: (kv[1][0] >= MOST * total, kv[1][1], kv[1][0]), default=(0, None))[0]
 
 
-def main_text(page: str, main: int | None, fixed: frozenset[int]) -> str:
+def main_text(page: str, main: int | None, fixed: frozenset[int], texts: frozenset[int] = frozenset()) -> str:
     containers, blocks = parse(page)
     if main is None or not any(c.key == main and c.below for c in containers):
         main, fixed = main_of_page(containers), frozenset()
@@ -194,7 +207,8 @@ def main_text(page: str, main: int | None, fixed: frozenset[int]) -> str:
     for c in containers:  # parents come first
         above = c.parent is not None and state[id(c.parent)]
         state[id(c)] = (above or c.key == main) and not c.noise and not (c.key in fixed and c.key != main)
-    return "\n\n".join(b.text for b in blocks if state[id(b.place)])
+    here = [b for b in blocks if state[id(b.place)]]
+    return "\n\n".join(b.text for b in [b for b in here if b.token not in texts] or here) if texts else "\n\n".join(b.text for b in here)
 
 
 def host_of(url: str | None) -> str:
@@ -202,30 +216,35 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-_SEEN = ("host string, path bigint, depth int, pages bigint, times bigint, vector bigint, below bigint, least bigint, most bigint, own bigint")
-_SEEN_TYPES = [pa.string(), pa.int64(), pa.int32()] + [pa.int64()] * 7
+_SEEN = ("host string, path bigint, text bigint, depth int, pages bigint, times bigint, vector bigint, below bigint, least bigint, most bigint, own bigint")
+_SEEN_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int32()] + [pa.int64()] * 7
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """Per host and container path, summed within each batch: the pages it is on, how often, its vector's hash, its text."""
+    """Per host and token (a container path, with ``text`` 0, or a text block in it), summed within each batch: the pages it is on, how often, its
+    vector's hash, its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[tuple[str, int], list[int]] = {}
+            seen: dict[tuple[str, int, int], list[int]] = {}
             for number, url, page in zip(*(batch.column(c).to_pylist() for c in ("row_key", "url", "html")), strict=True):
                 host = host_of(url)
-                here: dict[int, list] = {}
-                for c in parse(page or "")[0]:
+                here: dict[tuple[int, int], list] = {}
+                containers, blocks = parse(page or "")
+                for c in containers:
                     if not c.noise:
-                        have = here.setdefault(c.key, [c.depth, 0, 0, [], 0])
+                        have = here.setdefault((c.key, 0), [c.depth, 0, 0, [], 0])
                         have[1] += 1
                         have[2] += c.below
                         have[3] += c.text
                         have[4] += c.own
+                for b in blocks:
+                    if not b.place.noise:
+                        here.setdefault((b.place.key, b.token), [b.place.depth, 0, 0, [], 0])[1] += 1
                 for key, (depth, times, below, text, own) in here.items():
                     mark = xxhash.xxh3_64_intdigest(f"{number}:{times}") >> 1
-                    said = xxhash.xxh3_64_intdigest("\n".join(text)) >> 1
-                    have = seen.setdefault((host, key), [depth, 0, 0, 0, 0, said, said, 0])
+                    said = 0 if key[1] else xxhash.xxh3_64_intdigest("\n".join(text)) >> 1
+                    have = seen.setdefault((host, *key), [depth, 0, 0, 0, 0, said, said, 0])
                     have[1] += 1
                     have[2] += times
                     have[3] = (have[3] + mark) & 0x7FFFFFFFFFFFFFFF
@@ -240,17 +259,20 @@ def occurrences(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(run, _SEEN)
 
 
-def templates(pages: DataFrame, share: float = 0.5, least_pages: int = 3, least_fixed: int = 8) -> DataFrame:
-    """host, main (path of the main slot), fixed (paths of containers with the same text on every page) and the number of equivalence classes.
+def templates(pages: DataFrame, share: float = 0.5, least_pages: int = 3, least_fixed: int = 8, least_text: int = 16, nested: float = 0.9) -> DataFrame:
+    """host, main (path of the main slot), fixed (paths of containers with the same text on every page), the number of equivalence classes and texts
+    (tokens of template text).
 
-    A class is valid if its paths stand on at least ``share`` of the host's pages and on ``least_pages``; text that is to count as the template's is the same on
-    at least ``least_fixed``.
+    A class is valid if its paths stand on at least ``share`` of the host's pages and on ``least_pages``; a container's whole text that is to count as the
+    template's is the same on at least ``least_fixed``. A text block is the template's if it stands on at least ``least_text`` and on a share ``nested`` of
+    the pages of its container, which is to be on ``share`` of the host's: one sentence is weaker evidence than a container.
     """
-    seen = (occurrences(pages).groupBy("host", "path").agg(
+    seen = (occurrences(pages).groupBy("host", "path", "text").agg(
         F.first("depth").alias("depth"), F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("sum"),
         F.sum("below").alias("below"), F.min("least").alias("least"), F.max("most").alias("most"), F.sum("own").alias("own"))
         .withColumn("vector", F.expr("pmod(sum, 9223372036854775808)")).drop("sum"))
-    seen = materialise(seen, "page_paths")
+    both = materialise(seen.where((F.col("text") == 0) | (F.col("pages") >= least_text)), "page_paths")
+    seen = both.where("text = 0").drop("text")
     # Tokens with one occurrence vector are a class; a valid class keeps or loses its paths together.
     whole = seen.where("path = 0").select("host", F.col("pages").alias("all"), F.col("below").alias("total"))
     classes = (seen.groupBy("host", "vector").agg(F.max("pages").alias("support"), F.count("*").alias("paths"))
@@ -263,7 +285,12 @@ def templates(pages: DataFrame, share: float = 0.5, least_pages: int = 3, least_
         F.collect_set(F.when(same & (F.col("path") != 0) & (F.col("pages") >= least_fixed), F.col("path"))).alias("fixed"),
         F.bool_or(~same & (F.col("own") > 0)).alias("varies"), F.count_distinct("vector").alias("classes"))
     # Where nothing differs between the pages, sameness says nothing about the template.
-    return slots.withColumn("fixed", F.when(F.col("varies"), F.col("fixed"))).drop("varies")
+    slots = slots.withColumn("fixed", F.when(F.col("varies"), F.col("fixed")))
+    around = seen.select("host", "path", F.col("pages").alias("around"))
+    often = both.where("text <> 0").select("host", "path", "text", "pages").join(whole, "host").where(F.col("pages") >= nested * share * F.col("all"))
+    texts = (often.join(around, ["host", "path"]).where((F.col("pages") >= nested * F.col("around")) & (F.col("around") >= share * F.col("all")))
+             .groupBy("host").agg(F.collect_set("text").alias("texts")))
+    return slots.join(texts, "host", "left").withColumn("texts", F.when(F.col("varies"), F.col("texts"))).drop("varies")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -274,10 +301,11 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.arrow_udf(lambda urls: pa.array([host_of(u) for u in urls.to_pylist()], pa.string()), "string")
     told = pages.withColumn("host", host("url")).join(found, "host", "left")
 
-    def texts(page: pa.Array, main: pa.Array, fixed: pa.Array) -> pa.Array:
-        return pa.array([main_text(p or "", m, frozenset(x or ())) for p, m, x in zip(page.to_pylist(), main.to_pylist(), fixed.to_pylist(), strict=True)], pa.string())
+    def text_of(*columns: pa.Array) -> pa.Array:
+        return pa.array([main_text(p or "", m, frozenset(x or ()), frozenset(t or ())) for p, m, x, t in zip(*(c.to_pylist() for c in columns), strict=True)],
+                        pa.string())
 
-    out = told.select("page_id", "url", F.arrow_udf(texts, "string")("html", "main", "fixed").alias("text"))
+    out = told.select("page_id", "url", F.arrow_udf(text_of, "string")("html", "main", "fixed", "texts").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("bigint"))
 
 

@@ -51,3 +51,17 @@ def test_table_articles(spark):
         article = re.search(r"(?s)<article>(.*?)(?:</article>|$)", r.html)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<(?!/?(?:p|h1)\b)[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
         assert out[r.page_id] == "\n\n".join(b for b in blocks if b)
+
+
+def test_repeated_text_in_the_article_is_the_template(spark):
+    """Sentences and unclassed lists that stand on every page are left out; an article that is copied often stays."""
+    def page(i):
+        story = "<p>Shared story.</p><p>Its end.</p>" if i % 5 < 3 else f"<p>Story {i}.</p><p>End {i}.</p>"
+        return (f"<body><article><h1>Title {i}</h1><ul><li><a href=/>home</a><li>all news</ul><p>Read with care.</p>{story}"
+                + ("<p>Write to us.</p></article></body>" if i != 7 else ""))
+
+    rows = [(i, f"https://h.example/{i}", page(i)) for i in range(40)] + [(100, "https://few.example/", page(3))]
+    out = {r.page_id: r.text for r in web_text.extract(frame(spark, rows, "page_id long, url string, html string")).collect()}
+    for i in range(40):
+        assert out[i] == f"Title {i}\n\n" + ("Shared story.\n\nIts end." if i % 5 < 3 else f"Story {i}.\n\nEnd {i}.")
+    assert out[100] == "Title 3\n\nhome\n\nall news\n\nRead with care.\n\nStory 3.\n\nEnd 3.\n\nWrite to us."
