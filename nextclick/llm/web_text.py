@@ -65,8 +65,13 @@ NOISE_WORDS = frozenset(
 class Container:
     key: int
     parent: Container | None
-    noise: bool
+    #: Share of the page's text with which it is no noise after all, 0 if nothing speaks against it, and the largest from the page down to it.
+    suspect: float
     depth: int
+    #: Whether it is an article or main element.
+    spoken: bool = False
+    noise: bool = False
+    doubt: float = 0.0
     #: Characters of its own text without links, with all below it, and the hash of its own text.
     own: int = 0
     below: int = 0
@@ -86,18 +91,77 @@ class Block:
         return xxhash.xxh3_64_intdigest(f"{self.place.key}/{self.tags}/{self.text}") >> 1 or 1
 
 
-def _names(attributes: str) -> tuple[str, set[str], str]:
-    """Signature part, words of class and id, and role of a tag."""
+#: Suspicion by a tag (never lifted), by a whole name, by a part of a name, and by a role, a form or a name that says what is inside.
+BY_TAG, BY_NAME, BY_PART, BY_HINT = 2.0, 1.0, 0.8, 0.5
+_SAYS_INSIDE = re.compile(r"^(?:has|have|with|without|no|is|show|hide)[-_]")
+
+
+def _suspicion(tag: str, names: list[str], words: set[str], role: str, inside: bool) -> float:
+    """How strongly tag, class, id and role speak against a container."""
+    if tag in NOISE_TAGS and tag not in ("form", "fieldset") or not inside and tag == "header":
+        return BY_TAG
+    listed = NOISE_WORDS if inside else NOISE_WORDS | {"header"}
+    found = BY_HINT if tag in NOISE_TAGS or role in NOISE_ROLES else 0.0
+    if words & listed:
+        for name in names:
+            said = set(re.findall(r"[a-z]+", name.lower()))
+            if said & listed:
+                found = max(found, BY_HINT if _SAYS_INSIDE.match(name.lower()) else BY_NAME if said <= listed else BY_PART)
+    return found
+
+
+def settle(containers: list[Container]) -> None:
+    """Say which containers are noise. An article or main element inside a suspected container, or text that is most of the page's, lifts the suspicion."""
+    for c in containers:
+        c.doubt = max(c.suspect, c.parent.doubt if c.parent is not None else 0.0)
+    if any(0 < c.doubt < BY_TAG for c in containers):
+        held = {id(c): c.own for c in containers}  # without suspected containers inside
+        for c in reversed(containers):
+            if c.parent is not None and not c.suspect:
+                held[id(c.parent)] += held[id(c)]
+        clean = held[id(containers[0])]
+        hidden = [c for c in containers if c.spoken and 0 < c.doubt < BY_TAG and held[id(c)]]
+        spoken = {id(c) for c in containers if c.spoken and not c.doubt and held[id(c)]}
+
+        def alone(c: Container) -> bool:
+            """No unsuspected article but those around it."""
+            around, up = 0, c.parent
+            while up is not None:
+                around += id(up) in spoken
+                up = up.parent
+            return around == len(spoken)
+
+        most = max((held[id(c)] for c in hidden), default=0)
+        lifted = [c for c in hidden if 2 * held[id(c)] >= most and (c.doubt <= BY_HINT or held[id(c)] > clean) and alone(c)]
+        if not lifted:
+            by_key: dict[int, int] = {}
+            for c in containers:
+                if c.suspect and c.doubt < BY_TAG:
+                    by_key[c.key] = by_key.get(c.key, 0) + held[id(c)]
+            enough = [c for c in containers if by_key.get(c.key) and by_key[c.key] >= c.doubt * (by_key[c.key] + clean)]
+            best = max((by_key[c.key] for c in enough), default=0)
+            lifted = [c for c in enough if by_key[c.key] == best and alone(c)]
+        for c in lifted:
+            up = c
+            while up is not None:
+                up.suspect = 0.0
+                up = up.parent
+    for c in containers:
+        c.noise = c.suspect > 0 or c.parent is not None and c.parent.noise
+
+
+def _names(attributes: str) -> tuple[str, list[str], set[str], str]:
+    """Signature part, class names and id, the words of these, and role of a tag."""
     found = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
-    both = f"{found.get('class', '')} {found.get('id', '')}"
-    words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", both).lower()))
+    names = re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{found.get('class', '')} {found.get('id', '')}").split()
+    words = set(re.findall(r"[a-z]+", " ".join(names).lower()))
     shape = re.sub(r"\d+", "0", " ".join(sorted(found.get("class", "").split())) + "#" + found.get("id", ""))
-    return shape, words, found.get("role", "").lower()
+    return shape, names, words, found.get("role", "").lower()
 
 
 def parse(page: str) -> tuple[list[Container], list[Block]]:
     """Containers in the order in which they open, and text blocks in page order."""
-    top = Container(0, None, False, 0)
+    top = Container(0, None, 0.0, 0)
     containers, blocks = [top], []
     stack: list[tuple[str, Container]] = [("", top)]
     open_tags: dict[str, int] = {}
@@ -165,18 +229,18 @@ def parse(page: str) -> tuple[list[Container], list[Block]]:
         above = stack[-1][1]
         place = above
         if tag in CONTAINERS or tag in NOISE_TAGS or attributes:
-            shape, words, role = _names(attributes)
-            inside = above.article or tag in ("article", "main") or role == "main"
-            noise = tag not in ("body", "article", "main") and (
-                tag in NOISE_TAGS or role in NOISE_ROLES or bool(words & NOISE_WORDS)
-                or not inside and (tag == "header" or "header" in words))
-            if tag in CONTAINERS or noise:
-                place = Container(xxhash.xxh3_64_intdigest(f"{above.key}/{tag}.{shape}") >> 1, above, above.noise or noise, above.depth + 1, article=inside)
+            shape, names, words, role = _names(attributes)
+            spoken = tag in ("article", "main") or role == "main"
+            inside = above.article or spoken
+            suspect = 0.0 if tag in ("html", "body", "article", "main") else _suspicion(tag, names, words, role, inside)
+            if tag in CONTAINERS or suspect:
+                place = Container(xxhash.xxh3_64_intdigest(f"{above.key}/{tag}.{shape}") >> 1, above, suspect, above.depth + 1, spoken, article=inside)
                 containers.append(place)
         stack.append((tag, place))
         open_tags[tag] = open_tags.get(tag, 0) + 1
     said(page[at:])
     close_block()
+    settle(containers)
     for c in reversed(containers):
         c.below += 0 if c.noise else c.own
         if c.parent is not None:

@@ -65,3 +65,26 @@ def test_repeated_text_in_the_article_is_the_template(spark):
     for i in range(40):
         assert out[i] == f"Title {i}\n\n" + ("Shared story.\n\nIts end." if i % 5 < 3 else f"Story {i}.\n\nEnd {i}.")
     assert out[100] == "Title 3\n\nhome\n\nall news\n\nRead with care.\n\nStory 3.\n\nEnd 3.\n\nWrite to us."
+
+
+STORY = "<h1>Head</h1><p>The first paragraph of the story.</p><p>The second paragraph of the story.</p>"
+TOLD = "Head\n\nThe first paragraph of the story.\n\nThe second paragraph of the story."
+
+
+@pytest.mark.parametrize("around", [
+    "<div class='layout with-sidebar'>{}</div>", "<div class='post has-comments'>{}</div>", "<div class='social-news'>{}</div>", "<div role='search'>{}</div>",
+    "<form id='aspnetForm' action=x>{}</form>", "<form><div class='layout no-sidebar'>{}<div class='sidebar'>Side text.</div></div></form>",
+    "<div id='search'>{}</div>", "<div class='withSidebar'>{}</div><footer>foot</footer>"])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<article><div class='entry social-text'>{}</div></article>", "<main>{}</main>", "<div role=main>{}</div>", "<div class=text>{}</div>", "{}"])
+def test_suspected_wrappers_keep_the_story(around, inner):
+    page = "<html class='no-sidebar'><body><nav><a href=/>home</a></nav>" + around.format(inner.format(STORY) + "<div class='comments'><p>Nice.</p></div>")
+    assert web_text.main_text(page, None, frozenset()) == TOLD
+
+
+@pytest.mark.parametrize("page", [
+    "<article>" + STORY + "</article><div class='related-posts'><article><p>" + "Another story. " * 20 + "</p></article></div>",
+    "<div class=layout>" + STORY + "</div><div class='comments'><p>" + "A long comment. " * 20 + "</p></div>",
+    "<div class='layout with-sidebar'><article>" + STORY + "</article><aside><article><p>" + "Teaser. " * 40 + "</p></article></aside></div>",
+    "<div class='layout with-sidebar'><article>" + STORY + "</article><div class='related'><article><p>Teaser.</p></article></div></div>"])
+def test_noise_stays_noise(page):
+    assert web_text.main_text("<body>" + page, None, frozenset()) == TOLD
