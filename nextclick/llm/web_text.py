@@ -3,9 +3,9 @@
 Every page becomes a tree of containers (div, section, article, ...); a container is known by its path of tags, classes and ids.
 Over the pages of a host each path has an occurrence vector, the number of times it stands on each page. Paths with the same vector
 form an equivalence class; classes of paths that stand on most pages are valid and nest, by their paths, into the host's template.
-What text differs from page to page lies in the template's slots. The main slot is the deepest container of the
-template that holds most of the host's text outside menus, adverts and the like; containers in it whose text is the same on all pages are template
-too. Pages without the host's main slot (another template, a host of one page) are read by the same rule on their own.
+What text differs from page to page lies in the template's slots; containers whose text is the same on all pages are template. The main
+slot of a page is the deepest container that holds all of its text that is neither the template's nor in menus, adverts and the like; so what
+is left out is template, noise, or links outside the slot. A page of another template, or of a host of one page, is read by the same rule.
 
 A text block is a token as well: the hash of its path, block tags included, and of its text. It nests by its path in the class of its container, and is
 template text if it stands on nearly all pages on which its container stands; such blocks are left out wherever they stand in the slot. Nearly
@@ -72,9 +72,8 @@ class Container:
     spoken: bool = False
     noise: bool = False
     doubt: float = 0.0
-    #: Characters of its own text without links, with all below it, and the hash of its own text.
+    #: Characters of its own text without links, and its own text.
     own: int = 0
-    below: int = 0
     text: list[str] = field(default_factory=list)
     article: bool = False
 
@@ -241,38 +240,49 @@ def parse(page: str) -> tuple[list[Container], list[Block]]:
     said(page[at:])
     close_block()
     settle(containers)
-    for c in reversed(containers):
-        c.below += 0 if c.noise else c.own
-        if c.parent is not None:
-            c.parent.below += c.below
     return containers, blocks
 
 
-#: Share of a host's text that its main slot holds at least.
-MOST = 0.8
-
-
-def main_of_page(containers: list[Container]) -> int:
-    """Key of the deepest container (of this page) that holds most of its text."""
-    by_key: dict[int, list[int]] = {}
-    for c in containers:
-        if not c.noise:
-            have = by_key.setdefault(c.key, [0, c.depth])
-            have[0] += c.below
-    total = max((v[0] for v in by_key.values()), default=0)
-    return max(by_key.items(), key=lambda kv: (kv[1][0] >= MOST * total, kv[1][1], kv[1][0]), default=(0, None))[0]
+def main_of_page(containers: list[Container], blocks: list[Block]) -> int:
+    """Key of the deepest container that holds all text of the blocks that is not linked; below an article, their links too."""
+    free, full = ({id(c): 0 for c in containers} for _ in range(2))
+    for b in blocks:
+        free[id(b.place)] += max(len(b.text) - b.linked, 0)
+        full[id(b.place)] += len(b.text)
+    by_key: dict[int, list] = {}
+    told = 0
+    for c in reversed(containers):
+        inside = c.parent is not None and c.parent.article
+        if c.parent is not None:
+            free[id(c.parent)] += free[id(c)]
+            full[id(c.parent)] += full[id(c)]
+        if c.article and not inside:
+            told += full[id(c)]
+        have = by_key.setdefault(c.key, [0, 0, c.depth, False])
+        have[0] += free[id(c)]
+        have[1] += full[id(c)]
+        have[3] |= inside
+    top = containers[0]
+    whole, what = (free[id(top)], 0) if free[id(top)] else (full[id(top)], 1)
+    return max((depth, key) for key, (*held, depth, inside) in by_key.items() if held[what] == whole and (not inside or held[1] == told))[1]
 
 
 def main_text(page: str, main: int | None, fixed: frozenset[int], texts: frozenset[int] = frozenset()) -> str:
+    """Text of the slot ``main`` (None: the page's own) without the template's containers and text blocks, unless nothing else stands on the page."""
     containers, blocks = parse(page)
-    if main is None or not any(c.key == main and c.below for c in containers):
-        main, fixed = main_of_page(containers), frozenset()
-    state: dict[int, bool] = {}
+    dropped: dict[int, bool] = {}
     for c in containers:  # parents come first
-        above = c.parent is not None and state[id(c.parent)]
-        state[id(c)] = (above or c.key == main) and not c.noise and not (c.key in fixed and c.key != main)
-    here = [b for b in blocks if state[id(b.place)]]
-    return "\n\n".join(b.text for b in [b for b in here if b.token not in texts] or here) if texts else "\n\n".join(b.text for b in here)
+        dropped[id(c)] = c.key in fixed or c.parent is not None and dropped[id(c.parent)]
+    clean = [b for b in blocks if not b.place.noise]
+    varying = [b for b in clean if not dropped[id(b.place)]]
+    left = [b for b in varying if b.token not in texts] if texts else varying
+    left = left or varying or clean
+    if main is None:
+        main = main_of_page(containers, left)
+    state: dict[int, bool] = {}
+    for c in containers:
+        state[id(c)] = c.key == main or c.parent is not None and state[id(c.parent)]
+    return "\n\n".join(b.text for b in left if state[id(b.place)])
 
 
 def host_of(url: str | None) -> str:
@@ -280,8 +290,8 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-_SEEN = ("host string, path bigint, text bigint, depth int, pages bigint, times bigint, vector bigint, below bigint, least bigint, most bigint, own bigint")
-_SEEN_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int32()] + [pa.int64()] * 7
+_SEEN = ("host string, path bigint, text bigint, depth int, pages bigint, times bigint, vector bigint, least bigint, most bigint, own bigint")
+_SEEN_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int32()] + [pa.int64()] * 6
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
@@ -297,24 +307,22 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 containers, blocks = parse(page or "")
                 for c in containers:
                     if not c.noise:
-                        have = here.setdefault((c.key, 0), [c.depth, 0, 0, [], 0])
+                        have = here.setdefault((c.key, 0), [c.depth, 0, [], 0])
                         have[1] += 1
-                        have[2] += c.below
-                        have[3] += c.text
-                        have[4] += c.own
+                        have[2] += c.text
+                        have[3] += c.own
                 for b in blocks:
                     if not b.place.noise:
-                        here.setdefault((b.place.key, b.token), [b.place.depth, 0, 0, [], 0])[1] += 1
-                for key, (depth, times, below, text, own) in here.items():
+                        here.setdefault((b.place.key, b.token), [b.place.depth, 0, [], 0])[1] += 1
+                for key, (depth, times, text, own) in here.items():
                     mark = xxhash.xxh3_64_intdigest(f"{number}:{times}") >> 1
                     said = 0 if key[1] else xxhash.xxh3_64_intdigest("\n".join(text)) >> 1
-                    have = seen.setdefault((host, *key), [depth, 0, 0, 0, 0, said, said, 0])
+                    have = seen.setdefault((host, *key), [depth, 0, 0, 0, said, said, 0])
                     have[1] += 1
                     have[2] += times
                     have[3] = (have[3] + mark) & 0x7FFFFFFFFFFFFFFF
-                    have[4] += below
-                    have[5], have[6] = min(have[5], said), max(have[6], said)
-                    have[7] += own
+                    have[4], have[5] = min(have[4], said), max(have[5], said)
+                    have[6] += own
             rows = [(*k, *v) for k, v in seen.items()]
             columns = list(zip(*rows, strict=True)) or [()] * len(_SEEN_TYPES)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _SEEN_TYPES, strict=True)],
@@ -324,7 +332,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame, share: float = 0.5, least_pages: int = 3, least_fixed: int = 8, least_text: int = 16, nested: float = 0.9) -> DataFrame:
-    """host, main (path of the main slot), fixed (paths of containers with the same text on every page), the number of equivalence classes and texts
+    """host, fixed (paths of containers with the same text on every page), the number of equivalence classes and texts
     (tokens of template text).
 
     A class is valid if its paths stand on at least ``share`` of the host's pages and on ``least_pages``; a container's whole text that is to count as the
@@ -333,19 +341,17 @@ def templates(pages: DataFrame, share: float = 0.5, least_pages: int = 3, least_
     """
     seen = (occurrences(pages).groupBy("host", "path", "text").agg(
         F.first("depth").alias("depth"), F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("sum"),
-        F.sum("below").alias("below"), F.min("least").alias("least"), F.max("most").alias("most"), F.sum("own").alias("own"))
+        F.min("least").alias("least"), F.max("most").alias("most"), F.sum("own").alias("own"))
         .withColumn("vector", F.expr("pmod(sum, 9223372036854775808)")).drop("sum"))
     both = materialise(seen.where((F.col("text") == 0) | (F.col("pages") >= least_text)), "page_paths")
     seen = both.where("text = 0").drop("text")
     # Tokens with one occurrence vector are a class; a valid class keeps or loses its paths together.
-    whole = seen.where("path = 0").select("host", F.col("pages").alias("all"), F.col("below").alias("total"))
+    whole = seen.where("path = 0").select("host", F.col("pages").alias("all"))
     classes = (seen.groupBy("host", "vector").agg(F.max("pages").alias("support"), F.count("*").alias("paths"))
                .join(whole, "host").where((F.col("support") >= share * F.col("all")) & (F.col("support") >= least_pages)))
     valid = seen.join(classes, ["host", "vector"])
-    holds = F.col("below") >= MOST * F.col("total")
     same = (F.col("least") == F.col("most")) & (F.col("own") > 0)
     slots = valid.groupBy("host").agg(
-        F.max_by("path", F.when(holds, F.struct("depth", "below", "path"))).alias("main"),
         F.collect_set(F.when(same & (F.col("path") != 0) & (F.col("pages") >= least_fixed), F.col("path"))).alias("fixed"),
         F.bool_or(~same & (F.col("own") > 0)).alias("varies"), F.count_distinct("vector").alias("classes"))
     # Where nothing differs between the pages, sameness says nothing about the template.
@@ -366,10 +372,10 @@ def extract(pages: DataFrame) -> DataFrame:
     told = pages.withColumn("host", host("url")).join(found, "host", "left")
 
     def text_of(*columns: pa.Array) -> pa.Array:
-        return pa.array([main_text(p or "", m, frozenset(x or ()), frozenset(t or ())) for p, m, x, t in zip(*(c.to_pylist() for c in columns), strict=True)],
+        return pa.array([main_text(p or "", None, frozenset(x or ()), frozenset(t or ())) for p, x, t in zip(*(c.to_pylist() for c in columns), strict=True)],
                         pa.string())
 
-    out = told.select("page_id", "url", F.arrow_udf(text_of, "string")("html", "main", "fixed", "texts").alias("text"))
+    out = told.select("page_id", "url", F.arrow_udf(text_of, "string")("html", "fixed", "texts").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("bigint"))
 
 

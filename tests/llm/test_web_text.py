@@ -88,3 +88,23 @@ def test_suspected_wrappers_keep_the_story(around, inner):
     "<div class='layout with-sidebar'><article>" + STORY + "</article><div class='related'><article><p>Teaser.</p></article></div></div>"])
 def test_noise_stays_noise(page):
     assert web_text.main_text("<body>" + page, None, frozenset()) == TOLD
+
+
+LONG = "A long sentence of the body. " * 30
+PARTS = [f"<article><h1>Head {{n}}</h1><p>Lead {{n}}.</p><div class=body><p>{LONG}{{n}}</p></div><p>End {{n}}.</p></article>",
+         f"<h1>Head {{n}}</h1><article><p>Lead {{n}}.</p><section><p>{LONG}{{n}}</p></section><section><p>{LONG}{{n}} again</p></section><p>End {{n}}.</p></article>"]
+
+
+@pytest.mark.parametrize("page", PARTS)
+def test_heading_lead_and_end_stay(page):
+    got = web_text.main_text("<body><nav>menu</nav>" + page.format(n=1), None, frozenset())
+    assert got.startswith("Head 1\n\nLead 1.\n\nA long") and got.endswith("\n\nEnd 1.")
+
+
+def test_heading_lead_and_end_stay_on_a_host(spark):
+    rows = [(i, f"https://h.example/{i}", "<body><div class=top>The site</div><div class=page>" + PARTS[i % 2].format(n=i) + "</div>") for i in range(24)]
+    rows += [(100, "https://h.example/odd", "<body><div class=top>The site</div><p>Not found.</p>")]
+    out = {r.page_id: r.text for r in web_text.extract(frame(spark, rows, "page_id long, url string, html string")).collect()}
+    assert out[100] == "Not found."
+    for i in range(24):
+        assert out[i].startswith(f"Head {i}\n\nLead {i}.\n\nA long") and out[i].endswith(f"\n\nEnd {i}.")
