@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from nextclick.sources.tables import materialise
 #: A word is a maximal run of characters other than ASCII white space (Java and Python agree on it).
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "bounded_sample", "let", "materialise", "narrow_batches", "null_to_empty", "read", "row_keyed", "running_totals"]
+__all__ = ["WORD", "bounded_sample", "file_keyed", "let", "materialise", "narrow_batches", "null_to_empty", "read", "row_keyed", "running_totals"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,11 +39,29 @@ def narrow_batches(spark: SparkSession, rows: int = 512) -> None:
 
 
 def row_keyed(docs: DataFrame, name: str = "row_key") -> DataFrame:
-    """Number the rows by (input partition, position): the same on every retry of
-    a task because the scan deals files to partitions the same way; equal rows stay apart."""
+    """Number the rows by (input partition, position): the same on every retry of a task; equal rows stay apart. A later job may deal the
+    files to partitions in another way, so the rows are to be read once only (or see ``file_keyed``)."""
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
+def file_keyed(docs: DataFrame, name: str = "row_key") -> DataFrame:
+    """Number the rows by (file, row in it), which every job that reads them finds again however it splits the files. The files are
+    numbered by their paths, one row each, without a text read. What is not a plain scan of Parquet files is written once instead."""
+    spark = docs.sparkSession
+    try:
+        plain = docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+        place = docs.metadataColumn("_metadata") if plain else None
+        paths = sorted(r[0] for r in docs.select(place["file_path"], place["row_index"]).select("file_path").distinct().collect()) if plain else []
+    except AnalysisException:
+        plain = False
+    if not plain:
+        return materialise(row_keyed(docs, name), "row_keys")
+    files = spark.createDataFrame(list(enumerate(paths)), "__file long, __path string")
+    return (docs.select(*docs.columns, place["file_path"].alias("__path"), place["row_index"].alias("__row_index"))
+            .join(F.broadcast(files), "__path")
+            .select(*docs.columns, (F.shiftleft("__file", 33) + F.col("__row_index")).alias(name)))
+
+
 def bounded_sample(df: DataFrame, most: int, key: str = "doc_id", seed: int = 0) -> DataFrame:
     """At most ``most`` rows: those whose key hashes lowest, hence the same ones on every run. A share slightly above ``most`` is
     cut by the hash first, so that what is sorted, and sent on by each task, stays about ``most`` rows in all."""
