@@ -4,7 +4,8 @@ A text is a bag of sentences. A sentence has a probability (logistic in the word
 noisy-or, 1 - prod(1 - p). Only texts are labelled, so the sentence weights are fitted through the noisy-or, and then say which sentences offend.
 
 The model is fitted on a bounded sample of the labelled rows (``max_per_label`` of each label, those with the smallest id
-hashes); all texts are scored whole, in one pass without a shuffle.
+hashes), in which each row weighs as many labelled rows as it stands for, so the share of toxic rows that the model is fitted to is that
+of all labelled rows; all texts are scored whole, in one pass without a shuffle.
 
 Defined cases: a null or empty text is one empty sentence and gets that sentence's probability; labels that are null
 are ignored, of several for a document the highest counts; rows with a null id are scored, not fitted on; equal rows get equal
@@ -82,9 +83,11 @@ class ToxicityModel:
 
 
 def fit_noisy_or(bags: list[list[list[int]]], labels: np.ndarray, n_features: int, rounds: int = 400, l2: float = 2e-5,
-                 rate: float = 0.05) -> tuple[np.ndarray, float]:
+                 rate: float = 0.05, counts: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias that maximise the likelihood of the bag labels under the noisy-or, by Adam on the full sample.
-    ``bags``: per text, per sentence, the features it has."""
+    ``bags``: per text, per sentence, the features it has. ``counts``: rows that each text stands for (one each)."""
+    each = np.ones(len(bags)) if counts is None else np.asarray(counts, dtype=float)
+    each = each * (len(bags) / each.sum())
     owner = np.array([i for i, bag in enumerate(bags) for _ in bag], dtype=np.int64)
     lists = [s for bag in bags for s in bag]
     row = np.repeat(np.arange(len(lists)), [len(s) for s in lists])
@@ -95,7 +98,7 @@ def fit_noisy_or(bags: list[list[list[int]]], labels: np.ndarray, n_features: in
     for t in range(1, rounds + 1):
         z = theta[-1] + np.bincount(row, theta[col], minlength=len(lists))
         exposure = np.maximum(np.bincount(owner, np.logaddexp(0.0, z), minlength=len(bags)), 1e-9)
-        pull = np.where(labels > 0, -1.0 / np.expm1(np.minimum(exposure, 50.0)), 1.0)[owner] * _sigmoid(z)
+        pull = (np.where(labels > 0, -1.0 / np.expm1(np.minimum(exposure, 50.0)), 1.0) * each)[owner] * _sigmoid(z)
         slope = np.append(np.bincount(col, pull[row], minlength=n_features), pull.sum()) / len(bags)
         slope[:-1] += l2 * theta[:-1]
         first = 0.9 * first + 0.1 * slope
@@ -107,6 +110,7 @@ def fit_noisy_or(bags: list[list[list[int]]], labels: np.ndarray, n_features: in
 def fit(docs: DataFrame, labels: DataFrame, max_per_label: int = 6_000, max_features: int = 4_000, min_texts: int = 2) -> ToxicityModel:
     """``docs``: doc_id, text. ``labels``: doc_id, toxic 0/1. Features are chosen by their likelihood ratio between the labels."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    there = {r["toxic"]: r["count"] for r in known.where("toxic in (0, 1)").groupBy("toxic").count().collect()}
     drawn = bounded_sample(known.where("toxic = 0"), max_per_label).unionByName(bounded_sample(known.where("toxic = 1"), max_per_label))
     # At most 2 * max_per_label pairs of numbers are broadcast.
     sample = materialise(docs.join(F.broadcast(drawn), "doc_id").select(null_to_empty().alias("text"), "toxic").distinct(), "toxic_sample")
@@ -114,9 +118,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_label: int = 6_000, max_feat
     counts = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not (counts.get(0) and counts.get(1)):
         return ToxicityModel({}, [], 0.0)
+    # Rows of its label that a drawn one stands for; where a label is drawn whole, one.
+    stands = {t: max(there[t] / max_per_label, 1.0) for t in counts}
     each = sample.select("toxic", F.explode(F.arrow_udf(_distinct_features, "array<string>")("text")).alias("token"))
     seen = each.groupBy("token").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b")).where(F.col("a") + F.col("b") >= min_texts)
-    pos, neg = counts[1], counts[0]
+    pos, neg = counts[1] * stands[1], counts[0] * stands[0]
+    seen = seen.select("token", (F.col("a") * stands[1]).alias("a"), (F.col("b") * stands[0]).alias("b"))
     share = (F.col("a") + F.col("b")) / (pos + neg)
     gain = sum(F.when(F.col(c) > 0, F.col(c) * F.ln(F.col(c) / (n * share))).otherwise(0.0) +
                F.when(n - F.col(c) > 0, (n - F.col(c)) * F.ln((n - F.col(c)) / (n * (1 - share)))).otherwise(0.0)
@@ -133,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_label: int = 6_000, max_feat
                         pa.list_(pa.list_(pa.int32())))
 
     rows = sample.select("toxic", F.arrow_udf(bags, "array<array<int>>")("text").alias("bag"), F.sha2("text", 256).alias("at")).orderBy("at").drop("at").collect()
-    weights, bias = fit_noisy_or([r["bag"] for r in rows], np.array([r["toxic"] for r in rows]), len(vocabulary))
+    weights, bias = fit_noisy_or([r["bag"] for r in rows], np.array([r["toxic"] for r in rows]), len(vocabulary), counts=np.array([stands[r["toxic"]] for r in rows]))
     return ToxicityModel(vocabulary, weights.tolist(), bias)
 
 

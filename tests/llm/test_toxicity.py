@@ -46,3 +46,24 @@ def test_without_labels(spark):
     docs = frame(spark, [(1, "a"), (2, None)], "doc_id long, text string")
     model = toxicity.fit(docs, frame(spark, [(1, 1)], "doc_id long, toxic int"))
     assert [r.s.score for r in docs.select(toxicity.score(docs.text, model).alias("s")).collect()] == [0.0, 0.0]
+
+
+def test_weights_stand_for_repeated_rows():
+    """A text that counts k times is fitted as k equal texts."""
+    rng = np.random.default_rng(3)
+    bags = [[[int(f) for f in rng.integers(0, 10, 3)] for _ in range(3)] for _ in range(60)]
+    labels = np.array([int(any(0 in s for s in b)) for b in bags])
+    counts = np.where(labels > 0, 1, 4)
+    many = [i for i, n in enumerate(counts) for _ in range(n)]
+    a, b = toxicity.fit_noisy_or(bags, labels, 10, counts=counts), toxicity.fit_noisy_or([bags[i] for i in many], labels[many], 10)
+    assert np.allclose(a[0], b[0], atol=1e-3) and np.isclose(a[1], b[1], atol=1e-3)
+
+
+def test_a_smaller_sample_keeps_the_share_of_toxic_texts(spark):
+    """Words say little here, so the mean score is the share of toxic rows the model was fitted to: 10 % of all, whatever is drawn."""
+    rng = np.random.default_rng(1)
+    docs = frame(spark, [(i, " ".join(f"w{k}" for k in rng.integers(0, 30, 4))) for i in range(2_000)], "doc_id long, text string")
+    labels = frame(spark, [(i, int(i % 10 == 0)) for i in range(2_000)], "doc_id long, toxic int")
+    for most in (6_000, 150):
+        model = toxicity.fit(docs, labels, max_per_label=most)
+        assert np.mean([model.locate(r.text)[0] for r in docs.collect()]) < 0.2
