@@ -13,6 +13,7 @@ import time
 from collections import Counter
 
 import duckdb
+import pandas as pd
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -29,7 +30,7 @@ def duck(sf_dir: str):
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:
         return None
     if isinstance(v, float):
         if math.isnan(v):
