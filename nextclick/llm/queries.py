@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nextclick.llm import bpe, chat, fingerprints, long_repeats, mixing, ngram_join, pii, quality, runs, toxicity, web_text
+from nextclick.llm import bpe, chat, fingerprints, long_repeats, mixing, ngram_join, pii, quality, runs, toxicity, trie, web_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_main_text": web_text.op1_html_main_text,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cube_mix": mixing.op8_cube_mix,
     "op9_pii": pii.op9_pii,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_prefix_trie": trie.op11_prefix_trie,
     "op13_periodic_runs": runs.op13_periodic_runs,
 }
 
@@ -26,4 +27,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": chat.OP5_SQL,
     "op6_ngram_jaccard_join": ngram_join.OP6_SQL,
     "op7_suffix_dedup": long_repeats.OP7_SQL,
+    "op11_prefix_trie": trie.OP11_SQL,
 }
