@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nextclick.llm import bpe, chat, fingerprints, long_repeats, mixing, ngram_join, pii, quality, runs, toxicity, trie, web_text
+from nextclick.llm import bpe, chat, fingerprints, long_repeats, mixing, ngram_join, ngram_lm, pii, quality, runs, toxicity, trie, web_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_main_text": web_text.op1_html_main_text,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": pii.op9_pii,
     "op10_quality_rules": quality.op10_quality_rules,
     "op11_prefix_trie": trie.op11_prefix_trie,
+    "op12_kneser_ney": ngram_lm.op12_kneser_ney,
     "op13_periodic_runs": runs.op13_periodic_runs,
 }
 
