@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nextclick.llm.common import null_to_empty, read
+from nextclick.llm.common import narrow_batches, null_to_empty, read
 
 #: A word of this share of all tokens has its pairs dealt to all shards.
 HEAVY = 1 / 1024
@@ -138,31 +138,36 @@ class Block:
         fresh = count()
         ids: defaultdict[bytes, int] = defaultdict(fresh.__next__)
         ids[END], ids[BEGIN]  # noqa: B018
-        said = [np.fromiter(map(ids.__getitem__, w), np.int64, len(w)) for w in map(words_of, texts)]
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in ids], np.uint64)
+        said = [np.fromiter(map(ids.__getitem__, w), np.int32, len(w)) for w in map(words_of, texts)]
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, ids), np.uint64, len(ids))
+        del ids
         owners = (upper(hashes) % np.uint64(shards)).astype(np.int64)
         order = np.lexsort((hashes, owners))
         new = np.r_[True, np.diff(hashes[order].view(np.int64)) != 0]  # equal hashes: one word
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.int32)
         rank[order] = np.cumsum(new) - 1
         self.words, self.owner = hashes[order][new], owners[order][new]
         self.end, self.begin = int(rank[0]), int(rank[1])
 
         lengths = np.array([len(s) + 1 for s in said], np.int64)
-        self.text = np.repeat(np.arange(len(texts)), lengths)
-        self.next = np.full(int(lengths.sum()), self.end, np.int64)
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
+        self.next = np.full(int(lengths.sum()), self.end, np.int32)
         first = np.r_[0, np.cumsum(lengths)[:-1]][: len(texts)]
         inner = np.ones(len(self.next), bool)
         inner[first + lengths - 1] = False
-        self.next[inner] = rank[np.concatenate([*said, np.zeros(0, np.int64)])]
-        before = np.r_[0, self.next[:-1]][: len(self.next)]
+        self.next[inner] = rank[np.concatenate([*said, np.zeros(0, np.int32)])]
+        del said, inner
+        before = np.r_[0, self.next[:-1]][: len(self.next)].astype(np.int64)
         before[first] = self.begin
         n = len(self.words)
-        pairs, self.pair = np.unique(before * n + self.next, return_inverse=True)
-        self.left, self.right = pairs // n, pairs % n
-        learnt = training[self.text].astype(np.int64)
-        self.word_counts = np.bincount(self.next, learnt, n).astype(np.int64)
-        self.pair_counts = np.bincount(self.pair, learnt, len(pairs)).astype(np.int64)
+        pairs, pair = np.unique(before * n + self.next, return_inverse=True)
+        del before
+        self.pair = pair.astype(np.int32)
+        del pair
+        self.left, self.right = (pairs // n).astype(np.int32), (pairs % n).astype(np.int32)
+        learnt = training[self.text]
+        self.word_counts = np.bincount(self.next[learnt], minlength=n)
+        self.pair_counts = np.bincount(self.pair[learnt], minlength=len(pairs))
 
         where = np.minimum(np.searchsorted(heavy, self.words), max(len(heavy) - 1, 0))
         is_heavy = heavy[where] == self.words if len(heavy) else np.zeros(n, bool)
@@ -317,11 +322,12 @@ def score_block(block: Block, answers: dict[int, dict], model: Model) -> pd.Data
 
 
 # ----------------------------------------------------------------- the job
-def kneser_ney_scores(docs: DataFrame, training: Column, block_bytes: int = 32 << 20, shard_bytes: int = 24 << 20,
+def kneser_ney_scores(docs: DataFrame, training: Column, block_bytes: int = 16 << 20, shard_bytes: int = 16 << 20,
                       heavy_share: float = HEAVY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``doc_id, text``; ``training`` says which rows
     the model learns from."""
     spark = docs.sparkSession
+    narrow_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", null_to_empty().alias("text"), (~training).alias("held_out"))
     heavy, size = frequent_words(docs.select("text"), heavy_share)
