@@ -4,7 +4,7 @@ Words are known by 64-bit hashes (as the predicted half of a pair by the upper 4
 scale, so neither the driver nor a worker ever holds it: it lies in shards, and texts ask it in blocks.
 
 1. ``frequent_words``: words that may make up ``HEAVY`` of all tokens, at most 2 / HEAVY of them (a word with that share has half of it
-   in some unit of a million tokens, and half of all its tokens in such units). Pairs that begin with them are dealt to all shards.
+   in some unit of 250,000 tokens, and half of all its tokens in such units). Pairs that begin with them are dealt to all shards.
 2. Texts are dealt into blocks of about ``block_bytes`` by a hash of the row, and each block sends its different words and pairs, with
    their counts in training texts, to the shards that own them: one row of packed arrays per block and shard.
 3. A shard merges them into sorted hash arrays, written to a scratch file of the task and memory-mapped for the lookups. Words followed
@@ -98,7 +98,7 @@ class HashArray:
 
 
 # ----------------------------------------------------------------- blocks of texts
-def frequent_words(docs: DataFrame, share: float = HEAVY, unit: int = 1_000_000) -> tuple[np.ndarray, int]:
+def frequent_words(docs: DataFrame, share: float = HEAVY, unit: int = 250_000) -> tuple[np.ndarray, int]:
     """Hashes of the words that may have ``share`` of all tokens (at most 2 / share of them), and the bytes of all texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
@@ -322,7 +322,7 @@ def score_block(block: Block, answers: dict[int, dict], model: Model) -> pd.Data
 
 
 # ----------------------------------------------------------------- the job
-def kneser_ney_scores(docs: DataFrame, training: Column, block_bytes: int = 16 << 20, shard_bytes: int = 16 << 20,
+def kneser_ney_scores(docs: DataFrame, training: Column, block_bytes: int = 8 << 20, shard_bytes: int = 8 << 20,
                       heavy_share: float = HEAVY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``doc_id, text``; ``training`` says which rows
     the model learns from."""
