@@ -25,40 +25,52 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
     return np.where(n > 0, m / np.where(n > 0, n, 1), 0.0)
 
 
-def nearest_cells(vectors: DataFrame, centers: np.ndarray) -> DataFrame:
-    """``key, vec, cells``: all cells of an item, nearest (largest cosine, then smallest number) first."""
+def _cell_order(vecs: np.ndarray, centers: np.ndarray, keep: int) -> np.ndarray:
+    """The ``keep`` nearest cells of each row, nearest (largest cosine, then smallest number) first."""
+    s = np.round(vecs @ centers.T, SCORE_DIGITS)
+    if keep < s.shape[1]:
+        edge = -np.partition(-s, keep - 1, axis=1)[:, keep - 1: keep]  # cells beyond the edge are out, whatever their number
+        s = np.where(s >= edge, s, -np.inf)
+    return np.argsort(-s, axis=1, kind="stable")[:, :keep].astype("int32")
+
+
+def nearest_cells(vectors: DataFrame, centers: np.ndarray, keep: int | None = None) -> DataFrame:
+    """``key, vec, cells``: the ``keep`` nearest cells of an item (all of them, if not given), nearest first."""
+    keep = min(keep or len(centers), len(centers))
+
     @F.pandas_udf("array<int>")
     def order(v: pd.Series) -> pd.Series:
-        if not len(v):
-            return pd.Series([], dtype=object)
-        s = np.round(np.vstack(v.to_numpy()) @ centers.T, SCORE_DIGITS)
-        return pd.Series(list(np.argsort(-s, axis=1, kind="stable").astype("int32")))
+        return pd.Series(list(_cell_order(np.vstack(v.to_numpy()), centers, keep)) if len(v) else [], dtype=object)
 
     return vectors.select("key", "vec", order("vec").alias("cells"))
 
 
-def ivf_i2i(vectors: DataFrame, nlist: int = 100, nprobe: int = 1, asked: int = 100, seed: int = 42) -> DataFrame:
+def ivf_i2i(vectors: DataFrame, nlist: int = 100, nprobe: int = 1, asked: int = 100, seed: int = 42, spare: int = 4) -> DataFrame:
     """R9 (re-aimed from a graph index to an inverted file): unit vectors in
     ``nlist`` k-means cells; every item is searched exactly, by cosine, in
     its ``nprobe`` nearest cells, and in further ones, in order of
     nearness, until those hold ``asked`` items: every item gets its full
     list of ``asked - 1`` (or all others). ``nprobe = nlist`` is the exact
-    search. Recall against the exact list (R4) is the quality measure."""
+    search. An item keeps its ``nprobe + spare`` nearest cells; only one that
+    needs still more is placed among all of them again. Recall against the
+    exact list (R4) is the quality measure."""
     unit = materialise(unit_vectors(vectors), "ivf_vectors")
-    placed = materialise(nearest_cells(unit, fit_centers(unit, nlist, seed)), "ivf_cells")
+    centers = fit_centers(unit, nlist, seed)
+    placed = materialise(nearest_cells(unit, centers, nprobe + spare), "ivf_cells")
     counts = {r["cell"]: r["n"] for r in placed.groupBy(F.col("cells")[0].alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
     sizes = np.array([counts.get(i, 0) for i in range(nlist)])  # one number per cell
+    need = min(asked, int(sizes.sum()))
 
     @F.pandas_udf("array<int>")
-    def probes(cells: pd.Series) -> pd.Series:
+    def probes(vec: pd.Series, cells: pd.Series) -> pd.Series:
         out = []
-        for c in cells:
-            held = np.cumsum(sizes[c])
-            need = min(asked, held[-1])
-            out.append(c[: max(nprobe, int(np.searchsorted(held, need)) + 1)])
+        for v, c in zip(vec, cells, strict=True):
+            if sizes[c].sum() < need:
+                c = _cell_order(v[None, :], centers, len(centers))[0]
+            out.append(c[: max(nprobe, int(np.searchsorted(np.cumsum(sizes[c]), need)) + 1)])
         return pd.Series(out, dtype=object)
 
-    queries = placed.select("key", "vec", F.explode(probes("cells")).alias("cell"))
+    queries = placed.select("key", "vec", F.explode(probes("vec", "cells")).alias("cell"))
     return cell_topk(queries, placed.select("key", "vec", F.col("cells")[0].alias("cell")), asked - 1)
 
 
@@ -74,7 +86,7 @@ def cluster_knn(vectors: DataFrame, n_clusters: int = 100, top_size: int = 300,
     centers = fit_centers(unit, n_clusters, seed) if centers is None else unit_rows(centers)
     lists = query_topk(np.arange(len(centers), dtype=np.int64), centers, unit, top_size)
     lists = lists.select(F.col("anchor_vacancy_id").alias("cell"), "recom_vacancy_id", "score", "pos")
-    cells = nearest_cells(unit, centers).select(F.col("key").alias("anchor_vacancy_id"), F.col("cells")[0].cast("bigint").alias("cell"))
+    cells = nearest_cells(unit, centers, 1).select(F.col("key").alias("anchor_vacancy_id"), F.col("cells")[0].cast("bigint").alias("cell"))
     return cells.join(lists, "cell").drop("cell")
 
 

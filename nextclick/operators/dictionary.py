@@ -11,7 +11,7 @@ and a lost executor does not renumber anything.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,20 +21,24 @@ from nextclick.session import checkpoint_dir
 def fit_dictionary(values: DataFrame, col: str, idx: str = "idx",
                    partitions: int | None = None) -> DataFrame:
     """Dictionary table ``col, idx`` (``idx`` dense from 0, in ``col`` order)."""
-    spark = values.sparkSession
+    return numbered(values.select(col).where(F.col(col).isNotNull()).distinct(), F.col(col), idx=idx, partitions=partitions).select(col, idx)
+
+
+def numbered(df: DataFrame, *order: Column, idx: str = "idx", partitions: int | None = None) -> DataFrame:
+    """Append ``idx``: 0, 1, ... in ``order``, without a global window (see the module's text). Rows equal in ``order`` get numbers in any order."""
+    spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = (values.select(col).where(F.col(col).isNotNull()).distinct()
-               .repartitionByRange(n, col).sortWithinPartitions(col)
-               .withColumn("_p", F.spark_partition_id())
-               .withColumn("_m", F.monotonically_increasing_id())
-               .checkpoint())
+    d = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+           .withColumn("_p", F.spark_partition_id())
+           .withColumn("_m", F.monotonically_increasing_id())
+           .checkpoint())
     counts = d.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_m").alias("_m0"))
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_c").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)),
                            F.lit(0)))
     return (d.join(F.broadcast(offsets.select("_p", "_m0", "_off")), "_p")
-             .select(col, (F.col("_off") + F.col("_m") - F.col("_m0")).alias(idx)))
+             .select(*df.columns, (F.col("_off") + F.col("_m") - F.col("_m0")).alias(idx)))
 
 
 def encode(df: DataFrame, dictionary: DataFrame, col: str, idx: str = "idx") -> DataFrame:

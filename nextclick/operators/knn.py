@@ -1,16 +1,18 @@
 """Exact item-to-item neighbour lists (R4 dense, R5 sparse) and top-k
 searches used by cluster kNN (R10), the cell index (R9) and ALS (R16).
 
-Dense vectors (``streamed_topk``). Items are hashed into anchor blocks of
-``block_rows``; every item row goes once to its own anchor block and once
-to every anchor block as a candidate. Rows are range-partitioned by anchor
-block and sorted by (anchor block, candidate block), so one task streams
-small candidate blocks past one anchor block, multiplies them in NumPy and
-keeps a running best ``k`` per anchor: it holds one anchor block, one
-candidate block and ``k`` per anchor, and emits exactly ``k`` rows per
-anchor. The number of copies of a vector is the number of anchor blocks,
-``n / block_rows``; it does not depend on the cluster. An exact dense
-search stays quadratic; at scale use the cell index (R9).
+Dense vectors (``streamed_topk``). A grid of anchor blocks (hashed,
+``block_rows``) and groups of candidate blocks; a task has one cell of it,
+streams the group's small candidate blocks past the anchor block, multiplies
+them in NumPy and keeps a running best ``k`` per anchor: it holds one anchor
+block, one candidate block and ``k`` per anchor; the lists of an anchor's
+groups are merged at the end. There are groups enough for ``SPREAD`` tasks
+where the anchor blocks alone are fewer. Candidates of another table come by
+falling norm, their blocks dealt to the groups in turn, and an anchor is not
+scored against a block if its norm times the block's largest cannot reach
+its k-th score. A vector is copied to every anchor block, ``n / block_rows``
+times, and an anchor to every group, whatever the cluster. An exact dense
+search stays quadratic in the worst case; at scale use the approximate ones (R9).
 
 Sparse vectors (``sparse_i2i``). Equal vectors are scored once. Pairs of
 different vectors come from a join on the token, each pair once
@@ -36,12 +38,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from nextclick.operators.dictionary import numbered
 from nextclick.sources.tables import materialise
 
 SCORE_DIGITS = 9
 OUT_SCHEMA = "anchor_vacancy_id long, recom_vacancy_id long, score double"
 STREAM_SCHEMA = OUT_SCHEMA + ", pos int"
 _NO_ID = np.iinfo(np.int64).max
+#: Tasks that a search is spread over at least, if there are candidate blocks enough.
+SPREAD = 8
 
 
 # ----------------------------------------------------------------- helpers
@@ -112,88 +117,112 @@ def dense_i2i(vectors: DataFrame, asked: int = 100, normalise: bool = True, bloc
     return streamed_topk(items.select("key", "vec"), asked - 1, block_rows=block_rows, digits=digits)
 
 
+class _Best:
+    """The best ``k`` of one block of anchors so far, over candidate blocks given one after another."""
+
+    def __init__(self, keys: np.ndarray, mat: np.ndarray, k: int, digits: int):
+        self.keys, self.mat, self.k, self.digits = keys, mat, k, digits
+        self.norms = np.sqrt((mat * mat).sum(axis=1))
+        self.scores = np.full((len(keys), k), -np.inf)
+        self.ids = np.full((len(keys), k), _NO_ID, dtype=np.int64)
+
+    def take(self, ckeys: np.ndarray, cmat: np.ndarray, apart: bool, out: tuple[np.ndarray, np.ndarray]) -> int:
+        """Score a candidate block, itself left out if ``apart``, and without the pairs (anchor key, candidate) of ``out``. An
+        anchor whose norm times the block's largest norm cannot reach its k-th score is not scored; returns how many were not."""
+        bound = self.norms * np.sqrt((cmat * cmat).sum(axis=1)).max(initial=0.0)
+        live = np.flatnonzero(~(bound * (1 + 1e-12) + 10.0 ** -self.digits < self.scores[:, -1]))
+        if not len(live) or not len(ckeys):
+            return len(self.keys) - len(live)
+        S = np.round(self.mat[live] @ cmat.T, self.digits)
+        if apart:
+            _mask(S, np.arange(len(live)), self.keys[live], ckeys)
+        at = np.searchsorted(self.keys[live], out[0])
+        there = (at < len(live)) & (self.keys[live][np.minimum(at, len(live) - 1)] == out[0])
+        _mask(S, at[there], out[1][there], ckeys)
+        self.scores[live], self.ids[live] = _merge_best(self.scores[live], self.ids[live], *_block_best(S, ckeys, self.k), self.k)
+        return len(self.keys) - len(live)
+
+    def rows(self) -> pd.DataFrame:
+        r, c = np.nonzero(np.isfinite(self.scores))
+        return pd.DataFrame({"anchor_vacancy_id": self.keys[r], "recom_vacancy_id": self.ids[r, c], "score": self.scores[r, c],
+                             "pos": (c + 1).astype("int32")})
+
+
 def streamed_topk(items: DataFrame, k: int, candidates: DataFrame | None = None, exclude: DataFrame | None = None,
-                  block_rows: int = 8192, candidate_rows: int = 1024, digits: int = SCORE_DIGITS) -> DataFrame:
-    """Best ``k`` candidates by inner product per item of ``key, vec`` (see
-    the module's text). Without ``candidates`` the items are compared with
-    each other, themselves left out. ``exclude`` (``key, other``) lists
-    pairs never to return; a pair travels to its anchor block and is read
-    with the candidate block that holds its other side, so a key with very
-    many of them never has them in memory together."""
+                  block_rows: int = 8192, candidate_rows: int | None = None, digits: int = SCORE_DIGITS, skipped=None) -> DataFrame:
+    """Best ``k`` candidates by inner product per item of ``key, vec`` (see the module's text). Without ``candidates`` the items are
+    compared with each other, themselves left out. ``exclude`` (``key, other``) lists pairs never to return; a pair travels to its anchor
+    block and is read with the candidate block that holds its other side, so a key with very many of them never has them in memory
+    together. ``skipped``: two accumulators, which receive the (anchor, candidate block) pairs that a bound ruled out, and all of them."""
     source = items if candidates is None else candidates
     n, nc = items.count(), source.count()
-    blocks, parts = max(1, math.ceil(n / block_rows)), max(1, math.ceil(nc / candidate_rows))
+    per = candidate_rows or min(1024, max(64, -(-nc // SPREAD)))
+    blocks, parts = max(1, math.ceil(n / block_rows)), max(1, math.ceil(nc / per))
+    groups = min(parts, max(1, SPREAD // blocks))
     anchor_block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
-    part = lambda c: F.pmod(F.xxhash64(c, F.lit(1)), F.lit(parts)).cast("int")
     key, none = F.col("key").cast("bigint"), F.lit(None)
-    anchors = items.select(anchor_block(key).alias("ab"), F.lit(-1).alias("cb"), F.lit(0).alias("role"), key.alias("key"), "vec",
-                           none.cast("bigint").alias("other"))
-    rows = anchors.unionByName(source.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("ab"), part(key).alias("cb"), F.lit(2).alias("role"), key.alias("key"), "vec",
+    if candidates is None:  # vectors of like norm: no order helps
+        placed = source.select("key", "vec", F.pmod(F.xxhash64(key, F.lit(1)), F.lit(parts)).cast("int").alias("cb"))
+    else:
+        ranked = numbered(source.select(key.alias("key"), "vec", norm().alias("_n")), F.col("_n").desc(), F.col("key"), idx="_i")
+        placed = ranked.select("key", "vec", F.floor(F.col("_i") / per).cast("int").alias("cb"))
+    group = F.pmod("cb", F.lit(groups))
+    anchors = items.select(anchor_block(key).alias("ab"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.lit(-1).alias("cb"),
+                           F.lit(0).alias("role"), key.alias("key"), "vec", none.cast("bigint").alias("other"))
+    rows = anchors.unionByName(placed.select(
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("ab"), group.alias("g"), "cb", F.lit(2).alias("role"), key.alias("key"), "vec",
         none.cast("bigint").alias("other")))
     if exclude is not None:
-        other = F.col("other").cast("bigint")
-        rows = rows.unionByName(exclude.select(anchor_block(key).alias("ab"), part(other).alias("cb"), F.lit(1).alias("role"), key.alias("key"),
-                                               none.cast("array<double>").alias("vec"), other.alias("other")))
-    rows = rows.repartitionByRange(blocks, "ab").sortWithinPartitions("ab", "cb", "role", "key")
+        pairs = exclude.select(key.alias("key"), F.col("other").cast("bigint").alias("other")).join(
+            placed.select(key.alias("other"), "cb"), "other")
+        rows = rows.unionByName(pairs.select(anchor_block(F.col("key")).alias("ab"), group.alias("g"), "cb", F.lit(1).alias("role"), "key",
+                                             none.cast("array<double>").alias("vec"), "other"))
+    rows = rows.repartitionByRange(blocks * groups, "ab", "g").sortWithinPartitions("ab", "g", "cb", "role", "key")
     apart = candidates is None  # a plain flag: the closure must not hold a DataFrame
 
     def run(batches):
-        at = anchor = best = None
+        at = best = None
         held: list[pd.DataFrame] = []
 
         def flush():
-            """Take in what was read of one (anchor block, candidate block)."""
-            nonlocal anchor, best
+            """Take in what was read of one (anchor block, group, candidate block)."""
+            nonlocal best
             if not held:
                 return
             got = pd.concat(held, ignore_index=True)
             held.clear()
             role = got["role"].to_numpy()
-            if at[1] < 0:
-                anchor = _dense_block(got)
-                best = (np.full((len(anchor[0]), k), -np.inf), np.full((len(anchor[0]), k), _NO_ID, dtype=np.int64))
-                return
-            if anchor is None or not (role == 2).any():
-                return
-            keys, mat = anchor
-            ckeys, cmat = _dense_block(got[role == 2])
-            S = np.round(mat @ cmat.T, digits)
-            if apart:
-                _mask(S, np.arange(len(keys)), keys, ckeys)
-            out = got[role == 1]
-            if len(out):
-                ids = out["key"].to_numpy().astype("int64")
-                row = np.searchsorted(keys, ids)
-                ok = (row < len(keys)) & (keys[np.minimum(row, len(keys) - 1)] == ids)
-                _mask(S, row[ok], out["other"].to_numpy().astype("int64")[ok], ckeys)
-            best = _merge_best(*best, *_block_best(S, ckeys, k), k)
-
-        def done():
-            nonlocal anchor, best
-            if anchor is not None:
-                r, c = np.nonzero(np.isfinite(best[0]))
-                yield pd.DataFrame({"anchor_vacancy_id": anchor[0][r], "recom_vacancy_id": best[1][r, c],
-                                    "score": best[0][r, c], "pos": (c + 1).astype("int32")})
-            anchor = best = None
+            if at[2] < 0:
+                best = _Best(*_dense_block(got), k, digits)
+            elif best is not None and (role == 2).any():
+                out = got[role == 1]
+                ruled_out = best.take(*_dense_block(got[role == 2]), apart,
+                                      (out["key"].to_numpy().astype("int64"), out["other"].to_numpy().astype("int64")))
+                if skipped:
+                    skipped[0].add(ruled_out)
+                    skipped[1].add(len(best.keys))
 
         for pdf in batches:
-            ab, cb = (pdf[c].to_numpy().astype("int64") for c in ("ab", "cb"))
-            cuts = np.flatnonzero((np.diff(ab) != 0) | (np.diff(cb) != 0)) + 1
+            place = pdf[["ab", "g", "cb"]].to_numpy().astype("int64")
+            cuts = np.flatnonzero((np.diff(place, axis=0) != 0).any(axis=1)) + 1
             for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(pdf)]):
                 if hi == lo:
                     continue
-                here = (int(ab[lo]), int(cb[lo]))
+                here = tuple(place[lo].tolist())
                 if here != at:
                     flush()
-                    if at is not None and here[0] != at[0]:
-                        yield from done()
+                    if at is not None and here[:2] != at[:2]:
+                        if best is not None:
+                            yield best.rows()
+                        best = None
                     at = here
                 held.append(pdf.iloc[lo:hi])
         flush()
-        yield from done()
+        if best is not None:
+            yield best.rows()
 
-    return rows.mapInPandas(run, STREAM_SCHEMA)
+    lists = rows.mapInPandas(run, STREAM_SCHEMA)
+    return lists if groups == 1 else _final_topk(lists.drop("pos"), k)
 
 
 # ----------------------------------------------------------------- R5

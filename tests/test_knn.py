@@ -1,6 +1,8 @@
 """Exact neighbour lists against NumPy brute force, with the block-pair
 split forced (several blocks), a hot item and a hot token."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -116,6 +118,30 @@ def test_two_sided_streamed_topk_with_exclusions(spark):
         assert got.pos.tolist() == list(range(1, len(want) + 1))
 
 
+def test_norm_bounds_skip_blocks_and_change_nothing(spark):
+    """Candidates of very different norms, ties and a zero vector: equal to brute force, most blocks not scored."""
+    rng = np.random.default_rng(8)
+    cand = rng.normal(size=(600, 6)) * (10.0 ** -np.arange(600) ** 0.3)[:, None]
+    cand[50], cand[77], cand[100] = cand[51], 0.0, cand[51]
+    cand = cand[rng.permutation(600)]
+    qv = np.vstack([rng.normal(size=(70, 6)), np.zeros(6)])
+    frame = lambda m: spark.createDataFrame(pd.DataFrame({"key": np.arange(len(m), dtype=np.int64), "vec": list(m)}))
+    skips = [spark.sparkContext.accumulator(0) for _ in range(2)]
+    top = knn.streamed_topk(frame(qv), 4, candidates=frame(cand), block_rows=32, candidate_rows=20, skipped=skips).toPandas()
+    S = np.round(qv @ cand.T, knn.SCORE_DIGITS)
+    want = {(i, int(j), r) for i in range(len(qv)) for r, j in enumerate(np.argsort(-S[i], kind="stable")[:4], 1)}
+    assert set(zip(top.anchor_vacancy_id, top.recom_vacancy_id, top.pos, strict=True)) == want
+    assert skips[0].value > 0.5 * skips[1].value
+
+
+def test_few_anchors_are_searched_by_many_tasks(spark):
+    vecs = spark.createDataFrame(pd.DataFrame({"key": np.arange(500, dtype=np.int64), "vec": list(np.random.default_rng(0).normal(size=(500, 8)))}))
+    plan = knn.streamed_topk(vecs, 5)._jdf.queryExecution().toString()
+    assert re.search(r"rangepartitioning\(ab[^)]*, 8\)", plan)  # one anchor block, eight groups of candidate blocks
+    lists = knn.streamed_topk(vecs, 5, block_rows=64).groupBy("anchor_vacancy_id").count().collect()
+    assert {r["count"] for r in lists} == {5} and len(lists) == 500
+
+
 def test_dictionary_dense_ids(spark):
     vals = spark.createDataFrame([(v,) for v in [50, 7, 7, 300, 12, None, 999, 50]], "v long")
     d = fit_dictionary(vals, "v", "idx", partitions=3).orderBy("v").collect()
