@@ -14,11 +14,12 @@ its k-th score. A vector is copied to every anchor block, ``n / block_rows``
 times, and an anchor to every group, whatever the cluster. An exact dense
 search stays quadratic in the worst case; at scale use the approximate ones (R9).
 
-Sparse vectors (``sparse_i2i``). Equal vectors are scored once. Pairs of
-different vectors come from a join on the token, each pair once
-(``a < b``), summed on the map side; a token of many items is dealt out as
-pairs of blocks of its items, so no key of the join holds more than
-``token_rows`` x ``token_rows`` pairs. The work follows the shared tokens.
+Sparse vectors (``sparse_i2i``, ``sparse_topk``). Equal vectors are scored
+once. Entries of candidates travel to the blocks of anchors that have their
+token, products are summed inside the task, and only the best ``k`` of an
+anchor leave it: no row is made for a pair. An anchor is left out of a block
+of candidates if its tokens' weights times the largest weights there cannot
+reach its k-th score. The work follows the shared tokens.
 
 Ties: scores are rounded to ``SCORE_DIGITS`` places before ranking and
 broken by the candidate id (ascending), everywhere.
@@ -34,6 +35,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -226,6 +228,151 @@ def streamed_topk(items: DataFrame, k: int, candidates: DataFrame | None = None,
 
 
 # ----------------------------------------------------------------- R5
+#: Products that a task holds at once.
+PRODUCTS = 1 << 21
+
+
+class _SparseBest:
+    """The best ``k`` of one block of anchors so far, over blocks of sparse candidates given one after another."""
+
+    def __init__(self, keys: np.ndarray, tokens: np.ndarray, vals: np.ndarray, k: int, digits: int):
+        self.keys, rows = np.unique(keys, return_inverse=True)
+        order = np.argsort(tokens, kind="stable")
+        self.rows, self.vals = rows[order], vals[order]
+        self.tokens, self.first, self.count = np.unique(tokens[order], return_index=True, return_counts=True)
+        self.k, self.digits = k, digits
+        self.scores = np.full((len(self.keys), k), -np.inf)
+        self.ids = np.full((len(self.keys), k), _NO_ID, dtype=np.int64)
+
+    def take(self, keys: np.ndarray, tokens: np.ndarray, vals: np.ndarray, apart: bool) -> tuple[int, int, int]:
+        """Score a block of candidates. What a block can add to an anchor is at most the sum, over the anchor's tokens, of its weight
+        times the token's largest weight in the block; an anchor whose k-th score is beyond that is left out. Returns the anchors left
+        out, all anchors, and the products computed."""
+        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        known = self.tokens[at] == tokens
+        ckeys, col = np.unique(keys[known], return_inverse=True)
+        at, vals = at[known], vals[known]
+        most = np.zeros(len(self.tokens))
+        np.maximum.at(most, at, vals)
+        bound = np.bincount(self.rows, self.vals * np.repeat(most, self.count), len(self.keys))
+        live = ~(bound + 10.0 ** -self.digits < self.scores[:, -1])
+        if live.all():
+            rows, weights, first, count = self.rows, self.vals, self.first, self.count
+        else:
+            keep = live[self.rows]
+            of = np.repeat(np.arange(len(self.tokens)), self.count)[keep]
+            rows, weights, count = self.rows[keep], self.vals[keep], np.bincount(of, minlength=len(self.tokens))
+            first = np.r_[0, np.cumsum(count)[:-1]]
+        order = np.argsort(col, kind="stable")
+        at, col, vals = at[order], col[order], vals[order]
+        before = np.r_[0, np.cumsum(count[at])]
+        begin = 0
+        while begin < len(col):  # whole candidates, as many as PRODUCTS allow
+            end = int(np.searchsorted(before, before[begin] + PRODUCTS, side="right")) - 1
+            end = int(np.searchsorted(col, col[min(max(end, begin), len(col) - 1)], side="left")) if end < len(col) else end
+            end = end if end > begin else int(np.searchsorted(col, col[begin], side="right"))
+            self._products(rows, weights, first, count, at[begin:end], col[begin:end], vals[begin:end], ckeys, apart)
+            begin = end
+        return int((~live).sum()), len(self.keys), int(before[-1])
+
+    def _products(self, rows, weights, first, count, at, col, vals, ckeys, apart) -> None:
+        n = count[at]
+        entry = np.repeat(np.arange(len(at)), n)
+        left = np.arange(len(entry)) - np.repeat(np.r_[0, np.cumsum(n)[:-1]], n) + first[at][entry]
+        low, width = int(col[0]), int(col[-1] - col[0]) + 1
+        code = rows[left] * width + (col[entry] - low)
+        product = weights[left] * vals[entry]
+        if len(self.keys) * width <= 4 * len(code):
+            total = np.bincount(code, product, len(self.keys) * width)
+            code = np.flatnonzero(total)
+            total = total[code]
+        else:
+            code, where = np.unique(code, return_inverse=True)
+            total = np.bincount(where, product, len(code))
+        score, row, key = np.round(total, self.digits), code // width, ckeys[code % width + low]
+        keep = (score > 0) & (score >= self.scores[row, -1])
+        if apart:
+            keep &= self.keys[row] != key
+        score, row, key = score[keep], row[keep], key[keep]
+        touched = np.unique(row)
+        old = np.isfinite(self.scores[touched])
+        row = np.r_[row, np.repeat(touched, old.sum(axis=1))]
+        score, key = np.r_[score, self.scores[touched][old]], np.r_[key, self.ids[touched][old]]
+        order = np.lexsort((key, -score, row))
+        row, score, key = row[order], score[order], key[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best = place < self.k
+        self.scores[row[best], place[best]], self.ids[row[best], place[best]] = score[best], key[best]
+
+    def lists(self) -> pd.DataFrame:
+        r, c = np.nonzero(np.isfinite(self.scores))
+        return pd.DataFrame({"anchor_vacancy_id": self.keys[r], "recom_vacancy_id": self.ids[r, c], "score": self.scores[r, c]})
+
+
+def sparse_topk(entries: DataFrame, k: int, candidates: DataFrame | None = None, block_rows: int = 4096, candidate_rows: int = 4096,
+                counted=None) -> DataFrame:
+    """Best ``k`` candidates of positive inner product per item, both flat as ``key, token, val`` with positive weights; without
+    ``candidates`` the items are compared with each other, themselves left out. Returns ``anchor_vacancy_id, recom_vacancy_id, score, pos``.
+    ``counted``: three accumulators, of the (anchor, candidate block) pairs ruled out, of all of them, and of the products computed.
+
+    A grid as in ``streamed_topk``: an entry of a candidate goes to the anchor blocks that have its token, at most ``n / block_rows``
+    copies for a token of all items, and never meets an anchor block without it."""
+    source = entries if candidates is None else candidates
+    keys = lambda df: df.select("key").distinct().count()
+    n = keys(entries)
+    nc = n if candidates is None else keys(candidates)
+    blocks, parts = max(1, math.ceil(n / block_rows)), max(1, math.ceil(nc / min(candidate_rows, max(64, -(-nc // SPREAD)))))
+    groups = min(parts, max(1, -(-SPREAD // blocks)))
+    ab = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
+    cb = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(parts)).cast("int")
+    wanted = entries.groupBy("token").agg(F.collect_set(ab).alias("_abs"), F.count(F.lit(1)).alias("_n"))  # at most all blocks
+    if candidates is None:
+        wanted = wanted.where(F.col("_n") > 1)  # a token of one item meets no other
+    met = (source.select("key", "token", "val", cb.alias("cb")).join(wanted.drop("_n"), "token")
+                 .select(F.explode("_abs").alias("ab"), F.pmod("cb", F.lit(groups)).alias("g"), "cb", "key", "token", "val"))
+    anchors = entries.select(ab.alias("ab"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.lit(-1).alias("cb"), "key", "token", "val")
+    rows = anchors.unionByName(met).repartitionByRange(blocks * groups, "ab", "g").sortWithinPartitions("ab", "g", "cb")
+    apart = candidates is None
+
+    def run(batches):
+        at = best = None
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def flush():
+            nonlocal best
+            if not held:
+                return
+            key, token, val = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
+            if at[2] < 0:
+                best = _SparseBest(key, token, val, k, SCORE_DIGITS)
+            elif best is not None:
+                for total, more in zip(counted or (), best.take(key, token, val, apart), strict=False):
+                    total.add(more)
+
+        for batch in batches:
+            place = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype("int64") for c in ("ab", "g", "cb")], axis=1)
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "token", "val")]
+            cuts = np.flatnonzero((np.diff(place, axis=0) != 0).any(axis=1)) + 1
+            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(place)], strict=True):
+                if hi == lo:
+                    continue
+                here = tuple(place[lo].tolist())
+                if here != at:
+                    flush()
+                    if at is not None and here[:2] != at[:2]:
+                        if best is not None:
+                            yield pa.RecordBatch.from_pandas(best.lists(), preserve_index=False)
+                        best = None
+                    at = here
+                held.append(tuple(c[lo:hi] for c in columns))
+        flush()
+        if best is not None:
+            yield pa.RecordBatch.from_pandas(best.lists(), preserve_index=False)
+
+    return _final_topk(rows.mapInArrow(run, OUT_SCHEMA), k)
+
+
 def sparse_i2i(entries: DataFrame, asked: int = 100, include_self: bool = False, token_rows: int = 1024) -> DataFrame:
     """R5 (and R14): exact cosine neighbour list for sparse count vectors
     given flat as ``key, token, val``; zero vectors are dropped.
@@ -233,7 +380,7 @@ def sparse_i2i(entries: DataFrame, asked: int = 100, include_self: bool = False,
     neighbours (a plain kNN query) instead of removing it.
 
     1. Keys with the same vector (a digest of its entries) form a group; the smallest key speaks for it.
-    2. Dot products of groups from the token join; the best ``asked + 1`` groups of each group.
+    2. The best ``asked + 1`` groups of each group, from blocks of anchors and the entries that share a token with them (``sparse_topk``).
     3. Groups become keys again (of a group only its smallest ``asked + 1`` keys can be needed).
     4. A full kNN query also lists items that share nothing (score 0, the smallest ids first): groups whose list is
        short get them from the smallest ids, a list of bounded length.
@@ -251,21 +398,12 @@ def sparse_i2i(entries: DataFrame, asked: int = 100, include_self: bool = False,
     members = materialise(stats.join(heads, same).select("key", "vid", "nrm"), "i2i_members")
     n = members.count()
 
-    # 2. each pair of groups once
+    # 2. groups against groups
     unit = (flat.join(members.where(F.col("key") == F.col("vid")), "key")
                 .select(F.col("vid"), "token", (F.col("val") / F.col("nrm")).alias("val")))
-    blocks = (unit.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-                  .select("token", F.ceil(F.col("_n") / F.lit(token_rows)).cast("int").alias("_nb")))
-    dealt = unit.join(blocks, "token").withColumn("_own", F.pmod(F.xxhash64("vid", "token"), F.col("_nb")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
-    left = dealt.select("token", F.col("_own").alias("_l"), every.alias("_r"), F.col("vid").alias("a"), F.col("val").alias("va"))
-    right = dealt.select("token", every.alias("_l"), F.col("_own").alias("_r"), F.col("vid").alias("b"), F.col("val").alias("vb"))
-    dots = (left.join(right, ["token", "_l", "_r"]).where(F.col("a") < F.col("b"))
-                .groupBy("a", "b").agg(F.round(F.sum(F.col("va") * F.col("vb")), SCORE_DIGITS).alias("score")).where(F.col("score") > 0))
-    both = dots.withColumn("p", F.explode(F.array(F.struct(F.col("a").alias("vid"), F.col("b").alias("other")),
-                                                  F.struct(F.col("b").alias("vid"), F.col("a").alias("other"))))).select("p.*", "score")
-    near = F.row_number().over(W.partitionBy("vid").orderBy(F.col("score").desc(), F.col("other").asc()))
-    groups = both.withColumn("_p", near).where(F.col("_p") <= wide).drop("_p")
+    groups = sparse_topk(materialise(unit.select(F.col("vid").alias("key"), "token", "val"), "i2i_unit"), wide, block_rows=token_rows * 4,
+                         candidate_rows=token_rows * 4)
+    groups = groups.select(F.col("anchor_vacancy_id").alias("vid"), F.col("recom_vacancy_id").alias("other"), "score")
     itself = members.select("vid").distinct().select("vid", F.col("vid").alias("other"), F.lit(1.0).alias("score"))
 
     # 3. keys of the groups
