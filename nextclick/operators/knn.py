@@ -5,9 +5,9 @@ Dense vectors (``streamed_topk``). A grid of anchor blocks (hashed,
 ``block_rows``) and groups of candidate blocks; a task has one cell of it,
 streams the group's small candidate blocks past the anchor block, multiplies
 them in NumPy and keeps a running best ``k`` per anchor: it holds one anchor
-block, one candidate block and ``k`` per anchor; the lists of an anchor's
-groups are merged at the end. There are groups enough for ``SPREAD`` tasks
-where the anchor blocks alone are fewer. Candidates of another table come by
+block, one candidate block and ``k`` per anchor. Few anchors make smaller
+blocks, and very few make groups, so that there are ``SPREAD`` tasks; the
+lists of an anchor's groups are then merged. Candidates of another table come by
 falling norm, their blocks dealt to the groups in turn, and an anchor is not
 scored against a block if its norm times the block's largest cannot reach
 its k-th score. A vector is copied to every anchor block, ``n / block_rows``
@@ -110,8 +110,13 @@ def _final_topk(parts: DataFrame, keep: int) -> DataFrame:
                  .withColumn("pos", F.col("pos").cast("int")))
 
 
+def _blocks(n: int, most: int) -> int:
+    """Blocks of at most ``most`` rows: SPREAD of them as long as they keep 64 rows each."""
+    return max(1, math.ceil(n / min(most, max(64, -(-n // SPREAD)))))
+
+
 # ----------------------------------------------------------------- R4
-def dense_i2i(vectors: DataFrame, asked: int = 100, normalise: bool = True, block_rows: int = 8192,
+def dense_i2i(vectors: DataFrame, asked: int = 100, normalise: bool = True, block_rows: int | None = None,
               digits: int = SCORE_DIGITS) -> DataFrame:
     """Exact cosine neighbour list for ``key, vec array<double>``:
     ``asked - 1`` rows per item. Vectors without a direction are dropped."""
@@ -151,7 +156,7 @@ class _Best:
 
 
 def streamed_topk(items: DataFrame, k: int, candidates: DataFrame | None = None, exclude: DataFrame | None = None,
-                  block_rows: int = 8192, candidate_rows: int | None = None, digits: int = SCORE_DIGITS, skipped=None) -> DataFrame:
+                  block_rows: int | None = None, candidate_rows: int | None = None, digits: int = SCORE_DIGITS, skipped=None) -> DataFrame:
     """Best ``k`` candidates by inner product per item of ``key, vec`` (see the module's text). Without ``candidates`` the items are
     compared with each other, themselves left out. ``exclude`` (``key, other``) lists pairs never to return; a pair travels to its anchor
     block and is read with the candidate block that holds its other side, so a key with very many of them never has them in memory
@@ -159,7 +164,7 @@ def streamed_topk(items: DataFrame, k: int, candidates: DataFrame | None = None,
     source = items if candidates is None else candidates
     n, nc = items.count(), source.count()
     per = candidate_rows or min(1024, max(64, -(-nc // SPREAD)))
-    blocks, parts = max(1, math.ceil(n / block_rows)), max(1, math.ceil(nc / per))
+    blocks, parts = _blocks(n, block_rows or 8192), max(1, math.ceil(nc / per))
     groups = min(parts, max(1, SPREAD // blocks))
     anchor_block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     key, none = F.col("key").cast("bigint"), F.lit(None)
@@ -179,7 +184,7 @@ def streamed_topk(items: DataFrame, k: int, candidates: DataFrame | None = None,
             placed.select(key.alias("other"), "cb"), "other")
         rows = rows.unionByName(pairs.select(anchor_block(F.col("key")).alias("ab"), group.alias("g"), "cb", F.lit(1).alias("role"), "key",
                                              none.cast("array<double>").alias("vec"), "other"))
-    rows = rows.repartitionByRange(blocks * groups, "ab", "g").sortWithinPartitions("ab", "g", "cb", "role", "key")
+    rows = rows.repartitionById(blocks * groups, F.col("ab") * groups + F.col("g")).sortWithinPartitions("ab", "g", "cb", "role", "key")
     apart = candidates is None  # a plain flag: the closure must not hold a DataFrame
 
     def run(batches):
@@ -306,23 +311,24 @@ class _SparseBest:
 
     def lists(self) -> pd.DataFrame:
         r, c = np.nonzero(np.isfinite(self.scores))
-        return pd.DataFrame({"anchor_vacancy_id": self.keys[r], "recom_vacancy_id": self.ids[r, c], "score": self.scores[r, c]})
+        return pd.DataFrame({"anchor_vacancy_id": self.keys[r], "recom_vacancy_id": self.ids[r, c], "score": self.scores[r, c],
+                             "pos": (c + 1).astype("int32")})
 
 
-def sparse_topk(entries: DataFrame, k: int, candidates: DataFrame | None = None, block_rows: int = 4096, candidate_rows: int = 4096,
-                counted=None) -> DataFrame:
+def sparse_topk(entries: DataFrame, k: int, candidates: DataFrame | None = None, block_rows: int = 4096, candidate_rows: int = 16384,
+                n: int | None = None, counted=None) -> DataFrame:
     """Best ``k`` candidates of positive inner product per item, both flat as ``key, token, val`` with positive weights; without
     ``candidates`` the items are compared with each other, themselves left out. Returns ``anchor_vacancy_id, recom_vacancy_id, score, pos``.
-    ``counted``: three accumulators, of the (anchor, candidate block) pairs ruled out, of all of them, and of the products computed.
+    ``n``: how many keys the items have, if known. ``counted``: three accumulators, of the (anchor, candidate block) pairs ruled out, of all of them, and of the products computed.
 
     A grid as in ``streamed_topk``: an entry of a candidate goes to the anchor blocks that have its token, at most ``n / block_rows``
     copies for a token of all items, and never meets an anchor block without it."""
     source = entries if candidates is None else candidates
-    keys = lambda df: df.select("key").distinct().count()
-    n = keys(entries)
-    nc = n if candidates is None else keys(candidates)
-    blocks, parts = max(1, math.ceil(n / block_rows)), max(1, math.ceil(nc / min(candidate_rows, max(64, -(-nc // SPREAD)))))
-    groups = min(parts, max(1, -(-SPREAD // blocks)))
+    count = lambda df: df.agg(F.countDistinct("key")).first()[0]
+    n = count(entries) if n is None else n
+    nc = n if candidates is None else count(candidates)
+    blocks, parts = _blocks(n, block_rows), _blocks(nc, candidate_rows)
+    groups = min(parts, max(1, SPREAD // blocks))
     ab = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
     cb = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(parts)).cast("int")
     wanted = entries.groupBy("token").agg(F.collect_set(ab).alias("_abs"), F.count(F.lit(1)).alias("_n"))  # at most all blocks
@@ -331,7 +337,7 @@ def sparse_topk(entries: DataFrame, k: int, candidates: DataFrame | None = None,
     met = (source.select("key", "token", "val", cb.alias("cb")).join(wanted.drop("_n"), "token")
                  .select(F.explode("_abs").alias("ab"), F.pmod("cb", F.lit(groups)).alias("g"), "cb", "key", "token", "val"))
     anchors = entries.select(ab.alias("ab"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.lit(-1).alias("cb"), "key", "token", "val")
-    rows = anchors.unionByName(met).repartitionByRange(blocks * groups, "ab", "g").sortWithinPartitions("ab", "g", "cb")
+    rows = anchors.unionByName(met).repartitionById(blocks * groups, F.col("ab") * groups + F.col("g")).sortWithinPartitions("ab", "g", "cb")
     apart = candidates is None
 
     def run(batches):
@@ -370,7 +376,8 @@ def sparse_topk(entries: DataFrame, k: int, candidates: DataFrame | None = None,
         if best is not None:
             yield pa.RecordBatch.from_pandas(best.lists(), preserve_index=False)
 
-    return _final_topk(rows.mapInArrow(run, OUT_SCHEMA), k)
+    lists = rows.mapInArrow(run, STREAM_SCHEMA)
+    return lists if groups == 1 else _final_topk(lists.drop("pos"), k)
 
 
 def sparse_i2i(entries: DataFrame, asked: int = 100, include_self: bool = False, token_rows: int = 1024) -> DataFrame:
@@ -394,15 +401,15 @@ def sparse_i2i(entries: DataFrame, asked: int = 100, include_self: bool = False,
                                     mark(1).alias("d1"), mark(2).alias("d2"))
     stats = materialise(stats, "i2i_stats")
     same = ["nnz", "d1", "d2"]
-    heads = stats.groupBy(*same).agg(F.min("key").alias("vid"), F.count(F.lit(1)).alias("members"))
+    heads = stats.groupBy(*same).agg(F.min("key").alias("vid"))
     members = materialise(stats.join(heads, same).select("key", "vid", "nrm"), "i2i_members")
-    n = members.count()
+    n, n_groups = members.agg(F.count(F.lit(1)), F.count(F.when(F.col("key") == F.col("vid"), 1))).first()
 
     # 2. groups against groups
     unit = (flat.join(members.where(F.col("key") == F.col("vid")), "key")
                 .select(F.col("vid"), "token", (F.col("val") / F.col("nrm")).alias("val")))
     groups = sparse_topk(materialise(unit.select(F.col("vid").alias("key"), "token", "val"), "i2i_unit"), wide, block_rows=token_rows * 4,
-                         candidate_rows=token_rows * 4)
+                         candidate_rows=token_rows * 16, n=n_groups)
     groups = groups.select(F.col("anchor_vacancy_id").alias("vid"), F.col("recom_vacancy_id").alias("other"), "score")
     itself = members.select("vid").distinct().select("vid", F.col("vid").alias("other"), F.lit(1.0).alias("score"))
 
