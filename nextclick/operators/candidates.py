@@ -68,6 +68,39 @@ def continue_search(train: DataFrame, test: DataFrame,
     return out.drop("_seen")
 
 
+# ---------------------------------------------------------------- D14
+def _heaviest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    best = rows.groupBy(*keys).agg(F.max(F.struct("action_weight", "action_dt")).alias("_b"), F.max("seen").alias("seen"))
+    return best.select(*keys, "_b.action_weight", "_b.action_dt", "seen")
+
+
+def continue_search_state(train: DataFrame, by: list[str] | None = None, weights: dict[int, float] | None = None, strict: bool = True) -> DataFrame:
+    """D14, fit: the reduced train table ``user_id, vacancy_id, action_weight, action_dt, seen`` (the heaviest row, then the latest;
+    ``seen``: any response), one row per (user, item), or per ``by`` and these, such as the day. An arg-max is associative: states of any
+    parts of the rows merge into the state of all."""
+    keys = [*(by or []), "user_id", "vacancy_id"]
+    w = map_weight(F.col("action_type"), weights or CONTINUE_SEARCH_WEIGHTS, strict)
+    rows = train.select(*keys, w.alias("action_weight"), "action_dt", (F.col("action_type") == F.lit(1)).alias("seen"))
+    return _heaviest(rows, keys)
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """One state of several."""
+    columns = ["user_id", "vacancy_id", "action_weight", "action_dt", "seen"]
+    rows = reduce(DataFrame.unionByName, [s.select(*columns) for s in states])
+    return _heaviest(rows, ["user_id", "vacancy_id"])
+
+
+def continue_search_from_state(state: DataFrame, test: DataFrame, drop_seen_responses: bool = False) -> DataFrame:
+    """D14, predict: R25 from a stored state (of one part or of many, merged here) and the test users' own rows; no train row is read."""
+    users = test.select("user_id").distinct()
+    own = continue_search_state(test.where(F.col("user_id").isNotNull())).withColumn("seen", F.lit(False))
+    best = materialise(merge_states(state.join(users, "user_id", "left_semi"), own).drop("action_weight"), "continue_search")
+    ranked = dense_rank_within(best, "user_id", "action_dt", descending=True, out="_r")
+    out = ranked.where(~F.col("seen")) if drop_seen_responses else ranked
+    return out.select("user_id", "vacancy_id", F.log(F.col("_r").cast("double")).alias("score"))
+
+
 # ---------------------------------------------------------------- R13
 def i2i_candidates(history: DataFrame, i2i: DataFrame) -> DataFrame:
     """Join the user's items to the item-to-item list on the anchor;

@@ -41,6 +41,17 @@ def numbered(df: DataFrame, *order: Column, idx: str = "idx", partitions: int |
              .select(*df.columns, (F.col("_off") + F.col("_m") - F.col("_m0")).alias(idx)))
 
 
+def running_total(df: DataFrame, order: str, value: str, out: str = "upto") -> DataFrame:
+    """Append the sum of ``value`` over the rows up to this one in ``order`` (unique), without a global window: running sums inside
+    range partitions, plus what the partitions before hold (one row per partition)."""
+    checkpoint_dir(df.sparkSession)
+    parts = df.repartitionByRange(F.col(order)).withColumn("_p", F.spark_partition_id()).checkpoint()
+    before = parts.groupBy("_p").agg(F.sum(value).alias("_s")).select(
+        "_p", F.coalesce(F.sum("_s").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    inside = F.sum(value).over(W.partitionBy("_p").orderBy(order).rowsBetween(W.unboundedPreceding, 0))
+    return parts.withColumn("_u", inside).join(F.broadcast(before), "_p").select(*df.columns, (F.col("_u") + F.col("_b")).alias(out))
+
+
 def encode(df: DataFrame, dictionary: DataFrame, col: str, idx: str = "idx") -> DataFrame:
     """Value -> index; an unknown value gets NULL (left join)."""
     return df.join(dictionary.select(col, idx), col, "left")

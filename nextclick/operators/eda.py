@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from nextclick.operators.dictionary import running_total
 from nextclick.operators.sessions import interactions
 
 
@@ -45,11 +45,11 @@ def items_per_user(sessions: DataFrame) -> DataFrame:
 def describe(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, sample std, min, quartiles (exact, linear
     interpolation) and max, all from the frequency table of the values and
-    its running counts (one row per distinct value passes the window)."""
+    its running counts (``running_total``: no task sees all distinct values)."""
     freq = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("f"))
-    whole, upto = W.partitionBy(), F.sum("f").over(W.orderBy("v").rowsBetween(W.unboundedPreceding, 0))
-    ranked = freq.select("v", "f", upto.alias("hi"), (upto - F.col("f")).alias("lo"), F.sum("f").over(whole).alias("n"),
-                         (F.sum(F.col("v") * F.col("f")).over(whole) / F.sum("f").over(whole)).alias("m"))
+    counted = running_total(freq, "v", "f", "hi")
+    whole = counted.agg(F.struct(F.sum("f").alias("n"), (F.sum(F.col("v") * F.col("f")) / F.sum("f")).alias("m")).alias("w")).scalar()
+    ranked = counted.select("v", "f", "hi", (F.col("hi") - F.col("f")).alias("lo"), whole.alias("w")).select("v", "f", "hi", "lo", "w.n", "w.m")
 
     def value_at(place):
         return F.max(F.when((F.col("lo") <= place) & (place < F.col("hi")), F.col("v")))

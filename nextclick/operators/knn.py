@@ -438,6 +438,26 @@ def sparse_i2i(entries: DataFrame, asked: int = 100, include_self: bool = False,
     return out.select("anchor_vacancy_id", "recom_vacancy_id", "score", F.col("pos").cast("int").alias("pos"))
 
 
+def sparse_query(queries: DataFrame, index: DataFrame, k: int, keys: DataFrame | None = None) -> DataFrame:
+    """R14, query side: the ``k`` nearest items of an index for vectors that are not in it, by cosine; both flat as ``key, token, val``.
+    Ties and the items that share nothing (score 0) come by the smallest id, as a full kNN query gives them. ``keys`` names all queries,
+    also those without an entry (no known word)."""
+    def unit(df: DataFrame, name: str) -> DataFrame:
+        flat = df.select(F.col("key").cast("bigint"), F.col("token").cast("bigint"), F.col("val").cast("double")).where(F.col("val") != 0)
+        norms = flat.groupBy("key").agg(F.sqrt(F.sum(F.col("val") * F.col("val"))).alias("_n"))
+        return materialise(flat.join(norms, "key").select("key", "token", (F.col("val") / F.col("_n")).alias("val")), name)
+
+    q, items = unit(queries, "query_entries"), unit(index, "index_entries")
+    near = materialise(sparse_topk(q, k, candidates=items), "query_lists")
+    asked = (q if keys is None else keys).select(F.col("key").cast("bigint").alias("anchor_vacancy_id")).distinct()
+    short = asked.join(near.groupBy("anchor_vacancy_id").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") >= k), "anchor_vacancy_id", "left_anti")
+    smallest = items.select("key").distinct().orderBy("key").limit(2 * k).agg(F.sort_array(F.collect_list("key")).alias("ids"))
+    fill = (short.select("anchor_vacancy_id", F.explode(smallest.scalar()).alias("recom_vacancy_id"))
+                 .join(near.select("anchor_vacancy_id", "recom_vacancy_id"), ["anchor_vacancy_id", "recom_vacancy_id"], "left_anti")
+                 .withColumn("score", F.lit(0.0)))
+    return _final_topk(near.drop("pos").unionByName(fill), k)
+
+
 # ----------------------------------------------------------------- R9 / R10
 def cell_topk(queries: DataFrame, candidates: DataFrame, k: int, rows: int = 2048) -> DataFrame:
     """Best ``k`` candidates of the same ``cell`` per query (``key, vec,

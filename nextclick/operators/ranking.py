@@ -96,6 +96,38 @@ def feature_ranker(cands: DataFrame, model, features: list[str], name: str = "mo
     return scored.drop(*[c for c in scored.columns if c not in cands.columns and c != name])
 
 
+def training_table(cands: DataFrame, truth: DataFrame, negatives: int = 10, seed: int = 42, target: str = "target") -> DataFrame:
+    """R20, fit side: candidates of the truth's users with ``label`` (1: the target), all positive rows and per user the ``negatives`` other
+    rows of the lowest MD5 of seed, user and item: the same ones on every run. Users whose target no generator found teach nothing."""
+    targets = truth.select("user_id", F.col(target).alias("vacancy_id"), F.lit(1).alias("label")).distinct()
+    labelled = cands.join(targets, ["user_id", "vacancy_id"], "left").withColumn("label", F.coalesce("label", F.lit(0)))
+    found = labelled.where("label = 1").select("user_id").distinct()
+    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("user_id").cast("string"), F.col("vacancy_id").cast("string")))
+    place = F.row_number().over(W.partitionBy("user_id", "label").orderBy(mark, "vacancy_id"))
+    return (labelled.join(found, "user_id", "left_semi").withColumn("_p", place)
+                    .where((F.col("label") == 1) | (F.col("_p") <= negatives)).drop("_p"))
+
+
+def fit_ranker(training: DataFrame, features: list[str], path: str, max_iter: int = 20, max_depth: int = 4, seed: int = 42,
+               fill: float = 0.0) -> str:
+    """Boosted trees on a training table, saved as a pipeline model in ``path`` (a shared folder)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    filled = training.select(*(F.coalesce(F.col(f).cast("double"), F.lit(float(fill))).alias(f) for f in features), F.col("label").cast("double"))
+    trees = GBTClassifier(featuresCol="__features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, seed=seed)
+    Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="__features"), trees]).fit(filled).write().overwrite().save(path)
+    return path
+
+
+def trained_ranker(cands: DataFrame, path: str, features: list[str], name: str = "model_score", fill: float = 0.0) -> DataFrame:
+    """R20, predict side: the stored model's probability of a response, as ``name``."""
+    from pyspark.ml import PipelineModel
+
+    return feature_ranker(cands, PipelineModel.load(path).stages[-1], features, name, fill)
+
+
 # ---------------------------------------------------------------- R22
 def rank(cands: DataFrame, order: list[Column], k: int | None = None,
          keys: list[str] | None = None) -> DataFrame:

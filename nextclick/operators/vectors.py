@@ -65,6 +65,16 @@ def text_token_counts(items: DataFrame, key: str, text: str) -> DataFrame:
                 .withColumn("token", F.xxhash64("word")))
 
 
+def fit_vocabulary(counts: DataFrame) -> DataFrame:
+    """The words of an index with dense ids: ``word, token`` (H14), to be stored and joined to texts that come later."""
+    return fit_dictionary(counts, "word", "token")
+
+
+def known_words(counts: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``key, token, val`` of the words that the vocabulary has; others are dropped, as a fitted count vectoriser does."""
+    return counts.select("key", "word", "val").join(vocabulary, "word").select("key", "token", "val")
+
+
 def als_item_vectors(counts: DataFrame, rank: int = 16, max_iter: int = 10, reg: float = 0.1,
                      alpha: float = 1.0, seed: int = 42) -> DataFrame:
     """Implicit ALS on the item x token counts with the item as the

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from nextclick.operators import ann, eda, knn
@@ -29,8 +29,8 @@ from nextclick.plans import flows
 from nextclick.plans.render import list_str, num, time_list_str, time_str
 from nextclick.schemas import SUBMISSION_SCHEMA, Split
 from nextclick.sources import fixtures as fx
-from nextclick.sources.parquet import (dataset_path, load_frame, read_table, read_test, read_train, read_vacancies, store_frame,
-                                       write_dataset, write_submission)
+from nextclick.sources.parquet import (dataset_path, load_bucketed, load_frame, read_days, read_ranges, read_table, read_test, read_train,
+                                       read_vacancies, store_bucketed, store_frame, write_by_day, write_dataset, write_submission)
 from nextclick.sources.tables import materialise, tables_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,12 +132,30 @@ def continue_search_hot_user_events(spark, d):
 
 
 def seen_filter_counts_events(spark, d):
-    """Candidate rows before and after the seen filter."""
+    """Candidate rows before and after the seen filter, observed while the job that writes them runs."""
     p = f1(spark, d)
-    cands = C.continue_search(p.train, p.test)
-    rows = F.count(F.lit(1)).alias("n_rows")
-    return (cands.agg(rows).select(F.lit("before").alias("at"), "n_rows")
-                 .unionByName(R.seen_filter(cands, p.train).agg(rows).select(F.lit("after").alias("at"), "n_rows")))
+    seen = Observation("before"), Observation("after")
+    materialise(R.seen_filter(C.continue_search(p.train, p.test), p.train, observations=seen), "seen_filter")
+    return spark.createDataFrame([(at, o.get["rows"]) for at, o in zip(("before", "after"), seen, strict=True)], "at string, n_rows long")
+
+
+def continue_search_state_events(spark, d):
+    """D14 + A6: the train rows reduced per day, stored in a folder per day, and merged at predict, which reads no train row."""
+    p, base = f1(spark, d), os.path.join(_run_folder(spark), "state")
+    daily = C.continue_search_state(p.train.withColumn("day", F.to_date("action_dt")), by=["day"])
+    write_dataset(daily, base, partition_by=["day"])
+    return C.continue_search_from_state(read_table(spark, base), p.test).select("user_id", "vacancy_id", num("score").alias("score"))
+
+
+def time_split_by_day_events(spark, d):
+    """Sessions stored by day; train read with fixed bounds, validation by a table of ranges."""
+    path = os.path.join(_run_folder(spark), "sessions")
+    write_by_day(f1_sessions(spark, d), path)
+    ranges = spark.createDataFrame([("validation", *fx.F1_VALIDATION), ("none", fx.F1_TRAIN[0], fx.F1_TRAIN[0])], "split string, start string, end string")
+    ranges = ranges.select("split", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("start", "end")))
+    pick = ["user_id", "session_id", time_str("session_dt").alias("session_dt")]
+    train = read_days(spark, path, *fx.F1_TRAIN).select(*pick, F.lit("train").alias("split"))
+    return train.unionByName(read_ranges(spark, path, ranges).select(*pick, "split"))
 
 
 def seen_filter_events(spark, d):
@@ -318,6 +336,13 @@ def i2i_candidates_events(spark, d):
     return out.select("user_id", "vacancy_id", num("score", 9).alias("score"))
 
 
+def i2i_topk_bucketed_events(spark, d):
+    """A5 -> R13b: the list stored in buckets by its anchor, and read by two jobs without a shuffle of it."""
+    p = f1(spark, d)
+    table = store_bucketed(f1_i2i(spark, d, p), _run_folder(spark), "i2i", Split.MICRO, buckets=8)
+    return C.i2i_topk_candidates(p.test, load_bucketed(spark, table), 20).select("user_id", "vacancy_id", num("score", 9).alias("score"))
+
+
 def i2i_topk_events(spark, d):
     p = f1(spark, d)
     out = C.i2i_topk_candidates(p.test, f1_i2i(spark, d, p), 20)
@@ -383,6 +408,32 @@ def feature_rank_events(spark, d):
     return ranked.select("user_id", "vacancy_id", num("model_score", 9).alias("model_score"), F.col("pos").cast("bigint").alias("pos"))
 
 
+RANKER_FEATURES = ["continue_search_score", "i2i_score", "popular_score"]
+
+
+def _ranker_training(spark, d, p):
+    merged = materialise(C.join_candidates(_three_generators(spark, d, p)), "ranker_candidates")
+    return merged, R.training_table(merged, p.truth, negatives=10)
+
+
+def ranker_training_events(spark, d):
+    """R20, fit side: merged candidates with their labels, ten sampled negatives per user."""
+    _, rows = _ranker_training(spark, d, f1(spark, d))
+    return rows.select("user_id", "vacancy_id", F.col("label").cast("bigint").alias("label"), num("continue_search_score").alias("continue_search_score"),
+                       num("i2i_score", 9).alias("i2i_score"), num("popular_score").alias("popular_score"))
+
+
+def trained_rank_events(spark, d):
+    """Boosted trees fitted on half of the users, stored, loaded, and used to rank the other half's unseen candidates."""
+    p = f1(spark, d)
+    merged, rows = _ranker_training(spark, d, p)
+    half = F.pmod(F.xxhash64("user_id"), F.lit(2)) == 0
+    path = R.fit_ranker(rows.where(half), RANKER_FEATURES, os.path.join(_run_folder(spark), "ranker"))
+    scored = R.trained_ranker(R.seen_filter(merged.where(~half), p.train), path, RANKER_FEATURES)
+    ranked = R.rank(scored.withColumn("model_score", F.round("model_score", 9)), [F.col("model_score").desc(), F.col("vacancy_id")], 100)
+    return ranked.select("user_id", "vacancy_id", num("model_score", 9).alias("model_score"), F.col("pos").cast("bigint").alias("pos"))
+
+
 # ----------------------------------------------------------------- R4, R7, R9, R10, R14, R17
 def knn_embeddings(spark, d):
     return _i2i_view(knn.dense_i2i(fx.item_vectors(spark, d), asked=100))
@@ -430,6 +481,16 @@ def text_knn_documents(spark, d):
     return _i2i_view(knn.sparse_i2i(counts, asked=20))
 
 
+def text_knn_benchmark(spark, d):
+    """R14, query side: ``benchmark`` texts, which are not in the index, against all documents; the vocabulary is the documents'
+    and is stored, unknown words are dropped; 20 nearest documents per text."""
+    docs, asked = fx.table(spark, d, "documents"), fx.table(spark, d, "benchmark")
+    counts = materialise(V.text_token_counts(docs, "doc_id", "text").drop("token"), "text_counts")
+    vocabulary = materialise(V.fit_vocabulary(counts), "vocabulary")
+    queries = V.known_words(V.text_token_counts(asked, "item_id", "text").drop("token"), vocabulary)
+    return _i2i_view(knn.sparse_query(queries, V.known_words(counts, vocabulary), 20, keys=asked.select(F.col("item_id").alias("key"))))
+
+
 def cold_user_items_orders(spark, d):
     """R17 cold branch over the whole of F2: validation users without train
     sessions get their own items in session order, score 0."""
@@ -494,4 +555,9 @@ SQL_CHECKED: dict[str, Query] = {
     "ivf_full_probe_embeddings": ivf_full_probe_embeddings,
     "svd_full_rank_i2i_events": svd_full_rank_i2i_events,
     "cluster_knn_labels": cluster_knn_labels,
+    "continue_search_state_events": continue_search_state_events,
+    "time_split_by_day_events": time_split_by_day_events,
+    "i2i_topk_bucketed_events": i2i_topk_bucketed_events,
+    "text_knn_benchmark": text_knn_benchmark,
+    "ranker_training_events": ranker_training_events,
 }

@@ -114,4 +114,5 @@ INVARIANT_CHECKED = {
     "cluster_knn_embeddings": cluster_knn_embeddings,
     "als_i2i_topk_events": als_i2i_topk_events,
     "text_knn_clusters": text_knn_clusters,
+    "trained_rank_events": catalog.trained_rank_events,
 }

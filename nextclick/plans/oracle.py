@@ -354,4 +354,29 @@ home AS (SELECT key, label FROM near QUALIFY row_number() OVER (PARTITION BY key
 lists AS (SELECT label, key, s, row_number() OVER (PARTITION BY label ORDER BY s DESC, key) AS pos FROM near)
 SELECT h.key AS anchor_vacancy_id, l.key AS recom_vacancy_id, l.s AS score, l.pos AS pos
 FROM home h JOIN lists l USING (label) WHERE l.pos <= 50""",
+        "continue_search_state_events": f1 + "\nSELECT user_id, vacancy_id, round(score, 6) AS score FROM cs",
+        "time_split_by_day_events": f1 + f"""
+SELECT user_id, session_id, strftime(session_dt, {TF}) AS session_dt, 'train' AS split FROM train_s
+UNION ALL
+SELECT user_id, session_id, strftime(session_dt, {TF}) AS session_dt, 'validation' AS split FROM val_s""",
+        "i2i_topk_bucketed_events": f1_i2i + I2I_TOPK + "\nSELECT user_id, vacancy_id, round(score, 9) AS score FROM i2i_k",
+        "text_knn_benchmark": """
+WITH dwords AS (SELECT doc_id AS key, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}\\p{Pc}]{2,}')) AS word FROM documents),
+qwords AS (SELECT item_id AS key, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}\\p{Pc}]{2,}')) AS word FROM benchmark),
+dvec AS (SELECT key, word, count(*)::DOUBLE AS val FROM dwords GROUP BY 1, 2),
+qvec AS (SELECT key, word, count(*)::DOUBLE AS val FROM qwords WHERE word IN (SELECT word FROM dvec) GROUP BY 1, 2),
+dn AS (SELECT key, sqrt(sum(val * val)) AS nrm FROM dvec GROUP BY 1), qn AS (SELECT key, sqrt(sum(val * val)) AS nrm FROM qvec GROUP BY 1),
+dot AS (SELECT q.key AS anchor, v.key AS recom, sum(q.val * v.val) AS dot FROM qvec q JOIN dvec v USING (word) GROUP BY 1, 2),
+every AS (SELECT i.item_id AS anchor, dn.key AS recom, coalesce(round(dot.dot / (qn.nrm * dn.nrm), 9), 0.0) AS s
+          FROM benchmark i CROSS JOIN dn LEFT JOIN qn ON qn.key = i.item_id LEFT JOIN dot ON dot.anchor = i.item_id AND dot.recom = dn.key)
+SELECT anchor AS anchor_vacancy_id, recom AS recom_vacancy_id, s AS score, pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY s DESC, recom) AS pos FROM every) WHERE pos <= 20""",
+        "ranker_training_events": f1_i2i + I2I_TOPK + """,
+labelled AS (SELECT m.*, CASE WHEN EXISTS (SELECT 1 FROM truth t WHERE t.user_id = m.user_id AND t.target = m.vacancy_id) THEN 1 ELSE 0 END AS label FROM merged m),
+placed AS (SELECT *, row_number() OVER (PARTITION BY user_id, label ORDER BY
+             md5('42:' || CAST(user_id AS VARCHAR) || ':' || CAST(vacancy_id AS VARCHAR)), vacancy_id) AS place FROM labelled
+           WHERE user_id IN (SELECT user_id FROM labelled WHERE label = 1))
+SELECT user_id, vacancy_id, CAST(label AS BIGINT) AS label, round(continue_search_score, 6) AS continue_search_score,
+       round(i2i_score, 9) AS i2i_score, round(popular_score, 6) AS popular_score
+FROM placed WHERE label = 1 OR place <= 10""",
     }
