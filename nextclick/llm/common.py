@@ -10,7 +10,6 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +18,7 @@ from nextclick.sources.tables import materialise
 #: A word is a maximal run of characters other than ASCII white space (Java and Python agree on it).
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "bounded_sample", "file_keyed", "let", "materialise", "narrow_batches", "null_to_empty", "read", "row_keyed", "running_totals"]
+__all__ = ["WORD", "bounded_sample", "file_keyed", "fresh", "let", "materialise", "narrow_batches", "null_to_empty", "read", "row_keyed", "running_totals"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,21 +44,20 @@ def row_keyed(docs: DataFrame, name: str = "row_key") -> DataFrame:
 
 
 def file_keyed(docs: DataFrame, name: str = "row_key") -> DataFrame:
-    """Number the rows by (file, row in it), which every job that reads them finds again however it splits the files. The files are
-    numbered by their paths, one row each, without a text read. What is not a plain scan of Parquet files is written once instead."""
-    spark = docs.sparkSession
-    try:
-        plain = docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
-        place = docs.metadataColumn("_metadata") if plain else None
-        paths = sorted(r[0] for r in docs.select(place["file_path"], place["row_index"]).select("file_path").distinct().collect()) if plain else []
-    except AnalysisException:
-        plain = False
-    if not plain:
+    """Key the rows by a 64-bit hash of (file, row in it), which every job that reads them finds again however it splits the files. What
+    is not a plain scan of files is written once instead. ``name`` is to be a new one (see ``fresh``)."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
         return materialise(row_keyed(docs, name), "row_keys")
-    files = spark.createDataFrame(list(enumerate(paths)), "__file long, __path string")
-    return (docs.select(*docs.columns, place["file_path"].alias("__path"), place["row_index"].alias("__row_index"))
-            .join(F.broadcast(files), "__path")
-            .select(*docs.columns, (F.shiftleft("__file", 33) + F.col("__row_index")).alias(name)))
+    place = docs.metadataColumn("_metadata")
+    return docs.select(*docs.columns, F.xxhash64(place["file_path"], place["row_index"]).alias(name))
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, or a longer one that the table does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def bounded_sample(df: DataFrame, most: int, key: str = "doc_id", seed: int = 0) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nextclick.llm.common import file_keyed, materialise, narrow_batches, null_to_empty, read
+from nextclick.llm.common import file_keyed, fresh, materialise, narrow_batches, null_to_empty, read
 
 LENGTH, PREFIX = 400, 64
 #: Bytes of a text that are looked at together when anchors are chosen.
@@ -369,7 +369,9 @@ def remove_repeats(keyed: DataFrame, batches: int = 4, length: int = LENGTH, pre
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(file_keyed(read(spark, sf_dir, "documents"))).drop("row_key")
+    docs = read(spark, sf_dir, "documents")
+    row = fresh(docs, "__row")
+    return remove_repeats(file_keyed(docs, row).select(F.col(row).alias("row_key"), "doc_id", "text")).drop("row_key")
 
 
 #: Every window of every text, as hex, counted by its hash (texts are taken in parts: cutting from the end of a long one is slow).

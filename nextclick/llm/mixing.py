@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nextclick.llm.common import WORD, materialise, read, row_keyed
+from nextclick.llm.common import WORD, file_keyed, fresh, materialise, read, row_keyed
 
 EPS = 1e-9
 
@@ -169,6 +169,8 @@ def op8_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix itself: every document as often as it is taken, with its columns as they came."""
-    keyed = materialise(row_keyed(docs, "__row"), "mix_rows")
-    taken = mix(keyed.withColumnRenamed("__row", "row_key")).where("copies > 0").select(F.col("row_key").alias("__row"), F.col("copies").alias("__copies"))
-    return (keyed.join(taken, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns))
+    row, times = fresh(docs, "__row"), fresh(docs, "__copies")
+    keyed = file_keyed(docs, row)
+    taken = mix(keyed.select(F.col(row).alias("row_key"), "doc_id", "source", "text")).where("copies > 0")
+    taken = taken.select(F.col("row_key").alias(row), F.col("copies").alias(times))
+    return keyed.join(taken, row).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(times)).drop(times)

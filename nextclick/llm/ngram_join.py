@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nextclick.llm.common import WORD, file_keyed, materialise, narrow_batches, null_to_empty, read
+from nextclick.llm.common import WORD, file_keyed, fresh, materialise, narrow_batches, null_to_empty, read
 from nextclick.llm.components import connected
 
 _WORD = re.compile(WORD)
@@ -247,14 +247,18 @@ def _any(columns: list[Column]) -> Column:
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its class and the number of documents it is linked to."""
-    return similar_classes(file_keyed(read(spark, sf_dir, "documents"))).select("doc_id", "class_id", "n_links")
+    docs = read(spark, sf_dir, "documents")
+    row = fresh(docs, "__row")
+    keyed = file_keyed(docs, row).select(F.col(row).alias("row_key"), "doc_id", "text")
+    return similar_classes(keyed).select("doc_id", "class_id", "n_links")
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays: the one with the smallest id. ``docs`` is read three times."""
-    keyed = file_keyed(docs)
-    kept = similar_classes(keyed).where("row_key = keeper").select("row_key")
-    return keyed.join(kept, "row_key", "left_semi").select(*docs.columns)
+    row = fresh(docs, "__row")
+    keyed = file_keyed(docs, row)
+    kept = similar_classes(keyed.select(F.col(row).alias("row_key"), "doc_id", "text")).where("row_key = keeper").select(F.col("row_key").alias(row))
+    return keyed.join(kept, row, "left_semi").select(*docs.columns)
 
 
 #: All pairs that share a gram, and classes by walking the links.

@@ -2,8 +2,8 @@ import random
 
 import pytest
 
-from helpers import frame, near_classes, removed_repeats
-from nextclick.llm import long_repeats, ngram_join
+from helpers import frame, near_classes, removed_repeats, written
+from nextclick.llm import common, long_repeats, mixing, ngram_join, pii, quality
 from nextclick.llm.common import file_keyed
 
 
@@ -64,6 +64,41 @@ def test_repeats_when_files_are_split_anew(spark, tmp_path, resplit):
     assert got == dict(enumerate(removed_repeats(texts, long_repeats.LENGTH)))
 
 
+def test_a_plain_scan_is_not_written_again(spark, tmp_path, monkeypatch):
+    stored(spark, tmp_path)
+    names = []
+    plain = common.materialise
+    for module in (common, ngram_join, long_repeats, mixing):
+        monkeypatch.setattr(module, "materialise", lambda df, name, *a, **k: (names.append(name), plain(df, name, *a, **k))[1])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").withColumn("source", common.F.lit("s"))
+    docs.write.parquet(f"{tmp_path}/with_source.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/with_source.parquet")
+    for stage in (ngram_join.near_duplicates_stage, mixing.mixing_stage):
+        stage(spark, docs, str(tmp_path)).count()
+    long_repeats.op7_suffix_dedup(spark, str(tmp_path)).count()
+    assert names and not {"row_keys", "mix_rows"} & set(names)
+
+
+@pytest.mark.parametrize("stage", [quality.quality_stage, ngram_join.near_duplicates_stage, pii.pii_stage, mixing.mixing_stage])
+def test_stages_keep_columns_with_names_of_their_own(spark, tmp_path, stage):
+    """Columns that a stage might use itself come out as they went in; nulls, empty and equal rows do not stop it."""
+    extra = "row_key long, __row long, __copies int, copies int, size int, taken int, set_id string, kept boolean"
+    rows = [(i, t, "en", s, len(t or ""), 77, i, 3, 4, 5, 6, "x", False) for i, (t, s) in enumerate(
+        [(" ".join(f"w{i}{j}" for j in range(60)), "abc"[i % 3]) for i in range(30)] + [(None, "a"), ("", None), ("", None)])]
+    docs = frame(spark, rows + [rows[0], rows[0]], f"doc_id long, text string, lang string, source string, n_chars long, {extra}")
+    written(spark, tmp_path, "documents", docs)
+    written(spark, tmp_path, "labels", frame(spark, [(i, i % 4 > 0, 0) for i in range(30)], "doc_id long, quality boolean, toxic int").selectExpr(
+        "doc_id", "int(quality) quality", "toxic"))
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = stage(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    given = {tuple(r) for r in docs.drop("text").collect()}
+    out = [tuple(r) for r in got.drop("text").collect()]
+    assert out and set(out) <= given and all(r[4] == 77 for r in out)
+    if stage is ngram_join.near_duplicates_stage:
+        assert len(out) == 31  # the empty texts are one class, and so are the equal rows
+
+
 def test_keys_are_different_and_kept(spark, tmp_path):
     docs = frame(spark, [(1, "a", 2)] * 30, "row_key long, _metadata string, __file int", 4)
     docs.write.parquet(f"{tmp_path}/d.parquet")
