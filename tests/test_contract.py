@@ -22,7 +22,7 @@ def test_registry_shape():
     assert set(sql) <= set(qs)
     assert len(qs) >= 40
     numbered = {k.partition("_")[0] for k in qs if k.startswith("op")}
-    assert numbered in (set(), {f"op{n}" for n in range(1, 11)}) and ("pipeline" in qs) == bool(numbered)
+    assert numbered in (set(), {f"op{n}" for n in range(1, 14)}) and ("pipeline" in qs) == bool(numbered)
 
 
 def test_without_the_text_operators():
