@@ -1,20 +1,24 @@
-"""Exact removal of long repeats with a family of suffix arrays.
+"""Exact removal of long repeats with a family of anchored suffix levels.
 
 A byte goes if it lies in a string of ``length`` bytes that starts anywhere else too. Suffixes are taken at *anchors*: of every
 window of ``length`` bytes, the places where the hash of the next ``PREFIX`` bytes is least. Anchors depend on the window's bytes
 only, so two equal windows have theirs at the same offset, and one suffix in about 170 is enough for all windows.
 
-Documents come in batches. A batch's suffixes, ordered by the digest of their prefix, are its suffix array; it is merge-scanned against
-every level of the family for prefixes that occur again, then joins the family, where levels of equal size merge, so that b batches lie in at most log2(b) + 1
-levels. Suffixes with a repeated prefix are then compared byte for byte over the ``length`` bytes on either side that a
-window through the anchor can reach, which gives the exact reach of their repeats to the left and the right.
+A window that passes an anchor covers more than half of what lies on one of its sides: from the anchor ``length - half`` bytes to the right,
+or ``half + 1`` bytes to the left of it and its prefix (``half`` is half of ``length - PREFIX``). The hashes of these two stretches are the
+anchor's *keys*, one per side; only a key that occurs again can belong to a repeated window, however often the short prefix occurs.
+
+Documents come in batches. A batch's keys in order are merge-scanned against every level of the family for keys that occur again, then
+join the family, where levels of equal size merge, so that b batches lie in at most log2(b) + 1 levels. Anchors with a repeated
+key are then compared over the bytes that a window on the key's side can reach, which gives the exact reach of their repeats to the
+left and the right. Windows are compared by 64-bit rolling hashes within a key, contexts by 128-bit digests.
 
 Copies go on once: of equal texts all bytes go, and one of them stands for all as a partner; of equal contexts only one
 is compared. A group with very many different contexts is compared through distributed window hashes instead of in one task. All
 decisions are made on the input.
 
-Defined cases: a null or empty text has no bytes; texts shorter than ``length`` lose nothing; equal rows are copies of each other; ids
-may be null or repeated; an empty table gives an empty result.
+Defined cases: a null or empty text has no bytes; texts shorter than ``length`` lose nothing; a text of any length is read whole, in
+steps; equal rows are copies of each other; ids may be null or repeated; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -79,84 +83,109 @@ def anchors(data: np.ndarray, length: int = LENGTH, prefix: int = PREFIX) -> tup
     return where, np.concatenate(hashes)[first]
 
 
+def _half(length: int, prefix: int) -> int:
+    """Windows that start at most so far before their anchor belong to its right key, the others to its left key."""
+    return (length - prefix) // 2
+
+
+def anchor_keys(raw: bytes, length: int = LENGTH, prefix: int = PREFIX) -> tuple[list[int], list[int]]:
+    """Positions and keys of a text's anchors, a position twice if it has both keys. Keys of the left are negative."""
+    half = _half(length, prefix)
+    right, left = length - half, half + 1
+    digest = xxhash.xxh3_64_intdigest
+    where, keys = [], []
+    for at in anchors(np.frombuffer(raw, np.uint8), length, prefix)[0].tolist():
+        if at + right <= len(raw):
+            where.append(at)
+            keys.append(digest(raw[at: at + right]) >> 1)
+        if at >= left:
+            where.append(at)
+            keys.append((digest(raw[at - left: at + prefix]) >> 1) - 2**63)
+    return where, keys
+
+
 def suffixes(keyed: DataFrame, length: int, prefix: int) -> DataFrame:
-    """row_key, doc_id, n_bytes, digest (sha256) and the anchors (position, prefix hash) of each text."""
+    """row_key, doc_id, n_bytes, digest (sha256) and the anchors (position, key) of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests, places, hashes = [], [], [], []
             for text in batch.column("text").to_pylist():
                 raw = text.encode()
-                at, h = anchors(np.frombuffer(raw, np.uint8), length, prefix)
+                at, keys = anchor_keys(raw, length, prefix)
                 sizes.append(len(raw))
                 digests.append(hashlib.sha256(raw).hexdigest())
                 places.append(at)
-                hashes.append(h.view(np.int64))
+                hashes.append(keys)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_key"), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()),
                  pa.array(places, pa.list_(pa.int64())), pa.array(hashes, pa.list_(pa.int64()))],
-                names=["row_key", "doc_id", "n_bytes", "digest", "at", "prefix"])
+                names=["row_key", "doc_id", "n_bytes", "digest", "at", "key"])
 
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    return keyed.mapInArrow(run, f"row_key bigint, doc_id {kind}, n_bytes bigint, digest string, at array<bigint>, prefix array<bigint>")
+    return keyed.mapInArrow(run, f"row_key bigint, doc_id {kind}, n_bytes bigint, digest string, at array<bigint>, key array<bigint>")
 
 
 class SuffixFamily:
-    """Levels of prefix-ordered suffix arrays; level i holds 2**i batches. ``add`` returns the prefixes of a batch that occur again, in it or in the family."""
+    """Levels of keys (column ``key``) in order; level i holds 2**i batches. ``add`` returns the keys of a batch that occur again, in it or in the family."""
 
-    def __init__(self) -> None:
+    def __init__(self, key: str = "prefix") -> None:
+        self.key = key
         self.levels: dict[int, DataFrame] = {}
 
     def add(self, batch: DataFrame, last: bool = False) -> DataFrame:
-        array = materialise(batch.groupBy("prefix").agg(F.count("*").alias("n")).sortWithinPartitions("prefix"), "suffix_array")
-        again = array.where("n > 1").select("prefix")
+        key = self.key
+        array = materialise(batch.groupBy(key).agg(F.count("*").alias("n")).sortWithinPartitions(key), "suffix_array")
+        again = array.where("n > 1").select(key)
         for level in self.levels.values():
-            again = again.union(level.select("prefix").join(array.select("prefix"), "prefix"))
+            again = again.union(level.select(key).join(array.select(key), key))
         again = materialise(again.distinct(), "suffix_matches")
         if not last:
-            size, merged = 0, array.select("prefix")
+            size, merged = 0, array.select(key)
             while size in self.levels:
-                merged = materialise(merged.union(self.levels.pop(size)).distinct().sortWithinPartitions("prefix"), "suffix_level")
+                merged = materialise(merged.union(self.levels.pop(size)).distinct().sortWithinPartitions(key), "suffix_level")
                 size += 1
             self.levels[size] = merged
         return again
 
 
-_CONTEXT = "prefix bigint, context_id binary, n bigint, left int, right int, context binary"
-
+def _cut(raw: bytes, at: int, key: int, length: int, prefix: int) -> tuple[bytes, int]:
+    """Bytes that windows of the key's side can reach, and how many of them are before the anchor."""
+    half = _half(length, prefix)
+    before, after = (half, length) if key >= 0 else (length - prefix, length - half - 1)
+    left = min(at, before)
+    return raw[at - left: at + after], left
 
-def _cut(raw: bytes, at: int, length: int, prefix: int) -> tuple[bytes, int]:
-    """Bytes that windows through the anchor can reach, and how many of them are before it."""
-    left = min(at, length - prefix)
-    return raw[at - left: at + length], left
 
-
-def _context_id(context: bytes, left: int) -> bytes:
-    return xxhash.xxh3_128_digest(context + left.to_bytes(4, "little"))
+_MARK = [("row_key", "bigint", pa.int64()), ("at", "bigint", pa.int64()), ("key", "bigint", pa.int64()), ("context_id", "binary", pa.binary()),
+         ("n", "bigint", pa.int64()), ("left", "int", pa.int32()), ("right", "int", pa.int32()), ("context", "binary", pa.binary())]
+_CONTEXT = ["key", "context_id", "n", "left", "right", "context"]
 
 
 def contexts(hit: DataFrame, length: int, prefix: int) -> DataFrame:
-    """Different contexts of the candidate suffixes, summed within each batch."""
+    """The candidate anchors with the digest of their context. The first of equal ones in a batch has the context itself and
+    their number; the others have nulls there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[tuple[int, bytes], list] = {}
-            for text, marks in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist(), strict=True):
+            rows: list[list] = []
+            first: dict[tuple[int, bytes], list] = {}
+            for row, text, at, keys in zip(*(batch.column(c).to_pylist() for c in ("row_key", "text", "at", "key")), strict=True):
                 raw = text.encode()
-                for mark in marks:
-                    context, left = _cut(raw, mark["at"], length, prefix)
-                    key = (mark["prefix"], _context_id(context, left))
-                    have = found.get(key)
+                for where, key in zip(at, keys, strict=True):
+                    context, left = _cut(raw, where, key, length, prefix)
+                    name = xxhash.xxh3_128_digest(context + left.to_bytes(4, "little"))
+                    have = first.get((key, name))
                     if have is None:
-                        found[key] = [1, left, len(context) - left, context]
+                        first[key, name] = mark = [row, where, key, name, 1, left, len(context) - left, context]
                     else:
-                        have[0] += 1
-            columns = list(zip(*((*k, *v) for k, v in found.items()), strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(columns, [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()], strict=True)],
-                names=["prefix", "context_id", "n", "left", "right", "context"])
+                        have[4] += 1
+                        mark = [row, where, key, name, None, None, None, None]
+                    rows.append(mark)
+            columns = list(zip(*rows, strict=True)) or [()] * len(_MARK)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, _, t) in zip(columns, _MARK, strict=True)], names=[m[0] for m in _MARK])
 
-    return hit.mapInArrow(run, _CONTEXT)
+    return hit.select("row_key", "text", "at", "key").mapInArrow(run, ", ".join(f"{m[0]} {m[1]}" for m in _MARK))
 
 
 def window_hashes(table: np.ndarray, length: int) -> Iterator[np.ndarray]:
@@ -171,12 +200,12 @@ def window_hashes(table: np.ndarray, length: int) -> Iterator[np.ndarray]:
         yield h
 
 
-def reaches(rows: list[tuple], length: int, prefix: int) -> tuple[np.ndarray, np.ndarray]:
+def reaches(rows: list[tuple], length: int) -> tuple[np.ndarray, np.ndarray]:
     """For contexts (group, n, left, right, bytes): how far repeats that pass the anchor reach to the left and the right (-1: none)."""
-    before = length - prefix
     group = np.array([r[0] for r in rows], dtype=np.uint64)
     n, left, right = (np.array([r[i] for r in rows]) for i in (1, 2, 3))
-    table = np.zeros((before + length, len(rows)), dtype=np.uint8)
+    before = int(left.max())
+    table = np.zeros((max(before + int(right.max()), length), len(rows)), dtype=np.uint8)
     for j, (_, _, a, b, context) in enumerate(rows):
         table[before - a: before + b, j] = np.frombuffer(context, np.uint8)
     mixed = group * _FOLD[0]
@@ -199,17 +228,17 @@ def reaches(rows: list[tuple], length: int, prefix: int) -> tuple[np.ndarray, np
     return to_left, to_right
 
 
-_REACH = "prefix bigint, context_id binary, to_left int, to_right int"
+_REACH = "key bigint, context_id binary, to_left int, to_right int"
 
 
 def _reach_batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [()] * 4
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, [pa.int64(), pa.binary(), pa.int32(), pa.int32()], strict=True)],
-                                      names=["prefix", "context_id", "to_left", "to_right"])
+                                      names=["key", "context_id", "to_left", "to_right"])
 
 
-def compare(found: DataFrame, length: int, prefix: int) -> DataFrame:
-    """Reach of each context among those of its prefix. Whole groups are compared together, some thousand contexts at a time."""
+def compare(found: DataFrame, length: int) -> DataFrame:
+    """Reach of each context among those of its key. Whole groups are compared together, some thousand contexts at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool: list[list] = []
@@ -217,7 +246,7 @@ def compare(found: DataFrame, length: int, prefix: int) -> DataFrame:
 
         def finish() -> Iterator[pa.RecordBatch]:
             if pool:
-                left, right = reaches([(p[6], p[2], p[3], p[4], p[5]) for p in pool], length, prefix)
+                left, right = reaches([(p[6], p[2], p[3], p[4], p[5]) for p in pool], length)
                 yield _reach_batch([(p[0], p[1], int(a), int(b)) for p, a, b in zip(pool, left, right, strict=True) if a >= 0])
                 pool.clear()
 
@@ -242,7 +271,7 @@ def compare(found: DataFrame, length: int, prefix: int) -> DataFrame:
         yield from finish()
         yield _reach_batch(alone)
 
-    return found.repartition("prefix").sortWithinPartitions("prefix", "context_id").mapInArrow(run, _REACH)
+    return found.repartition("key").sortWithinPartitions("key", "context_id").mapInArrow(run, _REACH)
 
 
 def _close(group: list[list], pool: list[list], alone: list[tuple], number: int, length: int) -> None:
@@ -262,7 +291,7 @@ def compare_spread(found: DataFrame, length: int, prefix: int) -> DataFrame:
         before = length - prefix
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                key, context_id, n, left, right, context = row
+                name, context_id, n, left, right, context = row
                 table = np.zeros((before + length, 1), dtype=np.uint8)
                 table[before - left: before + right, 0] = np.frombuffer(context, np.uint8)
                 hashes = np.array([int(h[0]) for h in window_hashes(table, length)], dtype=np.uint64).view(np.int64)
@@ -270,12 +299,12 @@ def compare_spread(found: DataFrame, length: int, prefix: int) -> DataFrame:
                 ok = (left >= offsets) & (right >= length - offsets)
                 k = int(ok.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key] * k, pa.int64()), pa.array([context_id] * k, pa.binary()), pa.array([n] * k, pa.int64()),
-                     pa.array(offsets[ok].astype(np.int32)), pa.array(hashes[ok])], names=["prefix", "context_id", "n", "offset", "window"])
+                    [pa.array([name] * k, pa.int64()), pa.array([context_id] * k, pa.binary()), pa.array([n] * k, pa.int64()),
+                     pa.array(offsets[ok].astype(np.int32)), pa.array(hashes[ok])], names=["key", "context_id", "n", "offset", "window"])
 
-    windows = found.mapInArrow(run, "prefix bigint, context_id binary, n bigint, offset int, window bigint")
-    twice = windows.groupBy("prefix", "offset", "window").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
-    return windows.join(twice, ["prefix", "offset", "window"]).groupBy("prefix", "context_id").agg(
+    windows = found.mapInArrow(run, "key bigint, context_id binary, n bigint, offset int, window bigint")
+    twice = windows.groupBy("key", "offset", "window").agg(F.sum("n").alias("times")).where("times > 1").drop("times")
+    return windows.join(twice, ["key", "offset", "window"]).groupBy("key", "context_id").agg(
         F.max("offset").alias("to_left"), (F.lit(length) - F.min("offset")).cast("int").alias("to_right"))
 
 
@@ -308,55 +337,44 @@ def _apply(hit: DataFrame) -> DataFrame:
     return hit.mapInArrow(run, "row_key bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
-def repeats(keyed: DataFrame, batches: int = 4, length: int = LENGTH, prefix: int = PREFIX, hot_group: int = HOT_GROUP) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(suffix table, texts that may have repeats, their repeats as row_key, start, end). Of equal texts only the first is among the last two."""
+def repeats(keyed: DataFrame, batches: int = 4, length: int = LENGTH, prefix: int = PREFIX, hot_group: int = HOT_GROUP) -> tuple[DataFrame, DataFrame]:
+    """(suffix table, repeats as row_key, start, end). Of equal texts only the first has repeats there."""
     narrow_batches(keyed.sparkSession, 256)
     keyed = keyed.select("row_key", "doc_id", null_to_empty().alias("text"))
     table = materialise(suffixes(keyed, length, prefix), "suffixes")
     first = table.where(F.col("n_bytes") >= length).groupBy("digest").agg(F.min("row_key").alias("row_key")).select("row_key")
-    marks = materialise(table.join(first, "row_key").select("row_key", F.explode(F.arrays_zip("at", "prefix")).alias("m"))
-                        .select("row_key", "m.at", "m.prefix", F.pmod(F.xxhash64("row_key"), F.lit(batches)).alias("batch")), "suffix_marks")
+    marks = materialise(table.join(first, "row_key").select("row_key", F.explode(F.arrays_zip("at", "key")).alias("m"))
+                        .select("row_key", "m.at", "m.key", F.pmod(F.xxhash64("row_key"), F.lit(batches)).alias("batch")), "suffix_marks")
 
-    family = SuffixFamily()
+    family = SuffixFamily("key")
     again = None
     for b in range(batches):
         found = family.add(marks.where(F.col("batch") == b), last=b == batches - 1)
         again = found if again is None else again.union(found)
-    wanted = (marks.join(again.distinct(), "prefix").groupBy("row_key").agg(F.collect_list(F.struct("at", "prefix")).alias("marks")))
-    hit = materialise(keyed.select("row_key", "text").join(wanted, "row_key"), "suffix_texts")
-
-    found = contexts(hit, length, prefix)
-    light = hit.select("row_key", F.explode("marks").alias("m")).groupBy("m.prefix").agg(F.count("*").alias("members"))
-    crowded = light.where(F.col("members") > hot_group).select("prefix")
+    wanted = (marks.join(again.distinct(), "key").groupBy("row_key").agg(F.collect_list(F.struct("at", "key")).alias("m"))
+              .select("row_key", F.col("m.at").alias("at"), F.col("m.key").alias("key")))
+    hit = keyed.select("row_key", "text").join(wanted, "row_key")
+    named = materialise(contexts(hit, length, prefix), "suffix_contexts")
+
+    found = named.where("n is not null").select(*_CONTEXT)
+    crowded = found.groupBy("key", "context_id").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("*").alias("members"))
+    crowded = materialise(crowded.where(F.col("members") > hot_group).select("key"), "suffix_crowded")
     if crowded.isEmpty():
-        reach = compare(found, length, prefix)
+        reach = compare(found, length)
     else:
-        crowded = materialise(crowded, "suffix_crowded")
-        reach = compare(found.join(crowded, "prefix", "left_anti"), length, prefix).unionByName(
-            compare_spread(found.join(crowded, "prefix", "left_semi").select(*found.columns), length, prefix))
+        reach = compare(found.join(crowded, "key", "left_anti"), length).unionByName(
+            compare_spread(found.join(crowded, "key", "left_semi").select(*found.columns), length, prefix))
     reach = materialise(reach, "suffix_reaches")
-
-    def identify(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_:
-            rows = []
-            for key, text, all_marks in zip(*(batch.column(c).to_pylist() for c in ("row_key", "text", "marks")), strict=True):
-                raw = text.encode()
-                rows += [(key, m["at"], m["prefix"], _context_id(*_cut(raw, m["at"], length, prefix))) for m in all_marks]
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.int64(), pa.binary()], strict=True)],
-                                             names=["row_key", "at", "prefix", "context_id"])
-
-    named = hit.select("row_key", "text", "marks").mapInArrow(identify, "row_key bigint, at bigint, prefix bigint, context_id binary")
-    spans = named.join(reach, ["prefix", "context_id"]).select(
+    spans = named.select("row_key", "at", "key", "context_id").join(reach, ["key", "context_id"]).select(
         "row_key", (F.col("at") - F.col("to_left")).alias("start"), (F.col("at") + F.col("to_right")).alias("end"))
-    return table, hit, spans
+    return table, spans
 
 
 def remove_repeats(keyed: DataFrame, batches: int = 4, length: int = LENGTH, prefix: int = PREFIX, hot_group: int = HOT_GROUP) -> DataFrame:
     """row_key, doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of row_key, doc_id, text."""
-    table, hit, spans = repeats(keyed, batches, length, prefix, hot_group)
+    table, spans = repeats(keyed, batches, length, prefix, hot_group)
     by_text = spans.groupBy("row_key").agg(F.collect_list(F.struct("start", "end")).alias("repeats"))
-    changed = materialise(_apply(hit.select("row_key", "text").join(by_text, "row_key")), "suffix_removed")
+    changed = materialise(_apply(keyed.select("row_key", null_to_empty().alias("text")).join(by_text, "row_key")), "suffix_removed")
     light = table.select("row_key", "doc_id", "n_bytes", "digest")
     copied = light.where(F.col("n_bytes") >= length).groupBy("digest").agg(F.count("*").alias("copies")).where("copies > 1")
     out = light.join(changed, "row_key", "left").join(copied, "digest", "left")
