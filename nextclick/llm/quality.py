@@ -4,7 +4,12 @@
 forest over the rates derived from them and calibrates its threshold on
 labelled rows; ``judge`` adds the verdict to any table with a text column.
 
-Defined cases: a null or empty text has no words and fails the base rule;
+The verdict is the path length's alone. Rates are scaled by their logarithm, and a
+split is drawn from a range wider than that of the rows it divides: a value that none
+of them has falls into an empty leaf near the root, also where all of them agree.
+
+Defined cases: a null or empty text has no words and fails the base rule; a text of any length is
+read whole;
 repeated rows are judged alike; labels that are null are ignored and, where a
 document has several, the best one counts; without labelled good rows (or an
 empty table) no forest is grown and the base rule alone decides. Columns other
@@ -121,10 +126,21 @@ def _expected_path(n: int) -> float:
     return 0.0 if n < 2 else 2.0 * (np.log(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n
 
 
-def grow_forest(x: np.ndarray, trees: int, subsample: int, seed: int) -> IsolationForest:
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Logarithms of the rates, in per cent beyond one; the length of words in steps of some 28 %."""
+    out = np.log1p(100.0 * x)
+    at = RATES.index("word_length")
+    out[:, at] = 4.0 * np.log(np.maximum(x[:, at], 0.1))
+    return out
+
+
+def grow_forest(x: np.ndarray, trees: int, subsample: int, seed: int, wider: float = 1.0) -> IsolationForest:
+    """Trees over ``subsample`` rows each. A split lies anywhere in the range of the node's rows, widened on both sides
+    by ``wider`` times the range of all rows (1 at least, for rates on which all agree)."""
     rng = np.random.default_rng(seed)
     size = min(subsample, len(x))
     limit = int(np.ceil(np.log2(max(size, 2))))
+    margin = wider * np.maximum(x.max(axis=0) - x.min(axis=0), 1.0)
     grown = []
     for _ in range(trees):
         nodes: list[list[float]] = []
@@ -132,15 +148,11 @@ def grow_forest(x: np.ndarray, trees: int, subsample: int, seed: int) -> Isolati
         def build(rows: np.ndarray, level: int, nodes=nodes) -> int:
             at = len(nodes)
             nodes.append([0, 0.0, -1, -1, level + _expected_path(len(rows))])
-            low, high = rows.min(axis=0), rows.max(axis=0)
-            open_to = np.flatnonzero(high > low)
-            if level >= limit or len(rows) < 2 or not len(open_to):
+            if level >= limit or len(rows) < 2:
                 return at
-            f = int(rng.choice(open_to))
-            cut = rng.uniform(low[f], high[f])
+            f = int(rng.integers(x.shape[1]))
+            cut = rng.uniform(rows[:, f].min() - margin[f], rows[:, f].max() + margin[f])
             below = rows[:, f] < cut
-            if below.all() or not below.any():
-                return at
             nodes[at] = [f, cut, build(rows[below], level + 1), build(rows[~below], level + 1), 0.0]
             return at
 
@@ -159,18 +171,9 @@ def grow_forest(x: np.ndarray, trees: int, subsample: int, seed: int) -> Isolati
 class QualityModel:
     forest: IsolationForest | None
     threshold: float
-    #: Range of each rate over the good rows the forest was grown from.
-    low: np.ndarray | None = None
-    high: np.ndarray | None = None
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """Path-length score, raised by how far a rate lies outside the range the trees have seen: splits are drawn
-        inside that range, so beyond it all values would otherwise end in the same leaf."""
-        if self.forest is None:
-            return np.zeros(len(x))
-        span = np.maximum(self.high - self.low, 1e-3)
-        beyond = np.maximum(np.maximum(x - self.high, self.low - x) / span, 0.0).max(axis=1)
-        return np.minimum(self.forest.score(x) + beyond / (1.0 + beyond), 2.0)
+        return np.zeros(len(x)) if self.forest is None else self.forest.score(scaled(x))
 
 
 def scored(stats: Column, model: QualityModel) -> Column:
@@ -197,9 +200,8 @@ def fit(stats: DataFrame, labels: DataFrame, trees: int = 64, subsample: int = 2
     good = bounded_sample(rows.where("good = 1"), max_fit_rows).select(*rates).collect()
     if not good:
         return QualityModel(None, 1.0)
-    x = np.array(sorted(map(tuple, good)), dtype=float)
-    low, high = np.quantile(x, 0.001, axis=0), np.quantile(x, 0.999, axis=0)
-    model = QualityModel(grow_forest(x, trees, subsample, seed), 2.0, low, high)
+    x = scaled(np.array(sorted(map(tuple, good)), dtype=float))
+    model = QualityModel(grow_forest(x, trees, subsample, seed), 1.0)
     bins = (rows.select("good", F.round(scored(F.col("quality"), model), 3).alias("at"))
             .groupBy("at").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad")).orderBy("at").collect())
     n_good = sum(b["good"] for b in bins)

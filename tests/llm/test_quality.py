@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +56,37 @@ def test_verdicts_follow_labels_and_no_labels_means_base_rule(spark):
     assert quality.with_verdict(stats, empty).where("quality.kept = quality.base_failed").count() == 0
 
 
+def test_forest_against_plain_trees():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 3))
+    x[:, 2] = 0.0
+    forest = quality.grow_forest(x, 20, 64, 5)
+    asked = np.vstack([x[:40], [[0.0, 0.0, 0.9], [9.0, 0.0, 0.0], [0.0, -9.0, 0.9]]])
+
+    def path(tree, row):
+        node = 0
+        while forest.left[tree][node] >= 0:
+            below = row[forest.feature[tree][node]] < forest.split[tree][node]
+            node = forest.left[tree][node] if below else forest.right[tree][node]
+        return forest.depth[tree][node]
+
+    expected = [2 ** (-sum(path(t, row) for t in range(20)) / 20 / forest.scale) for row in asked]
+    got = forest.score(asked)
+    assert np.allclose(got, expected)
+    assert got[40:].min() > np.quantile(got[:40], 0.9), "values that no row has are isolated early, also on a constant column"
+
+
+def test_path_lengths_alone_tell_bad_rows(spark):
+    stats = quality.document_statistics(spark.read.parquet(f"{SF01}/documents.parquet"))
+    labels = spark.read.parquet(f"{SF01}/labels.parquet").select("doc_id", F.col("quality").alias("good"))
+    rows = stats.where(~quality.base_failed("quality")).join(labels, "doc_id").select("good", *[f"quality.{c}" for c in quality.RATES]).toPandas()
+    x, good = quality.scaled(rows[quality.RATES].to_numpy(dtype=float)), rows["good"].to_numpy()
+    forest = quality.grow_forest(x[good == 1][::2], 64, 256, 7)
+    score = forest.score(x)
+    limit = np.quantile(score[good == 1], 0.99)
+    assert (score[good == 0] > limit).mean() >= 0.9
+
+
 def test_stage_keeps_columns_and_filters(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     out = quality.quality_stage(spark, docs, SF01)
