@@ -14,7 +14,8 @@ The training table is the candidates of all documents summed up by feature
 values ("cells"; at most the product of the feature ranges, whatever the input), so
 nothing is sampled and the model needs no row of text.
 
-Defined cases: a null or empty text has no spans; repeated rows and null ids
+Defined cases: a null or empty text has no spans; a text of any length is read whole, and what surrounds a hit is cut
+from a block of the text, so the work does not grow with hits times length; an empty table has no rows; repeated rows and null ids
 are treated row by row; with candidates of one label only no trees are grown and the
 base spans alone are selected; other columns are ignored, or kept as they are by the stage.
 """
@@ -84,18 +85,34 @@ def passes(kind: str, hit: Column) -> Column:
     return F.lit(True)
 
 
+#: Code points of a block of text.
+BLOCK = 256
+
+
+def blocks(text: Column) -> Column:
+    """The text in blocks of ``BLOCK`` code points: a place is found from its block, not counted from the start of a long text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def cut(parts: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` (exclusive) of a text in blocks."""
+    first = F.floor(start / BLOCK).cast("int")
+    near = F.array_join(F.slice(parts, first + 1, F.floor(end / BLOCK).cast("int") - first + 1), "")
+    return F.substr(near, start - first * BLOCK + 1, end - start)
+
+
 def _side(char: Column) -> Column:
     return (F.when(char == "", 0).when(char.rlike(r"^\s"), 1).when(char.rlike(r"^[0-9]"), 4).when(char.rlike(r"^\p{L}"), 3).otherwise(2))
 
 
-def _candidate(kind: str, text: Column, at: Column, base: bool) -> Column:
+def _candidate(kind: str, parts: Column, at: Column, base: bool) -> Column:
     """Span, its check, and its cell: the feature values joined by commas."""
-    hit, before = at["hit"], F.substr(text, F.greatest(at["start"] - 24, F.lit(0)) + 1, F.least(at["start"], F.lit(24)))
+    hit, before = at["hit"], cut(parts, F.greatest(at["start"] - 24, F.lit(0)), at["start"])
     marks = F.regexp_replace(hit, r"[^\x20.()-]", "")
     values = [
         F.lit(KINDS.index(kind)),
-        _side(F.substr(text, F.greatest(at["start"], F.lit(1)), F.when(at["start"] > 0, 1).otherwise(0))),
-        _side(F.substr(text, at["end"] + 1, F.lit(1))),
+        _side(cut(parts, F.greatest(at["start"] - 1, F.lit(0)), at["start"])),
+        _side(cut(parts, at["end"], at["end"] + 1)),
         F.least(F.length(F.regexp_replace(hit, "[^0-9]", "")), F.lit(20)),
         F.when(marks == "", 0).when(marks.rlike(r"^\x20+$"), 1).when(marks.rlike(r"^-+$"), 2).when(marks.rlike(r"^\.+$"), 3).otherwise(4),
         F.coalesce(F.regexp_extract(hit, r"([0-9])", 1).try_cast("int"), F.lit(10)),
@@ -112,12 +129,16 @@ def candidates(text: Column) -> Column:
     """All proposed spans of a text, those of the base generators first."""
     none = F.array().cast(_CANDIDATES)
 
-    def of(kind: str, pattern: str, base: bool) -> Column:
-        each = let(text, lambda t: F.transform(matches(t, pattern), lambda at: _candidate(kind, t, at, base)))
-        return F.when(text.rlike(_NEEDS[kind]), each).otherwise(none).cast(_CANDIDATES)
+    def of(kind: str, pattern: str, base: bool, t: Column, parts: Column) -> Column:
+        each = F.transform(matches(t, pattern), lambda at: _candidate(kind, parts, at, base))
+        return F.when(t.rlike(_NEEDS[kind]), each).otherwise(none).cast(_CANDIDATES)
+
+    def proposed(bound: Column) -> Column:
+        t, parts = bound["t"], bound["parts"]
+        return F.concat(*[of(k, BASE[k], True, t, parts) for k in KINDS], *[of(k, p, False, t, parts) for k, p in MORE])
 
-    proposed = [of(k, BASE[k], True) for k in KINDS] + [of(k, p, False) for k, p in MORE]
-    return F.when(text.rlike(r"[0-9@]|(?i)[\[({]at[\])}]"), F.concat(*proposed)).otherwise(none)
+    every = let(F.struct(text.alias("t"), blocks(text).alias("parts")), proposed)
+    return F.when(text.rlike(r"[0-9@]|(?i)[\[({]at[\])}]"), every).otherwise(none)
 
 
 def accepted_cells(found: DataFrame, column: str = "found", rounds: int = 12, depth: int = 3, precision: float = 0.9) -> list[str]:
@@ -194,15 +215,13 @@ def redact(text: Column, spans: Column) -> Column:
                       F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(wider))).otherwise(F.concat(acc, F.array(s))).cast(runs_type)
 
     def rebuilt(bound: Column) -> Column:
-        t, runs = bound["t"], bound["runs"]
-        pieces = F.transform(runs, lambda r, i: F.concat(
-            F.substr(t, F.when(i > 0, F.element_at(runs, F.greatest(i, F.lit(1)))["end"]).otherwise(0) + 1,
-                     r["start"] - F.when(i > 0, F.element_at(runs, F.greatest(i, F.lit(1)))["end"]).otherwise(0)),
-            F.element_at(names, r["kind"] + 1)))
-        return F.concat(F.array_join(pieces, ""), F.substr(t, F.element_at(runs, -1)["end"] + 1))
+        parts, runs = bound["parts"], bound["runs"]
+        ends = lambda i: F.when(i > 0, F.element_at(runs, F.greatest(i, F.lit(1)))["end"]).otherwise(0)
+        pieces = F.transform(runs, lambda r, i: F.concat(cut(parts, ends(i), r["start"]), F.element_at(names, r["kind"] + 1)))
+        return F.concat(F.array_join(pieces, ""), cut(parts, F.element_at(runs, -1)["end"], F.size(parts) * BLOCK))
 
     runs = F.aggregate(by_start, F.array().cast(runs_type), grown)
-    return F.when(F.size(spans) == 0, text).otherwise(let(F.struct(text.alias("t"), runs.alias("runs")), rebuilt))
+    return F.when(F.size(spans) == 0, text).otherwise(let(F.struct(blocks(text).alias("parts"), runs.alias("runs")), rebuilt))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from conftest import SF01
 from helpers import base_spans, frame, joined, sha, written
 from nextclick.llm import pii
@@ -32,6 +34,23 @@ def test_redaction(spark):
     assert out[8].text == "[PHONE] x" and all(len(r.text) == r.n_chars for r in out.values())
 
 
+def test_blocks_give_the_same_pieces(spark):
+    text = "".join(random.choice("aé\n😀x") for _ in range(3 * pii.BLOCK))
+    places = [(0, 0), (0, 1), (pii.BLOCK - 1, pii.BLOCK + 1), (pii.BLOCK, 3 * pii.BLOCK), (5, 700), (3 * pii.BLOCK, 3 * pii.BLOCK + 1), (3 * pii.BLOCK - 1, 3 * pii.BLOCK)]
+    rows = frame(spark, [(text, a, b) for a, b in places], "t string, a int, b int")
+    got = rows.select("a", "b", pii.cut(pii.blocks(F.col("t")), F.col("a"), F.col("b")).alias("piece")).collect()
+    assert all(r.piece == text[r.a: r.b] for r in got)
+
+
+def test_one_very_long_text(spark, tmp_path):
+    text = " ".join(f"u{i}@m.org" + " and words without any" * 2 for i in range(20_000))
+    docs = frame(spark, [(1, text, len(text))], "doc_id long, text string, n_chars long")
+    row = pii.op9_pii(spark, written(spark, tmp_path, "documents", docs)).collect()[0]
+    assert row.n_email == 20_000 and row.base_sha256 == sha(joined(base_spans(text)))
+    assert pii.pii_stage(spark, docs, "").collect()[0].text == " ".join("[EMAIL]" + " and words without any" * 2 for _ in range(20_000))
+    assert len(text) > 1_000_000
+
+
 def test_without_candidates_or_rows(spark, tmp_path):
     docs = frame(spark, [(1, "no data"), (None, None)], "doc_id long, text string")
     rows = pii.op9_pii(spark, written(spark, tmp_path, "documents", docs)).collect()
