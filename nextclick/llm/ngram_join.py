@@ -4,7 +4,7 @@
    the set, and one hash per MinHash band. Band and row counts follow from the recall wanted at the threshold.
 2. Texts with the same set are one class from the start; only its smallest row goes on (partial aggregation, so a
    large group of copies never meets in a task).
-3. Bands are shuffled on their hashes. Buckets of one are dropped; so are buckets whose members all share an earlier
+3. Bands are shuffled on their 64-bit hashes. Buckets of one are dropped; so are buckets whose members all share an earlier
    band, since every pair is looked at in its first common band only.
 4. Members of the other buckets get their full n-gram sets and are compared in blocks: a bucket of many members is
    dealt out as pairs of blocks, each block pair one task's work, and only sums of links and a spanning star leave it.
@@ -74,7 +74,7 @@ class Shingler:
         return np.unique(mixed)
 
     def band_hashes(self, grams: np.ndarray) -> list[int]:
-        """One 32-bit hash per band of the MinHash signature."""
+        """One 64-bit hash per band of the MinHash signature."""
         if not len(grams):
             return [0] * self.bands
         low = np.full(self.bands * self.rows, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -84,7 +84,8 @@ class Shingler:
         for column in low.reshape(self.bands, self.rows).T:
             folded = (folded ^ column) * _PRIME
             folded ^= folded >> np.uint64(31)
-        return (folded >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist()
+        folded ^= folded >> np.uint64(32)
+        return folded.view(np.int64).tolist()
 
 
 def sketches(keyed: DataFrame, shingler: Shingler) -> DataFrame:
@@ -95,11 +96,11 @@ def sketches(keyed: DataFrame, shingler: Shingler) -> DataFrame:
             sets = [shingler.grams(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_key"), batch.column("doc_id"), pa.array([xxhash.xxh3_128_digest(g.tobytes()) for g in sets], pa.binary()),
-                 pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(shingler.band_hashes, sets)), pa.list_(pa.int32()))],
+                 pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(shingler.band_hashes, sets)), pa.list_(pa.int64()))],
                 names=["row_key", "doc_id", "set_id", "n_grams", "bands"])
 
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    return keyed.mapInArrow(run, f"row_key bigint, doc_id {kind}, set_id binary, n_grams bigint, bands array<int>")
+    return keyed.mapInArrow(run, f"row_key bigint, doc_id {kind}, set_id binary, n_grams bigint, bands array<bigint>")
 
 
 def gram_sets(keyed: DataFrame, shingler: Shingler, extra: dict[str, str]) -> DataFrame:
@@ -211,7 +212,9 @@ def similar_classes(keyed: DataFrame, n: int = 5, threshold: float = 0.8, recall
     # Buckets with pairs that meet there first.
     each = reps.where("n_grams > 0").select("set_id", "n_grams", F.posexplode("bands").alias("band", "hash"))
     buckets = (each.groupBy("band", "hash").agg(F.count("*").alias("members"), F.sum("n_grams").alias("grams")).where("members > 1"))
-    members = materialise(each.drop("n_grams").join(buckets, ["band", "hash"]).join(reps.select("set_id", "bands", "copies", "first"), "set_id"), "ngram_members")
+    # Whether two members meet in an earlier band is told by half of each hash: a similar pair is missed for it once in 2 ** 32 / bands pairs.
+    marks = F.transform("bands", lambda b: F.pmod(b, F.lit(1 << 32)) - F.lit(1 << 31)).cast("array<int>").alias("bands")
+    members = materialise(each.drop("n_grams").join(buckets, ["band", "hash"]).join(reps.select("set_id", marks, "copies", "first"), "set_id"), "ngram_members")
     same_before = [F.when(F.col("band") > i, F.min(F.col("bands")[i]) == F.max(F.col("bands")[i])).otherwise(False) for i in range(shingler.bands)]
     fresh = members.groupBy("band", "hash").agg(*[c.alias(f"s{i}") for i, c in enumerate(same_before)])
     fresh = fresh.where(~_any([F.col(f"s{i}") for i in range(shingler.bands)])).select("band", "hash")
