@@ -113,15 +113,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_label: int = 6_000, max_feat
     there = {r["toxic"]: r["count"] for r in known.where("toxic in (0, 1)").groupBy("toxic").count().collect()}
     drawn = bounded_sample(known.where("toxic = 0"), max_per_label).unionByName(bounded_sample(known.where("toxic = 1"), max_per_label))
     # At most 2 * max_per_label pairs of numbers are broadcast.
-    sample = materialise(docs.join(F.broadcast(drawn), "doc_id").select(null_to_empty().alias("text"), "toxic").distinct(), "toxic_sample")
+    # Equal texts of a label are fitted once, with the number of rows they are.
+    met = docs.join(F.broadcast(drawn), "doc_id").select(null_to_empty().alias("text"), "toxic")
+    sample = materialise(met.groupBy("text", "toxic").agg(F.count("*").alias("rows")), "toxic_sample")
 
-    counts = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    counts = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.sum("rows").alias("n")).collect()}
     if not (counts.get(0) and counts.get(1)):
         return ToxicityModel({}, [], 0.0)
     # Rows of its label that a drawn one stands for; where a label is drawn whole, one.
     stands = {t: max(there[t] / max_per_label, 1.0) for t in counts}
-    each = sample.select("toxic", F.explode(F.arrow_udf(_distinct_features, "array<string>")("text")).alias("token"))
-    seen = each.groupBy("token").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b")).where(F.col("a") + F.col("b") >= min_texts)
+    each = sample.select("toxic", "rows", F.explode(F.arrow_udf(_distinct_features, "array<string>")("text")).alias("token"))
+    rows_of = lambda t: F.sum(F.when(F.col("toxic") == t, F.col("rows")).otherwise(0))
+    seen = each.groupBy("token").agg(rows_of(1).alias("a"), rows_of(0).alias("b"), F.count("*").alias("texts")).where(F.col("texts") >= min_texts)
     pos, neg = counts[1] * stands[1], counts[0] * stands[0]
     seen = seen.select("token", (F.col("a") * stands[1]).alias("a"), (F.col("b") * stands[0]).alias("b"))
     share = (F.col("a") + F.col("b")) / (pos + neg)
@@ -139,8 +142,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_label: int = 6_000, max_feat
         return pa.array([[sorted(model.features_of(tokens(t[a:b]))) for a, b in sentences(t)] for t in texts.to_pylist()],
                         pa.list_(pa.list_(pa.int32())))
 
-    rows = sample.select("toxic", F.arrow_udf(bags, "array<array<int>>")("text").alias("bag"), F.sha2("text", 256).alias("at")).orderBy("at").drop("at").collect()
-    weights, bias = fit_noisy_or([r["bag"] for r in rows], np.array([r["toxic"] for r in rows]), len(vocabulary), counts=np.array([stands[r["toxic"]] for r in rows]))
+    rows = sample.select("toxic", "rows", F.arrow_udf(bags, "array<array<int>>")("text").alias("bag"), F.sha2("text", 256).alias("at")).orderBy("at").drop("at").collect()
+    weights, bias = fit_noisy_or([r["bag"] for r in rows], np.array([r["toxic"] for r in rows]), len(vocabulary),
+                                 counts=np.array([r["rows"] * stands[r["toxic"]] for r in rows]))
     return ToxicityModel(vocabulary, weights.tolist(), bias)
 
 

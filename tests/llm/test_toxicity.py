@@ -67,3 +67,12 @@ def test_a_smaller_sample_keeps_the_share_of_toxic_texts(spark):
     for most in (6_000, 150):
         model = toxicity.fit(docs, labels, max_per_label=most)
         assert np.mean([model.locate(r.text)[0] for r in docs.collect()]) < 0.2
+
+
+def test_equal_rows_weigh_what_they_are(spark):
+    """One toxic text in 40 rows against as many different clean ones: its own score nears 1, as 40 rows do, not as one does."""
+    docs = [(i, "w1 w2 w3") for i in range(40)] + [(100 + i, f"w{i % 7} v{i} v{i + 1}") for i in range(40)] + [(200, "w1 w2 w3")]
+    labels = [(i, 1) for i in range(40)] + [(100 + i, 0) for i in range(40)] + [(200, 0)]
+    docs = frame(spark, docs, "doc_id long, text string")
+    model = toxicity.fit(docs, frame(spark, labels, "doc_id long, toxic int"), min_texts=1)
+    assert model.locate("w1 w2 w3")[0] > 0.9
