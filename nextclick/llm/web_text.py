@@ -7,6 +7,10 @@ What text differs from page to page lies in the template's slots; containers who
 slot of a page is the deepest container that holds all of its text that is neither the template's nor in menus, adverts and the like; so what
 is left out is template, noise, or links outside the slot. A page of another template, or of a host of one page, is read by the same rule.
 
+Where an article or main element is a slot of the host's template that holds at least half of the host's unlinked text, it is the host's main slot, and every
+container beside it is another slot (an advert's, a notice's), whatever it is called: its text goes. Text that stands between containers around the main slot
+(a heading, a lead) stays. All containers are counted, also those whose tag or name speaks against them; the same path is two tokens if it does so on some pages only.
+
 A text block is a token as well: the hash of its path, block tags included, and of its text. It nests by its path in the class of its container, and is
 template text if it stands on nearly all pages on which its container stands; such blocks are left out wherever they stand in the slot. Nearly
 all, since pages are cut off and since a copied article is on a share of its container's pages only. The order of tokens is not checked. A
@@ -267,13 +271,31 @@ def main_of_page(containers: list[Container], blocks: list[Block]) -> int:
     return max((depth, key) for key, (*held, depth, inside) in by_key.items() if held[what] == whole and (not inside or held[1] == told))[1]
 
 
-def main_text(page: str, main: int | None, fixed: frozenset[int], texts: frozenset[int] = frozenset()) -> str:
-    """Text of the slot ``main`` (None: the page's own) without the template's containers and text blocks, unless nothing else stands on the page."""
+def not_beside(containers: list[Container], blocks: list[Block], slot: int, least: float = 0.25) -> list[Block]:
+    """Blocks in the host's main slot and between the containers around it; all if a share less than ``least`` of the page's unlinked text is in it."""
+    within: dict[int, bool] = {}
+    around: set[int] = set()
+    for c in containers:
+        within[id(c)] = c.key == slot or c.parent is not None and within[id(c.parent)]
+        up = c.parent if c.key == slot else None
+        while up is not None and id(up) not in around:
+            around.add(id(up))
+            up = up.parent
+    free = [max(len(b.text) - b.linked, 0) for b in blocks]
+    told = sum(n for n, b in zip(free, blocks, strict=True) if within[id(b.place)])
+    return [b for b in blocks if within[id(b.place)] or id(b.place) in around] if told and told >= least * sum(free) else blocks
+
+
+def main_text(page: str, main: int | None, fixed: frozenset[int], texts: frozenset[int] = frozenset(), slot: int | None = None) -> str:
+    """Text of the slot ``main`` (None: the page's own) without the template's containers and text blocks, unless nothing else stands on the page,
+    and without what is beside the host's main slot ``slot``."""
     containers, blocks = parse(page)
     dropped: dict[int, bool] = {}
     for c in containers:  # parents come first
         dropped[id(c)] = c.key in fixed or c.parent is not None and dropped[id(c.parent)]
     clean = [b for b in blocks if not b.place.noise]
+    if slot is not None:
+        clean = not_beside(containers, clean, slot)
     varying = [b for b in clean if not dropped[id(b.place)]]
     left = [b for b in varying if b.token not in texts] if texts else varying
     left = left or varying or clean
@@ -290,39 +312,47 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-_SEEN = ("host string, path bigint, text bigint, depth int, pages bigint, times bigint, vector bigint, least bigint, most bigint, own bigint")
-_SEEN_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int32()] + [pa.int64()] * 6
+_SEEN = ("host string, path bigint, text bigint, noise boolean, depth int, pages bigint, times bigint, vector bigint, least bigint, most bigint, own bigint, "
+         "spoken boolean, held bigint")
+_SEEN_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int32()] + [pa.int64()] * 6 + [pa.bool_(), pa.int64()]
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
     """Per host and token (a container path, with ``text`` 0, or a text block in it), summed within each batch: the pages it is on, how often, its
-    vector's hash, its text."""
+    vector's hash, its text, whether it is an article or main element, and the unlinked text in it and in the containers below it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[tuple[str, int, int], list[int]] = {}
+            seen: dict[tuple[str, int, int, bool], list] = {}
             for number, url, page in zip(*(batch.column(c).to_pylist() for c in ("row_key", "url", "html")), strict=True):
                 host = host_of(url)
-                here: dict[tuple[int, int], list] = {}
+                here: dict[tuple[int, int, bool], list] = {}
                 containers, blocks = parse(page or "")
+                below = {id(c): 0 if c.noise else c.own for c in containers}
+                for c in reversed(containers):
+                    if c.parent is not None:
+                        below[id(c.parent)] += below[id(c)]
                 for c in containers:
-                    if not c.noise:
-                        have = here.setdefault((c.key, 0), [c.depth, 0, [], 0])
-                        have[1] += 1
-                        have[2] += c.text
-                        have[3] += c.own
+                    have = here.setdefault((c.key, 0, c.noise), [c.depth, 0, [], 0, False, 0])
+                    have[1] += 1
+                    have[2] += c.text
+                    have[3] += c.own
+                    have[4] |= c.spoken
+                    have[5] += below[id(c)]
                 for b in blocks:
                     if not b.place.noise:
-                        here.setdefault((b.place.key, b.token), [b.place.depth, 0, [], 0])[1] += 1
-                for key, (depth, times, text, own) in here.items():
+                        here.setdefault((b.place.key, b.token, False), [b.place.depth, 0, [], 0, False, 0])[1] += 1
+                for key, (depth, times, text, own, spoken, held) in here.items():
                     mark = xxhash.xxh3_64_intdigest(f"{number}:{times}") >> 1
                     said = 0 if key[1] else xxhash.xxh3_64_intdigest("\n".join(text)) >> 1
-                    have = seen.setdefault((host, *key), [depth, 0, 0, 0, said, said, 0])
+                    have = seen.setdefault((host, *key), [depth, 0, 0, 0, said, said, 0, False, 0])
                     have[1] += 1
                     have[2] += times
                     have[3] = (have[3] + mark) & 0x7FFFFFFFFFFFFFFF
                     have[4], have[5] = min(have[4], said), max(have[5], said)
                     have[6] += own
+                    have[7] |= spoken
+                    have[8] += held
             rows = [(*k, *v) for k, v in seen.items()]
             columns = list(zip(*rows, strict=True)) or [()] * len(_SEEN_TYPES)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _SEEN_TYPES, strict=True)],
@@ -332,35 +362,39 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame, share: float = 0.5, least_pages: int = 3, least_fixed: int = 8, least_text: int = 16, nested: float = 0.9) -> DataFrame:
-    """host, fixed (paths of containers with the same text on every page), the number of equivalence classes and texts
-    (tokens of template text).
+    """host, fixed (paths of containers with the same text on every page), the number of equivalence classes, texts
+    (tokens of template text) and slot (path of the article or main element that is the main slot).
 
     A class is valid if its paths stand on at least ``share`` of the host's pages and on ``least_pages``; a container's whole text that is to count as the
     template's is the same on at least ``least_fixed``. A text block is the template's if it stands on at least ``least_text`` and on a share ``nested`` of
-    the pages of its container, which is to be on ``share`` of the host's: one sentence is weaker evidence than a container.
+    the pages of its container, which is to be on ``share`` of the host's: one sentence is weaker evidence than a container. The main slot is the deepest
+    article or main element on ``share`` of the host's pages, of one page as well, that holds half of the host's unlinked text.
     """
-    seen = (occurrences(pages).groupBy("host", "path", "text").agg(
+    seen = (occurrences(pages).groupBy("host", "path", "text", "noise").agg(
         F.first("depth").alias("depth"), F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("sum"),
-        F.min("least").alias("least"), F.max("most").alias("most"), F.sum("own").alias("own"))
+        F.min("least").alias("least"), F.max("most").alias("most"), F.sum("own").alias("own"), F.bool_or("spoken").alias("spoken"), F.sum("held").alias("held"))
         .withColumn("vector", F.expr("pmod(sum, 9223372036854775808)")).drop("sum"))
     both = materialise(seen.where((F.col("text") == 0) | (F.col("pages") >= least_text)), "page_paths")
     seen = both.where("text = 0").drop("text")
     # Tokens with one occurrence vector are a class; a valid class keeps or loses its paths together.
-    whole = seen.where("path = 0").select("host", F.col("pages").alias("all"))
+    whole = seen.where("path = 0").select("host", F.col("pages").alias("all"), F.col("held").alias("told"))
     classes = (seen.groupBy("host", "vector").agg(F.max("pages").alias("support"), F.count("*").alias("paths"))
-               .join(whole, "host").where((F.col("support") >= share * F.col("all")) & (F.col("support") >= least_pages)))
+               .join(whole.drop("told"), "host").where((F.col("support") >= share * F.col("all")) & (F.col("support") >= least_pages)))
     valid = seen.join(classes, ["host", "vector"])
-    same = (F.col("least") == F.col("most")) & (F.col("own") > 0)
+    same = ~F.col("noise") & (F.col("least") == F.col("most")) & (F.col("own") > 0)
     slots = valid.groupBy("host").agg(
         F.collect_set(F.when(same & (F.col("path") != 0) & (F.col("pages") >= least_fixed), F.col("path"))).alias("fixed"),
-        F.bool_or(~same & (F.col("own") > 0)).alias("varies"), F.count_distinct("vector").alias("classes"))
+        F.bool_or(~F.col("noise") & ~same & (F.col("own") > 0)).alias("varies"), F.count_distinct("vector").alias("classes"))
     # Where nothing differs between the pages, sameness says nothing about the template.
     slots = slots.withColumn("fixed", F.when(F.col("varies"), F.col("fixed")))
-    around = seen.select("host", "path", F.col("pages").alias("around"))
+    around = seen.where("not noise").select("host", "path", F.col("pages").alias("around"))
     often = both.where("text <> 0").select("host", "path", "text", "pages").join(whole, "host").where(F.col("pages") >= nested * share * F.col("all"))
     texts = (often.join(around, ["host", "path"]).where((F.col("pages") >= nested * F.col("around")) & (F.col("around") >= share * F.col("all")))
              .groupBy("host").agg(F.collect_set("text").alias("texts")))
-    return slots.join(texts, "host", "left").withColumn("texts", F.when(F.col("varies"), F.col("texts"))).drop("varies")
+    main = (seen.where("spoken and not noise and held > 0").join(whole, "host").where((F.col("pages") >= share * F.col("all")) & (2 * F.col("held") >= F.col("told")))
+            .groupBy("host").agg(F.max(F.struct("depth", "held", "path"))["path"].alias("slot")))
+    return (slots.join(texts, "host", "left").withColumn("texts", F.when(F.col("varies"), F.col("texts"))).drop("varies")
+            .join(main, "host", "full"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -372,10 +406,10 @@ def extract(pages: DataFrame) -> DataFrame:
     told = pages.withColumn("host", host("url")).join(found, "host", "left")
 
     def text_of(*columns: pa.Array) -> pa.Array:
-        return pa.array([main_text(p or "", None, frozenset(x or ()), frozenset(t or ())) for p, x, t in zip(*(c.to_pylist() for c in columns), strict=True)],
+        return pa.array([main_text(p or "", None, frozenset(x or ()), frozenset(t or ()), s) for p, x, t, s in zip(*(c.to_pylist() for c in columns), strict=True)],
                         pa.string())
 
-    out = told.select("page_id", "url", F.arrow_udf(text_of, "string")("html", "fixed", "texts").alias("text"))
+    out = told.select("page_id", "url", F.arrow_udf(text_of, "string")("html", "fixed", "texts", "slot").alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("bigint"))
 
 

@@ -1,6 +1,9 @@
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
-from conftest import SF001
+from conftest import SF001, SF01
 from helpers import frame
 from nextclick.llm import web_text
 
@@ -45,7 +48,6 @@ def test_templates_name_classes(spark):
 def test_table_articles(spark):
     """On the table's own layout the main text is the article's blocks."""
     import html
-    import re
     out = {r.page_id: r.text for r in web_text.op1_html_main_text(spark, SF001).collect()}
     for r in spark.read.parquet(f"{SF001}/pages.parquet").collect():
         article = re.search(r"(?s)<article>(.*?)(?:</article>|$)", r.html)[1]
@@ -108,3 +110,28 @@ def test_heading_lead_and_end_stay_on_a_host(spark):
     assert out[100] == "Not found."
     for i in range(24):
         assert out[i].startswith(f"Head {i}\n\nLead {i}.\n\nA long") and out[i].endswith(f"\n\nEnd {i}.")
+
+
+def test_class_words_do_not_decide_where_the_template_has_an_article(spark):
+    """The whole table with the words of class and id renamed gives the same texts; nearly every host has a main slot."""
+    pages = spark.read.parquet(f"{SF01}/pages.parquet")
+    renamed = pages.withColumn("html", F.regexp_replace("html", r'class="[a-z]+"', 'class="zq"'))
+    assert renamed.where(F.col("html").contains('class="zq"')).count() == pages.count()
+    plain, other = ({r.page_id: r.text for r in web_text.extract(p).collect()} for p in (pages, renamed))
+    assert plain == other
+    found = web_text.templates(renamed.withColumn("row_key", F.monotonically_increasing_id())).collect()
+    assert sum(r.slot is not None for r in found) >= 0.95 * len(found)
+
+
+def test_slots_beside_the_article(spark):
+    """An unnamed advert beside the article goes, also on a host of one page; headings and leads around it, pages of another template and hosts without such a slot stay."""
+    def page(i, extra=""):
+        return f"<body><div><p>Buy {i} now!</p></div><div><h1>Head {i}</h1><p>Lead {i}.</p><article><p>{LONG}{i}</p></article><div>Ask {i} us.</div></div>{extra}"
+
+    rows = [(i, f"https://h.example/{i}", page(i)) for i in range(6)] + [(50, "https://one.example/", page(50))]
+    rows += [(7, "https://h.example/7", f"<body><div><p>{LONG * 4}</p></div><div><article><p>Teaser.</p></article></div>")]
+    rows += [(60, "https://none.example/", f"<body><div><p>Buy.</p></div><div><p>{LONG}</p></div>")]
+    out = {r.page_id: r.text for r in web_text.extract(frame(spark, rows, "page_id long, url string, html string")).collect()}
+    for i in [*range(6), 50]:
+        assert out[i] == f"Head {i}\n\nLead {i}.\n\n{LONG}{i}"
+    assert out[7] == (LONG * 4).strip() + "\n\nTeaser." and out[60] == "Buy.\n\n" + LONG.strip()
