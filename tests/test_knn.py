@@ -170,3 +170,22 @@ def test_document_knn_matches_brute_force(spark):
     got = {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos)
            for r in knn.sparse_i2i(spark.createDataFrame(counts), asked=20).collect()}
     assert got == brute(mat, keys.astype(np.int64), 20)
+
+
+def test_common_tokens_travel_together_and_lists_of_single_keys_are_final(spark, monkeypatch):
+    """A token of all items costs a row per item and block; lists without equal vectors are not ranked again."""
+    rng = np.random.default_rng(12)
+    dense = (rng.random((150, 30)) < 0.2) * rng.integers(1, 4, (150, 30))
+    dense[:, 0] = 1
+    dense[3, 5] += 7                              # no vector occurs twice
+    dense[:, 1:9] += (np.arange(150)[:, None] >> np.arange(8)) & 1
+    it, tok = np.nonzero(dense)
+    flat = pd.DataFrame({"key": it.astype(np.int64), "token": tok.astype(np.int64), "val": dense[it, tok].astype(float)})
+    written = {}
+    keep = knn.materialise
+    monkeypatch.setattr(knn, "materialise", lambda df, name, *a: written.setdefault(name, keep(df, name, *a)))
+    got = {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos)
+           for r in knn.sparse_i2i(spark.createDataFrame(flat), asked=12, token_rows=8).collect()}
+    assert got == brute(dense.astype(float), np.arange(150, dtype=np.int64), 12)
+    assert written["sparse_tokens"].where("_all").count() > 0
+    assert written["i2i_top"].count() == 0
