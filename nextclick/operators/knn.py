@@ -49,6 +49,8 @@ STREAM_SCHEMA = OUT_SCHEMA + ", pos int"
 _NO_ID = np.iinfo(np.int64).max
 #: Tasks that a search is spread over at least, if there are candidate blocks enough.
 SPREAD = 8
+#: Anchors of a dense block at most, and scores that a task holds at once.
+BLOCK_ROWS, SCORES = 16384, 1 << 22
 
 
 # ----------------------------------------------------------------- helpers
@@ -125,31 +127,65 @@ def dense_i2i(vectors: DataFrame, asked: int = 100, normalise: bool = True, bloc
 
 
 class _Best:
-    """The best ``k`` of one block of anchors so far, over candidate blocks given one after another."""
+    """The best ``k`` of one block of anchors so far, over candidate blocks given one after another. Scores that may enter a full list
+    are collected, and merged when there are half as many as the lists hold."""
 
     def __init__(self, keys: np.ndarray, mat: np.ndarray, k: int, digits: int):
         self.keys, self.mat, self.k, self.digits = keys, mat, k, digits
         self.norms = np.sqrt((mat * mat).sum(axis=1))
         self.scores = np.full((len(keys), k), -np.inf)
         self.ids = np.full((len(keys), k), _NO_ID, dtype=np.int64)
+        self.more: list[tuple[np.ndarray, ...]] = []
+        self.n_more = 0
 
     def take(self, ckeys: np.ndarray, cmat: np.ndarray, apart: bool, out: tuple[np.ndarray, np.ndarray]) -> int:
         """Score a candidate block, itself left out if ``apart``, and without the pairs (anchor key, candidate) of ``out``. An
         anchor whose norm times the block's largest norm cannot reach its k-th score is not scored; returns how many were not."""
         bound = self.norms * np.sqrt((cmat * cmat).sum(axis=1)).max(initial=0.0)
         live = np.flatnonzero(~(bound * (1 + 1e-12) + 10.0 ** -self.digits < self.scores[:, -1]))
-        if not len(live) or not len(ckeys):
-            return len(self.keys) - len(live)
-        S = np.round(self.mat[live] @ cmat.T, self.digits)
+        if len(ckeys):
+            step = max(1, SCORES // len(ckeys))
+            for at in range(0, len(live), step):
+                self._score(live[at: at + step], ckeys, cmat, apart, out)
+        return len(self.keys) - len(live)
+
+    def _score(self, live: np.ndarray, ckeys: np.ndarray, cmat: np.ndarray, apart: bool, out: tuple[np.ndarray, np.ndarray]) -> None:
+        S = self.mat[live] @ cmat.T
         if apart:
             _mask(S, np.arange(len(live)), self.keys[live], ckeys)
-        at = np.searchsorted(self.keys[live], out[0])
-        there = (at < len(live)) & (self.keys[live][np.minimum(at, len(live) - 1)] == out[0])
-        _mask(S, at[there], out[1][there], ckeys)
-        self.scores[live], self.ids[live] = _merge_best(self.scores[live], self.ids[live], *_block_best(S, ckeys, self.k), self.k)
-        return len(self.keys) - len(live)
+        if len(out[0]):
+            at = np.searchsorted(self.keys[live], out[0])
+            there = (at < len(live)) & (self.keys[live][np.minimum(at, len(live) - 1)] == out[0])
+            _mask(S, at[there], out[1][there], ckeys)
+        if not np.isfinite(self.scores[live, -1]).all():  # lists to be filled
+            self._merge()
+            S = np.round(S, self.digits)
+            self.scores[live], self.ids[live] = _merge_best(self.scores[live], self.ids[live], *_block_best(S, ckeys, self.k), self.k)
+            return
+        hit = np.flatnonzero(S >= (self.scores[live, -1] - 10.0 ** -self.digits)[:, None])
+        row, col = hit // len(ckeys), hit % len(ckeys)
+        self.more.append((live[row], ckeys[col], np.round(S[row, col], self.digits)))
+        self.n_more += len(hit)
+        if 2 * self.n_more > self.scores.size:
+            self._merge()
+
+    def _merge(self) -> None:
+        if not self.n_more:
+            return
+        row, key, score = (np.concatenate(c) for c in zip(*self.more, strict=True))
+        self.more, self.n_more = [], 0
+        touched = np.unique(row)
+        old = np.isfinite(self.scores[touched])
+        row = np.r_[row, np.repeat(touched, old.sum(axis=1))]
+        score, key = np.r_[score, self.scores[touched][old]], np.r_[key, self.ids[touched][old]]
+        order = np.lexsort((key, -score, row))
+        row, score, key = row[order], score[order], key[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best = place < self.k
+        self.scores[row[best], place[best]], self.ids[row[best], place[best]] = score[best], key[best]
 
     def rows(self) -> pd.DataFrame:
+        self._merge()
         r, c = np.nonzero(np.isfinite(self.scores))
         return pd.DataFrame({"anchor_vacancy_id": self.keys[r], "recom_vacancy_id": self.ids[r, c], "score": self.scores[r, c],
                              "pos": (c + 1).astype("int32")})
@@ -164,7 +200,7 @@ def streamed_topk(items: DataFrame, k: int, candidates: DataFrame | None = None,
     source = items if candidates is None else candidates
     n, nc = items.count(), source.count()
     per = candidate_rows or min(1024, max(64, -(-nc // SPREAD)))
-    blocks, parts = _blocks(n, block_rows or 8192), max(1, math.ceil(nc / per))
+    blocks, parts = max(1, math.ceil(n / min(block_rows or BLOCK_ROWS, max(64, n // (3 * SPREAD))))), max(1, math.ceil(nc / per))
     groups = min(parts, max(1, SPREAD // blocks))
     anchor_block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     key, none = F.col("key").cast("bigint"), F.lit(None)
@@ -184,9 +220,14 @@ def streamed_topk(items: DataFrame, k: int, candidates: DataFrame | None = None,
             placed.select(key.alias("other"), "cb"), "other")
         rows = rows.unionByName(pairs.select(anchor_block(F.col("key")).alias("ab"), group.alias("g"), "cb", F.lit(1).alias("role"), "key",
                                              none.cast("array<double>").alias("vec"), "other"))
-    rows = rows.repartitionById(blocks * groups, F.col("ab") * groups + F.col("g")).sortWithinPartitions("ab", "g", "cb", "role", "key")
-    apart = candidates is None  # a plain flag: the closure must not hold a DataFrame
+    rows = rows.repartitionById(blocks * groups, F.col("ab") * groups + F.col("g"))
+    lists = _stream(rows, k, candidates is None, digits, skipped)
+    return lists if groups == 1 else _final_topk(lists.drop("pos"), k)
 
+
+def _stream(rows: DataFrame, k: int, apart: bool, digits: int = SCORE_DIGITS, skipped=None) -> DataFrame:
+    """Lists of each (anchor block ``ab``, group ``g``), both in one partition: ``role`` 0 rows are anchors (``cb`` -1), 2 candidates
+    of block ``cb``, 1 pairs (``key``, ``other``) left out."""
     def run(batches):
         at = best = None
         held: list[pd.DataFrame] = []
@@ -228,8 +269,7 @@ def streamed_topk(items: DataFrame, k: int, candidates: DataFrame | None = None,
         if best is not None:
             yield best.rows()
 
-    lists = rows.mapInPandas(run, STREAM_SCHEMA)
-    return lists if groups == 1 else _final_topk(lists.drop("pos"), k)
+    return rows.sortWithinPartitions("ab", "g", "cb", "role", "key").mapInPandas(run, STREAM_SCHEMA)
 
 
 # ----------------------------------------------------------------- R5
@@ -536,36 +576,25 @@ def sparse_query(queries: DataFrame, index: DataFrame, k: int, keys: DataFrame |
 
 
 # ----------------------------------------------------------------- R9 / R10
-def cell_topk(queries: DataFrame, candidates: DataFrame, k: int, rows: int = 2048) -> DataFrame:
+def cell_topk(queries: DataFrame, candidates: DataFrame, k: int, rows: int = BLOCK_ROWS, candidate_rows: int = 1024) -> DataFrame:
     """Best ``k`` candidates of the same ``cell`` per query (``key, vec,
-    cell``; a query may ask several cells), itself left out. A crowded cell
-    is dealt out as pairs of blocks; the lists of a query's blocks and cells
-    are merged at the end."""
-    blocks = F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int")
-    nq = queries.groupBy(F.col("cell").alias("_q")).agg(blocks.alias("nq"))
-    nc = candidates.groupBy(F.col("cell").alias("cell")).agg(blocks.alias("nc"))
-    sizes = materialise(nq.join(nc, F.col("_q") == F.col("cell")).select("cell", "nq", "nc"), "cell_blocks")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cell``; a query may ask several cells), itself left out. The queries of a
+    cell are dealt out in blocks, past which the cell's candidate blocks are
+    streamed; the lists of a query's cells are merged at the end."""
+    blocks = lambda n: F.ceil(F.count(F.lit(1)) / F.lit(n)).cast("int")
+    nq = queries.groupBy(F.col("cell").alias("_q")).agg(blocks(rows).alias("nq"))
+    nc = candidates.groupBy(F.col("cell").alias("cell")).agg(blocks(candidate_rows).alias("nc"))
+    sizes = nq.join(nc, F.col("_q") == F.col("cell")).select("cell", "nq", "nc")  # a row per cell
+    upto = F.sum("nq").over(W.orderBy("cell").rowsBetween(W.unboundedPreceding, -1))
+    sizes = materialise(sizes.withColumn("first", F.coalesce(upto, F.lit(0)).cast("int")), "cell_blocks")
+    total = sizes.agg(F.sum("nq")).first()[0] or 1
     own = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
-    q = queries.join(sizes, "cell").select("cell", own("nq").alias("qb"), every("nc").alias("cb"), "key", "vec")
-    c = candidates.join(sizes, "cell").select("cell", every("nq").alias("qb"), own("nc").alias("cb"), "key", "vec")
-
-    def block(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        qk, qm = _dense_block(qs)
-        ck, cm = _dense_block(cs)
-        if not len(qk) or not len(ck):
-            return pd.DataFrame({"anchor_vacancy_id": [], "recom_vacancy_id": [], "score": []}).astype(
-                {"anchor_vacancy_id": "int64", "recom_vacancy_id": "int64"})
-        S = np.round(qm @ cm.T, SCORE_DIGITS)
-        _mask(S, np.arange(len(qk)), qk, ck)
-        bs, bi = _block_best(S, ck, k)
-        r, j = np.nonzero(np.isfinite(bs))
-        return pd.DataFrame({"anchor_vacancy_id": qk[r], "recom_vacancy_id": bi[r, j], "score": bs[r, j]})
-
-    by = ["cell", "qb", "cb"]
-    q, c = q.toDF("qcell", "qqb", "qcb", "key", "vec"), c.toDF(*by, "key", "vec")
-    parts = q.groupBy("qcell", "qqb", "qcb").cogroup(c.groupBy(*by)).applyInPandas(block, OUT_SCHEMA)
-    return _final_topk(parts, k)
+    rest = [F.col("key").cast("bigint").alias("key"), F.col("vec"), F.lit(None).cast("bigint").alias("other")]
+    q = queries.join(sizes, "cell").select((F.col("first") + own("nq")).alias("ab"), F.lit(0).alias("g"), F.lit(-1).alias("cb"), F.lit(0).alias("role"), *rest)
+    c = candidates.join(sizes, "cell").select(F.explode(F.sequence("first", F.col("first") + F.col("nq") - 1)).alias("ab"), F.lit(0).alias("g"),
+                                              own("nc").alias("cb"), F.lit(2).alias("role"), *rest)
+    parts = _stream(q.unionByName(c).repartitionById(int(total), F.col("ab")), k, True)
+    return _final_topk(parts.drop("pos"), k)
 
 
 def query_topk(qkeys: np.ndarray, qmat: np.ndarray, candidates: DataFrame, k: int, rows: int = 4096) -> DataFrame:

@@ -189,3 +189,19 @@ def test_common_tokens_travel_together_and_lists_of_single_keys_are_final(spark,
     assert got == brute(dense.astype(float), np.arange(150, dtype=np.int64), 12)
     assert written["sparse_tokens"].where("_all").count() > 0
     assert written["i2i_top"].count() == 0
+
+
+def test_cell_lists_leave_a_task_once_per_query_and_cell(spark, monkeypatch):
+    """A cell of several blocks of candidates: its blocks are streamed past the queries, and only the best of the cell go on."""
+    rng = np.random.default_rng(13)
+    mat = rng.normal(size=(5000, 4)).round(2)
+    frame = lambda n: spark.createDataFrame(pd.DataFrame({"key": np.arange(n, dtype=np.int64), "vec": list(mat[:n]), "cell": np.zeros(n, np.int32)}))
+    parts = []
+    last = knn._final_topk
+    monkeypatch.setattr(knn, "_final_topk", lambda df, k: parts.append(df) or last(df, k))
+    got = knn.cell_topk(frame(60), frame(5000), 7).collect()
+    assert parts[0].count() == 60 * 7
+    S = np.round(mat[:60] @ mat.T, knn.SCORE_DIGITS)
+    S[np.arange(60), np.arange(60)] = -np.inf
+    want = {(i, int(j), r) for i in range(60) for r, j in enumerate(np.argsort(-S[i], kind="stable")[:7], 1)}
+    assert {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos) for r in got} == want
