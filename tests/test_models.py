@@ -140,3 +140,21 @@ def test_feature_ranker_appends_probability(spark):
     out = R.feature_ranker(cands, model, ["f"]).collect()
     assert out[0].f is None and all(0.0 <= r.model_score <= 1.0 for r in out)
     assert set(out[0].asDict()) == {"user_id", "vacancy_id", "f", "model_score"}
+
+
+def test_product_with_a_small_matrix_moves_entries_not_vectors(spark):
+    """Many tokens, few keys: the entries are dealt by token before the product, whose sums then need no shuffle."""
+    from nextclick.operators.linalg import sparse_t_times_dense
+    rng = np.random.default_rng(3)
+    dense = (rng.random((6, 400)) < 0.3) * rng.integers(1, 4, (6, 400))
+    it, tok = np.nonzero(dense)
+    a = spark.createDataFrame([(int(i), int(t), float(dense[i, t])) for i, t in zip(it, tok, strict=True)], "key long, token long, val double")
+    small = rng.normal(size=(6, 3))
+    d = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(small)], "key long, vec array<double>")
+    out = sparse_t_times_dense(a, d, width=3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_COL" in plan
+    got = {r.key: r.vec for r in out.collect()}
+    want = dense.T @ small
+    assert set(got) == set(tok.tolist())
+    assert all(np.allclose(v, want[k]) for k, v in got.items())
