@@ -115,6 +115,36 @@ def test_lsh_with_small_blocks_is_the_same_and_short_lists_are_filled(spark):
     assert alone <= got
 
 
+@pytest.mark.parametrize("bits,tables", [(2, 9), (4, 2)])
+def test_lsh_lists_are_the_best_of_the_pairs_that_meet(spark, bits, tables):
+    """Coarse buckets (every pair looked at once) and fine ones give the lists of all pairs in NumPy; few pairs are scored."""
+    rng = np.random.default_rng(8)
+    n, k, signs, least = 1500, 6, 64, 34
+    mat = rng.normal(size=(n, 12))
+    mat[40:60] = mat[3]  # copies: ties go to the smallest ids
+    mat /= np.linalg.norm(mat, axis=1, keepdims=True)
+    unit = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(mat)], "key long, vec array<double>")
+    placed = lsh.place(unit, bits, tables, signs).cache()
+    scored = spark.sparkContext.accumulator(0)
+    got = {(r.anchor_vacancy_id, r.pos): (r.recom_vacancy_id, r.score)
+           for r in lsh.lsh_lists(placed, k, least, signs, bits, tables, scored=scored).collect()}
+    rows = {r.key: r for r in placed.collect()}
+    codes = np.array([rows[i].codes for i in range(n)])
+    sketch = np.array([np.frombuffer(rows[i].sketch, np.uint8) for i in range(n)])
+    agree = signs - np.bitwise_count(sketch[:, None] ^ sketch[None]).sum(axis=2, dtype=int)
+    ok = (codes[:, None] == codes[None]).any(axis=2) & (agree >= least) & ~np.eye(n, dtype=bool)
+    score = np.where(ok, np.round(mat @ mat.T, 9), -np.inf)
+    order = np.argsort(-score, axis=1, kind="stable")[:, :k]
+    want = {(i, p + 1): (int(j), score[i, j]) for i in range(n) for p, j in enumerate(order[i]) if np.isfinite(score[i, j])}
+    assert got.keys() == want.keys()
+    assert all(got[x][0] == want[x][0] and got[x][1] == pytest.approx(want[x][1], abs=2e-9) for x in want)
+    assert 0 < scored.value < 0.4 * ok.sum()
+    dealt, blocks = lsh.bucket_blocks(placed, 1024)
+    assert (blocks > 0) == (tables > 2 ** bits)
+    if blocks:  # a vector goes once to each block of anchors, not once for every table
+        assert dealt.count() == n * (blocks + 1)
+
+
 def test_tables_and_sketch_follow_from_the_recall():
     assert lsh.tables_for(1.0, 0.9, 8) == 1 and lsh.tables_for(0.8, 0.9, 8) < lsh.tables_for(0.5, 0.9, 8)
     p = lsh.agreement(0.5)
