@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nextclick.functions.weights import ALS_WEIGHTS, map_weight
+from nextclick.operators.als_rounds import rounds
 from nextclick.operators.dictionary import encode, fit_dictionary
 from nextclick.operators.knn import streamed_topk
+from nextclick.sources.tables import materialise
 
 
 def user_item_matrix(train: DataFrame, weights: dict[int, float] | None = None,
@@ -22,7 +24,9 @@ def user_item_matrix(train: DataFrame, weights: dict[int, float] | None = None,
 
 class AlsRecommender:
     """Implicit ALS on the weighted user x item matrix. Ids are dense-encoded
-    first (ALS needs int32 ids)."""
+    first (ALS needs int32 ids). Spark's ALS checks the ratings and draws the
+    random start; the rounds (``als_rounds``) solve the same equations at a
+    cost that follows a user's few items, not the cube of the rank."""
 
     def __init__(self, rank: int = 150, max_iter: int = 25, reg: float = 0.001, alpha: float = 1.0,
                  seed: int = 42, weights: dict[int, float] | None = None):
@@ -37,10 +41,12 @@ class AlsRecommender:
         self.items = fit_dictionary(m, "vacancy_id", "i")
         coded = encode(encode(m, self.users, "user_id", "u"), self.items, "vacancy_id", "i")
         self.matrix = coded.select("user_id", "vacancy_id", "u", "i", "weight")
-        als = ALS(rank=self.rank, maxIter=self.max_iter, regParam=self.reg, implicitPrefs=True,
+        als = ALS(rank=self.rank, maxIter=0, regParam=self.reg, implicitPrefs=True,
                   alpha=self.alpha, seed=self.seed, userCol="u", itemCol="i", ratingCol="weight",
                   coldStartStrategy="drop")
-        self.model = als.fit(self.matrix.select(F.col("u").cast("int"), F.col("i").cast("int"), "weight"))
+        ratings = materialise(self.matrix.select(F.col("u").cast("int"), F.col("i").cast("int"), F.col("weight").cast("float")), "als_ratings")
+        start = als.fit(ratings)
+        self.user_factors, self.item_factors = rounds(ratings, start.userFactors, start.itemFactors, self.rank, self.max_iter, self.reg, self.alpha)
         return self
 
     def recommend(self, users: DataFrame, n: int = 100, block_rows: int = 8192) -> DataFrame:
@@ -52,10 +58,10 @@ class AlsRecommender:
         items) come out per user. Returns ``user_id, vacancy_id, score, pos``."""
         wanted = (encode(users.select("user_id").distinct(), self.users, "user_id", "u")
                   .where(F.col("u").isNotNull()).select("u"))
-        uf = (self.model.userFactors.select(F.col("id").cast("bigint").alias("key"),
+        uf = (self.user_factors.select(F.col("id").cast("bigint").alias("key"),
                                             F.col("features").cast("array<double>").alias("vec"))
               .join(wanted.select(F.col("u").alias("key")), "key", "left_semi"))
-        itf = self.model.itemFactors.select(F.col("id").cast("bigint").alias("key"),
+        itf = self.item_factors.select(F.col("id").cast("bigint").alias("key"),
                                             F.col("features").cast("array<double>").alias("vec"))
         known = (self.matrix.select(F.col("u").cast("bigint").alias("key"), F.col("i").alias("other"))
                  .join(wanted.select(F.col("u").alias("key")), "key", "left_semi"))

@@ -3,10 +3,11 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from nextclick.operators import ann, knn, lsh
+from nextclick.operators import als_rounds, ann, knn, lsh
 from nextclick.operators import ranking as R
 from nextclick.operators import vectors as V
 from nextclick.operators.als import AlsRecommender, fallback_predictions, user_item_matrix
@@ -63,6 +64,44 @@ def test_als_recommendations_exclude_known_items(spark):
         assert r.n == min(10, n_items - n_known[r.user_id])
 
 
+def _als_ratings():
+    """A busy user (0), an item that nearly all have (0), weights of both signs and zero; the other users have few items."""
+    rng = np.random.default_rng(3)
+    pairs = {(0, i) for i in range(40)} | {(u, 0) for u in range(1, 70)} | {(u, int(i)) for u in range(70) for i in rng.integers(0, 45, u % 6)}
+    return [(u, i, float(rng.choice([1.0, 4.0, 2.5, -1.0, 0.0]))) for u, i in sorted(pairs)]
+
+
+@pytest.mark.parametrize("per_block, reg", [(20, 0.01), (10_000, 0.01), (20, 2.0)])
+def test_als_rounds_equal_sparks(spark, monkeypatch, per_block, reg):
+    monkeypatch.setattr(als_rounds, "FEW_RATINGS", per_block)
+    rows = spark.createDataFrame(_als_ratings(), "u int, i int, weight float").cache()
+    als = lambda n: ALS(rank=6, maxIter=n, regParam=reg, implicitPrefs=True, alpha=1.5, seed=42, userCol="u", itemCol="i", ratingCol="weight").fit(rows)
+    start, whole = als(0), als(4)
+    got = als_rounds.rounds(rows, start.userFactors, start.itemFactors, 6, 4, reg, 1.5)
+    for have, want in zip(got, (whole.userFactors, whole.itemFactors), strict=True):
+        have, want = ({r.id: list(r.features) for r in f.collect()} for f in (have, want))
+        assert have.keys() == want.keys()
+        assert all(np.allclose(have[k], want[k], rtol=1e-3, atol=1e-4) for k in want)
+
+
+def test_als_rows_with_few_ratings_take_small_systems(monkeypatch):
+    """100 users with 3 items each at rank 150: no 150 x 150 system is solved."""
+    sizes, solve = set(), np.linalg.solve
+    monkeypatch.setattr(np.linalg, "solve", lambda a, b: sizes.add(a.shape[-1]) or solve(a, b))
+    rng = np.random.default_rng(1)
+    y = rng.normal(size=(30, 150)).astype(np.float32)
+    users, items = np.repeat(np.arange(100, dtype=np.int32), 3), np.tile(np.arange(30, dtype=np.int32), 10)
+    block = als_rounds._Block(0, 150, 0.1, 1.0)
+    block.take(als_rounds.RATINGS, users.tobytes(), items.tobytes(), np.full(300, 4, np.float32).tobytes(), None, None)
+    gram = y.astype(float).T @ y
+    block.take(als_rounds.MESSAGE, np.arange(30, dtype=np.int32).tobytes(), b"", y.tobytes(), b"", gram[np.triu_indices(150)].tobytes())
+    (row,) = block.finish(1, send=False, keep=True)
+    x = np.frombuffer(row.column("values")[0].as_py(), np.float32).reshape(100, 150)
+    assert sizes == {3}
+    own = y[:3].astype(float)
+    assert np.allclose(x[0], solve(gram + 0.3 * np.eye(150) + 4 * own.T @ own, 5 * own.sum(axis=0)), atol=1e-4)
+
+
 def test_fallback_cold_users_get_own_items(spark):
     test = spark.createDataFrame([(1, "a", [5, 6]), (2, "b", [7])], "user_id long, session_id string, vacancy_id array<long>")
     train = spark.createDataFrame([(2, 9)], "user_id long, vacancy_id long")
