@@ -1,5 +1,7 @@
 """Invariants and brute-force checks for the non-unique operators."""
 
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,12 +9,13 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from nextclick.operators import als_rounds, ann, knn, lsh
+from nextclick.operators import als_rounds, ann, knn, linalg, lsh
 from nextclick.operators import ranking as R
 from nextclick.operators import vectors as V
 from nextclick.operators.als import AlsRecommender, fallback_predictions, user_item_matrix
 from nextclick.plans import catalog, models
 from nextclick.sources import fixtures as fx
+from nextclick.sources.tables import materialise, tables_dir
 
 
 def test_randomised_svd_matches_numpy(spark):
@@ -47,6 +50,34 @@ def test_svd_keeps_small_components(spark):
     assert np.allclose(np.linalg.norm(Y, axis=0), 100 * 0.65 ** np.arange(32), rtol=0.01)
 
 
+@pytest.mark.parametrize("shape", [(7, 900), (300, 90)])
+def test_products_with_a_small_matrix(spark, shape, monkeypatch):
+    """Both products against NumPy, an entry without its row of D is dropped, and no entry becomes a vector that Spark sorts."""
+    monkeypatch.setattr(linalg, "HELD", 64)
+    rng = np.random.default_rng(2)
+    a = (rng.random(shape) < 0.3) * rng.integers(1, 5, shape)
+    it, tok = np.nonzero(a)
+    df = spark.createDataFrame(pd.DataFrame({"key": it.astype(np.int64), "token": tok.astype(np.int64), "val": a[it, tok].astype(float)}))
+    for product, m in ((linalg.sparse_times_dense, a), (linalg.sparse_t_times_dense, a.T)):
+        d = rng.normal(size=(m.shape[1], 6))
+        out = product(df, spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(d[1:], 1)], "key long, vec array<double>"), 6)
+        assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+        got = {r.key: r.vec for r in out.collect()}
+        m, d = m[:, 1:], d[1:]
+        assert set(got) == set(np.flatnonzero(m.any(axis=1)).tolist())
+        assert all(np.allclose(got[i], m[i] @ d) for i in got)
+
+
+def test_svd_drops_its_tables(spark):
+    df = spark.createDataFrame([(i, i * j % 23, 1.0 + j) for i in range(30) for j in range(9)], "key long, token long, val double")
+    df = df.groupBy("key", "token").agg(F.sum("val").alias("val"))
+    tables = lambda: {f for f in os.listdir(tables_dir(spark).removeprefix("file:")) if f.startswith("svd_")}
+    materialise(df, "svd_other")
+    before = tables()
+    assert V.svd_item_vectors(df, k=30).count() == 30
+    assert len(tables() - before) == 1  # the basis that the result reads
+
+
 def test_als_recommendations_exclude_known_items(spark):
     p = catalog.f1(spark, SF001)
     model = AlsRecommender(rank=8, max_iter=5).fit(p.train)

@@ -2,12 +2,15 @@
 
 import os
 import tempfile
+import time
 
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from nextclick.operators import ranking as R
 from nextclick.schemas import SESSION_SCHEMA, SUBMISSION_SCHEMA, Split
 from nextclick.sources import parquet as P
+from nextclick.sources.tables import materialise
 
 
 def test_split_paths_and_round_trip(spark):
@@ -58,3 +61,17 @@ def test_tables_are_dropped_on_request(tmp_path, spark):
     tables.drop_tables(spark)
     assert not os.path.exists(folder)
     assert tables.materialise(spark.range(2), "t").count() == 2
+
+
+def test_materialise_leaves_no_shuffle_files(spark):
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for folder in local for _, _, names in os.walk(folder) for f in names if f.startswith("shuffle_")}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    had, before = spark.conf.get(name, None), files()
+    out = materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "grouped")
+    for _ in range(50):  # executors are told, not waited for
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert out.count() == 7 and spark.conf.get(name, None) == had
