@@ -205,3 +205,16 @@ def test_cell_lists_leave_a_task_once_per_query_and_cell(spark, monkeypatch):
     S[np.arange(60), np.arange(60)] = -np.inf
     want = {(i, int(j), r) for i in range(60) for r, j in enumerate(np.argsort(-S[i], kind="stable")[:7], 1)}
     assert {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos) for r in got} == want
+
+
+def test_blocks_that_share_many_tokens_are_searched_by_sketches(spark):
+    """Exact lists, from few of the products."""
+    rng = np.random.default_rng(14)
+    dense = (rng.random((400, 60)) < 0.5) * rng.integers(1, 6, (400, 60)).astype(float)
+    it, tok = np.nonzero(dense)
+    flat = spark.createDataFrame(pd.DataFrame({"key": it.astype(np.int64), "token": tok.astype(np.int64), "val": dense[it, tok]}))
+    counted = [spark.sparkContext.accumulator(0) for _ in range(3)]
+    got = {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos)
+           for r in knn.sparse_topk(flat, 9, block_rows=128, counted=counted, normalise=True).collect()}
+    assert got == brute(dense, np.arange(400, dtype=np.int64), 10)
+    assert 0 < counted[2].value < ((dense > 0).sum(axis=0) ** 2).sum() / 2
