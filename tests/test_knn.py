@@ -218,3 +218,26 @@ def test_blocks_that_share_many_tokens_are_searched_by_sketches(spark):
            for r in knn.sparse_topk(flat, 9, block_rows=128, counted=counted, normalise=True).collect()}
     assert got == brute(dense, np.arange(400, dtype=np.int64), 10)
     assert 0 < counted[2].value < ((dense > 0).sum(axis=0) ** 2).sum() / 2
+
+
+def test_an_entry_is_stored_once_whatever_the_number_of_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(15)
+    dense = (rng.random((500, 40)) < 0.2) * rng.integers(1, 4, (500, 40)).astype(float)
+    dense[:, 0] = 1
+    it, tok = np.nonzero(dense)
+    flat = spark.createDataFrame(pd.DataFrame({"key": it.astype(np.int64), "token": tok.astype(np.int64), "val": dense[it, tok]}))
+    stored, names = [], []
+    keep = knn.materialise
+
+    def seen(df, name, *a):
+        out = keep(df, name, *a)
+        names.append(name)
+        if name == "sparse_anchors":
+            stored.extend(knn._Block(r.blob) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(knn, "materialise", seen)
+    got = {(r.anchor_vacancy_id, r.recom_vacancy_id, r.pos) for r in knn.sparse_topk(flat, 5, block_rows=50, normalise=True).collect()}
+    want = {(a, r, p) for a, r, p in brute(dense, np.arange(500, dtype=np.int64), 6)}
+    assert got == want
+    assert len(stored) == 10 and sum(len(b.code) for b in stored) == len(it) and sum(len(b.keys) for b in stored) == 500
